@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import ids, times
 from funnelspark.operators.joins import lookup
-from funnelspark.schemas import table_schema
+from funnelspark.schemas import shape, table_schema
 
 # Tier key, tier name, risk class, daily invite cap, daily message cap.
 ACCOUNT_TIERS = [
@@ -29,7 +29,10 @@ CRM_TITLE_DEFAULT = "Recruiter"
 
 
 def account_tiers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ACCOUNT_TIERS, table_schema("dim_account_tier"))
+    rows = ", ".join(f"({key}, '{name}', '{risk}', {invites}, {messages})" for key, name, risk, invites, messages in ACCOUNT_TIERS)
+    columns = ", ".join(table_schema("dim_account_tier").names)
+    # Inline VALUES keep their size visible to Catalyst, so joins with them broadcast.
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
 
 
 def calendar(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
@@ -237,6 +240,7 @@ def refresh_leads(dim: DataFrame, leads: DataFrame, as_of: Column) -> DataFrame:
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], table_schema(table))
+    """A table before its first load; Catalyst drops joins and unions with it."""
+    return shape(spark.range(0), table).limit(0)
 
 

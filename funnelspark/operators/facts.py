@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from funnelspark.functions import ids, text, times
 from funnelspark.operators import dims
 from funnelspark.operators.joins import lookup
-from funnelspark.schemas import shape, table_schema
+from funnelspark.schemas import shape
 
 # What a repeated event may change; everything else stays as first loaded.
 EVENT_UPDATES = ["event_status", "response_time_minutes"]
@@ -196,17 +196,14 @@ def crm_events(rows: DataFrame, agent_id: str, campaign_id: str, load_time: Colu
     )
 
 
-def chronology(fact: DataFrame) -> DataFrame:
+def chronology(fact: DataFrame, by: list[str] = ("agent_key", "lead_key")) -> DataFrame:
     """Per agent and lead: first invite, first acceptance, and whether they are in order."""
     first = {
         "first_invite": F.min(F.when(F.col("event_type") == "INVITE_SENT", F.col("event_timestamp"))),
         "first_accept": F.min(F.when(F.col("event_type") == "ACCEPTED", F.col("event_timestamp"))),
     }
-    pairs = fact.groupBy("agent_id", "lead_id").agg(*[v.alias(k) for k, v in first.items()])
+    known = fact.dropna(subset=list(by)).filter(F.col("event_type").isin("INVITE_SENT", "ACCEPTED"))
+    pairs = known.groupBy(*by).agg(*[v.alias(k) for k, v in first.items()])
     return pairs.filter("first_accept IS NOT NULL AND first_invite IS NOT NULL").withColumn(
         "in_order", F.col("first_accept") >= F.col("first_invite")
     )
-
-
-def empty_fact(spark) -> DataFrame:
-    return spark.createDataFrame([], table_schema("fact_outreach_event"))
