@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from funnelspark.functions import text
 from funnelspark.operators import alerts, anomaly, clean, dims, facts, marts, measures, quality, risk
-from funnelspark.plans import derived
+from funnelspark.plans import batch, derived, landing
 from funnelspark.plans.inputs import Inputs
+from funnelspark.schemas import raw_schema, shape
 from funnelspark.session import prepare
+from funnelspark.sources import files, imports
+from funnelspark.sources.warehouse import Warehouse
+from funnelspark.streaming import live
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -550,3 +556,189 @@ def alerts_duration(i: Inputs) -> DataFrame:
 def alerts_failed_runs(i: Inputs) -> DataFrame:
     runs = i.runs.withColumns({"error_message": F.lit("source unreachable"), "end_time": i.as_of})
     return alerts.failed_runs(runs).select("title", "message", "level")
+
+
+# ── Sources: SRC-1..SRC-12, FA-4..FA-6 ────────────────────────────────────────
+
+
+@query
+def entity_files(i: Inputs) -> DataFrame:
+    """Leads from a folder of CSV and JSON files; the CSV copy of a lead comes first and wins."""
+    raw = files.read_entity(i.spark, landing.entity_files(i), "leads", json_lines=True)
+    return clean.clean_rows(clean.route(raw, "leads"))
+
+
+@query
+def epoch_event_times(i: Inputs) -> DataFrame:
+    raw = files.read_json(i.spark, [landing.epoch_events(i)], "events", lines=True)
+    routed = clean.route(raw, "events")
+    return rounded(routed.select("event_source_id", "event_timestamp", F.col("_reject.rule").alias("rule")))
+
+
+@query
+def paged_leads(i: Inputs) -> DataFrame:
+    raw = files.read_pages(i.spark, landing.pages(i), "leads")
+    return clean.clean_rows(clean.route(raw, "leads")).select("lead_id", "full_name", "segment")
+
+
+@query
+def paged_pages_gap(i: Inputs) -> DataFrame:
+    return files.missing_pages(i.spark, landing.pages(i))
+
+
+@query
+def incremental_orders(i: Inputs) -> DataFrame:
+    newer = files.newer_than(i.table("orders"), "o_orderdate", datetime(1998, 6, 1))
+    return newer.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query
+def watermark_upsert(i: Inputs) -> DataFrame:
+    """Watermarks of event kinds moved from their first to their last time; a new entity is added."""
+    events = i.table("events")
+    first = events.groupBy(F.col("event_type").alias("entity_name")).agg(F.min("ts").cast("timestamp").alias("last_synced_at"))
+    last = events.groupBy(F.col("event_type").alias("entity_name")).agg(F.max("ts").cast("timestamp").alias("last_synced_at"))
+    orders = i.table("orders").agg(F.max("o_orderdate").cast("timestamp").alias("last_synced_at")).withColumn("entity_name", F.lit("orders"))
+    merged = dims.upsert(first, last.unionByName(orders), "entity_name", ["last_synced_at"])
+    return rounded(merged.withColumnRenamed("_action", "action"))
+
+
+@query
+def raw_landing(i: Inputs) -> DataFrame:
+    landed = files.raw_landing(i.raw(derived.RAW_EVENTS), "events", "run_1", i.as_of)
+    return landed.select("source_id", "source_type", "processed", "run_id",
+                         F.get_json_object("raw_payload", "$.event_type").alias("payload_type"))
+
+
+@query
+def archive_leads(i: Inputs) -> DataFrame:
+    people = facts.archive_connections(imports.connections(i.spark, landing.archive_connections(i)), i.as_of)
+    return rounded(people)
+
+
+@query
+def archive_events(i: Inputs) -> DataFrame:
+    """ACCEPTED events of connections and INVITE_SENT events of outgoing invitations."""
+    agent, campaign = facts.ARCHIVE_AGENT["agent_id"], facts.ARCHIVE_CAMPAIGN["campaign_id"]
+    people = facts.archive_connections(imports.connections(i.spark, landing.archive_connections(i)), i.as_of)
+    accepted = facts.connection_events(people, agent, campaign)
+    sent = facts.invitation_events(imports.invitations(i.spark, landing.archive_invitations(i)), agent, campaign, i.as_of)
+    return rounded(accepted.unionByName(sent))
+
+
+def _crm(i: Inputs) -> DataFrame:
+    return imports.crm_export(i.spark, files.list_files(i.spark, landing.crm_exports(i), "*.csv"))
+
+
+@query
+def crm_leads(i: Inputs) -> DataFrame:
+    """CRM leads over a dimension that already knows the suppliers, two of whose fields hold placeholders."""
+    known = i.table("supplier").select(
+        F.concat(F.lit("lead_"), F.lower(F.regexp_replace("s_name", "#", "_"))).alias("lead_id"), F.col("s_name").alias("full_name"),
+        F.lit("Confidential").alias("company"), F.lit("Recruiter").alias("title"), F.lit("Old").alias("segment"),
+        F.lit("NEW").alias("lead_status"), i.loaded.alias("valid_from"), F.lit(True).alias("is_current"),
+    )
+    merged = dims.refresh_leads(shape(known, "dim_lead"), dims.crm_leads(_crm(i)), i.reloaded)
+    return rounded(merged.select(
+        "lead_id", "full_name", "company", "title", "segment", "lead_status", "valid_from", F.col("_action").alias("action")
+    ))
+
+
+@query
+def crm_events(i: Inputs) -> DataFrame:
+    return rounded(facts.crm_events(_crm(i), "agent_crm", "camp_crm", i.as_of))
+
+
+# ── Streaming: ST-1..ST-6, X-6 ────────────────────────────────────────────────
+
+
+def _live_run(i: Inputs) -> Warehouse:
+    """A warehouse whose events arrived as a stream, in two micro-batches (run once per session and inputs)."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        for name in facts.DIMENSIONS:
+            warehouse.replace(name, i.stored(name))
+        warehouse.replace("dim_account_tier", i.tiers)
+        schema = StructType([*raw_schema("events").fields, StructField("pos", LongType())])
+        stream = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(landing.live_events(i))
+        live.start_ingest(stream, warehouse, f"{root}/checkpoint", ["pos"], at=i.as_of).awaitTermination()
+
+    return Warehouse(i.spark, i.once("live-warehouse", run), buckets=8)
+
+
+@query
+def stream_daily_activity(i: Inputs) -> DataFrame:
+    days = _live_run(i).read("fact_daily_agent_activity").drop("month", "loaded_at", "anomaly_score")
+    return rounded(i.named(days))
+
+
+@query
+def stream_events(i: Inputs) -> DataFrame:
+    fact = _live_run(i).read("fact_outreach_event")
+    return rounded(fact.select("event_source_id", "event_type", "event_timestamp", "date_key", "event_status", "response_time_minutes"))
+
+
+@query
+def stream_receipts(i: Inputs) -> DataFrame:
+    rows = _live_run(i).read("live_receipts", live.RECEIPTS)
+    return rows.groupBy("status", "event_type", "warning").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_dead_letters(i: Inputs) -> DataFrame:
+    return _live_run(i).read("dead_letter_queue").groupBy("error_type", "source", "resolved").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def webhook_events(i: Inputs) -> DataFrame:
+    """Conversation turns as loosely named webhook payloads without ids."""
+    turns = i.table("conversations").select(
+        F.concat(F.lit("acc_"), F.col("role")).alias("account_id"), F.concat(F.lit("lead_"), F.col("conv_id")).alias("contact_id"),
+        F.when(F.col("role") == "user", "reply").alias("action"),
+        F.concat(F.lit("2024-02-01T00:"), F.lpad((F.col("turn") % 60).cast("string"), 2, "0"), F.lit(":00Z")).alias("created_at"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("pos"),
+    )
+    events = live.webhook_payloads(live.with_arrival(turns, i.as_of), ["pos"])
+    return rounded(clean.clean_rows(clean.route(events, "events", ["pos"])))
+
+
+@query
+def windowed_stream_activity(i: Inputs) -> DataFrame:
+    """Days closed by the watermark, as a windowed stream aggregate over the events table."""
+
+    def run(root: str) -> None:
+        table = i.table("events")
+        stream = i.spark.readStream.schema(table.schema).parquet(f"{i.sf_dir}/events*.parquet").select(
+            F.col("event_id").cast("string").alias("event_source_id"),
+            F.concat(F.lit("agent_"), F.floor(F.col("user_id") / 50)).alias("agent_id"),
+            F.when(F.col("event_type") == "view", "INVITE_SENT").when(F.col("event_type") == "click", "ACCEPTED")
+            .when(F.col("event_type") == "purchase", "MEETING_BOOKED").otherwise("FAILED").alias("event_type"),
+            F.col("ts").cast("timestamp").alias("event_timestamp"),
+        )
+        sink = live.windowed_activity(stream).writeStream.format("parquet").outputMode("append")
+        sink.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/days").trigger(availableNow=True).start().awaitTermination()
+
+    days = i.spark.read.parquet(f"{i.once('windowed-stream', run)}/days")
+    return days.withColumn("day", F.col("day").cast("string"))
+
+
+# ── A whole batch run ─────────────────────────────────────────────────────────
+
+
+@query
+def batch_run_audit(i: Inputs) -> DataFrame:
+    """Audit row of a full load of the derived entities into an empty warehouse."""
+
+    def run(root: str) -> None:
+        frames = {
+            "agents": derived.RAW_AGENTS_1, "leads": derived.RAW_LEADS_1, "campaigns": derived.RAW_CAMPAIGNS_1,
+            "templates": derived.RAW_TEMPLATES, "events": derived.RAW_EVENTS,
+        }
+        batch.run_batch(
+            i.spark, "", root, datetime(2024, 1, 30), "run_1", buckets=8,
+            entity_frames={name: (i.raw(sql), ["pos"]) for name, sql in frames.items()},
+        )
+
+    audit = Warehouse(i.spark, i.once("batch-warehouse", run), buckets=8).read("fact_pipeline_run")
+    return audit.select("run_id", "rows_extracted", "rows_loaded", "rows_failed", "status", "dq_score", "dq_passed")

@@ -531,6 +531,92 @@ SELECTS["alerts_dq"] = "SELECT '⚠️ Data Quality Breach' AS title, 'WARNING'
     for run, at in (("run_1", AS_OF), ("run_2", "2024-01-31 00:00:00"))
 ]) + ") WHERE composite_score < 97"
 
+# ── Sources, streams and the batch run ────────────────────────────────────────
+
+CONNECTED_DAY = "DATE '2024-01-01' + cast(c_custkey % 300 AS INTEGER)"
+STEPS["connected"] = f"""SELECT *, concat('real_lead_', substr(md5(linkedin_url), 1, 10)) AS lead_id FROM (
+    SELECT c_custkey, c_nationkey, coalesce(CASE WHEN c_acctbal > 5000 THEN concat('https://example.test/in/', cast(c_custkey AS VARCHAR)) END,
+      concat('https://linkedin.com/in/', lower(f), '-', lower(l))) AS linkedin_url, trim(concat(f, ' ', l)) AS full_name,
+      concat(c_mktsegment, ', Inc.') AS company, CASE WHEN c_nationkey < 12 THEN 'Professional' ELSE 'Buyer' END AS title, {CONNECTED_DAY} AS d
+    FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN '' ELSE 'Cust' END AS f, CASE WHEN c_acctbal < -500 THEN '' ELSE c_name END AS l FROM customer)
+    WHERE f <> '' OR l <> '')"""
+STEPS["invited"] = """SELECT DISTINCT s_name, TIMESTAMP '2024-03-01 14:05:09' + to_days(cast(s_suppkey % 60 AS INTEGER)) AS t FROM supplier WHERE s_acctbal >= 2000"""
+STEPS["crm_rows"] = """
+    SELECT o_orderkey AS pos, 'lead_c' || cast(c_custkey AS VARCHAR) AS lead_id, c_name AS full_name,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN 'Buyer' END AS title, CASE WHEN o_totalprice > 250000 THEN concat('Firm, ', c_mktsegment) END AS company,
+      CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE concat('Town ', cast(c_nationkey AS VARCHAR)) END AS segment,
+      CASE o_orderstatus WHEN 'F' THEN 'CONNECTED' WHEN 'O' THEN 'INVITE_SENT' ELSE 'ENRICHED' END AS lead_status,
+      CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 570 MINUTE END AS sent,
+      CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 18 HOUR + INTERVAL 45 MINUTE + INTERVAL 30 SECOND END AS accepted
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    UNION ALL
+    SELECT 1000000000000 + s_suppkey, concat('lead_', lower(replace(s_name, '#', '_'))), s_name, 'Seller', NULL, 'General',
+      CASE WHEN s_acctbal < 0 THEN 'CONNECTED' ELSE 'CAPTURED' END, NULL, NULL FROM supplier"""
+STEPS["live_valid"] = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_source_id ORDER BY pos) AS rn FROM all_typed
+    WHERE event_source_id IS NOT NULL AND event_type IS NOT NULL AND event_timestamp IS NOT NULL) WHERE rn = 1"""
+STEPS["live_days"] = f"""SELECT *, {rate('invites_accepted', 'invites_sent')} AS acceptance_rate, {rate('replies_received', 'invites_accepted')} AS reply_rate
+    FROM (SELECT agent_id, date_key, {counts()} FROM live_valid JOIN agents_1 USING (agent_id) GROUP BY agent_id, date_key)"""
+STEPS["all_judged"] = """SELECT *, CASE WHEN event_source_id IS NULL THEN 'missing_event_id' WHEN event_type IS NULL THEN 'missing_event_type'
+    WHEN event_timestamp IS NULL THEN 'bad_timestamp' END AS rule FROM all_typed"""
+WEBHOOK_JSON = """concat('{"account_id":"acc_', role, '","contact_id":"lead_', cast(conv_id AS VARCHAR), '",',
+    CASE WHEN role = 'user' THEN '"action":"reply",' ELSE '' END, '"created_at":"', moment, '"}')"""
+
+SELECTS |= {
+    "entity_files": "SELECT * FROM leads_1 UNION ALL SELECT * FROM leads_2 WHERE lead_id NOT IN (SELECT lead_id FROM leads_1)",
+    "epoch_event_times": f"""SELECT cast(event_id AS VARCHAR) AS event_source_id, CASE WHEN event_type <> 'view' THEN {stamp('ts')} END AS event_timestamp,
+      CASE WHEN event_type = 'view' THEN 'bad_timestamp' END AS rule FROM events""",
+    "paged_leads": """SELECT cast(c_custkey AS VARCHAR) AS lead_id, c_name AS full_name, c_mktsegment AS segment FROM customer
+      UNION ALL SELECT concat('s', cast(s_suppkey AS VARCHAR)), s_name, 'Suppliers' FROM supplier""",
+    "paged_pages_gap": """SELECT concat('c', cast(max(c_custkey) // 50 + 1 AS VARCHAR)) AS cursor FROM customer
+      UNION ALL SELECT concat('s', cast(max(s_suppkey) // 50 + 1 AS VARCHAR)) FROM supplier""",
+    "incremental_orders": "SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01' GROUP BY o_orderstatus",
+    "watermark_upsert": f"""SELECT event_type AS entity_name, {stamp('max(ts)')} AS last_synced_at, CASE WHEN max(ts) = min(ts) THEN 'skip' ELSE 'update' END AS action
+      FROM events GROUP BY event_type UNION ALL SELECT 'orders', {stamp('max(o_orderdate)')}, 'insert' FROM orders""",
+    "raw_landing": """SELECT nullif(id, '') AS source_id, 'csv' AS source_type, FALSE AS processed, 'run_1' AS run_id, event_type AS payload_type FROM raw_events""",
+    "archive_leads": f"""SELECT lead_id, linkedin_url, full_name, company, title, strftime(d, '%Y-%m-%d 00:00:00') AS connected_at,
+      '1st Degree Connections' AS segment, 'CONNECTED' AS lead_status
+      FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY c_nationkey, c_custkey) AS rn FROM connected) WHERE rn = 1""",
+    "archive_events": f"""SELECT concat('evt_conn_', lead_id) AS event_source_id, 'my_live_account' AS agent_id, lead_id, 'camp_personal_network' AS campaign_id,
+      'ACCEPTED' AS event_type, strftime(d, '%Y-%m-%d 00:00:00') AS event_timestamp, cast(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, 'SUCCESS' AS event_status
+      FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY c_nationkey, c_custkey) AS rn FROM connected) WHERE rn = 1
+      UNION ALL SELECT concat('evt_inv_', substr(md5(concat(s_name, {stamp('t')})), 1, 10)), 'my_live_account', NULL, 'camp_personal_network',
+      'INVITE_SENT', {stamp('t')}, cast(strftime(t, '%Y%m%d') AS INTEGER), 'SUCCESS' FROM invited""",
+    "crm_leads": f"""SELECT lead_id, full_name, company, title, CASE WHEN fresh THEN segment ELSE 'Old' END AS segment, lead_status,
+      CASE WHEN fresh THEN '{RELOADED}' ELSE '{LOADED}' END AS valid_from, CASE WHEN fresh THEN 'insert' ELSE 'update' END AS action
+      FROM (SELECT lead_id, arg_min(full_name, pos) AS full_name, coalesce(arg_min(company, pos) FILTER (WHERE company IS NOT NULL), 'Confidential') AS company,
+        coalesce(arg_min(title, pos) FILTER (WHERE title IS NOT NULL), 'Recruiter') AS title, arg_min(segment, pos) AS segment,
+        arg_max(lead_status, pos) AS lead_status, max(pos) < 1000000000000 AS fresh FROM crm_rows GROUP BY lead_id)""",
+    "crm_events": f"""SELECT concat('evt_sent_', lead_id) AS event_source_id, 'agent_crm' AS agent_id, lead_id, 'camp_crm' AS campaign_id, 'INVITE_SENT' AS event_type,
+        {stamp(f"coalesce(sent, TIMESTAMP '{AS_OF}')")} AS event_timestamp, cast(strftime(coalesce(sent, TIMESTAMP '{AS_OF}'), '%Y%m%d') AS INTEGER) AS date_key,
+        'SUCCESS' AS event_status, cast(NULL AS INTEGER) AS response_time_minutes
+      FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY pos) AS rn FROM crm_rows WHERE lead_status IN ('CONNECTED', 'INVITE_SENT')) WHERE rn = 1
+      UNION ALL SELECT concat('evt_acc_', lead_id), 'agent_crm', lead_id, 'camp_crm', 'ACCEPTED', {stamp(f"coalesce(accepted, TIMESTAMP '{AS_OF}')")},
+        cast(strftime(coalesce(accepted, TIMESTAMP '{AS_OF}'), '%Y%m%d') AS INTEGER), 'SUCCESS', CASE WHEN sent IS NOT NULL THEN 555 END
+      FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY pos) AS rn FROM crm_rows WHERE lead_status = 'CONNECTED') WHERE rn = 1""",
+    "stream_daily_activity": f"""SELECT d.*, {rate('invites_sent', 'daily_invite_limit')} AS utilisation_pct
+      FROM live_days d JOIN agents_1 USING (agent_id) LEFT JOIN tiers USING (tier_name)""",
+    "stream_events": SELECTS["micro_batch_merge"].replace("SELECT * FROM", "SELECT event_source_id, event_type, event_timestamp, date_key, event_status, response_time_minutes FROM", 1),
+    "stream_receipts": f"""SELECT CASE WHEN rule IS NULL THEN 'SUCCESS' ELSE 'DEAD_LETTERED' END AS status, coalesce(event_type, 'UNKNOWN') AS event_type,
+      CASE WHEN rule IS NOT NULL THEN 'Event format failed validation and was routed to Dead-Letter Queue.' END AS warning, count(*) AS n FROM all_judged GROUP BY 1, 2, 3""",
+    "stream_dead_letters": "SELECT rule AS error_type, 'transformer' AS source, FALSE AS resolved, count(*) AS n FROM all_judged WHERE rule IS NOT NULL GROUP BY rule",
+    "webhook_events": f"""SELECT concat('wh_', substr(md5({WEBHOOK_JSON}), 1, 10)) AS event_source_id, concat('acc_', role) AS agent_id,
+      concat('lead_', cast(conv_id AS VARCHAR)) AS lead_id, cast(NULL AS VARCHAR) AS campaign_id, cast(NULL AS VARCHAR) AS template_id,
+      CASE WHEN role = 'user' THEN 'REPLY_RECEIVED' ELSE 'MESSAGE_SENT' END AS event_type, {stamp('cast(moment AS TIMESTAMP)')} AS event_timestamp,
+      'SUCCESS' AS event_status, cast(NULL AS INTEGER) AS response_time_minutes, 20240201 AS date_key
+      FROM (SELECT DISTINCT conv_id, role, concat('2024-02-01T00:', lpad(cast(turn % 60 AS VARCHAR), 2, '0'), ':00Z') AS moment FROM conversations)""",
+    "windowed_stream_activity": """SELECT strftime(d, '%Y-%m-%d') AS day, agent_id, count(*) FILTER (WHERE event_type = 'view') AS invites_sent,
+      count(*) FILTER (WHERE event_type = 'click') AS invites_accepted, 0::BIGINT AS messages_sent, 0::BIGINT AS replies_received,
+      count(*) FILTER (WHERE event_type = 'purchase') AS meetings_booked
+      FROM (SELECT *, cast(ts AS DATE) AS d, concat('agent_', cast(cast(floor(user_id / 50) AS BIGINT) AS VARCHAR)) AS agent_id FROM events)
+      WHERE d + 1 <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY GROUP BY d, agent_id""",
+    "batch_run_audit": f"""SELECT 'run_1' AS run_id, e.n + a.n + l.n + c.n + t.n AS rows_extracted, f.n + a.n + l.n + d.n + m.n AS rows_loaded, 0::BIGINT AS rows_failed,
+      'PARTIAL' AS status, dq_score, dq_score >= 85 AS dq_passed
+      FROM (SELECT count(*) AS n FROM raw_events) e, (SELECT count(*) AS n FROM raw_agents_1) a, (SELECT count(*) AS n FROM raw_leads_1) l,
+        (SELECT count(*) AS n FROM raw_campaigns_1) c, (SELECT count(*) AS n FROM raw_templates) t, (SELECT count(*) AS n FROM fact) f,
+        (SELECT count(*) AS n FROM campaigns_1) d, (SELECT count(*) AS n FROM templates) m,
+        (SELECT round(sum(CASE WHEN check_dimension = 'timeliness' THEN 100 ELSE dimension_score END * weight), 2) AS dq_score FROM weights JOIN dq_scores USING (check_dimension))""",
+}
+
 
 def statements() -> dict[str, str]:
     return {name: _with(select) for name, select in SELECTS.items()}

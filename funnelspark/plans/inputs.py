@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,8 @@ from funnelspark.operators import clean, dims, facts, marts
 from funnelspark.plans import derived
 from funnelspark.session import new_scratch
 
-# (session, inputs, table) → (path, schema) of the tables loaded so far.
-_STORED: dict[tuple, tuple] = {}
+# (session, inputs, label) → what was loaded: a job's root folder, or a table's path and schema.
+_STORED: dict[tuple, str | tuple] = {}
 
 
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
@@ -139,6 +140,15 @@ class Inputs:
         path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
 
+    def once(self, label: str, run: Callable[[str], None]) -> str:
+        """Root folder of a job that ran into the shared folder, at most once per session and inputs."""
+        key = (self.spark.sparkContext.applicationId, _fingerprint(self.spark, self.sf_dir), label)
+        if key not in _STORED:
+            root = new_scratch(self.spark, label)
+            run(root)
+            _STORED[key] = root
+        return _STORED[key]
+
     @property
     def fact(self) -> DataFrame:
         return self.stored("fact_outreach_event")
