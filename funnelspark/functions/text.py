@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import groupby
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,12 +66,8 @@ def first_filled(*candidates: Column) -> Column:
 def event_type_of(c: Column) -> Column:
     """Canonical event type; an unknown spelling stays, upper-cased, for the validity check to find."""
     text = blank_to_null(strip(c))
-    spelling = F.translate(F.lower(text), " -", "__")
-    named = [
-        F.when(spelling.isin([alias for alias, _ in group]), F.lit(target))
-        for target, group in groupby(EVENT_TYPE_ALIASES.items(), key=lambda item: item[1])
-    ]
-    return F.coalesce(*named, F.upper(text))
+    known = F.create_map(*[F.lit(word) for pair in EVENT_TYPE_ALIASES.items() for word in pair])
+    return F.coalesce(F.try_element_at(known, F.translate(F.lower(text), " -", "__")), F.upper(text))
 
 
 def is_unknown_type(event_type: Column) -> Column:
@@ -100,3 +94,11 @@ def crm_lead_status(status: Column) -> Column:
 
 def status_label(status: Column) -> Column:
     return F.when(status == "active", "Active").when(status == "paused", "Paused").otherwise("Ghost")
+
+
+def csv_cells(line: Column) -> Column:
+    """Cells of one CSV line as an array; a quoted cell may hold commas and doubled quotes."""
+    # Every match starts with a comma, so an empty cell is a match too.
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("[^"]*(?:""[^"]*)*"|[^,]*)'), F.lit(1))
+    unquoted = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"') & (F.length(c) > 1), unquoted(c)).otherwise(c))

@@ -137,12 +137,14 @@ def route(raw: DataFrame, name: str, order: list[str] = POSITION, dedup: bool =
     columns = dict(rules.columns)
     if name == "events":
         columns["date_key"] = times.date_key(columns["event_timestamp"])
-    # Clean names overlap with raw ones, so the verdict is taken in a second step.
-    return rows.select(
+    typed = F.struct(
         *[column.alias(alias) for alias, column in columns.items()],
         F.struct(*_raw(*RAW_FIELDS[name])).alias("_raw"),
         *[F.col(c).alias(f"_o_{c}") for c in order],
-    ).withColumn("_reject", rules.reject())
+    )
+    # inline() of one struct fixes the typed values as columns: a filter on the verdict then reads them, where
+    # Catalyst would otherwise push it below and work the cleaning expressions out a second time.
+    return rows.select(F.inline(F.array(typed))).withColumn("_reject", rules.reject())
 
 
 def clean_rows(routed: DataFrame) -> DataFrame:
@@ -150,7 +152,9 @@ def clean_rows(routed: DataFrame) -> DataFrame:
 
 
 def _record_id(payload: list[str]) -> Column:
-    return text.first_filled(*[F.col(f"_raw.`{name}`") for name in ("id", "event_id") if name in payload])
+    """Source id of a raw record; a record rejected at load time leads with its natural key."""
+    names = [name for name in ("id", "event_id") if name in payload] or payload[:1]
+    return text.first_filled(*[F.col(f"_raw.`{name}`") for name in names])
 
 
 def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str = "transformer") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,22 +189,21 @@ def ensure_row(existing: DataFrame, key: str, row: dict, surrogate: str, as_of:
     return existing.unionByName(missing)
 
 
-def _first_known(field: str, default: str) -> Callable[[str], Column]:
+def _first_known(field: str, default: str) -> Column:
     """First value of a field, by position, that is more than its placeholder."""
-    known = ~F.col(field).isin("", default)
-    return F.min(F.when(known, F.struct("_pos", field))).getField(field)
+    return F.min_by(field, F.when(~F.col(field).isin("", default), F.col("_pos"))).alias(field)
 
 
 def crm_leads(rows: DataFrame) -> DataFrame:
     """One row per lead out of CRM export rows: first known company and title, first name, address and
-    segment, last status. All are min / max aggregates, so a lead repeated often shrinks map-side."""
+    segment, last status. All combine map-side, so a lead repeated often arrives as one row per task."""
     return rows.groupBy("lead_id").agg(
-        F.min(F.struct("_pos", "full_name")).getField("full_name").alias("full_name"),
-        _first_known("company", CRM_COMPANY_DEFAULT).alias("company"),
-        _first_known("title", CRM_TITLE_DEFAULT).alias("title"),
-        F.min(F.struct("_pos", "linkedin_url")).getField("linkedin_url").alias("linkedin_url"),
-        F.min(F.struct("_pos", "segment")).getField("segment").alias("segment"),
-        F.max(F.struct("_pos", "lead_status")).getField("lead_status").alias("lead_status"),
+        F.min_by("full_name", "_pos").alias("full_name"),
+        _first_known("company", CRM_COMPANY_DEFAULT),
+        _first_known("title", CRM_TITLE_DEFAULT),
+        F.min_by("linkedin_url", "_pos").alias("linkedin_url"),
+        F.min_by("segment", "_pos").alias("segment"),
+        F.max_by("lead_status", "_pos").alias("lead_status"),
     )
 
 

@@ -72,12 +72,12 @@ def upsert_events(fact: DataFrame, incoming: DataFrame) -> DataFrame:
 def latest_of_batch(events: DataFrame, order: Column) -> DataFrame:
     """One row per id out of repeated deliveries: fixed columns from the first, updatable ones from the last.
 
-    Plain min / max aggregates over (position, value): combined map-side, whatever an id's share.
+    Both are min_by / max_by aggregates, combined map-side, whatever an id's share.
     """
     key, fixed = "event_source_id", [c for c in events.columns if c not in {"event_source_id", *EVENT_UPDATES}]
-    first = F.min(F.struct(order.alias("_o"), F.struct(*fixed).alias("v"))).alias("_first")
-    last = F.max(F.struct(order.alias("_o"), F.struct(*EVENT_UPDATES).alias("v"))).alias("_last")
-    return events.groupBy(key).agg(first, last).select(key, "_first.v.*", "_last.v.*").select(*events.columns)
+    first = F.min_by(F.struct(*fixed), order).alias("_first")
+    last = F.max_by(F.struct(*EVENT_UPDATES), order).alias("_last")
+    return events.groupBy(key).agg(first, last).select(key, "_first.*", "_last.*").select(*events.columns)
 
 
 def absent_from(events: DataFrame, fact: DataFrame) -> DataFrame:
@@ -110,8 +110,8 @@ def archive_connections(rows: DataFrame, load_time: Column) -> DataFrame:
         "_pos",
     ).withColumn("lead_id", ids.md5_id("real_lead_", F.col("linkedin_url")))
     values = [c for c in leads.columns if c not in ("lead_id", "_pos")]
-    firsts = leads.groupBy("lead_id").agg(F.min(F.struct("_pos", F.struct(*values).alias("v"))).alias("x"))
-    return firsts.select("lead_id", "x.v.*").withColumns(
+    firsts = leads.groupBy("lead_id").agg(F.min_by(F.struct(*values), "_pos").alias("x"))
+    return firsts.select("lead_id", "x.*").withColumns(
         {"segment": F.lit(ARCHIVE_SEGMENT), "lead_status": F.lit("CONNECTED")}
     )
 
@@ -181,7 +181,7 @@ def crm_events(rows: DataFrame, agent_id: str, campaign_id: str, load_time: Colu
     )
     each = rows.select("lead_id", "_pos", F.explode(F.filter(F.array(invite, accept), lambda e: e.isNotNull())).alias("e"))
     firsts = each.groupBy(F.col("e.event_source_id").alias("event_source_id")).agg(
-        F.min(F.struct("_pos", "lead_id", "e")).alias("x")
+        F.min_by(F.struct("lead_id", "e"), "_pos").alias("x")
     )
     return firsts.select(
         "event_source_id",

@@ -12,18 +12,10 @@ from funnelspark.sources.files import read_csv
 CONNECTION_MARKERS = ["First Name", "First name", "URL"]
 INVITATION_MARKERS = ["From", "To", "Sent At"]
 
-# Widest archive line that is read; further fields are ignored.
-MAX_FIELDS = 40
 # Up to this many files their header lines are broadcast; beyond, they are joined by file.
 MAX_BROADCAST_FILES = 10_000
 
 
-def _cells(line: Column) -> Column:
-    schema = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
-    parsed = F.from_csv(line, schema, {"escape": '"'})
-    return F.array(*[parsed.getField(f"c{i}") for i in range(MAX_FIELDS)])
-
-
 def read_archive(spark: SparkSession, paths: list[str] | str, markers: list[str]) -> DataFrame:
     """Lines below the header of each file, as arrays: ``_header``, ``_cells`` and ``_pos``.
 
@@ -39,15 +31,14 @@ def read_archive(spark: SparkSession, paths: list[str] | str, markers: list[str]
     for marker in markers:
         marked = marked | F.col("value").contains(marker)
     place = F.struct("_at", "value")
-    headers = lines.groupBy("_file").agg(
-        F.coalesce(F.min(F.when(marked, place)), F.min(place)).alias("h")
-    ).select("_file", F.col("h._at").alias("_header_at"), F.regexp_replace("h.value", "^\\x{FEFF}", "").alias("_header_line"))
+    firsts = lines.groupBy("_file").agg(F.coalesce(F.min(F.when(marked, place)), F.min(place)).alias("h")).select(
+        "_file", F.col("h._at").alias("_header_at"), F.regexp_replace("h.value", "^\\x{FEFF}", "").alias("_line")
+    )
+    headers = firsts.select("_file", "_header_at", text.csv_cells(F.col("_line")).alias("_header"))
     if isinstance(paths, list) and len(paths) <= MAX_BROADCAST_FILES:
         headers = F.broadcast(headers)
     body = lines.join(headers, "_file").filter((F.col("_at") > F.col("_header_at")) & (F.trim("value") != ""))
-    return body.select(
-        _cells(F.col("_header_line")).alias("_header"), _cells(F.col("value")).alias("_cells"), F.struct("_file", "_at").alias("_pos")
-    )
+    return body.select("_header", text.csv_cells(F.col("value")).alias("_cells"), F.struct("_file", "_at").alias("_pos"))
 
 
 def _cell(*names: str) -> Column:
