@@ -32,7 +32,8 @@ def resolve_keys(events: DataFrame, tables: dict[str, DataFrame], large: set[str
     for table, dim in tables.items():
         natural, surrogate, versioned, big = DIMENSIONS[table]
         big = big if large is None else table in large
-        out = lookup(out, dims.current(dim) if versioned else dim, natural, surrogate, large=big)
+        rows = dims.current(dim) if versioned else dim
+        out = lookup(out, rows, natural, surrogate, large=big, spread=F.col("event_source_id"))
     return out
 
 

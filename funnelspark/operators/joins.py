@@ -37,7 +37,7 @@ def lookup(
     on: str,
     value: str,
     large: bool = False,
-    heavy: DataFrame | None = None,
+    spread: Column | None = None,
 ) -> DataFrame:
     """``df`` with ``value`` of the ``dim`` row whose unique ``on`` matches; NULL where none does.
 
@@ -47,21 +47,22 @@ def lookup(
     * heavy keys (at most ``MAX_HEAVY_KEYS``) meet a broadcast of just their own dimension rows, so the
       bulk of a skewed input is never shuffled;
     * all other keys go through the ordinary shuffled join;
-    * rows with nothing left to look up (NULL or already served) get distinct keys that match
-      nothing, so they do not pile up in the NULL partition.
+    * rows with nothing left to look up (NULL or already served) get keys that match nothing, made from
+      ``spread`` (by default the whole row), so they do not pile up in the NULL partition.
 
-    Which keys the sketch calls heavy only moves rows between the two paths; the result is the same.
+    Which keys the sketch calls heavy only moves rows between the two paths; the result is the same. ``df`` is read
+    twice, the first time for its key column only, so it should be a stored table.
     """
     slim = dim.select(F.col(on), F.col(value))
     if not large:
         return df.join(slim, on, "left")
-    heavy = heavy_keys(df, on) if heavy is None else heavy
-    hot = slim.join(F.broadcast(heavy), on, "left_semi").select(
+    hot = slim.join(F.broadcast(heavy_keys(df, on)), on, "left_semi").select(
         F.col(on).alias("_hot_on"), F.col(value).alias("_hot"), F.lit(True).alias("_served")
     )
-    spread = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
+    # A digest, not a random number: a recomputed task sends each row where it went before.
+    apart = F.concat(F.lit("\x00"), F.xxhash64(*([spread] if spread is not None else df.columns)).cast("string"))
     served = df.join(F.broadcast(hot), F.col(on) == F.col("_hot_on"), "left").withColumn(
-        "_cold_on", F.when(F.col(on).isNull() | F.col("_served"), spread).otherwise(F.col(on))
+        "_cold_on", F.when(F.col(on).isNull() | F.col("_served"), apart).otherwise(F.col(on))
     )
     cold = slim.select(F.col(on).alias("_dim_on"), F.col(value).alias("_cold"))
     joined = served.join(cold, F.col("_cold_on") == F.col("_dim_on"), "left")

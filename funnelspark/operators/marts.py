@@ -46,8 +46,8 @@ def daily_agent_activity(
 
 
 def with_utilisation(activity: DataFrame, agents: DataFrame, tiers: DataFrame, on: str = "agent_key") -> DataFrame:
-    """Invites as a share of the agent tier's daily cap; NULL for an agent without a tier."""
-    caps = lookup(dims.current(agents).select(on, "tier_key"), tiers, "tier_key", "daily_invite_limit")
+    """Invites as a share of the daily cap of the tier the agent's version had; NULL without a tier."""
+    caps = lookup(agents.select(on, "tier_key"), tiers, "tier_key", "daily_invite_limit")
     joined = lookup(activity, caps, on, "daily_invite_limit")
     return joined.withColumn("utilisation_pct", numbers.rate(F.col("invites_sent"), F.col("daily_invite_limit"))).drop(
         "daily_invite_limit"

@@ -110,11 +110,9 @@ def daily_utilisation(activity: DataFrame, tiers: DataFrame) -> DataFrame:
 
     Reads the daily mart instead of the events: the same sums over far fewer rows.
     """
-    cap = tiers.agg(F.max(_LIMIT).alias("daily_invite_limit")).withColumn("_all", F.lit(1))
-    days = activity.groupBy("date_key").agg(F.sum("invites_sent").alias("daily_invites_sent")).withColumn("_all", F.lit(1))
-    joined = days.join(cap, "_all", "left").drop("_all")
-    return joined.withColumn(
-        "utilisation_pct", numbers.ratio_or_zero(F.col("daily_invites_sent"), F.col("daily_invite_limit"))
+    days = activity.groupBy("date_key").agg(F.sum("invites_sent").alias("daily_invites_sent"))
+    return days.withColumn(_LIMIT, tiers.agg(F.max(_LIMIT)).scalar()).withColumn(
+        "utilisation_pct", numbers.ratio_or_zero(F.col("daily_invites_sent"), F.col(_LIMIT))
     )
 
 

@@ -6,14 +6,14 @@ import time
 import uuid
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.operators import clean, dims, facts, marts, quality, risk
 from funnelspark.schemas import shape
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources import files, imports
-from funnelspark.sources.warehouse import Warehouse
+from funnelspark.sources.warehouse import Warehouse, month_of
 
 # entity → (dimension table, merge); events are loaded after all of them.
 ENTITIES = {
@@ -54,20 +54,35 @@ class Run:
         self.extracted = self.loaded = self.failed = self.dead = 0
         self.letters: list[DataFrame] = []
         self.synced: list[str] = []
+        self.months: list[int] = []
 
     def judge(self, raw: DataFrame, entity: str, table: str, order: list[str]) -> DataFrame | None:
-        """Clean one entity: stage the verdicts once, keep the rejects, return the loadable rows."""
-        routed = write_stage(clean.route(raw, entity, order), f"{entity}-routed")
-        loadable = clean.check_limits(clean.clean_rows(routed), table)
-        rejected = routed.agg(F.count_if(F.col("_reject").isNotNull())).head()[0]
-        refused = loadable.agg(F.count(F.lit(1)), F.count_if(F.col("_reject").isNotNull())).head()
+        """Clean one entity: stage the verdicts once, keep the rejects, return the loadable rows.
+
+        Rows in and rows rejected are observed while the stage is written, so counting costs no pass of its own.
+        """
+        seen, verdicts = Observation(), Observation()
+        counted = raw.observe(seen, F.count(F.lit(1)).alias("n"))
+        routed = clean.route(counted, entity, order).observe(
+            verdicts, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_reject").isNotNull()).alias("bad")
+        )
+        stage = write_stage(routed, f"{entity}-routed")
+        rejected, good = verdicts.get["bad"], verdicts.get["n"] - verdicts.get["bad"]
+        self.extracted += seen.get["n"]
+        if seen.get["n"] and entity != "templates":
+            self.synced.append(entity)
         if rejected:
-            self.letters.append(clean.dead_letters(routed, self.run_id, self.as_of))
-        if refused[1]:
+            self.letters.append(clean.dead_letters(stage, self.run_id, self.as_of))
+        self.dead += rejected
+        if not good:
+            return None
+        loadable = clean.check_limits(clean.clean_rows(stage), table)
+        refused = loadable.filter("_reject IS NOT NULL").count()
+        if refused:
             self.letters.append(clean.dead_letters(loadable, self.run_id, self.as_of, source="loader"))
-        self.failed += refused[1]
-        self.dead += rejected + refused[1]
-        return clean.clean_rows(loadable) if refused[0] else None
+        self.failed += refused
+        self.dead += refused
+        return clean.clean_rows(loadable)
 
 
 def run_batch(
@@ -92,7 +107,7 @@ def run_batch(
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
             _load(spark, warehouse, run, entity, table, source_dir, entity_frames)
-        refresh_marts(warehouse)
+        refresh_marts(warehouse, run.months)
         score = check(warehouse, run_id, at)
         status = "PARTIAL" if run.dead else "SUCCESS"
         if run.letters:
@@ -111,29 +126,31 @@ def run_batch(
 
 def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames) -> None:
     raw, order = (frames or {}).get(entity) or (files.read_entity(spark, source_dir, entity), files.POSITION)
-    extracted = raw.count()
-    if not extracted:
-        return
-    run.extracted += extracted
     rows = run.judge(raw, entity, table, order)
-    if rows is not None:
-        if entity == "events":
-            known = {t: warehouse.read(t) for t in facts.DIMENSIONS}
-            fact = write_stage(facts.as_fact(facts.resolve_keys(rows, known), run.as_of), "events-resolved")
-            counts = warehouse.upsert_events(fact)
-            run.loaded += counts["insert"] + counts["update"]
-        else:
-            merged = write_stage(_merge(warehouse, table, rows, run.as_of), f"{table}-merged")
-            warehouse.replace(table, merged)
-            done = dims.version_counts(merged).filter("action IN ('insert', 'update')").agg(F.sum("n")).head()[0]
-            run.loaded += done or 0
-    if entity != "templates":
-        run.synced.append(entity)
-
-
-def refresh_marts(warehouse: Warehouse) -> None:
-    fact, tiers = warehouse.read("fact_outreach_event"), warehouse.read("dim_account_tier")
-    days = marts.with_utilisation(marts.daily_agent_activity(fact), warehouse.read("dim_agent"), tiers)
+    if rows is None:
+        return
+    if entity == "events":
+        known = {t: warehouse.read(t) for t in facts.DIMENSIONS}
+        fact = write_stage(facts.as_fact(facts.resolve_keys(rows, known), run.as_of), "events-resolved")
+        counts = warehouse.upsert_events(fact)
+        run.loaded += counts["insert"] + counts["update"]
+        # One integer per month; months of the whole batch, so that a run repeated after a crash refreshes them too.
+        run.months = [r[0] for r in fact.select(month_of()).distinct().collect()]
+        return
+    merged = write_stage(_merge(warehouse, table, rows, run.as_of), f"{table}-merged")
+    warehouse.replace(table, merged)
+    done = dims.version_counts(merged).filter("action IN ('insert', 'update')").agg(F.sum("n")).head()[0]
+    run.loaded += done or 0
+
+
+def refresh_marts(warehouse: Warehouse, months: list[int]) -> None:
+    """Recompute the daily marts for the given months; other months of the fact are not read."""
+    if not months:
+        return
+    fact = warehouse.read("fact_outreach_event").filter(F.col("month").isin(months))
+    days = marts.with_utilisation(
+        marts.daily_agent_activity(fact), warehouse.read("dim_agent"), warehouse.read("dim_account_tier")
+    )
     warehouse.upsert_mart("fact_daily_agent_activity", write_stage(days, "activity"), ["agent_key", "date_key"])
     campaigns = marts.campaign_performance(fact)
     warehouse.upsert_mart("fact_campaign_performance", write_stage(campaigns, "performance"), ["campaign_key", "date_key"])

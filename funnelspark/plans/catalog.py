@@ -218,11 +218,12 @@ def asof_key_resolution(i: Inputs) -> DataFrame:
 @query
 def backfilled_keys(i: Inputs) -> DataFrame:
     """Events loaded before their leads existed, then filled in once the leads are there."""
+    events = i.stored("clean_events")
     early = facts.as_fact(
-        i.events.withColumns({k: F.lit(None).cast("bigint") for k in ("agent_key", "lead_key", "campaign_key", "template_key")}),
+        events.withColumns({k: F.lit(None).cast("bigint") for k in ("agent_key", "lead_key", "campaign_key", "template_key")}),
         i.loaded,
     )
-    filled = facts.backfill_keys(early, i.events.select("event_source_id", "lead_id"), {"dim_lead": i.leads})
+    filled = facts.backfill_keys(early, events.select("event_source_id", "lead_id"), {"dim_lead": i.leads})
     return filled.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count("lead_key").alias("with_lead"))
 
 

@@ -109,12 +109,18 @@ class Inputs:
         return getattr(self, owner[table])
 
     def resolved(self, *tables: str) -> DataFrame:
-        """Clean events with the keys of the named dimensions; only what a query needs is joined."""
-        return facts.resolve_keys(self.events, {t: self.dimension(t) for t in tables})
+        """Clean events with the keys of the named dimensions; only what a query needs is joined.
+
+        The lookup of leads reads the events twice, so they are stored first, as a batch run does.
+        """
+        events = self.stored("clean_events") if "dim_lead" in tables else self.events
+        return facts.resolve_keys(events, {t: self.dimension(t) for t in tables})
 
     def _build(self, name: str) -> DataFrame:
         if name in facts.DIMENSIONS:
             return self.dimension(name)
+        if name == "clean_events":
+            return self.events
         if name == "fact_outreach_event":
             return facts.as_fact(self.resolved(*facts.DIMENSIONS), F.col("event_timestamp"))
         if name == "fact_daily_agent_activity":

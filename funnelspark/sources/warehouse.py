@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import dims, facts
 from funnelspark.schemas import TABLES, shape, table_schema
+from funnelspark.session import write_stage
 from funnelspark.sources.files import _fs, list_files
 
 LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run"}
@@ -99,29 +100,29 @@ class Warehouse:
         """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action.
 
         The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch
-        are read, and of those only id, status and response time. New rows are appended; just the (bucket, month)
-        parts that hold a row with a new status or response time are rewritten. A crash in between leaves
-        rows a repeated batch recognises, so repeating it converges.
+        are scanned, for id, status and response time, once: a semi-join with the batch's ids (broadcast by Catalyst
+        when they are few) leaves just the rows the batch repeats. New rows are appended; only the
+        (bucket, month) parts that hold a row with a new status or response time are rewritten. A crash in
+        between leaves rows a repeated batch recognises, so repeating it converges.
         """
         table, key = "fact_outreach_event", "event_source_id"
         rows = shape(incoming, table).withColumns({"bucket": event_bucket(self.buckets), "month": month_of()})
         if not self.exists(self.path(table)):
-            inserted = rows.count()
             self._append_events(rows)
-            return {"insert": inserted, "update": 0, "skip": 0}
+            return {"insert": rows.count(), "update": 0, "skip": 0}
         # At most ``buckets`` integers.
         touched = [r[0] for r in rows.select("bucket").distinct().collect()]
-
-        def stored() -> DataFrame:
-            return self.read(table).filter(F.col("bucket").isin(touched))
-
         columns = facts.EVENT_UPDATES
-        known = stored().select(
-            "bucket", key, F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
+        stored = self.read(table).filter(F.col("bucket").isin(touched))
+        known = write_stage(
+            stored.join(rows.select("bucket", key), ["bucket", key], "left_semi").select(
+                "bucket", key, F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
+            ),
+            "known-events",
         )
         differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns])
         action = F.when(F.col("_month").isNull(), "insert").when(differs, "update").otherwise("skip")
-        judged = rows.join(known, ["bucket", key], "left").select("bucket", "_month", action.alias("action"))
+        judged = rows.join(known, ["bucket", key], "left").withColumn("action", action)
         # At most three rows per (bucket, month).
         summary = judged.groupBy("bucket", "_month", "action").count().collect()
         parts = {(r["bucket"], r["_month"]) for r in summary if r["action"] == "update"}
@@ -129,13 +130,15 @@ class Warehouse:
             hit = reduce(lambda a, b: a | b, [
                 (F.col("month") == m) & F.col("bucket").isin([b for b, n in parts if n == m]) for m in {m for _, m in parts}
             ])
-            renewed = rows.select("bucket", key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-            rewritten = stored().filter(hit).join(renewed, ["bucket", key], "left").withColumns({
+            renewed = judged.filter("action = 'update'").select(
+                "bucket", key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in columns]
+            )
+            rewritten = stored.filter(hit).join(renewed, ["bucket", key], "left").withColumns({
                 c: F.when(F.col("_given"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns
             })
             self._overwrite_touched(rewritten.select(*rows.columns), table, ["bucket", "month"])
         if any(r["action"] == "insert" for r in summary):
-            self._append_events(rows.join(stored().select("bucket", key), ["bucket", key], "left_anti").select(*rows.columns))
+            self._append_events(judged.filter("action = 'insert'").select(*rows.columns))
         counts = {"insert": 0, "update": 0, "skip": 0}
         for r in summary:
             counts[r["action"]] += r["count"]
