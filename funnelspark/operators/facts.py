@@ -33,7 +33,7 @@ def resolve_keys(events: DataFrame, tables: dict[str, DataFrame], large: set[str
         natural, surrogate, versioned, big = DIMENSIONS[table]
         big = big if large is None else table in large
         rows = dims.current(dim) if versioned else dim
-        out = lookup(out, rows, natural, surrogate, large=big, spread=F.col("event_source_id"))
+        out = lookup(out, rows, natural, surrogate, large=big, spread=F.col("event_source_id"), keys_of=events)
     return out
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on the heavy keys a lookup treats apart, hence on the rows it broadcasts.
-MAX_HEAVY_KEYS = 1000
+# Upper bound on the heavy keys a lookup treats apart, hence on the rows it broadcasts, and what the sketch tracks
+# to find them: any key with more than 1 / TRACKED of the rows is among them.
+MAX_HEAVY_KEYS = 200
+TRACKED = 2000
+# Sketches of the map tasks are merged in this many groups before they meet in one task.
+SKETCH_GROUPS = 256
 
 
 def keep_first(df: DataFrame, key: Column, order: list[str | Column], keyless: Column | None = None) -> DataFrame:
@@ -25,10 +29,17 @@ def keep_first(df: DataFrame, key: Column, order: list[str | Column], keyless: C
     )
 
 
-def heavy_keys(df: DataFrame, key: str, limit: int = MAX_HEAVY_KEYS) -> DataFrame:
-    """At most ``limit`` of the most frequent keys, from one sketch pass over the key column."""
-    top = F.expr(f"approx_top_k(`{key}`, {limit}, {limit * 10})")
-    return df.filter(F.col(key).isNotNull()).agg(top.alias("t")).select(F.inline("t")).select(F.col("item").alias(key))
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """At most ``MAX_HEAVY_KEYS`` of the most frequent keys, from one sketch pass over the key column.
+
+    A sketch has a fixed size. Merging in two steps bounds what any task receives: its group's share of the map
+    tasks' sketches first, ``SKETCH_GROUPS`` sketches last.
+    """
+    sketches = df.filter(F.col(key).isNotNull()).select(key, (F.spark_partition_id() % SKETCH_GROUPS).alias("_part")).groupBy(
+        "_part"
+    ).agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("s"))
+    top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {MAX_HEAVY_KEYS})").alias("t"))
+    return top.select(F.inline("t")).select(F.col("item").alias(key))
 
 
 def lookup(
@@ -38,6 +49,7 @@ def lookup(
     value: str,
     large: bool = False,
     spread: Column | None = None,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with ``value`` of the ``dim`` row whose unique ``on`` matches; NULL where none does.
 
@@ -50,13 +62,13 @@ def lookup(
     * rows with nothing left to look up (NULL or already served) get keys that match nothing, made from
       ``spread`` (by default the whole row), so they do not pile up in the NULL partition.
 
-    Which keys the sketch calls heavy only moves rows between the two paths; the result is the same. ``df`` is read
-    twice, the first time for its key column only, so it should be a stored table.
+    Which keys the sketch calls heavy only moves rows between the two paths; the result is the same. The sketch reads
+    the key column of ``keys_of`` (by default ``df``) first, so that should be a stored table.
     """
     slim = dim.select(F.col(on), F.col(value))
     if not large:
         return df.join(slim, on, "left")
-    hot = slim.join(F.broadcast(heavy_keys(df, on)), on, "left_semi").select(
+    hot = slim.join(F.broadcast(heavy_keys(df if keys_of is None else keys_of, on)), on, "left_semi").select(
         F.col(on).alias("_hot_on"), F.col(value).alias("_hot"), F.lit(True).alias("_served")
     )
     # A digest, not a random number: a recomputed task sends each row where it went before.

@@ -268,7 +268,7 @@ def chronology_check(i: Inputs) -> DataFrame:
 @query
 def daily_agent_activity(i: Inputs) -> DataFrame:
     """From raw records to the mart in one plan: clean, resolve, aggregate, relate to the tier's cap."""
-    fact = i.resolved("dim_agent")
+    fact = facts.resolve_keys(i.events, {"dim_agent": i.agents})
     names = i.agents.select("agent_key", "agent_id")
     days = marts.with_utilisation(marts.daily_agent_activity(fact), i.agents, i.tiers)
     return rounded(days.join(names, "agent_key").drop("agent_key"))

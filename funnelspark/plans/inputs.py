@@ -111,10 +111,10 @@ class Inputs:
     def resolved(self, *tables: str) -> DataFrame:
         """Clean events with the keys of the named dimensions; only what a query needs is joined.
 
-        The lookup of leads reads the events twice, so they are stored first, as a batch run does.
+        Events and dimensions are stored first, as in a batch run: the lookup of leads reads the events twice, and
+        the stored size of a dimension lets Catalyst decide on a broadcast.
         """
-        events = self.stored("clean_events") if "dim_lead" in tables else self.events
-        return facts.resolve_keys(events, {t: self.dimension(t) for t in tables})
+        return facts.resolve_keys(self.stored("clean_events"), {t: self.stored(t) for t in tables})
 
     def _build(self, name: str) -> DataFrame:
         if name in facts.DIMENSIONS:
