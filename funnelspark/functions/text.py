@@ -65,9 +65,9 @@ def first_filled(*candidates: Column) -> Column:
 
 def event_type_of(c: Column) -> Column:
     """Canonical event type; an unknown spelling stays, upper-cased, for the validity check to find."""
-    text = blank_to_null(strip(c))
+    text = strip(c)
     known = F.create_map(*[F.lit(word) for pair in EVENT_TYPE_ALIASES.items() for word in pair])
-    return F.coalesce(F.try_element_at(known, F.translate(F.lower(text), " -", "__")), F.upper(text))
+    return blank_to_null(F.coalesce(F.try_element_at(known, F.translate(F.lower(text), " -", "__")), F.upper(text)))
 
 
 def is_unknown_type(event_type: Column) -> Column:

@@ -134,17 +134,19 @@ def route(raw: DataFrame, name: str, order: list[str] = POSITION, dedup: bool =
     rows = conform(raw, name, list(order))
     if dedup:
         rows = keep_first(rows, rules.columns[rules.key], list(order))
-    columns = dict(rules.columns)
-    if name == "events":
-        columns["date_key"] = times.date_key(columns["event_timestamp"])
-    typed = F.struct(
-        *[column.alias(alias) for alias, column in columns.items()],
+    fixed = F.struct(
+        *[column.alias(alias) for alias, column in rules.columns.items()],
         F.struct(*_raw(*RAW_FIELDS[name])).alias("_raw"),
         *[F.col(c).alias(f"_o_{c}") for c in order],
     )
-    # inline() of one struct fixes the typed values as columns: a filter on the verdict then reads them, where
-    # Catalyst would otherwise push it below and work the cleaning expressions out a second time.
-    return rows.select(F.inline(F.array(typed))).withColumn("_reject", rules.reject())
+    # inline() of one struct fixes the typed values as columns: whatever reads them afterwards, above all a filter
+    # on the verdict, would otherwise be merged with or pushed below the cleaning and work it out once more.
+    typed = rows.select(F.inline(F.array(fixed)))
+    derived = {"date_key": times.date_key(F.col("event_timestamp"))} if name == "events" else {}
+    return typed.select(
+        *rules.columns, *[c.alias(alias) for alias, c in derived.items()], "_raw", *[f"_o_{c}" for c in order],
+        rules.reject().alias("_reject"),
+    )
 
 
 def clean_rows(routed: DataFrame) -> DataFrame:
