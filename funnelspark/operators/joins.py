@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # to find them: any key with more than 1 / TRACKED of the rows is among them.
 MAX_HEAVY_KEYS = 200
 TRACKED = 2000
-# Sketches of the map tasks are merged in this many groups before they meet in one task.
+# Number of groups the map tasks' sketches are merged in.
 SKETCH_GROUPS = 256
 
 
@@ -32,14 +32,14 @@ def keep_first(df: DataFrame, key: Column, order: list[str | Column], keyless: C
 def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     """At most ``MAX_HEAVY_KEYS`` of the most frequent keys, from one sketch pass over the key column.
 
-    A sketch has a fixed size. Merging in two steps bounds what any task receives: its group's share of the map
-    tasks' sketches first, ``SKETCH_GROUPS`` sketches last.
+    A sketch has a fixed size. Map tasks' sketches merge in ``SKETCH_GROUPS`` groups, so no task receives them all, and
+    each group hands on at most ``MAX_HEAVY_KEYS`` candidates.
     """
-    sketches = df.filter(F.col(key).isNotNull()).select(key, (F.spark_partition_id() % SKETCH_GROUPS).alias("_part")).groupBy(
-        "_part"
-    ).agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("s"))
-    top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {MAX_HEAVY_KEYS})").alias("t"))
-    return top.select(F.inline("t")).select(F.col("item").alias(key))
+    part = (F.spark_partition_id() % SKETCH_GROUPS).alias("_part")
+    top = F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY_KEYS}, {TRACKED})")
+    groups = df.filter(F.col(key).isNotNull()).select(key, part).groupBy("_part").agg(top.alias("t"))
+    candidates = groups.select(F.inline("t")).groupBy(F.col("item").alias(key)).agg(F.sum("count").alias("_n"))
+    return candidates.orderBy(F.desc("_n")).limit(MAX_HEAVY_KEYS).select(key)
 
 
 def lookup(

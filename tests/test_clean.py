@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from funnelspark.operators import clean
-from funnelspark.operators.joins import keep_first, lookup
+from funnelspark.operators.joins import heavy_keys, keep_first, lookup
 
 FIELDS = "pos int, id string, agent_id string, event_type string, timestamp string, response_time_minutes string"
 AT = "2026-08-20 00:00:00"
@@ -71,6 +71,16 @@ def test_large_lookup_equals_plain_join(spark):
     plain = {tuple(r) for r in lookup(facts, dim, "k", "v").select("id", "k", "v").collect()}
     split = lookup(facts, dim, "k", "v", large=True).select("id", "k", "v").collect()
     assert len(split) == 20_000 and {tuple(r) for r in split} == plain
+    assert "k0" in {r.k for r in heavy_keys(facts, "k").collect()}
+
+
+def test_large_lookup_of_nothing(spark):
+    facts = spark.createDataFrame([], "id long, k string")
+    dim = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert lookup(facts, dim, "k", "v", large=True).count() == 0
+    nulls = spark.createDataFrame([(1, None)], "id long, k string")
+    assert lookup(nulls, dim, "k", "v", large=True).select("id", "v").collect() == [(1, None)]
+    assert lookup(nulls, dim.limit(0), "k", "v", large=True).count() == 1
 
 
 def test_table_limits(spark):
