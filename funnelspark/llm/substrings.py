@@ -109,7 +109,7 @@ def _dealt(shard: int, hashes: np.ndarray, ranges: int, **columns: np.ndarray) -
     """Ascending hashes (and what belongs to each) as one row per range of hashes."""
     number = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(number, prepend=-1))
-    ends = np.append(cuts[1:], len(hashes))
+    ends = np.append(cuts, len(hashes))[1:]
     arrays = {"part": pa.array(number[cuts], pa.int64()), "shard": pa.array(np.full(len(cuts), shard), pa.int64())}
     for name, values in {"hashes": hashes, **columns}.items():
         arrays[name] = pa.array([values[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())
@@ -126,7 +126,7 @@ def _by_shard(table: pa.Table, keep: np.ndarray, **columns: np.ndarray) -> pa.Ta
     shards = np.repeat(table.column("shard").to_numpy(), sizes)[keep]
     by = np.argsort(shards, kind="stable")
     names, cuts = np.unique(shards[by], return_index=True)
-    ends = np.append(cuts[1:], len(shards))
+    ends = np.append(cuts, len(shards))[1:]
     arrays = {"shard": pa.array(names, pa.int64())}
     for name, values in columns.items():
         kept = values[keep][by]
