@@ -50,15 +50,16 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def map_rows(
-    df: DataFrame, value: Column, outputs: T.StructType, fn: Callable[[list], Iterable[list]], max_bytes: int = 8 << 20, kind: str = "string",
+    df: DataFrame, value: Column, outputs: T.StructType, fn: Callable[[list], Iterable[list]], max_bytes: int = 8 << 20, each: int = 0,
 ) -> DataFrame:
     """All columns of ``df`` plus ``outputs``, computed by ``fn`` from runs of values.
 
     ``fn`` gets a list of values (bytes, nulls as b"") of at most ``max_bytes`` together, or a single longer one, and
-    returns the output columns as lists. An input column with the name of an output is replaced.
+    returns the output columns as lists. A value counts ``each`` bytes more than it has. An input column with the name of an
+    output is replaced.
     """
     kept = [c for c in df.columns if c.lower() not in {f.name.lower() for f in outputs}]
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row") if kept else F.struct(F.lit(0).alias("_")).alias("row"), value.cast(kind).alias("value"))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row") if kept else F.struct(F.lit(0).alias("_")).alias("row"), value.cast("string").alias("value"))
     schema = T.StructType([packed.schema["row"], *outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +70,7 @@ def map_rows(
 
                 arrow = to_arrow_schema(outputs)
             values = as_bytes(batch.column(1))
-            for low, high in runs([len(v) for v in values], max_bytes):
+            for low, high in runs([len(v) + each for v in values], max_bytes):
                 columns = fn(values[low:high])
                 arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *arrays], names=["row", *arrow.names])

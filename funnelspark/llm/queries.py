@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.llm import bpe, decontaminate, substrings
+from funnelspark.llm import bpe, decontaminate, minhash, substrings
 from funnelspark.llm.common import ship_package, table
 
 
@@ -30,13 +30,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, F.col("doc_id"), F.col("text")).select("doc_id", "class_id", "class_size")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_texts(docs, F.col("text"), tokenizer_path(), ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _shipped(f) for f in (op5_decontaminate, op6_substring_dedup, op8_bpe)}
+    return {f.__name__: _shipped(f) for f in (op5_decontaminate, op6_substring_dedup, op7_near_duplicates, op8_bpe)}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

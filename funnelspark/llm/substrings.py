@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,13 @@ _LAST = np.iinfo(np.int64).max
 _NO_HASHES = np.zeros(0, dtype=np.uint64)
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts are compressed one by one before their only shuffle; a null text is an empty one."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        yield batch.set_column(2, "value", pa.array([pack(v) for v in as_bytes(batch.column(2))], pa.binary()))
+
+
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
     """The longest period that leaves anchors of half a window or more."""
     period = max(v for v in COVERS if window - v + 1 >= (window + 1) // 2)
@@ -44,7 +53,8 @@ class Shard:
 
     def __init__(self, table: pa.Table, window: int):
         self.window = window
-        values = as_bytes(table.column("value").combine_chunks())
+        unpack = zstandard.ZstdDecompressor().decompress
+        values = [unpack(v) for v in table.column("value").to_pylist()]
         self.docs = [v.translate(BLANKS).split() for v in values]
         self.order = np.array([_LAST if x is None else x for x in table.column("doc").to_pylist()], dtype=np.int64)
         ids, self.starts, vocabulary = number_words(self.docs)
@@ -63,7 +73,7 @@ class Shard:
 
     def shared_here(self, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Hashes that stand in two documents of this shard."""
-        by = np.lexsort((self.order[self.doc[at]], hashes))
+        by = np.argsort(hashes)  # of equal hashes, two neighbours differ in document if any two do
         h, d = hashes[by], self.order[self.doc[at[by]]]
         return np.unique(h[1:][(h[1:] == h[:-1]) & (d[1:] != d[:-1])])
 
@@ -96,13 +106,17 @@ def _within(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
 
 def _first_of(keys: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct records, the smallest order of each, and each key's place among them."""
-    by = np.lexsort((order, keys["b"], keys["a"]))
-    k = keys[by]
-    new = np.ones(len(k), dtype=bool)
-    new[1:] = (k["a"][1:] != k["a"][:-1]) | (k["b"][1:] != k["b"][:-1])
-    which = np.empty(len(k), dtype=np.int64)
+    by = np.argsort(keys["a"])
+    a, b = keys["a"][by], keys["b"][by]
+    if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):
+        by = np.lexsort((keys["b"], keys["a"]))
+        a, b = keys["a"][by], keys["b"][by]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    which = np.empty(len(a), dtype=np.int64)
     which[by] = np.cumsum(new) - 1
-    return k[new], order[by][new], which
+    first = np.minimum.reduceat(order[by], np.flatnonzero(new)) if len(a) else order
+    return keys[by[new]], first, which
 
 
 def _dealt(shard: int, hashes: np.ndarray, ranges: int, **columns: np.ndarray) -> pa.Table:
@@ -161,6 +175,7 @@ def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, window: int =
         (F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))).alias("row"),
     )
     row = dealt.schema["row"]
+    dealt = dealt.mapInArrow(_compressed, T.StructType([*dealt.drop("value", "row").schema, T.StructField("value", T.BinaryType()), row]))
 
     def anchors(table: pa.Table) -> pa.Table:
         _, hashes = Shard(table, window).anchors()
@@ -197,12 +212,17 @@ def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, window: int =
             _, first, which = _first_of(shard.windows(at), shard.order[shard.doc[at]])
             gone.append(at[first[which] < shard.order[shard.doc[at]]])
         if len(flagged):
-            seen = np.sort(_loaded(flagged.column("hashes"), "<u8"))
+            a, b = _loaded(flagged.column("hashes"), "<u8"), _loaded(flagged.column("more"), "<u8")
+            by = np.lexsort((b, a))
+            a, b = a[by], b[by]
             wide = np.flatnonzero(shard.left >= window)
-            wide = wide[_within(window_hashes(shard.hashed[0], window)[wide], seen)]
-            pairs = set(zip(_loaded(flagged.column("hashes"), "<u8").tolist(), _loaded(flagged.column("more"), "<u8").tolist(), strict=True))
+            wide = wide[_within(window_hashes(shard.hashed[0], window)[wide], a)]
             found = shard.windows(wide)
-            gone.append(wide[[p in pairs for p in zip(found["a"].tolist(), found["b"].tolist(), strict=True)]])
+            low, high = np.searchsorted(a, found["a"], "left"), np.searchsorted(a, found["a"], "right")
+            same = np.zeros(len(wide), dtype=bool)
+            for step in range(int((high - low).max(initial=0))):
+                same |= (low + step < high) & (b[np.minimum(low + step, len(b) - 1)] == found["b"])
+            gone.append(wide[same])
         mark = np.zeros(len(shard.place) + 1, dtype=np.int64)
         for starts in gone:
             np.add.at(mark, starts, 1)
