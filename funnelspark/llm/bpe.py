@@ -168,8 +168,8 @@ def encoder(definition: str) -> PrefixEncoder:
     return _ENCODERS[key]
 
 
-def encode_texts(df: DataFrame, text: Column, path: str, ids: bool = True) -> DataFrame:
-    """``df`` with n_tokens, ids (if asked for), ids_sha256, decoded and decoded_sha256 of each whole text.
+def encode_texts(df: DataFrame, text: Column, path: str, ids: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """``df`` (all columns or those to ``keep``) with n_tokens, ids (if asked for), ids_sha256, decoded and decoded_sha256 of each whole text.
 
     ``path`` names a byte-level BPE file of the tokenizers format (a few MB, read by the driver). A null text counts as empty and has no
     ids. Rows, repeated ones included, are encoded each on its own, in order of nothing; an input column of an output's name is
@@ -187,4 +187,4 @@ def encode_texts(df: DataFrame, text: Column, path: str, ids: bool = True) -> Da
         out = [[len(p) // 4 for p in packed], [sha(p) for p in packed], [sha(coder.decode(p).encode()) for p in packed]]
         return [*out, packed] if ids else out
 
-    return map_rows(df, F.coalesce(text, F.lit("")), T.StructType(fields), run)
+    return map_rows(df, F.coalesce(text, F.lit("")), T.StructType(fields), run, keep=keep)

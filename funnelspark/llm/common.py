@@ -51,14 +51,15 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 def map_rows(
     df: DataFrame, value: Column, outputs: T.StructType, fn: Callable[[list], Iterable[list]], max_bytes: int = 8 << 20, each: int = 0,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``df`` plus ``outputs``, computed by ``fn`` from runs of values.
+    """All columns of ``df`` (or those to ``keep``) plus ``outputs``, computed by ``fn`` from runs of values.
 
     ``fn`` gets a list of values (bytes, nulls as b"") of at most ``max_bytes`` together, or a single longer one, and
     returns the output columns as lists. A value counts ``each`` bytes more than it has. An input column with the name of an
     output is replaced.
     """
-    kept = [c for c in df.columns if c.lower() not in {f.name.lower() for f in outputs}]
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in {f.name.lower() for f in outputs}]
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row") if kept else F.struct(F.lit(0).alias("_")).alias("row"), value.cast("string").alias("value"))
     schema = T.StructType([packed.schema["row"], *outputs])
 

@@ -122,8 +122,8 @@ def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
     ]
 
 
-def find_benchmark(docs: DataFrame, text: Column, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated, items and merged removal spans.
+def find_benchmark(docs: DataFrame, text: Column, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (all columns or those to ``keep``) with n_words, n_hit, n_items, items_sha256, contaminated, items and merged removal spans.
 
     A window is ``window`` consecutive words of an item (a shorter item with words is one window). Documents are read as they lie, in
     shards of whole documents; nothing is shuffled. Items are staged in the shared folder and searched in
@@ -137,7 +137,7 @@ def find_benchmark(docs: DataFrame, text: Column, benchmark: DataFrame, item_id:
         F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("null")).alias("item"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("text"),
     ).write.parquet(folder)
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return map_rows(docs, text, FOUND, lambda values: _search(values, folder, window), SHARD_BYTES)
+    return map_rows(docs, text, FOUND, lambda values: _search(values, folder, window), SHARD_BYTES, keep=keep)
 
 
 def cut_spans(text: Column, spans: Column) -> Column:

@@ -138,6 +138,34 @@ def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((p == q).mean(axis=1))], names=["a", "b", "agreement"])
 
 
+def _split_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their class, and the buckets that hold several classes with the largest of them."""
+    labelled = write_stage(members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    parts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.max_by("label", F.struct("n", "label")).alias("main"))
+    return labelled, main.where("classes > 1").select("band", "main")
+
+
+def _shared_cells(texts: DataFrame, length: int) -> DataFrame:
+    """node, n_cells, and how many of its cells stand in another of these texts.
+
+    Two texts of similarity s share s / (1 + s) of their cells together, and each shares at most these: an exact bound.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            values = batch.column("text").to_pylist()
+            for low, high in runs([4 * len(v) for v in values], 8 << 20):
+                cell, starts = cells([unpack(v) for v in values[low:high]], length)
+                node = np.repeat(batch.column("node").to_numpy()[low:high], np.diff(starts))
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(cell.view(np.int64))], names=["node", "cell"])
+
+    each = texts.mapInArrow(listed, "node long, cell long")
+    common = each.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell", F.lit(1).alias("common"))
+    return each.join(common, "cell", "left").groupBy("node").agg(F.count(F.lit(1)).alias("n_cells"), F.count("common").alias("shared"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: Column, text: Column, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
@@ -150,13 +178,14 @@ def near_duplicates(
     row of a class has an id). Repeated rows each count. Other columns of ``docs`` are not used.
 
     Work: equal texts are not paired. In a bucket every member is compared with one centre, and with the best centre of all its
-    buckets on whole texts. Then, in buckets that still hold several classes, every member outside the largest class is compared with
-    all members of other classes. So every pair of a bucket ends up in one class or was compared, without all pairs of a
-    large bucket of copies.
+    buckets on whole texts; then, in buckets that still hold several classes, members outside the largest class with its hub, as long as
+    classes grow, and at last with all members of other classes. So every pair of a bucket ends up in one class or was compared, without all pairs of a
+    large bucket of copies. A pair is skipped without a comparison only if its signatures agree too little (LIKELY), or if
+    either text shares too few shingles with all others together (an exact bound).
     """
     keyed = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), F.xxhash64(text).alias("node"))
     signed = write_stage(
-        map_rows(keyed, F.col("text"), _SIGNED, lambda v: _sign(v, shingle, bands, rows), each=3000)
+        map_rows(keyed, F.col("text"), _SIGNED, lambda v: _sign(v, shingle, bands, rows), each=3000, keep=["doc_id", "node"])
         .select("doc_id", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"), "bands", "signature"),
         "signatures",
     )
@@ -190,17 +219,34 @@ def near_duplicates(
     first = verified(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "compared")
     links = first.where(F.col("similarity") >= similarity)
 
-    labels = components(links)
-    labelled = write_stage(members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    parts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed_bands = parts.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.max_by("label", F.struct("n", "label")).alias("main")).where("classes > 1")
-    left = labelled.join(mixed_bands.select("band", "main"), "band").where("label <> main").select("band", F.col("node").alias("a"), F.col("label").alias("of_a"), "main")
-    right = labelled.select("band", F.col("node").alias("b"), F.col("label").alias("of_b"))
-    across = left.join(right, "band").where("of_a <> of_b and (of_b = main or a < b)").select("a", "b")
-    across = likely(across).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = verified(across, "compared-across").where(F.col("similarity") >= similarity)
-    # The first labels stand for the first links: a node and its label are connected.
-    labels = components(labels.toDF("a", "b").union(second.select("a", "b")))
+    # Members of other classes against the hub of their bucket's largest class, until no class grows.
+    compared = first.select("a", "b")
+    while True:
+        labels = components(links)
+        labelled, split = _split_buckets(members, labels)
+        ends = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").join(labels, "node")
+        hubs = ends.groupBy("label", "node").count().groupBy("label").agg(F.max_by("node", F.struct("count", "node")).alias("hub"))
+        outside = labelled.join(split, "band").where("label <> main").select("node", "main").distinct()
+        tries = outside.join(hubs.withColumnRenamed("label", "main"), "main", "left").select(F.col("node").alias("a"), F.coalesce("hub", "main").alias("b"))
+        tried = verified(likely(tries).join(compared, ["a", "b"], "left_anti"), "compared-hubs")
+        compared = compared.union(tried.select("a", "b"))
+        found = tried.where(F.col("similarity") >= similarity)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+
+    # What is left: pairs of one bucket in different classes, if enough of both is shared with any other text.
+    suspects = labelled.join(split, "band").select("node").distinct()
+    shared = write_stage(_shared_cells(texts.join(suspects, "node", "left_semi"), shingle), "shared-cells")
+    some = shared.where(F.col("shared") >= similarity * F.col("n_cells"))
+    left = labelled.join(split, "band").where("label <> main").join(some, "node")
+    left = left.select("band", "main", F.col("node").alias("a"), F.col("label").alias("of_a"), F.col("n_cells").alias("n_a"), F.col("shared").alias("s_a"))
+    right = labelled.join(some, "node").select("band", F.col("node").alias("b"), F.col("label").alias("of_b"), F.col("n_cells").alias("n_b"), F.col("shared").alias("s_b"))
+    enough = similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    across = left.join(right, (left.band == right.band) & F.expr("of_a <> of_b and (of_b = main or a < b)") & (F.least("s_a", "s_b", "n_a", "n_b") >= enough))
+    across = likely(across.select("a", "b")).join(compared, ["a", "b"], "left_anti")
+    last = verified(across, "compared-across").where(F.col("similarity") >= similarity)
+    labels = components(links.union(last))
 
     member = signed.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
     member = write_stage(member, "members")

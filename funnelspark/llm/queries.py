@@ -20,13 +20,13 @@ def tokenizer_path() -> str:
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.find_benchmark(docs, F.col("text"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_benchmark(docs, F.col("text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    made = substrings.remove_repeats(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text"), texts=False)
+    made = substrings.remove_repeats(docs.select("doc_id", "text"), F.col("doc_id"), F.col("text"), texts=False, keep=["doc_id"])
     return made.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
@@ -37,7 +37,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode_texts(docs, F.col("text"), tokenizer_path(), ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_texts(docs, F.col("text"), tokenizer_path(), ids=False, keep=["doc_id"]).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

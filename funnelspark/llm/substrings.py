@@ -154,8 +154,8 @@ def _by_shard(table: pa.Table, keep: np.ndarray, **columns: np.ndarray) -> pa.Ta
     return pa.table(arrays)
 
 
-def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, window: int = WINDOW, texts: bool = True) -> DataFrame:
-    """``docs`` with n_words, n_removed, kept_sha256 and (if asked for) kept_text.
+def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, window: int = WINDOW, texts: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (all columns or those to ``keep``) with n_words, n_removed, kept_sha256 and (if asked for) kept_text.
 
     A word goes if a window of ``window`` words that covers it also starts in a document with a smaller ``doc_id`` (an integer). Windows are
     judged on the input. Null ids rank after all others; rows of one id are one document to each other, so they never remove
@@ -165,7 +165,7 @@ def remove_repeats(docs: DataFrame, doc_id: Column, text: Column, window: int =
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     fields += [T.StructField("kept_text", T.StringType())] if texts else []
     outputs = {f.name for f in fields}
-    kept = [c for c in docs.columns if c.lower() not in outputs]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outputs]
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     shards = max(1, math.ceil((size.bytes + 100 * size.rows) / SHARD_BYTES))
     ranges = max(1, math.ceil(size.bytes / 12 / RANGE_HASHES))
