@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,10 +146,11 @@ def _split_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, Da
     return labelled, main.where("classes > 1").select("band", "main")
 
 
-def _shared_cells(texts: DataFrame, length: int) -> DataFrame:
-    """node, n_cells, and how many of its cells stand in another of these texts.
+def _prefixes(texts: DataFrame, length: int, similarity: float) -> DataFrame:
+    """node, n_cells, n_common (of them in other texts), cell and place of the rarest cells of each text, as far as a similar text must share one of them.
 
-    Two texts of similarity s share s / (1 + s) of their cells together, and each shares at most these: an exact bound.
+    With cells ordered from rare to frequent, two texts of m and n cells that share c of them share one among the first m - c + 1 of the one
+    and n - c + 1 of the other. Cells of one text only are counted in the places but not returned.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +159,28 @@ def _shared_cells(texts: DataFrame, length: int) -> DataFrame:
             values = batch.column("text").to_pylist()
             for low, high in runs([4 * len(v) for v in values], 8 << 20):
                 cell, starts = cells([unpack(v) for v in values[low:high]], length)
-                node = np.repeat(batch.column("node").to_numpy()[low:high], np.diff(starts))
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(cell.view(np.int64))], names=["node", "cell"])
-
-    each = texts.mapInArrow(listed, "node long, cell long")
-    common = each.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell", F.lit(1).alias("common"))
-    return each.join(common, "cell", "left").groupBy("node").agg(F.count(F.lit(1)).alias("n_cells"), F.count("common").alias("shared"))
+                sizes = np.diff(starts)
+                node = np.repeat(batch.column("node").to_numpy()[low:high], sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.repeat(sizes, sizes)), pa.array(cell.view(np.int64))], names=["node", "n_cells", "cell"])
+
+    each = texts.mapInArrow(listed, "node long, n_cells long, cell long")
+    common = each.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = Window.partitionBy("node")
+    placed = each.join(common, "cell").withColumn("n_common", F.count(F.lit(1)).over(own))
+    placed = placed.withColumn("place", F.col("n_cells") - F.col("n_common") + F.row_number().over(own.orderBy("n", "cell")))
+    return placed.where(F.col("place") <= F.col("n_cells") - F.ceil(similarity * F.col("n_cells") - 1e-6) + 1).select("node", "n_cells", "n_common", "cell", "place")
+
+
+def _across(of: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
+    """Pairs in different classes that share a shingle early enough in both orders. Of two classes the smaller one looks."""
+    left = of.select("cell", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "size", "n_cells", "place")])
+    right = others.select("cell", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "n_cells", "place")])
+    together = F.ceil(similarity / (1 + similarity) * (F.col("n_cells_a") + F.col("n_cells_b")) - 1e-6)
+    met = left.join(right, "cell").where(
+        F.expr("size_a < size_b or (size_a = size_b and label_a < label_b)")
+        & (F.col("place_a") <= F.col("n_cells_a") - together + 1) & (F.col("place_b") <= F.col("n_cells_b") - together + 1)
+    )
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -178,10 +195,9 @@ def near_duplicates(
     row of a class has an id). Repeated rows each count. Other columns of ``docs`` are not used.
 
     Work: equal texts are not paired. In a bucket every member is compared with one centre, and with the best centre of all its
-    buckets on whole texts; then, in buckets that still hold several classes, members outside the largest class with its hub, as long as
-    classes grow, and at last with all members of other classes. So every pair of a bucket ends up in one class or was compared, without all pairs of a
-    large bucket of copies. A pair is skipped without a comparison only if its signatures agree too little (LIKELY), or if
-    either text shares too few shingles with all others together (an exact bound).
+    buckets on whole texts; then, in buckets that still hold several classes, members outside the largest class with its hub, as
+    long as classes grow, and at last with all members of other classes that share one of their rarest shingles. So every pair of a bucket ends up in one class or was compared, without all pairs of a
+    large bucket of copies. A centre or hub is skipped only if the signatures agree too little (LIKELY); the last step is exact.
     """
     keyed = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), F.xxhash64(text).alias("node"))
     signed = write_stage(
@@ -220,8 +236,8 @@ def near_duplicates(
     links = first.where(F.col("similarity") >= similarity)
 
     # Members of other classes against the hub of their bucket's largest class, until no class grows.
-    compared = first.select("a", "b")
-    while True:
+    compared, some = first.select("a", "b"), True
+    while some:
         labels = components(links)
         labelled, split = _split_buckets(members, labels)
         ends = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").join(labels, "node")
@@ -231,22 +247,29 @@ def near_duplicates(
         tried = verified(likely(tries).join(compared, ["a", "b"], "left_anti"), "compared-hubs")
         compared = compared.union(tried.select("a", "b"))
         found = tried.where(F.col("similarity") >= similarity)
-        if found.isEmpty():
-            break
+        some = not found.isEmpty()
         links = links.union(found)
 
-    # What is left: pairs of one bucket in different classes, if enough of both is shared with any other text.
+    # What is left: pairs in different classes among all members of such buckets, found by the rarest shingles that they must share.
+    # First one member of each class for each shingle, until no class grows; then every pair.
     suspects = labelled.join(split, "band").select("node").distinct()
-    shared = write_stage(_shared_cells(texts.join(suspects, "node", "left_semi"), shingle), "shared-cells")
-    some = shared.where(F.col("shared") >= similarity * F.col("n_cells"))
-    left = labelled.join(split, "band").where("label <> main").join(some, "node")
-    left = left.select("band", "main", F.col("node").alias("a"), F.col("label").alias("of_a"), F.col("n_cells").alias("n_a"), F.col("shared").alias("s_a"))
-    right = labelled.join(some, "node").select("band", F.col("node").alias("b"), F.col("label").alias("of_b"), F.col("n_cells").alias("n_b"), F.col("shared").alias("s_b"))
-    enough = similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    across = left.join(right, (left.band == right.band) & F.expr("of_a <> of_b and (of_b = main or a < b)") & (F.least("s_a", "s_b", "n_a", "n_b") >= enough))
-    across = likely(across.select("a", "b")).join(compared, ["a", "b"], "left_anti")
-    last = verified(across, "compared-across").where(F.col("similarity") >= similarity)
-    labels = components(links.union(last))
+    rare = write_stage(_prefixes(texts.join(suspects, "node", "left_semi"), shingle, similarity), "prefixes")
+    every = False
+    while True:
+        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+        of = rare.join(labels.join(sizes, "label"), "node", "left").withColumns({"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
+        others = of if every else of.groupBy("cell", "label", "size").agg(F.max_by(F.struct("node", "n_cells", "place"), F.struct(F.col("n_common") / F.col("n_cells"), "node")).alias("one")).select("cell", "label", "size", "one.*")
+        tries = _across(of, others, similarity).join(compared, ["a", "b"], "left_anti")
+        tried = verified(tries, "compared-rare")
+        compared = compared.union(tried.select("a", "b"))
+        found = tried.where(F.col("similarity") >= similarity)
+        some = not found.isEmpty()
+        if some:
+            links = links.union(found)
+            labels = components(links)
+        if every:
+            break
+        every = not some
 
     member = signed.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
     member = write_stage(member, "members")
