@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -26,21 +27,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def chi_square_quantile(p: float, df: int) -> float:
-    """Quantile of the chi-square distribution for a small whole number of degrees of freedom, by bisection."""
-    import math
+def chi_square_below(x: float, df: int) -> float:
+    """Probability that a chi-square variable with a small whole number of degrees of freedom is below ``x``."""
+    total = math.erf(math.sqrt(x / 2)) if df % 2 else 1 - math.exp(-x / 2)
+    # Recurrence of the regularised gamma function from df = 1 or 2 upwards.
+    for k in range(1 if df % 2 else 2, df, 2):
+        total -= math.exp(k / 2 * math.log(x / 2) - x / 2 - math.lgamma(k / 2 + 1))
+    return total
 
-    def below(x: float) -> float:
-        # Recurrence of the regularised gamma function from df = 1 or 2 upwards.
-        total = math.erf(math.sqrt(x / 2)) if df % 2 else 1 - math.exp(-x / 2)
-        for k in range(1 if df % 2 else 2, df, 2):
-            total -= math.exp(k / 2 * math.log(x / 2) - x / 2 - math.lgamma(k / 2 + 1))
-        return total
 
+def chi_square_quantile(p: float, df: int) -> float:
+    """Quantile of that distribution, by bisection."""
     low, high = 1e-9, 1e4
     for _ in range(200):
         mid = (low + high) / 2
-        low, high = (mid, high) if below(mid) < p else (low, mid)
+        low, high = (mid, high) if chi_square_below(mid, df) < p else (low, mid)
     return low
 
 

@@ -2,6 +2,41 @@
 
 from __future__ import annotations
 
+from funnelspark.llm import urls
+
+_LOWERED = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _holds(term: str) -> str:
+    return f"regexp_matches(low, '(^|[^a-z0-9]){term}($|[^a-z0-9])')"
+
+
+def _url_filter() -> str:
+    def fits(rule: str) -> str:
+        host, _, rest = rule.partition("/")
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{rest}')"
+
+    rules = ["example.org/en/1", "example.org/es/", "com/fr/", "com/de/", "org/"]
+    cases = " ".join(f"WHEN {fits(r)} THEN '{r}'" for r in rules)
+    strict = " OR ".join(map(_holds, urls.STRICT))
+    count = " + ".join(f"{_holds(t)}::INT" for t in urls.SOFT)
+    weight = " + ".join(f"{_holds(t)}::INT * {w}" for t, w in urls.SOFT.items())
+    return f"""
+        WITH cut AS (
+            SELECT page_id, {_LOWERED} AS low,
+                translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ), ruled AS (SELECT *, CASE {cases} END AS rule FROM cut)
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN {strict} THEN 'block'
+            WHEN {count} >= 2 AND {weight} >= 2 THEN 'block'
+            ELSE 'allow' END AS verdict
+        FROM ruled
+    """
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": _url_filter()}

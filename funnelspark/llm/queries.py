@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.llm import bpe, decontaminate, minhash, substrings
+from funnelspark.llm import bpe, decontaminate, licenses, minhash, quality, sanitize, substrings, toxicity, urls, warc
 from funnelspark.llm.common import ship_package, table
 
 
@@ -18,6 +18,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge_urls(pages, F.col("url"), keep=["page_id"]).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge(docs, F.col("text"), ["lang", "source"], keep=["doc_id"])
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "distance")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), F.col("page_id"), F.col("url"), F.col("html"))
+    return warc.read_records(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, F.col("doc_id"), F.col("text")).drop("spans")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, F.col("text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -40,8 +61,26 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, F.col("text"), tokenizer_path(), ids=False, keep=["doc_id"]).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = sanitize.find_personal(docs, F.col("text"), keep=["doc_id"])
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in sanitize.KINDS], F.sha2(sanitize.written(F.col("found"), base_only=True), 256).alias("base_sha256"),
+        sanitize.written(F.col("found")).alias("spans"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    training = docs.where(~F.coalesce(held_out, F.lit(False))).join(labels, "doc_id")
+    scored = toxicity.score_texts(docs, F.col("text"), toxicity.fit(training, F.col("text"), F.col("label")), keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _shipped(f) for f in (op5_decontaminate, op6_substring_dedup, op7_near_duplicates, op8_bpe)}
+    return {f.__name__: _shipped(f) for f in (op1_url_filter, op2_quality, op3_warc, op4_licenses, op5_decontaminate, op6_substring_dedup, op7_near_duplicates, op8_bpe, op9_personal_data, op10_toxicity)}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
