@@ -151,7 +151,3 @@ def cut_spans(text: Column, spans: Column) -> Column:
     )
     return F.when(F.size(spans) > 0, let(spans, lambda s: let(text, lambda t: F.array_join(gaps(s, t), "")))).otherwise(text)
 
-
-def without_spans(found: DataFrame, columns: list[str]) -> DataFrame:
-    """The documents of a ``doc`` struct column with the found spans cut out of ``doc.text``."""
-    return found.select(*[(cut_spans(F.col("doc.text"), F.col("spans")) if c == "text" else F.col("doc").getField(c)).alias(c) for c in columns])

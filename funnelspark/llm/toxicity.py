@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier over character n-grams whose features are scaled by naive Bayes log-count ratios.
 
 A text is the set of its hashed n-grams. The ratio of an n-gram is the log of its smoothed share among texts of label 1 over that among texts of
-label 0, counted over all labelled training texts. Logistic regression on the scaled features is fitted on a bounded balanced sample.
+label 0, counted over all labelled training texts. Logistic regression on the scaled features is fitted on a bounded sample.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 from funnelspark.llm.common import as_bytes, map_rows
 
 LENGTHS, BITS = (3, 4, 5), 18
-#: Bound of the sample the classifier is fitted on, for each label; ratios are counted over all training texts.
-SAMPLE_PER_LABEL = 3000
-SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 1e-4, 150, 0.05
+#: Bound of the sample the classifier is fitted on: texts of label 1, and as many times that of label 0. Ratios are counted over all training texts.
+SAMPLE, ZEROS_PER_ONE = 2000, 2
+SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 30.0, 120, 0.05
 
 SCORE = T.StructType([T.StructField("score", T.DoubleType())])
 
@@ -48,15 +48,14 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[1, some]), pa.array(held[0, some])], names=["feature", "ones", "zeros"])
 
 
-def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE_PER_LABEL) -> tuple[np.ndarray, float]:
+def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weights per hashed n-gram (ratios included) and the intercept.
 
     Rows with a label other than 0 or 1 are not used. Counts come from all rows; they reach the driver as at most 2^18 rows. The fit takes at most ``sample`` texts
-    of each label, those of the smallest hashes, and as many of one label as of the other. Without texts of both labels all weights are 0.
+    of label 1 and ZEROS_PER_ONE times as many of label 0 as of label 1, those of the smallest hashes. Without texts of both labels all weights are 0.
     """
     rows = training.select(label.cast("int").alias("label"), F.coalesce(text.cast("string"), F.lit("")).alias("text")).where("label in (0, 1)")
     counted = rows.mapInArrow(_counts, "feature long, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()
-    ratio = np.zeros(1 << BITS)
     ones, zeros = np.full(1 << BITS, SMOOTHING), np.full(1 << BITS, SMOOTHING)
     at = counted.column("feature").to_numpy()
     ones[at] += counted.column("ones").to_numpy()
@@ -64,26 +63,30 @@ def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE_P
     ratio = np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
 
     texts: list[list[np.ndarray]] = []
-    for value in (1, 0):
-        chosen = rows.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text").limit(sample).select("text").toArrow()
+    for value, most in ((1, sample), (0, ZEROS_PER_ONE * sample)):
+        chosen = rows.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text").limit(most).select("text").toArrow()
         texts.append([features(t) for t in as_bytes(chosen.column("text").combine_chunks())])
-    least = min(map(len, texts))
-    if not least:
+    ones_, zeros_ = texts[0], texts[1][: ZEROS_PER_ONE * len(texts[0])]
+    if not ones_ or not zeros_:
         return np.zeros(1 << BITS), 0.0
-    docs = texts[0][:least] + texts[1][:least]
-    target = np.repeat([1.0, 0.0], least)
+    docs, target = ones_ + zeros_, np.repeat([1.0, 0.0], [len(ones_), len(zeros_)])
     return _logistic(docs, target, ratio)
 
 
 def _scale(n: np.ndarray) -> np.ndarray:
-    return 1 / np.sqrt(np.maximum(n, 1))
+    """Long texts count less, but not so little that one passage drowns."""
+    return np.maximum(n, 1) ** -0.25
 
 
 def _logistic(docs: list[np.ndarray], target: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Adam on the mean logistic loss with a squared penalty; features are ratios over the root of the text's number of n-grams."""
+    """Adam on the mean logistic loss with a squared penalty; features are ratios, scaled by the text's number of n-grams."""
     sizes = np.array([len(d) for d in docs])
-    column, row = np.concatenate(docs).astype(np.int64), np.repeat(np.arange(len(docs)), sizes)
-    used, column = np.unique(column, return_inverse=True)
+    every, row = np.concatenate(docs), np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
+    place = np.zeros(len(ratio), dtype=np.int32)
+    place[every] = 1
+    used = np.flatnonzero(place)
+    place[used] = np.arange(len(used))
+    column = place[every]
     value = (ratio[used][column] * _scale(sizes)[row]).astype(np.float32)
     weight, bias = np.ones(len(used)), 0.0
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
@@ -111,7 +114,7 @@ def score_texts(docs: DataFrame, text: Column, model: tuple[np.ndarray, float],
         scores = []
         for v in values:
             found = features(v)
-            z = float(weights[found].sum(dtype=np.float64)) / max(1.0, len(found)) ** 0.5 + bias
+            z = float(weights[found].sum(dtype=np.float64)) * max(1.0, len(found)) ** -0.25 + bias
             scores.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
         return [scores]
 
