@@ -21,8 +21,6 @@ TERM = "term"
 CONTEXT = 60
 #: Share of an entity's information that a term may disclose, and the distinct contexts that a judgement needs.
 DISCLOSED, SUPPORT = 0.8, 3
-#: Candidate terms that are broadcast to count them in the corpus (about 60 bytes each); more are joined by shuffle.
-MAX_BROADCAST_TERMS = 100_000
 
 # The patterns, with possessive repetition and anchors that spare attempts within a run: linear time, the same matches.
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -117,39 +115,34 @@ def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, suppo
     """``docs`` (all columns or those to ``keep``) with n_email, n_ip, n_card, n_phone and found, all spans as array of (start, kind, stop).
 
     Kinds are numbered as in KINDS, ``len(KINDS)`` is a term; starts and stops count code points. A term is judged beside the entity it discloses.
-    Document frequencies and contexts count distinct texts and contexts, so copies are no evidence. Null and empty texts
-    have no spans. Rows are told apart by the text's 64-bit hash: equal texts have equal spans. An input column of
-    an output's name is replaced.
+    Frequencies count documents; the evidence counts distinct contexts, so copies alone are none. Null and empty texts have no spans.
+    Repeated rows each have their spans. An input column of an output's name is replaced.
     """
     outputs = ["found", *[f"n_{k}" for k in KINDS]]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outputs]
-    whole = docs.select(
-        (F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))).alias("row"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(text).alias("key"),
-    )
-    rows = whole.select("row", "key", let(F.col("text"), lambda t: let(base_spans(t), lambda s: F.struct(s.alias("spans"), _contexts(t, s).alias("contexts")))).alias("x"))
-    rows = write_stage(rows.select("row", "key", "x.spans", "x.contexts"), "personal")
-
-    seen = rows.select("key", F.explode("contexts").alias("c")).select("key", "c.*")
-    entities = seen.groupBy("entity").agg(F.count_distinct("key").alias("df_entity"))
-    beside = seen.select("key", "entity", "context", F.explode("terms").alias("t")).select("key", "entity", "context", "t.*")
-    pairs = beside.groupBy("term", "entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("key").alias("together")).where(F.col("contexts") >= support)
+    whole = docs.select((F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = whole.select("row", let(F.col("text"), lambda t: let(base_spans(t), lambda s: F.struct(s.alias("spans"), _contexts(t, s).alias("contexts")))).alias("x"))
+    rows = write_stage(rows.select("row", F.monotonically_increasing_id().alias("number"), "x.spans", "x.contexts"), "personal")
+
+    seen = rows.select("number", F.explode("contexts").alias("c")).select("number", "c.*")
+    entities = seen.groupBy("entity").agg(F.count_distinct("number").alias("df_entity"))
+    beside = seen.select("number", "entity", "context", F.explode("terms").alias("t")).select("number", "entity", "context", "t.*")
+    pairs = beside.groupBy("term", "entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("number").alias("together")).where(F.col("contexts") >= support)
     pairs = write_stage(pairs, "beside")
-    terms = write_stage(pairs.select("term").distinct(), "terms")
-    if terms.isEmpty():
+    if pairs.isEmpty():
         found = rows.select("row", "spans", F.lit(None).cast("array<struct<start:int,kind:int,stop:int>>").alias("more"))
     else:
-        known = F.broadcast(terms) if terms.count() <= MAX_BROADCAST_TERMS else terms
-        listed = whole.select("key", F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))).alias("term"))
-        frequency = listed.join(known, "term").groupBy("term").agg(F.count_distinct("key").alias("df_term"))
-        total = whole.agg(F.count_distinct("key").alias("n")).first().n
+        words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))
+        frequency = whole.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+        total = rows.count()
         judged = pairs.join(frequency, "term").join(entities, "entity")
         # Texts that hold the pair are a part of those that hold the term.
         disclosed = 1 - F.log(F.greatest(F.col("df_term"), F.col("together")) / F.col("together")) / F.greatest(F.log(F.lit(float(total)) / F.col("df_entity")), F.lit(1e-9))
         judged = write_stage(judged.where(disclosed >= share).select("term", "entity"), "disclosing")
-        spans = beside.join(judged, ["term", "entity"]).groupBy("key").agg(
+        spans = beside.join(judged, ["term", "entity"]).groupBy("number").agg(
             F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "stop")).alias("more"),
         )
-        found = rows.join(spans, "key", "left")
+        found = rows.join(spans, "number", "left")
     plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return found.select(
