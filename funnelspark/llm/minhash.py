@@ -138,12 +138,11 @@ def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((p == q).mean(axis=1))], names=["a", "b", "agreement"])
 
 
-def _split_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their class, and the buckets that hold several classes with the largest of them."""
-    labelled = write_stage(members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    parts = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.max_by("label", F.struct("n", "label")).alias("main"))
-    return labelled, main.where("classes > 1").select("band", "main")
+def _in_split_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several classes."""
+    labelled = members.select("band", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = labelled.groupBy("band").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("band")
+    return members.select("band", "node").join(split, "band", "left_semi").select("node").distinct()
 
 
 def _prefixes(texts: DataFrame, length: int, similarity: float) -> DataFrame:
@@ -172,7 +171,7 @@ def _prefixes(texts: DataFrame, length: int, similarity: float) -> DataFrame:
 
 
 def _across(of: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
-    """Pairs in different classes that share a shingle early enough in both orders. Of two classes the smaller one looks."""
+    """Pairs in different classes and how many shingles they share early enough in both orders. Of two classes the smaller one looks."""
     left = of.select("cell", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "size", "n_cells", "place")])
     right = others.select("cell", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "size", "n_cells", "place")])
     together = F.ceil(similarity / (1 + similarity) * (F.col("n_cells_a") + F.col("n_cells_b")) - 1e-6)
@@ -180,7 +179,7 @@ def _across(of: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
         F.expr("size_a < size_b or (size_a = size_b and label_a < label_b)")
         & (F.col("place_a") <= F.col("n_cells_a") - together + 1) & (F.col("place_b") <= F.col("n_cells_b") - together + 1)
     )
-    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    return met.groupBy("node_a", "label_b", "node_b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def near_duplicates(
@@ -194,10 +193,11 @@ def near_duplicates(
     and class_id their own doc_id. Equal texts are one node from the start. Null ids rank after all others (class_id is null where no
     row of a class has an id). Repeated rows each count. Other columns of ``docs`` are not used.
 
-    Work: equal texts are not paired. In a bucket every member is compared with one centre, and with the best centre of all its
-    buckets on whole texts; then, in buckets that still hold several classes, members outside the largest class with its hub, as
-    long as classes grow, and at last with all members of other classes that share one of their rarest shingles. So every pair of a bucket ends up in one class or was compared, without all pairs of a
-    large bucket of copies. A centre or hub is skipped only if the signatures agree too little (LIKELY); the last step is exact.
+    Work: equal texts are not paired. In a bucket every member is compared with one centre by signature, and with the best centre of all its
+    buckets on whole texts. Then members of buckets that still hold several classes are compared across classes, if they share one of their
+    rarest shingles, as all similar pairs do. So every pair of a bucket ends up in one class or is compared or proven unlike,
+    without all pairs of a large bucket of copies. A centre is skipped only if the signatures agree too little (LIKELY); the
+    last step is exact.
     """
     keyed = docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), F.xxhash64(text).alias("node"))
     signed = write_stage(
@@ -235,38 +235,27 @@ def near_duplicates(
     first = verified(best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "compared")
     links = first.where(F.col("similarity") >= similarity)
 
-    # Members of other classes against the hub of their bucket's largest class, until no class grows.
-    compared, some = first.select("a", "b"), True
-    while some:
-        labels = components(links)
-        labelled, split = _split_buckets(members, labels)
-        ends = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").join(labels, "node")
-        hubs = ends.groupBy("label", "node").count().groupBy("label").agg(F.max_by("node", F.struct("count", "node")).alias("hub"))
-        outside = labelled.join(split, "band").where("label <> main").select("node", "main").distinct()
-        tries = outside.join(hubs.withColumnRenamed("label", "main"), "main", "left").select(F.col("node").alias("a"), F.coalesce("hub", "main").alias("b"))
-        tried = verified(likely(tries).join(compared, ["a", "b"], "left_anti"), "compared-hubs")
-        compared = compared.union(tried.select("a", "b"))
-        found = tried.where(F.col("similarity") >= similarity)
-        some = not found.isEmpty()
-        links = links.union(found)
-
-    # What is left: pairs in different classes among all members of such buckets, found by the rarest shingles that they must share.
-    # First one member of each class for each shingle, until no class grows; then every pair.
-    suspects = labelled.join(split, "band").select("node").distinct()
+    # What is left: pairs in different classes among the members of buckets that hold several, found by the rarest shingles that they
+    # must share. First the likeliest member of each other class for each member, until no class grows; then every pair.
+    compared, labels = first.select("a", "b"), components(links)
+    suspects = _in_split_buckets(members, labels)
     rare = write_stage(_prefixes(texts.join(suspects, "node", "left_semi"), shingle, similarity), "prefixes")
     every = False
     while True:
         sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
         of = rare.join(labels.join(sizes, "label"), "node", "left").withColumns({"label": F.coalesce("label", "node"), "size": F.coalesce("size", F.lit(1))})
         others = of if every else of.groupBy("cell", "label", "size").agg(F.max_by(F.struct("node", "n_cells", "place"), F.struct(F.col("n_common") / F.col("n_cells"), "node")).alias("one")).select("cell", "label", "size", "one.*")
-        tries = _across(of, others, similarity).join(compared, ["a", "b"], "left_anti")
-        tried = verified(tries, "compared-rare")
+        met = _across(of, others, similarity)
+        if not every:
+            met = met.groupBy("node_a", "label_b").agg(F.max_by("node_b", F.struct("n", "node_b")).alias("node_b"))
+        tries = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+        tried = verified(tries.join(compared, ["a", "b"], "left_anti"), "compared-rare")
         compared = compared.union(tried.select("a", "b"))
         found = tried.where(F.col("similarity") >= similarity)
         some = not found.isEmpty()
         if some:
-            links = links.union(found)
-            labels = components(links)
+            # A node and its label are connected already.
+            labels = components(labels.toDF("a", "b").union(found.select("a", "b")))
         if every:
             break
         every = not some

@@ -10,16 +10,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelspark.llm.common import as_bytes, map_rows
+from funnelspark.session import write_stage
 
 LENGTHS, BITS = (3, 4, 5), 18
 #: Bound of the sample the classifier is fitted on: texts of label 1, and as many times that of label 0. Ratios are counted over all training texts.
-SAMPLE, ZEROS_PER_ONE = 2000, 2
-SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 30.0, 120, 0.05
+SAMPLE, ZEROS_PER_ONE = 1200, 2
+SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 30.0, 100, 0.05
 
 SCORE = T.StructType([T.StructField("score", T.DoubleType())])
 
@@ -38,11 +40,27 @@ def features(text: bytes) -> np.ndarray:
     return every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
 
 
+def packed(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """doc_id and the compressed text, for joining labels to texts with less to shuffle."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield batch.set_column(1, "text", pa.array([compress(t) for t in as_bytes(batch.column(1))], pa.binary()))
+
+    return docs.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text")).mapInArrow(pack, "doc_id long, text binary")
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(t) for t in column.to_pylist()]
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each label hold each n-gram, summed over a task."""
     held = np.zeros((2, 1 << BITS), dtype=np.int64)
     for batch in batches:
-        for label, text in zip(batch.column("label").to_pylist(), as_bytes(batch.column("text")), strict=True):
+        for label, text in zip(batch.column("label").to_pylist(), _unpacked(batch.column("text")), strict=True):
             held[label, features(text)] += 1
     some = np.flatnonzero(held.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[1, some]), pa.array(held[0, some])], names=["feature", "ones", "zeros"])
@@ -51,10 +69,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weights per hashed n-gram (ratios included) and the intercept.
 
-    Rows with a label other than 0 or 1 are not used. Counts come from all rows; they reach the driver as at most 2^18 rows. The fit takes at most ``sample`` texts
+    ``text`` is a text as ``packed`` returns it (null counts as empty there). Rows with a label other than 0 or 1 are not used. Counts come from all rows; they reach the driver as at most 2^18 rows. The fit takes at most ``sample`` texts
     of label 1 and ZEROS_PER_ONE times as many of label 0 as of label 1, those of the smallest hashes. Without texts of both labels all weights are 0.
     """
-    rows = training.select(label.cast("int").alias("label"), F.coalesce(text.cast("string"), F.lit("")).alias("text")).where("label in (0, 1)")
+    rows = write_stage(training.select(label.cast("int").alias("label"), text.alias("text")).where("label in (0, 1)"), "training")
     counted = rows.mapInArrow(_counts, "feature long, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()
     ones, zeros = np.full(1 << BITS, SMOOTHING), np.full(1 << BITS, SMOOTHING)
     at = counted.column("feature").to_numpy()
@@ -65,7 +83,7 @@ def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE)
     texts: list[list[np.ndarray]] = []
     for value, most in ((1, sample), (0, ZEROS_PER_ONE * sample)):
         chosen = rows.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text").limit(most).select("text").toArrow()
-        texts.append([features(t) for t in as_bytes(chosen.column("text").combine_chunks())])
+        texts.append([features(t) for t in _unpacked(chosen.column("text"))])
     ones_, zeros_ = texts[0], texts[1][: ZEROS_PER_ONE * len(texts[0])]
     if not ones_ or not zeros_:
         return np.zeros(1 << BITS), 0.0
