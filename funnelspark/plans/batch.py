@@ -120,7 +120,7 @@ def run_batch(
             "duration_seconds": time.time() - started,
         }
     except Exception as error:
-        record(warehouse, run, as_of, started, "FAILED", None, str(error)[:2000])
+        record(warehouse, run, as_of, started, "FAILED", None, str(error))
         raise
 
 
