@@ -85,8 +85,10 @@ CRM_COLUMNS = {
 
 
 def crm_export(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of CRM exports in either dialect, typed, with lead id, status and segment."""
+    """Rows of CRM exports in either dialect, typed, with lead id, status and segment. Empty files have no rows."""
     raw = read_csv(spark, paths)
+    if raw is None:
+        raw = spark.createDataFrame([], "_src_rank int, _file string, _block long, _row long")
     have = set(raw.columns)
     defaults = {"full_name": "Unknown Lead", "status_raw": "captured"}
 
