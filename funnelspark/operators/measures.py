@@ -74,9 +74,16 @@ MEASURES: dict[str, Callable[[], Column]] = {
 }
 
 
-def measure(df: DataFrame, names: list[str], by: list[str] = (), where: Column | None = None) -> DataFrame:
-    """The named measures in one aggregate; columns are the names in lower snake case."""
+def measure(
+    df: DataFrame, names: list[str], by: list[str] = (), where: Column | None = None, tiers: DataFrame | None = None,
+) -> DataFrame:
+    """The named measures in one aggregate; columns are the names in lower snake case.
+
+    Measures of events against the invite cap need ``tiers``: the cap is the highest of all tiers, whatever is grouped by.
+    """
     rows = df if where is None else df.filter(where)
+    if tiers is not None:
+        rows = rows.withColumn(_LIMIT, tiers.agg(F.max(_LIMIT)).scalar())
     return rows.groupBy(*by).agg(*[MEASURES[n]().alias(column_name(n)) for n in names])
 
 
@@ -130,13 +137,14 @@ def days_since_last_activity(fact: DataFrame, as_of: Column, agent: str = "agent
 
 
 def agent_utilisation(activity: DataFrame, agents: DataFrame, tiers: DataFrame, where: Column | None = None) -> DataFrame:
-    """Invites over a period / (tier cap × active days) per agent."""
+    """Invites over a period / (tier cap × active days) per current agent, 0 for one without a row in the period."""
     days = activity if where is None else activity.filter(where)
     # The mart has one row per agent and day, so counting rows counts distinct days.
     sums = days.groupBy("agent_key").agg(F.sum("invites_sent").alias("invites"), F.count("date_key").alias("active_days"))
     caps = lookup(dims.current(agents).select("agent_key", "agent_id", "tier_key"), tiers, "tier_key", _LIMIT)
-    return caps.join(sums, "agent_key").select(
-        "agent_id", "invites", "active_days", _LIMIT,
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("invites", "active_days")}
+    return caps.join(sums, "agent_key", "left").withColumns(counts).select(
+        "agent_id", *counts, _LIMIT,
         numbers.ratio_or_zero(F.col("invites"), F.col(_LIMIT) * F.col("active_days")).alias("agent_utilisation_pct"),
     )
 
@@ -145,12 +153,13 @@ def platform_risk(activity: DataFrame) -> DataFrame:
     return measure(activity, ["Platform Average Risk Score", "Risk Level Label"])
 
 
-def agent_risk_on_last_date(activity: DataFrame) -> DataFrame:
-    """Highest risk per agent on the newest day of the calendar that has rows, NULL for agents idle that day."""
-    per_agent_day = activity.groupBy("agent_key").agg(F.max(F.struct("date_key", "anomaly_score")).alias("x"))
-    newest = activity.agg(F.max("date_key").alias("date_key"))
-    last = per_agent_day.select("agent_key", "x.date_key", (F.col("x.anomaly_score") * 50).alias("agent_risk_score"))
-    return last.join(newest, "date_key")
+def agent_risk_on_last_date(activity: DataFrame, agents: DataFrame) -> DataFrame:
+    """Highest risk per current agent on the newest day that has rows, NULL for agents idle that day."""
+    newest = activity.agg(F.max("date_key")).scalar()
+    last = activity.filter(F.col("date_key") == newest).groupBy("agent_key").agg(F.max("anomaly_score").alias("_score"))
+    return dims.current(agents).join(last, "agent_key", "left").select(
+        "agent_key", "agent_id", "tier_key", newest.alias("date_key"), (F.col("_score") * 50).alias("agent_risk_score")
+    )
 
 
 def recommended_capacity(risks: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ DIMENSION_WEIGHTS = {
 PASS_THRESHOLD = 85.0
 SLA_HOURS = 24
 
+# The columns each table must fill, its key, and what its keys refer to.
 REQUIRED = {
     "fact_outreach_event": ["event_source_id", "event_type", "event_timestamp"],
     "fact_daily_agent_activity": ["agent_key", "date_key"],
@@ -129,13 +130,16 @@ def references(fact: DataFrame, table: str, foreign: list[tuple[str, DataFrame,
     """Orphans of all foreign keys of one fact from one scan and one shuffle, without a join.
 
     Fact values and dimension keys meet in one (column, value) grouping. Map tasks combine first, so a value
-    that fills a third of the fact arrives as one row per task. NULLs are no references: they count 0.
+    that fills a third of the fact arrives as one row per task. NULLs are no references: they count 0. One such row per key is
+    added, so that a key is reported (with 100) even if fact and dimension are both empty.
     """
+    keys = F.array(*[F.struct(F.lit(c), F.lit(None).cast("string"), F.lit(0), F.lit(False)) for c, _, _ in foreign])
     pairs = F.array(*[
         F.struct(F.lit(c).alias("fk"), F.col(c).cast("string").alias("value"), F.col(c).isNotNull().cast("int").alias("n"))
         for c, _, _ in foreign
     ])
     used = fact.select(F.inline(pairs)).select("fk", "value", "n", F.lit(False).alias("known"))
+    used = used.unionAll(fact.sparkSession.range(1).select(F.inline(keys)))
     for c, dim, pk in foreign:
         used = used.unionAll(dim.select(F.lit(c), F.col(pk).cast("string"), F.lit(0), F.lit(True)))
     per_value = used.groupBy("fk", "value").agg(F.sum("n").alias("n"), F.max("known").alias("known"))

@@ -50,6 +50,24 @@ def test_references(spark):
     assert "Join" not in plan
 
 
+def test_references_of_nothing(spark):
+    empty = spark.createDataFrame([], "a int, k int")
+    row = quality.references(empty, "f", [("a", empty, "k")]).first()
+    assert row.score == 100.0 and json.loads(row.details) == {"total_fks": 0, "orphans": 0}
+
+
+def test_idle_agents_are_reported(spark):
+    agents = spark.createDataFrame([(1, "a", 1, True), (2, "b", 1, True), (3, "c", 1, False)], "agent_key bigint, agent_id string, tier_key int, is_current boolean")
+    days = spark.createDataFrame([(1, 20260801, 5, 0.2), (1, 20260802, 5, 0.4), (2, 20260801, 5, 1.9)],
+                                 "agent_key bigint, date_key int, invites_sent bigint, anomaly_score double")
+    last = {r.agent_id: (r.date_key, r.agent_risk_score) for r in measures.agent_risk_on_last_date(days, agents).collect()}
+    assert last == {"a": (20260802, 20.0), "b": (20260802, None)}
+    used = measures.agent_utilisation(days, agents, dims.account_tiers(spark), F.col("date_key") == 20260802).collect()
+    assert {(r.agent_id, r.invites, r.active_days, r.agent_utilisation_pct) for r in used} == {("a", 5, 1, 1.0), ("b", 0, 0, 0.0)}
+    fact = spark.createDataFrame([("INVITE_SENT",)] * 3, "event_type string")
+    assert measures.measure(fact, ["Utilisation %"], tiers=dims.account_tiers(spark)).first()[0] == 0.1
+
+
 def test_tier_validity(spark):
     days = spark.createDataFrame([(1, 6), (1, 5), (2, 99), (3, 99)], "agent_key bigint, invites_sent bigint")
     agents = spark.createDataFrame([(1, 1, True), (2, None, True), (3, 1, False)], "agent_key bigint, tier_key int, is_current boolean")
