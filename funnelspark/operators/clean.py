@@ -159,16 +159,22 @@ def _record_id(payload: list[str]) -> Column:
     return text.first_filled(*[F.col(f"_raw.`{name}`") for name in names])
 
 
-def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str = "transformer") -> DataFrame:
-    """Rejected rows in the shape of the dead-letter table."""
+def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str | None = None) -> DataFrame:
+    """Rejected rows in the shape of the dead-letter table. ``source``: the stage that rejected them, else as ``check_limits`` noted it."""
     payload = routed.schema["_raw"].dataType.fieldNames()
+    staged = source is None and "_stage" in routed.columns
+    stage = F.col("_stage") if staged else F.lit(source or "transformer")
+    record_id = _record_id(payload)
+    if staged:
+        # The loader knows a record by its clean key, wherever that came from.
+        record_id = F.coalesce(record_id, F.when(stage == "loader", F.col(routed.columns[0])))
     return shape(
         routed.filter(F.col("_reject").isNotNull()).select(
-            _record_id(payload).alias("source_id"),
+            record_id.alias("source_id"),
             F.to_json("_raw").alias("record_payload"),
             F.col("_reject.message").alias("error_message"),
             F.col("_reject.rule").alias("error_type"),
-            F.lit(source).alias("source"),
+            stage.alias("source"),
             F.lit(run_id).alias("run_id"),
             as_of.alias("created_at"),
             F.lit(False).alias("resolved"),
@@ -195,10 +201,17 @@ TABLE_NOT_NULL = {
 }
 
 
+LOADED_INTO = {
+    "agents": "dim_agent", "leads": "dim_lead", "campaigns": "dim_campaign", "templates": "dim_message_template",
+    "events": "fact_outreach_event",
+}
+
+
 def check_limits(clean: DataFrame, table: str) -> DataFrame:
     """Load-time constraints, as ``_raw`` and ``_reject`` like ``route`` gives them.
 
-    A row the table cannot hold is rejected by itself; the rest of its batch still loads.
+    A row the table cannot hold is rejected by itself; the rest of its batch still loads. Rows as ``route`` gives them keep their raw
+    record, so that what the loader rejects can be replayed like the rest; ``_stage`` says who rejected.
     """
     columns = clean.columns
     broken = [
@@ -209,6 +222,9 @@ def check_limits(clean: DataFrame, table: str) -> DataFrame:
                F.struct(F.lit("too_long").alias("rule"), F.lit(f"{c} is longer than {cap}").alias("message")))
         for c, cap in TABLE_LIMITS[table].items()
     ]
+    if "_raw" in columns:
+        stage = F.when(F.col("_reject").isNotNull(), "transformer").otherwise("loader")
+        return clean.withColumns({"_stage": stage, "_reject": F.coalesce("_reject", *broken)})
     return clean.select("*", F.struct(*columns).alias("_raw"), F.coalesce(*broken).alias("_reject"))
 
 
@@ -223,23 +239,32 @@ def reject_counts(routed: DataFrame) -> DataFrame:
     )
 
 
+def letters_of(name: str) -> Column:
+    """Whether a dead letter is a record of the entity: by the rule it broke, or by the column it did not fit."""
+    table = LOADED_INTO[name]
+    columns = sorted({*TABLE_NOT_NULL[table], *TABLE_LIMITS[table]})
+    by_rule = F.col("error_type").isin([rule for _, rule, _ in entity(name).required])
+    return by_rule | F.substring_index("error_message", " ", 1).isin(columns)
+
+
 def replay(letters: DataFrame, name: str, as_of: Column) -> tuple[DataFrame, DataFrame]:
-    """Judge stored payloads again: (rows that are clean now, all letters with ``resolved`` updated)."""
-    rows = letters.select(
-        F.struct("*").alias("_letter"),
-        F.col("created_at").alias("_at"),
-        F.col("record_payload").alias("_payload"),
-        F.from_json("record_payload", raw_schema(name)).alias("_p"),
-    ).select("_letter", "_at", "_payload", "_p.*")
-    opened = rows.filter(~F.col("_letter.resolved"))
-    fixed = clean_rows(route(opened, name, ["_at", "_payload"]))
+    """Judge stored payloads again: (rows to load, all letters with ``resolved`` updated).
 
-    rules = entity(name)
-    passes = ~F.col("_letter.resolved")
-    for column, _, _ in rules.required:
-        passes = passes & rules.columns[column].isNotNull()
-    judged = rows.select("_letter.*", passes.alias("_passes"))
-    updated = judged.withColumn("resolved", F.col("resolved") | F.col("_passes")).withColumn(
-        "resolved_at", F.when(F.col("_passes"), as_of).otherwise(F.col("resolved_at"))
-    )
-    return fixed, shape(updated, "dead_letter_queue")
+    Each open letter of the entity is judged by itself, load-time limits included, so a letter that is still broken hides no
+    corrected one of the same key. Of several corrected letters of a key the first is loaded, as in any batch. Exactly those that pass are resolved:
+    their key is among the rows to load.
+    """
+    rows = letters.select(F.struct("*").alias("_letter"), F.from_json("record_payload", raw_schema(name)).alias("_p")).select("_letter", "_p.*")
+    judged = check_limits(route(rows, name, ["_letter"], dedup=False), LOADED_INTO[name])
+    letter = F.col("_o__letter")
+    wanted = judged.select("*", letter.getField("error_type").alias("error_type"), letter.getField("error_message").alias("error_message"))
+    passes = ~F.coalesce(letter.getField("resolved"), F.lit(False)) & letters_of(name) & F.col("_reject").isNull()
+    judged = wanted.withColumn("_passes", passes).drop("error_type", "error_message")
+
+    order = [letter.getField(c) for c in ("created_at", "run_id", "record_payload")]
+    first = keep_first(judged.filter("_passes"), F.col(entity(name).key), order)
+    updated = judged.select("_o__letter.*", "_passes").withColumns({
+        "resolved": F.coalesce("resolved", F.lit(False)) | F.col("_passes"),
+        "resolved_at": F.when(F.col("_passes"), as_of).otherwise(F.col("resolved_at")),
+    })
+    return clean_rows(first), shape(updated, "dead_letter_queue")

@@ -56,6 +56,11 @@ class Run:
         self.synced: list[str] = []
         self.months: list[int] = []
 
+    def keep_letters(self, warehouse: Warehouse) -> None:
+        """Store the rejects so far, in the place of those stored before under this run id."""
+        if self.letters:
+            warehouse.append("dead_letter_queue", quality.union_all(self.letters))
+
     def judge(self, raw: DataFrame, entity: str, table: str, order: list[str]) -> DataFrame | None:
         """Clean one entity: stage the verdicts once, keep the rejects, return the loadable rows.
 
@@ -63,8 +68,9 @@ class Run:
         """
         seen, verdicts = Observation(), Observation()
         counted = raw.observe(seen, F.count(F.lit(1)).alias("n"))
-        routed = clean.route(counted, entity, order).observe(
-            verdicts, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_reject").isNotNull()).alias("bad")
+        bad = F.col("_reject").isNotNull()
+        routed = clean.check_limits(clean.route(counted, entity, order), table).observe(
+            verdicts, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.count_if(bad & (F.col("_stage") == "loader")).alias("refused")
         )
         stage = write_stage(routed, f"{entity}-routed")
         rejected, good = verdicts.get["bad"], verdicts.get["n"] - verdicts.get["bad"]
@@ -74,15 +80,8 @@ class Run:
         if rejected:
             self.letters.append(clean.dead_letters(stage, self.run_id, self.as_of))
         self.dead += rejected
-        if not good:
-            return None
-        loadable = clean.check_limits(clean.clean_rows(stage), table)
-        refused = loadable.filter("_reject IS NOT NULL").count()
-        if refused:
-            self.letters.append(clean.dead_letters(loadable, self.run_id, self.as_of, source="loader"))
-        self.failed += refused
-        self.dead += refused
-        return clean.clean_rows(loadable)
+        self.failed += verdicts.get["refused"]
+        return clean.clean_rows(stage) if good else None
 
 
 def run_batch(
@@ -97,7 +96,7 @@ def run_batch(
     """Full load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
 
     ``entity_frames`` (entity → raw rows and their order columns) replaces files by tables of the caller. A failure is
-    recorded as a FAILED run and raised again; running the same batch once more converges.
+    recorded as a FAILED run, with the rejects found so far, and raised again; running the same batch once more converges.
     """
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex
@@ -107,11 +106,10 @@ def run_batch(
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
             _load(spark, warehouse, run, entity, table, source_dir, entity_frames)
+        run.keep_letters(warehouse)
         refresh_marts(warehouse, run.months)
         score = check(warehouse, run_id, at)
         status = "PARTIAL" if run.dead else "SUCCESS"
-        if run.letters:
-            warehouse.append("dead_letter_queue", quality.union_all(run.letters))
         warehouse.set_watermarks(run.synced, at)
         record(warehouse, run, as_of, started, status, score)
         return {
@@ -121,14 +119,19 @@ def run_batch(
         }
     except Exception as error:
         record(warehouse, run, as_of, started, "FAILED", None, str(error))
+        run.keep_letters(warehouse)
         raise
 
 
 def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames) -> None:
     raw, order = (frames or {}).get(entity) or (files.read_entity(spark, source_dir, entity), files.POSITION)
     rows = run.judge(raw, entity, table, order)
-    if rows is None:
-        return
+    if rows is not None:
+        _store(warehouse, run, entity, table, rows)
+
+
+def _store(warehouse: Warehouse, run: Run, entity: str, table: str, rows: DataFrame) -> None:
+    """Clean rows of one entity into their table."""
     if entity == "events":
         known = {t: warehouse.read(t) for t in facts.DIMENSIONS}
         fact = write_stage(facts.as_fact(facts.resolve_keys(rows, known), run.as_of), "events-resolved")
@@ -143,6 +146,29 @@ def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source
     run.loaded += done or 0
 
 
+def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str, run_id: str | None = None, buckets: int = 64) -> dict:
+    """Judge the open dead letters of an entity again, load those that pass now, and mark exactly them resolved.
+
+    Letters are marked after the load, so a crash in between only means that the next replay loads the same rows once more, which changes nothing.
+    """
+    prepare(spark)
+    warehouse, run = Warehouse(spark, root, buckets), Run(run_id or uuid.uuid4().hex, moment(as_of))
+    letters = warehouse.read("dead_letter_queue")
+    fixed, updated = clean.replay(letters.filter(~F.col("resolved") & clean.letters_of(entity)), entity, run.as_of)
+    rows = write_stage(fixed, f"{entity}-replayed")
+    verdicts = write_stage(updated, "letters-judged")
+    resolved = verdicts.filter("resolved").count()
+    if resolved:
+        _store(warehouse, run, entity, clean.LOADED_INTO[entity], rows)
+        refresh_marts(warehouse, run.months)
+        # Only the runs that a resolved letter is of are written again: their judged letters, and the others as they are.
+        others = letters.filter(F.coalesce(F.col("resolved"), F.lit(False)) | ~clean.letters_of(entity))
+        touched = verdicts.filter("resolved").select("run_id").distinct()
+        renewed = verdicts.unionByName(shape(others, "dead_letter_queue")).join(touched, "run_id", "left_semi")
+        warehouse.append("dead_letter_queue", write_stage(shape(renewed, "dead_letter_queue"), "letters-renewed"))
+    return {"resolved": resolved, "rows_loaded": run.loaded}
+
+
 def refresh_marts(warehouse: Warehouse, months: list[int]) -> None:
     """Recompute the daily marts for the given months; other months of the fact are not read."""
     if not months:

@@ -324,6 +324,13 @@ def utilisation_daily(i: Inputs) -> DataFrame:
     return rounded(measures.daily_utilisation(i.activity, i.tiers))
 
 
+@query
+def utilisation_measures(i: Inputs) -> DataFrame:
+    """The same from the events, as dashboard measures by name."""
+    names = ["Daily Invites Sent", "Daily Invite Limit", "Utilisation %"]
+    return rounded(measures.measure(i.fact, names, ["date_key"], tiers=i.tiers))
+
+
 @query
 def agent_status(i: Inputs) -> DataFrame:
     return measures.agent_status(i.agents_reloaded)
@@ -413,6 +420,17 @@ def dq_referential(i: Inputs) -> DataFrame:
     return rounded(quality.union_all(checks))
 
 
+@query
+def dq_referential_empty(i: Inputs) -> DataFrame:
+    """References of facts that hold no row of a kind that never occurs, to dimensions without rows."""
+    rare = {"fact_outreach_event": "event_type = 'NEVER'", "fact_daily_agent_activity": "invites_sent < 0", "fact_campaign_performance": "connected < 0"}
+    checks = [
+        quality.references(i.warehouse[t].filter(rare[t]), t, [(c, i.warehouse[d].filter(F.col(k).isNull()), k) for c, d, k in foreign])
+        for t, foreign in quality.REFERENCES.items()
+    ]
+    return rounded(quality.union_all(checks))
+
+
 @query
 def dq_composite(i: Inputs) -> DataFrame:
     return rounded(quality.composite(quality.run_checks(i.warehouse, i.as_of)))
@@ -525,9 +543,9 @@ def platform_risk(i: Inputs) -> DataFrame:
 
 @query
 def recommended_capacity(i: Inputs) -> DataFrame:
-    last = measures.agent_risk_on_last_date(_written_back(i))
-    caps = dims.current(i.stored("dim_agent")).join(i.tiers, "tier_key", "left").select("agent_key", "agent_id", "daily_invite_limit")
-    return rounded(measures.recommended_capacity(last.join(caps, "agent_key").drop("agent_key")))
+    last = measures.agent_risk_on_last_date(_written_back(i), i.stored("dim_agent"))
+    caps = last.join(i.tiers.select("tier_key", "daily_invite_limit"), "tier_key", "left")
+    return rounded(measures.recommended_capacity(caps.drop("agent_key", "tier_key")))
 
 
 # ── Alerts: AL-1..AL-5, AN-7 ──────────────────────────────────────────────────
@@ -692,15 +710,103 @@ def stream_dead_letters(i: Inputs) -> DataFrame:
 
 
 @query
-def webhook_events(i: Inputs) -> DataFrame:
+def stream_same_file_copies(i: Inputs) -> DataFrame:
+    """Copies of an id in one landed file, told apart by nothing but their place in it."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        i.raw(derived.RAW_EVENTS).repartition("id").sortWithinPartitions("pos").drop("pos").write.json(f"{root}/landing")
+        stream = live.read_landing(i.spark, f"{root}/landing")
+        live.start_ingest(stream, warehouse, f"{root}/checkpoint", at=i.as_of).awaitTermination()
+
+    fact = Warehouse(i.spark, i.once("same-file-copies", run), buckets=8).read("fact_outreach_event")
+    return rounded(fact.select("event_source_id", "event_type", "event_timestamp", "date_key", "event_status", "response_time_minutes"))
+
+
+def _two_sources(i: Inputs) -> Warehouse:
+    """A warehouse fed by two streams: events whose ids are made of whole texts, often too long to load, and webhooks with odd times."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        texts = i.table("documents").select(
+            F.concat(F.lit("evt_"), F.col("text"), F.lit("_"), F.col("doc_id")).alias("id"), F.col("source").alias("agent_id"),
+            F.lit("sent").alias("event_type"), F.lit("2024-01-15T08:30:00Z").alias("timestamp"),
+        )
+        texts.write.json(f"{root}/events")
+        turns = _turns(i).drop("pos").withColumn("created_at", F.when(F.col("action").isNull(), "never").otherwise(F.col("created_at")))
+        turns.write.json(f"{root}/webhooks")
+        events = live.read_landing(i.spark, f"{root}/events")
+        hooks = live.read_landing(i.spark, f"{root}/webhooks", "webhooks")
+        calls = live.webhook_payloads(live.with_arrival(hooks, i.as_of), ["_file", "_block"])
+        for name, stream in (("events", events), ("webhooks", calls)):
+            live.start_ingest(stream, warehouse, f"{root}/checkpoint-{name}", at=i.as_of).awaitTermination()
+
+    return Warehouse(i.spark, i.once("two-sources", run), buckets=8)
+
+
+@query
+def stream_load_rejects(i: Inputs) -> DataFrame:
+    """Records the fact cannot hold: a dead letter each, by the stage that rejected them."""
+    letters = _two_sources(i).read("dead_letter_queue")
+    return letters.groupBy("source", "error_type", "error_message").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_two_sources(i: Inputs) -> DataFrame:
+    """Receipts of both streams next to what the fact holds."""
+    warehouse = _two_sources(i)
+    counted = F.count(F.lit(1)).alias("n")
+    receipts = warehouse.read("live_receipts", live.RECEIPTS).groupBy("status", "event_type").agg(counted)
+    stored = warehouse.read("fact_outreach_event").groupBy(F.lit("STORED").alias("status"), "event_type").agg(counted)
+    return receipts.unionByName(stored)
+
+
+@query
+def replayed_duplicates(i: Inputs) -> DataFrame:
+    """Each broken event has two letters, of which the later one was corrected: that one is loaded and resolved, the other stays."""
+    letters = clean.dead_letters(i.routed("events", derived.RAW_EVENTS), "run_1", i.loaded).filter("error_type = 'bad_timestamp'")
+    mended = F.regexp_replace("record_payload", "not-a-date", "2024-01-15 08:30:00")
+    later = letters.withColumns({"record_payload": mended, "created_at": i.reloaded, "run_id": F.lit("run_2")})
+    fixed, updated = clean.replay(letters.unionByName(later), "events", i.as_of)
+    loaded = fixed.select("event_source_id", F.lit("loaded").alias("run_id"), F.lit(True).alias("resolved"))
+    return updated.select(F.col("source_id").alias("event_source_id"), "run_id", "resolved").unionByName(loaded)
+
+
+@query
+def replayed_loader_rejects(i: Inputs) -> DataFrame:
+    """A stored table of letters after replay: long names of leads were cut by hand, so those leads are loaded now."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        raw = i.table("documents").select(
+            F.col("doc_id").alias("pos"), F.concat(F.lit("lead_d"), F.col("doc_id")).alias("lead_id"),
+            F.col("lang").alias("first_name"), F.col("text").alias("last_name"), F.col("source").alias("segment"),
+        )
+        judged = clean.check_limits(clean.route(raw, "leads", ["pos"]), "dim_lead")
+        letters = clean.dead_letters(judged, "run_1", i.loaded)
+        shorter = F.regexp_replace("record_payload", '"last_name":".*","segment"', '"last_name":"Cut","segment"')
+        warehouse.append("dead_letter_queue", letters.withColumn("record_payload", shorter))
+        batch.replay_letters(i.spark, root, datetime(2024, 1, 30), "leads", buckets=8)
+
+    warehouse = Warehouse(i.spark, i.once("replayed-letters", run), buckets=8)
+    letters = warehouse.read("dead_letter_queue").select("source_id", "source", "resolved")
+    leads = warehouse.read("dim_lead").select("lead_id", "full_name")
+    return letters.join(leads, letters["source_id"] == leads["lead_id"], "left").drop("lead_id")
+
+
+def _turns(i: Inputs) -> DataFrame:
     """Conversation turns as loosely named webhook payloads without ids."""
-    turns = i.table("conversations").select(
+    return i.table("conversations").select(
         F.concat(F.lit("acc_"), F.col("role")).alias("account_id"), F.concat(F.lit("lead_"), F.col("conv_id")).alias("contact_id"),
         F.when(F.col("role") == "user", "reply").alias("action"),
         F.concat(F.lit("2024-02-01T00:"), F.lpad((F.col("turn") % 60).cast("string"), 2, "0"), F.lit(":00Z")).alias("created_at"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("pos"),
     )
-    events = live.webhook_payloads(live.with_arrival(turns, i.as_of), ["pos"])
+
+
+@query
+def webhook_events(i: Inputs) -> DataFrame:
+    events = live.webhook_payloads(live.with_arrival(_turns(i), i.as_of), ["pos"])
     return rounded(clean.clean_rows(clean.route(events, "events", ["pos"])))
 
 

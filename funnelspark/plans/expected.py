@@ -7,11 +7,19 @@ from __future__ import annotations
 
 import re
 
-from funnelspark.operators.dims import ACCOUNT_TIERS
-from funnelspark.operators.quality import DIMENSION_WEIGHTS
-from funnelspark.operators.risk import METRIC_WEIGHTS
 from funnelspark.plans import derived
 
+# Fixed values, written out here once more, so that a wrong one in the engine shows.
+ACCOUNT_TIERS = [
+    (1, "< 1 Month", "Very High Risk", 5, 10),
+    (2, "1 Month", "High Risk", 10, 15),
+    (3, "2-6 Months", "Moderate Risk", 15, 25),
+    (4, "6-12 Months", "Low Risk", 25, 40),
+    (5, "1+ Year", "Minimal Risk", 30, 60),
+]
+DIMENSION_WEIGHTS = {"completeness": 0.25, "uniqueness": 0.20, "validity": 0.25, "timeliness": 0.15, "referential_integrity": 0.15}
+METRIC_WEIGHTS = {"acceptance_rate": 0.30, "reply_rate": 0.25, "ghosting_rate": 0.20, "utilisation": 0.15, "activity_volume": 0.10}
+
 LOADED, RELOADED = "2024-01-10 00:00:00", "2024-01-20 12:00:00"
 AS_OF = "2024-01-30 00:00:00"
 
@@ -446,10 +454,13 @@ SELECTS: dict[str, str] = {
       count(*) FILTER (WHERE status = 'ghost') AS ghost_agent_count FROM agent_versions WHERE is_current""",
     "days_since_activity": f"""SELECT agent AS agent_id, {stamp('max(event_timestamp)')} AS last_activity,
       date_diff('day', cast(max(event_timestamp) AS DATE), DATE '2024-02-10') AS days_since_last_activity FROM fact WHERE agent IS NOT NULL GROUP BY agent""",
-    "agent_utilisation_period": f"""SELECT agent_id, cast(sum(invites_sent) AS BIGINT) AS invites, count(*) AS active_days, daily_invite_limit,
-      round({ratio('sum(invites_sent)', '(daily_invite_limit * count(*))')}, 6) AS agent_utilisation_pct
-      FROM activity JOIN agents_1 USING (agent_id) LEFT JOIN tiers USING (tier_name) WHERE date_key BETWEEN 20240108 AND 20240114
-      GROUP BY agent_id, daily_invite_limit""",
+    "utilisation_measures": f"""SELECT date_key, {SENT} AS daily_invites_sent, 30 AS daily_invite_limit, round({SENT} / 30.0, 6) AS utilisation_pct
+      FROM fact GROUP BY date_key""",
+    "agent_utilisation_period": f"""SELECT a.agent_id, cast(coalesce(sum(invites_sent), 0) AS BIGINT) AS invites, count(date_key) AS active_days, daily_invite_limit,
+      round({ratio('sum(invites_sent)', '(daily_invite_limit * count(date_key))')}, 6) AS agent_utilisation_pct
+      FROM agents_1 a LEFT JOIN tiers ON a.tier_name = tiers.tier_name
+      LEFT JOIN (SELECT agent_id, date_key, invites_sent FROM activity WHERE date_key BETWEEN 20240108 AND 20240114) d ON a.agent_id = d.agent_id
+      GROUP BY a.agent_id, daily_invite_limit""",
     "campaign_roi": f"""SELECT campaign AS campaign_id, {SENT} AS campaign_invites_sent, {ACC} AS campaign_connected, {REP} AS campaign_replied,
       {MEET} AS campaign_meetings, round(({ratio(ACC, SENT)} * 0.3 + {ratio(REP, ACC)} * 0.3 + {ratio(MEET, SENT)} * 0.4) * 100, 6) AS campaign_roi_score
       FROM fact WHERE campaign IS NOT NULL GROUP BY campaign""",
@@ -478,6 +489,9 @@ SELECTS: dict[str, str] = {
             refers("events", "template_id", "valid_events", "template_id", "templates", "template_id"),
         ]
     ),
+    "dq_referential_empty": """SELECT 'referential_integrity' AS check_dimension, unnest(['fact_outreach_event.agent_key', 'fact_outreach_event.lead_key',
+      'fact_outreach_event.campaign_key', 'fact_outreach_event.date_key', 'fact_daily_agent_activity.agent_key', 'fact_daily_agent_activity.date_key',
+      'fact_campaign_performance.campaign_key']) AS table_name, 100.0::DOUBLE AS score, '{"total_fks":0,"orphans":0}' AS details""",
     "dq_composite": "SELECT composite_score, composite_score >= 85 AS passed FROM dq_total",
     "dq_history": f"""SELECT 'run_1' AS run_id, check_dimension, table_name, round(score, 6) AS score, cast(weight AS DOUBLE) AS weight, '{AS_OF}' AS checked_at,
       (SELECT composite_score FROM dq_total) AS composite_score, (SELECT composite_score >= 85 FROM dq_total) AS passed
@@ -499,10 +513,11 @@ SELECTS: dict[str, str] = {
     "platform_risk": """SELECT round(s, 6) AS platform_average_risk_score, CASE WHEN s <= 30 THEN 'Low Risk' WHEN s <= 60 THEN 'Moderate Risk' ELSE 'High Risk' END
       AS risk_level_label FROM (SELECT avg(anomaly_score) * 50 AS s FROM scored_days)""",
     "recommended_capacity": f"""SELECT *, round({ratio('recommended_invites', 'daily_invite_limit')} - 1, 6) AS capacity_adjustment_pct FROM (
-      SELECT agent_id, date_key, round(anomaly_score * 50, 6) AS agent_risk_score, daily_invite_limit,
+      SELECT a.agent_id, (SELECT max(date_key) FROM activity) AS date_key, round(anomaly_score * 50, 6) AS agent_risk_score, daily_invite_limit,
         CASE WHEN coalesce(anomaly_score, 0) * 50 <= 30 THEN cast(daily_invite_limit AS DOUBLE)
           WHEN anomaly_score * 50 <= 60 THEN round(daily_invite_limit * 0.8) ELSE round(daily_invite_limit * 0.5) END AS recommended_invites
-      FROM scored_days JOIN agents_1 USING (agent_id) LEFT JOIN tiers USING (tier_name) WHERE date_key = (SELECT max(date_key) FROM activity))""",
+      FROM agents_1 a LEFT JOIN tiers ON a.tier_name = tiers.tier_name
+        LEFT JOIN (SELECT * FROM scored_days WHERE date_key = (SELECT max(date_key) FROM activity)) s ON a.agent_id = s.agent_id)""",
     "alerts_high_risk": """SELECT concat('🔴 High Risk Agent: ', agent_id) AS title,
       concat('Agent `', agent_id, '` risk score: **', cast(risk_score AS VARCHAR), '** (', risk_level, ').', chr(10), chr(10), justification) AS message,
       CASE risk_level WHEN 'Red' THEN 'CRITICAL' ELSE 'WARNING' END AS level, cast(risk_score AS VARCHAR) AS risk_score
@@ -599,6 +614,23 @@ SELECTS |= {
     "stream_receipts": f"""SELECT CASE WHEN rule IS NULL THEN 'SUCCESS' ELSE 'DEAD_LETTERED' END AS status, coalesce(event_type, 'UNKNOWN') AS event_type,
       CASE WHEN rule IS NOT NULL THEN 'Event format failed validation and was routed to Dead-Letter Queue.' END AS warning, count(*) AS n FROM all_judged GROUP BY 1, 2, 3""",
     "stream_dead_letters": "SELECT rule AS error_type, 'transformer' AS source, FALSE AS resolved, count(*) AS n FROM all_judged WHERE rule IS NOT NULL GROUP BY rule",
+    "stream_same_file_copies": SELECTS["micro_batch_merge"].replace("SELECT * FROM", "SELECT event_source_id, event_type, event_timestamp, date_key, event_status, response_time_minutes FROM", 1),
+    "stream_load_rejects": """SELECT source, error_type, error_message, count(*) AS n FROM (
+        SELECT 'loader' AS source, 'too_long' AS error_type, 'event_source_id is longer than 200' AS error_message FROM documents
+          WHERE length(text) + length(cast(doc_id AS VARCHAR)) + 5 > 200
+        UNION ALL SELECT 'transformer', 'missing_event_id', 'Missing event_id' FROM documents WHERE text IS NULL
+        UNION ALL SELECT 'transformer', 'bad_timestamp', 'Missing or unparseable timestamp' FROM conversations WHERE role IS DISTINCT FROM 'user') GROUP BY ALL""",
+    "stream_two_sources": f"""SELECT status, event_type, count(*) AS n FROM (
+        SELECT CASE WHEN text IS NULL OR length(text) + length(cast(doc_id AS VARCHAR)) + 5 > 200 THEN 'DEAD_LETTERED' ELSE 'SUCCESS' END AS status,
+          'INVITE_SENT' AS event_type FROM documents
+        UNION ALL SELECT CASE WHEN role = 'user' THEN 'SUCCESS' ELSE 'DEAD_LETTERED' END, CASE WHEN role = 'user' THEN 'REPLY_RECEIVED' ELSE 'MESSAGE_SENT' END
+          FROM conversations
+        UNION ALL SELECT 'STORED', 'INVITE_SENT' FROM documents WHERE length(text) + length(cast(doc_id AS VARCHAR)) + 5 <= 200
+        UNION ALL SELECT 'STORED', 'REPLY_RECEIVED' FROM (SELECT DISTINCT conv_id, turn % 60 FROM conversations WHERE role = 'user')) GROUP BY ALL""",
+    "replayed_duplicates": """SELECT event_source_id, run_id, run_id <> 'run_1' AS resolved FROM judged,
+      (SELECT unnest(['run_1', 'run_2', 'loaded']) AS run_id) WHERE rule = 'bad_timestamp'""",
+    "replayed_loader_rejects": """SELECT concat('lead_d', cast(doc_id AS VARCHAR)) AS source_id, 'loader' AS source, TRUE AS resolved,
+      concat(lang, ' Cut') AS full_name FROM documents WHERE length(concat(lang, ' ', text)) > 255""",
     "webhook_events": f"""SELECT concat('wh_', substr(md5({WEBHOOK_JSON}), 1, 10)) AS event_source_id, concat('acc_', role) AS agent_id,
       concat('lead_', cast(conv_id AS VARCHAR)) AS lead_id, cast(NULL AS VARCHAR) AS campaign_id, cast(NULL AS VARCHAR) AS template_id,
       CASE WHEN role = 'user' THEN 'REPLY_RECEIVED' ELSE 'MESSAGE_SENT' END AS event_type, {stamp('cast(moment AS TIMESTAMP)')} AS event_timestamp,

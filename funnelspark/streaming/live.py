@@ -18,9 +18,14 @@ from funnelspark.sources.warehouse import Warehouse, month_of
 
 ARRIVED = "_arrived"
 RECEIPTS = "event_id string, event_type string, status string, warning string, persisted_at timestamp, run_id string"
+# Fixed value: the warning of a receipt.
 DEAD_LETTER_WARNING = "Event format failed validation and was routed to Dead-Letter Queue."
 
 
+# Where a landed record lies; ``_row`` is numbered within the micro-batch.
+LANDED_ORDER = ["_file", "_block", "_row"]
+
+
 def with_arrival(stream: DataFrame, at: Column | None = None) -> DataFrame:
     """Arrival time of each record: ``at``, else when the micro-batch read it."""
     return stream if ARRIVED in stream.columns else stream.withColumn(ARRIVED, F.current_timestamp() if at is None else at)
@@ -84,17 +89,18 @@ def receipts(routed: DataFrame, run_id: str, at: Column) -> DataFrame:
 def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, order: list[str], zero_rate: bool = False) -> None:
     """One micro-batch: judge, dead-letter, upsert, refresh the touched agent-days, write receipts.
 
-    Every write is keyed by event id, group or ``run_id``, so the same batch may run again.
+    Every write is keyed by event id, group or ``run_id``, so the same batch may run again. ``run_id`` must be this micro-batch's alone: its
+    letters and receipts replace those stored under it. A record the table cannot hold is a dead letter like a malformed one.
     """
-    routed = write_stage(clean.route(events, "events", order, dedup=False), "live-routed")
+    judged = clean.check_limits(clean.route(events, "events", order, dedup=False), "fact_outreach_event")
+    routed = write_stage(judged, "live-routed")
     warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at))
     warehouse._overwrite_touched(receipts(routed, run_id, at), "live_receipts", ["run_id"])
 
     columns = routed.columns[: routed.columns.index("_raw")]
     places = [f"_o_{c}" for c in order]
     valid = routed.filter("_reject IS NULL").select(*columns, F.struct(*places).alias("_place"))
-    merged = facts.latest_of_batch(valid, F.col("_place")).drop("_place")
-    loadable = clean.clean_rows(clean.check_limits(merged, "fact_outreach_event"))
+    loadable = facts.latest_of_batch(valid, F.col("_place")).drop("_place")
     known = {t: warehouse.read(t) for t in facts.DIMENSIONS}
     # A micro-batch is small next to the dimensions: no key of it needs the skew-proof lookup.
     fact = write_stage(facts.as_fact(facts.resolve_keys(loadable, known, large=set()), at), "live-resolved")
@@ -110,8 +116,21 @@ def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, ord
         warehouse.upsert_mart("fact_daily_agent_activity", write_stage(full, "live-days"), ["agent_key", "date_key"])
 
 
+def _run_id(batch: DataFrame, batch_id: int) -> str:
+    """Id of a micro-batch: the same when it is repeated, also after a restart, and never that of another stream."""
+    stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream_id:
+        raise RuntimeError("a micro-batch without the id of its stream")
+    return f"{stream_id}_{batch_id:08d}"
+
+
+def _numbered(batch: DataFrame, order: list[str]) -> DataFrame:
+    """Landed records numbered as they lie in their files, where ``order`` asks for it."""
+    return batch.withColumn("_row", F.monotonically_increasing_id()) if "_row" in order and "_row" not in batch.columns else batch
+
+
 def start_ingest(
-    stream: DataFrame, warehouse: Warehouse, checkpoint: str, order: list[str], trigger: dict | None = None,
+    stream: DataFrame, warehouse: Warehouse, checkpoint: str, order: list[str] = LANDED_ORDER, trigger: dict | None = None,
     at: Column | None = None, zero_rate: bool = False,
 ) -> StreamingQuery:
     """Run ``ingest`` for every micro-batch of a stream of event records.
@@ -121,7 +140,8 @@ def start_ingest(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         prepare(batch.sparkSession)
-        ingest(batch, warehouse, f"batch_{batch_id:08d}", F.current_timestamp() if at is None else at, order, zero_rate)
+        now = F.current_timestamp() if at is None else at
+        ingest(_numbered(batch, order), warehouse, _run_id(batch, batch_id), now, order, zero_rate)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -129,15 +149,16 @@ def start_ingest(
     )
 
 
-def start_leads(stream: DataFrame, warehouse: Warehouse, checkpoint: str, order: list[str], trigger: dict | None = None,
+def start_leads(stream: DataFrame, warehouse: Warehouse, checkpoint: str, order: list[str] = LANDED_ORDER, trigger: dict | None = None,
                 at: Column | None = None) -> StreamingQuery:
     """Live lead registration: each micro-batch goes through the type-2 merge of the lead dimension."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         prepare(batch.sparkSession)
         now = F.current_timestamp() if at is None else at
-        routed = write_stage(clean.route(batch, "leads", order), "live-leads")
-        warehouse.append("dead_letter_queue", clean.dead_letters(routed, f"leads_{batch_id:08d}", now))
+        judged = clean.check_limits(clean.route(_numbered(batch, order), "leads", order), "dim_lead")
+        routed = write_stage(judged, "live-leads")
+        warehouse.append("dead_letter_queue", clean.dead_letters(routed, _run_id(batch, batch_id), now))
         merged = dims.merge_leads(warehouse.read("dim_lead"), clean.clean_rows(routed), now)
         warehouse.replace("dim_lead", merged)
 

@@ -1,6 +1,6 @@
-"""Registered queries against their SQL on DuckDB, over the smallest data set.
+"""The library's own queries against their SQL on DuckDB, over the smallest data set.
 
-A cross-section by default; ALL_QUERIES=1 runs every query. ``tools/check_results.py`` does the same at any scale.
+``tools/check_results.py`` does the same at any scale, for all registered queries.
 """
 
 import os
@@ -10,17 +10,13 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from funnelspark.plans import catalog, expected
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 from check_results import TABLES, compare  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-SAMPLE = [
-    "clean_events", "rejected_events", "clean_leads", "scd2_leads", "event_upsert", "daily_agent_activity", "campaign_performance",
-    "dq_history", "anomaly_history", "risk_scores", "segment_rates", "archive_events", "crm_leads", "entity_files",
-]
-QUERIES = entry.queries()
-NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else SAMPLE
+QUERIES, STATEMENTS = catalog.registered(), expected.statements()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables absent")
 
@@ -36,12 +32,13 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(STATEMENTS) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    verdict = compare(QUERIES[name](spark, FOLDER), entry.oracle_sql()[name], con)
+    verdict = compare(QUERIES[name](spark, FOLDER), STATEMENTS[name], con)
     assert verdict in ("", "EMPTY"), verdict
 
 

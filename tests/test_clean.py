@@ -104,6 +104,18 @@ def test_replay(spark):
     assert again.count() == 0
 
 
+def test_replay_of_two_letters_of_one_key(spark):
+    """A letter that is still broken hides no corrected one; of two corrected ones the first is loaded."""
+    at = F.lit(AT).cast("timestamp")
+    bad = clean.dead_letters(routed(spark, [(1, "e1", "a", "sent", "bad", None), (2, "e2", "a", "sent", "bad", None)]), "r", at)
+    good = F.regexp_replace("record_payload", '"bad"', '"2026-08-15"')
+    later = bad.withColumns({"record_payload": good, "created_at": F.lit("2026-08-21").cast("timestamp"), "run_id": F.lit("r2")})
+    mended = bad.withColumn("record_payload", F.when(F.col("source_id") == "e2", good).otherwise(F.col("record_payload"))).unionByName(later)
+    fixed, updated = clean.replay(mended, "events", at)
+    assert sorted(r.event_source_id for r in fixed.collect()) == ["e1", "e2"]
+    assert {(r.source_id, r.run_id, r.resolved) for r in updated.collect()} == {("e1", "r", False), ("e1", "r2", True), ("e2", "r", True), ("e2", "r2", True)}
+
+
 def test_leads_without_id(spark):
     rows = [(1, None, "Ann", "Lee", None), (2, None, "Ann", "Lee", None), (3, None, None, None, None), (4, None, None, None, "https://x/in/a")]
     raw = spark.createDataFrame(rows, "pos int, id string, first_name string, last_name string, URL string")

@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from funnelspark.operators import clean
 from funnelspark.plans import batch
 from funnelspark.sources.warehouse import Warehouse
 from funnelspark.streaming import live
@@ -78,6 +79,43 @@ def test_failed_run_is_recorded(spark, tmp_path):
     assert run.status == "FAILED" and run.error_message and run.dq_score is None
 
 
+def test_failed_run_keeps_its_letters(spark, tmp_path, monkeypatch):
+    write_sources(tmp_path)
+
+    def broken(*_):
+        raise ValueError("no marts today")
+
+    monkeypatch.setattr(batch, "refresh_marts", broken)
+    with pytest.raises(ValueError):
+        batch.run_batch(spark, str(tmp_path), str(tmp_path / "wh"), AS_OF, "run_1", buckets=4)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), buckets=4)
+    assert warehouse.read("fact_pipeline_run").first().error_message == "no marts today"
+    assert {r.error_type for r in warehouse.read("dead_letter_queue").collect()} == {"missing_agent_id", "bad_timestamp"}
+
+
+def test_replay_of_stored_letters(spark, tmp_path):
+    root, at = str(tmp_path), F.lit("2026-08-20").cast("timestamp")
+    raw = spark.createDataFrame([(1, "x" * 201, "sent", "2026-08-15"), (2, "e2", "sent", "never"), (3, "e3", None, "2026-08-15")],
+                                "pos int, id string, event_type string, timestamp string")
+    judged = clean.check_limits(clean.route(raw, "events", ["pos"]), "fact_outreach_event")
+    letters = clean.dead_letters(judged, "r1", at)
+    assert {(r.source_id, r.source) for r in letters.collect()} == {("x" * 201, "loader"), ("e2", "transformer"), ("e3", "transformer")}
+    mended = F.regexp_replace(F.regexp_replace("record_payload", "x{201}", "e1"), "never", "2026-08-16")
+    warehouse = Warehouse(spark, root, buckets=4)
+    warehouse.append("dead_letter_queue", letters.withColumn("record_payload", mended))
+    others = clean.dead_letters(clean.route(spark.createDataFrame([(1, None)], "pos int, id string"), "agents", ["pos"]), "r1b", at)
+    warehouse.append("dead_letter_queue", others)
+
+    def state():
+        return {(r.error_type, r.resolved, r.resolved_at is not None) for r in warehouse.read("dead_letter_queue").collect()}
+
+    assert batch.replay_letters(spark, root, AS_OF, "events", buckets=4) == {"resolved": 2, "rows_loaded": 2}
+    after = {("too_long", True, True), ("bad_timestamp", True, True), ("missing_event_type", False, False), ("missing_agent_id", False, False)}
+    assert state() == after and warehouse.read("dead_letter_queue").count() == 4
+    assert {r.event_source_id for r in warehouse.read("fact_outreach_event").collect()} == {"e1", "e2"}
+    assert batch.replay_letters(spark, root, AS_OF, "events", buckets=4) == {"resolved": 0, "rows_loaded": 0} and state() == after
+
+
 def test_risk_run(spark, loaded):
     folder, warehouse, _ = loaded
     profiles = {r.agent_id: r for r in batch.run_risk(spark, str(folder / "wh"), buckets=4).collect()}
@@ -126,6 +164,25 @@ def test_replayed_micro_batch_changes_nothing(spark, loaded, tmp_path):
         assert warehouse.read("dead_letter_queue").count() == 1
 
 
+def test_two_streams_keep_their_letters_and_receipts(spark, tmp_path):
+    warehouse, at = Warehouse(spark, str(tmp_path / "wh"), buckets=4), F.lit("2026-08-20").cast("timestamp")
+    for name in ("a", "b"):
+        folder = tmp_path / name
+        folder.mkdir()
+        records = [{"id": name * 201, "event_type": "sent", "timestamp": "2026-08-15"}, {"id": name, "event_type": "sent", "timestamp": "2026-08-15"},
+                   {"id": name, "event_type": "reply", "timestamp": "2026-08-16", "status": "DUP"}]
+        (folder / "1.json").write_text("\n".join(map(json.dumps, records)))
+        stream = live.read_landing(spark, str(folder))
+        live.start_ingest(stream, warehouse, str(tmp_path / f"cp-{name}"), at=at).awaitTermination()
+    receipts = warehouse.read("live_receipts", live.RECEIPTS).collect()
+    assert sorted((r.event_id[0], len(r.event_id), r.status) for r in receipts) == [
+        (n, k, s) for n in "ab" for k, s in ((1, "SUCCESS"), (1, "SUCCESS"), (201, "DEAD_LETTERED"))]
+    assert len({r.run_id for r in receipts}) == 2
+    assert {(r.source_id[0], r.source, r.error_type) for r in warehouse.read("dead_letter_queue").collect()} == {(n, "loader", "too_long") for n in "ab"}
+    # Of two copies in one file the first fixes the kind, the last the status.
+    assert {(r.event_source_id, r.event_type, r.event_status) for r in warehouse.read("fact_outreach_event").collect()} == {(n, "INVITE_SENT", "DUP") for n in "ab"}
+
+
 def test_webhooks(spark):
     at = F.lit("2026-08-20 01:02:03").cast("timestamp")
     raw = spark.createDataFrame([(None, "acc", "l1", "reply", None), ("w1", None, None, None, "2026-08-01")],
