@@ -92,6 +92,7 @@ def absent_from(events: DataFrame, fact: DataFrame) -> DataFrame:
 ARCHIVE_AGENT = {"agent_id": "my_live_account", "status": "active", "tier_key": 5}
 ARCHIVE_CAMPAIGN = {
     "campaign_id": "camp_personal_network",
+    "campaign_name": "Personal LinkedIn Network",
     "campaign_type": "ORGANIC_NETWORK",
     "target_segment": "Professional Network",
 }
