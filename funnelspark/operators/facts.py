@@ -89,7 +89,7 @@ def absent_from(events: DataFrame, fact: DataFrame) -> DataFrame:
 # ── Events derived from imports ───────────────────────────────────────────────
 
 # The agent and campaign an archive import books its events on.
-ARCHIVE_AGENT = {"agent_id": "my_live_account", "status": "active", "tier_key": 5}
+ARCHIVE_AGENT = {"agent_id": "my_live_account", "display_name": "My LinkedIn Account", "status": "active", "tier_key": 5}
 ARCHIVE_CAMPAIGN = {
     "campaign_id": "camp_personal_network",
     "campaign_name": "Personal LinkedIn Network",
