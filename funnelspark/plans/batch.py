@@ -13,7 +13,7 @@ from funnelspark.operators import clean, dims, facts, marts, quality, risk
 from funnelspark.schemas import shape
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources import files, imports
-from funnelspark.sources.warehouse import Warehouse, month_of
+from funnelspark.sources.warehouse import BUCKETS, Warehouse, month_of
 
 # entity → (dimension table, merge); events are loaded after all of them.
 ENTITIES = {
@@ -31,7 +31,7 @@ def moment(at: datetime | str) -> Column:
 def seed(warehouse: Warehouse) -> None:
     """Static tables, written once."""
     spark = warehouse.spark
-    if not warehouse._versions("dim_account_tier"):
+    if not warehouse.written("dim_account_tier"):
         warehouse.replace("dim_account_tier", dims.account_tiers(spark))
 
 
@@ -59,7 +59,7 @@ class Run:
     def keep_letters(self, warehouse: Warehouse) -> None:
         """Store the rejects so far, in the place of those stored before under this run id."""
         if self.letters:
-            warehouse.append("dead_letter_queue", quality.union_all(self.letters))
+            warehouse.append("dead_letter_queue", quality.union_all(self.letters), [self.run_id])
 
     def judge(self, raw: DataFrame, entity: str, table: str, order: list[str]) -> DataFrame | None:
         """Clean one entity: stage the verdicts once, keep the rejects, return the loadable rows.
@@ -90,7 +90,7 @@ def run_batch(
     root: str,
     as_of: datetime,
     run_id: str | None = None,
-    buckets: int = 64,
+    buckets: int = BUCKETS,
     entity_frames: dict[str, tuple[DataFrame, list[str]]] | None = None,
 ) -> dict:
     """Full load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
@@ -146,7 +146,7 @@ def _store(warehouse: Warehouse, run: Run, entity: str, table: str, rows: DataFr
     run.loaded += done or 0
 
 
-def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str, run_id: str | None = None, buckets: int = 64) -> dict:
+def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str, run_id: str | None = None, buckets: int = BUCKETS) -> dict:
     """Judge the open dead letters of an entity again, load those that pass now, and mark exactly them resolved.
 
     Letters are marked after the load, so a crash in between only means that the next replay loads the same rows once more, which changes nothing.
@@ -165,7 +165,7 @@ def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str,
         others = letters.filter(F.coalesce(F.col("resolved"), F.lit(False)) | ~clean.letters_of(entity))
         touched = verdicts.filter("resolved").select("run_id").distinct()
         renewed = verdicts.unionByName(shape(others, "dead_letter_queue")).join(touched, "run_id", "left_semi")
-        warehouse.append("dead_letter_queue", write_stage(shape(renewed, "dead_letter_queue"), "letters-renewed"))
+        warehouse.append("dead_letter_queue", write_stage(shape(renewed, "dead_letter_queue"), "letters-renewed"), [r[0] for r in touched.collect()])
     return {"resolved": resolved, "rows_loaded": run.loaded}
 
 
@@ -189,7 +189,7 @@ def check(warehouse: Warehouse, run_id: str, at: Column) -> float:
     """All quality checks over the stored tables; appends the history and returns the composite."""
     tables = {t: warehouse.read(t) for t in CHECKED} | {"dim_date": dims.calendar(warehouse.spark)}
     checks = write_stage(quality.run_checks(tables, at), "checks")
-    warehouse.append("dq_results", quality.history_rows(checks, run_id, at))
+    warehouse.append("dq_results", quality.history_rows(checks, run_id, at), [run_id])
     return quality.composite(checks).head()[0]
 
 
@@ -205,10 +205,10 @@ def record(warehouse: Warehouse, run: Run, as_of: datetime, started: float, stat
         *[F.lit(v).alias(k) for k, v in values.items()],
         moment(as_of).alias("start_time"), moment(as_of + timedelta(seconds=seconds)).alias("end_time"),
     )
-    warehouse.append("fact_pipeline_run", shape(row, "fact_pipeline_run"))
+    warehouse.append("fact_pipeline_run", shape(row, "fact_pipeline_run"), [run.run_id])
 
 
-def run_risk(spark: SparkSession, root: str, buckets: int = 64) -> DataFrame:
+def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFrame:
     """Score all current agents, write the scores onto their newest activity rows, return the profiles."""
     prepare(spark)
     warehouse = Warehouse(spark, root, buckets)
@@ -220,7 +220,7 @@ def run_risk(spark: SparkSession, root: str, buckets: int = 64) -> DataFrame:
     return profiles
 
 
-def import_crm(spark: SparkSession, paths: list[str], root: str, as_of: datetime, agent: dict, campaign: dict, buckets: int = 64) -> dict:
+def import_crm(spark: SparkSession, paths: list[str], root: str, as_of: datetime, agent: dict, campaign: dict, buckets: int = BUCKETS) -> dict:
     """CRM export files → leads refreshed in place, events added where absent. Returns rows per action."""
     prepare(spark)
     warehouse, at = Warehouse(spark, root, buckets), moment(as_of)
@@ -235,7 +235,7 @@ def import_crm(spark: SparkSession, paths: list[str], root: str, as_of: datetime
 
 
 def import_archive(
-    spark: SparkSession, root: str, as_of: datetime, connections: list[str] = (), invitations: list[str] = (), buckets: int = 64
+    spark: SparkSession, root: str, as_of: datetime, connections: list[str] = (), invitations: list[str] = (), buckets: int = BUCKETS
 ) -> dict:
     """Account archive files → connected leads with their ACCEPTED events, and INVITE_SENT events."""
     prepare(spark)

@@ -785,7 +785,7 @@ def replayed_loader_rejects(i: Inputs) -> DataFrame:
         judged = clean.check_limits(clean.route(raw, "leads", ["pos"]), "dim_lead")
         letters = clean.dead_letters(judged, "run_1", i.loaded)
         shorter = F.regexp_replace("record_payload", '"last_name":".*","segment"', '"last_name":"Cut","segment"')
-        warehouse.append("dead_letter_queue", letters.withColumn("record_payload", shorter))
+        warehouse.append("dead_letter_queue", letters.withColumn("record_payload", shorter), ["run_1"])
         batch.replay_letters(i.spark, root, datetime(2024, 1, 30), "leads", buckets=8)
 
     warehouse = Warehouse(i.spark, i.once("replayed-letters", run), buckets=8)

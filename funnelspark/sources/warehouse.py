@@ -1,16 +1,24 @@
 """Warehouse tables on plain parquet (SRC-7, SRC-13..SRC-16).
 
-Three ways of writing, by the kind of table:
+A write never touches files that readers may follow. It puts its rows into a new load folder, then switches a small manifest by one atomic
+rename: before the rename nothing has changed, after it everything has. A crash leaves an unnamed folder behind, which ``expire`` removes.
+The manifest lists the live loads and, per part of the table, the load from which on rows of that part count (its floor):
 
-* ``replace``  – dimensions and small tables: a fresh version folder; readers take the newest finished one;
-* ``append``   – logs (dead letters, check history, receipts): one partition per run, rewritten when a run is repeated;
-* ``upsert_*`` – the event fact and the daily marts: only the partitions that change are rewritten.
+* ``replace``  – dimensions and small tables: the new load is the only one;
+* ``append``   – logs (dead letters, check history, receipts): the part is the run, so a repeated run replaces its rows;
+* ``upsert_*`` – the event fact (parts by id bucket and month), daily marts (by month) and leads (by id bucket): changed parts are written anew.
 
-Where a table format with MERGE is at hand, the upserts become one MERGE; the results are the same.
+Loads are merged in tiers of ``FAN``, so files and folders stay few however many micro-batches arrive. Where a table format with MERGE is
+at hand, the upserts become one MERGE; the results are the same.
 """
 
 from __future__ import annotations
 
+import functools
+import json
+import uuid
+from collections import defaultdict
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,155 +30,322 @@ from funnelspark.session import write_stage
 from funnelspark.sources.files import _fs, list_files
 
 LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run"}
+#: Columns that name the parts of a table, each with its type and the folders written by them. Logs keep the run as a column of their files.
 PARTITIONED = {
     "fact_outreach_event": "bucket int, month int",
     "fact_daily_agent_activity": "month int",
     "fact_campaign_performance": "month int",
+    "dim_lead": "bucket int",
 }
+#: Loads of one tier that are merged into one of the next.
+FAN = 32
+#: Id buckets of a new warehouse. The number is stored with each table; ``rebucket`` changes it.
+BUCKETS = 2048
 
 
-def event_bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("event_source_id"), F.lit(buckets)).cast("int")
+class ConcurrentWrite(RuntimeError):
+    """Another writer has switched the manifest since it was read."""
+
+
+def id_bucket(buckets: int, key: str = "event_source_id") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def month_of(date_key: str = "date_key") -> Column:
     return F.floor(F.col(date_key) / 100).cast("int")
 
 
+def _parts(table: str) -> list[str]:
+    if table in PARTITIONED:
+        return [c.split()[0] for c in PARTITIONED[table].split(", ")]
+    return ["run_id"] if table in LOGS else []
+
+
+def _repeated(method: Callable) -> Callable:
+    """Do a write again from the newest state when another writer was faster."""
+
+    @functools.wraps(method)
+    def run(self, *args, **kwargs):
+        for _ in range(9):
+            try:
+                return method(self, *args, **kwargs)
+            except ConcurrentWrite:
+                continue
+        return method(self, *args, **kwargs)
+
+    return run
+
+
+def _within(columns: list[str], parts: list[tuple]) -> Column:
+    """Rows that lie in one of the parts. One list per value of all columns but the first."""
+    lists = defaultdict(list)
+    for first, *rest in parts:
+        lists[tuple(rest)].append(first)
+    hits = []
+    for rest, firsts in lists.items():
+        hit = F.coalesce(F.col(columns[0]).isin([f for f in firsts if f is not None]), F.lit(False))
+        if None in firsts:
+            hit = hit | F.col(columns[0]).isNull()
+        hits.append(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in zip(columns[1:], rest)], hit))
+    return reduce(lambda a, b: a | b, hits)
+
+
 class Warehouse:
-    """Tables under one root folder. ``buckets`` fixes how the event fact is split by id and never changes."""
+    """Tables under one root folder. ``buckets`` is how tables made from now on are split by id; existing ones keep their own number."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        # Newest version of a table this object has read or written: what a replacement is based on.
+        self._seen: dict[str, int] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def exists(self, path: str) -> bool:
-        fs, hadoop = _fs(self.spark, path)
-        return fs.exists(hadoop)
+    # ── Manifest ──
+
+    def _newest(self, table: str) -> tuple[int, dict]:
+        """Number and content of the newest manifest."""
+        names = list_files(self.spark, self.path(table), "versions/*.json")
+        if not names:
+            return 0, {"buckets": self.buckets, "loads": [], "floors": []}
+        fs, path = _fs(self.spark, names[-1])
+        stream = fs.open(path)
+        try:
+            return int(path.getName().removesuffix(".json")), json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def written(self, table: str) -> bool:
+        return self._newest(table)[0] > 0
+
+    def buckets_of(self, table: str) -> int:
+        return self._newest(table)[1]["buckets"]
+
+    def _switch(self, table: str, base: int, manifest: dict) -> None:
+        """Make ``manifest`` the version after ``base``, unless another writer has made one: a rename that overwrites nothing."""
+        target = f"{self.path(table)}/versions/{base + 1:08d}.json"
+        draft = f"{self.path(table)}/drafts/{uuid.uuid4().hex}.json"
+        fs, path = _fs(self.spark, draft)
+        stream = fs.create(path, True)
+        try:
+            stream.write(bytearray(json.dumps(manifest), "utf-8"))
+        finally:
+            stream.close()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        _, final = _fs(self.spark, target)
+        fs.mkdirs(final.getParent())
+        context = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(path, final, self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0))
+        except Exception as error:
+            if fs.exists(final):
+                raise ConcurrentWrite(f"{table}: version {base + 1} was written meanwhile") from error
+            raise
+        self._seen[table] = base + 1
 
     # ── Reading ──
 
-    def _versions(self, table: str) -> list[str]:
-        done = list_files(self.spark, self.path(table), "v=*/_SUCCESS")
-        return [p.rsplit("/", 1)[0] for p in done]
-
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Current rows of a table, none before its first write."""
-        if table in LOGS or table in PARTITIONED:
-            if not self.exists(self.path(table)):
-                return self._empty(table, schema)
-            reader = self.spark.read.option("mergeSchema", False)
-            return reader.schema(schema or self._stored_schema(table)).parquet(self.path(table))
-        versions = self._versions(table)
-        if not versions:
-            return self._empty(table, schema)
-        return self.spark.read.schema(schema or table_schema(table)).parquet(versions[-1])
+        version, manifest = self._newest(table)
+        self._seen[table] = version
+        rows = self._live(table, manifest, [name for name, _ in manifest["loads"]], schema)
+        return rows.drop("load", "bucket") if table.startswith("dim_") else rows.drop("load")
+
+    def _live(self, table: str, manifest: dict, loads: list[str], schema: str | None = None) -> DataFrame:
+        """Rows of the given loads that no later load of their part has replaced. On folders this prunes, so no replaced file is opened."""
+        schema = schema or self._stored_schema(table)
+        if not loads:
+            return self.spark.createDataFrame([], f"{schema}, load string").limit(0)
+        base = f"{self.path(table)}/data"
+        rows = self.spark.read.schema(f"{schema}, load string").option("basePath", base).parquet(*[f"{base}/load={n}" for n in loads])
+        floors = defaultdict(list)
+        for *part, name in manifest["floors"]:
+            if name > min(loads):
+                floors[name].append(tuple(part))
+        for name, parts in floors.items():
+            rows = rows.filter(~((F.col("load") < name) & _within(_parts(table), parts)))
+        return rows
 
     def _stored_schema(self, table: str) -> str:
         return ", ".join(filter(None, [TABLES[table], PARTITIONED.get(table)]))
 
-    def _empty(self, table: str, schema: str | None) -> DataFrame:
-        if schema is None and table not in PARTITIONED:
-            return dims.empty(self.spark, table)
-        columns = self.spark.createDataFrame([], schema or self._stored_schema(table))
-        return columns.limit(0)
-
     # ── Writing ──
 
+    def _put(self, df: DataFrame, table: str, base: int) -> str:
+        """Rows as a new load, not yet named by any manifest. Large parts are split over tasks, small ones share a task and a file."""
+        name = f"{base + 1:08d}-{uuid.uuid4().hex[:12]}"
+        folders = _parts(table) if table in PARTITIONED else []
+        if folders:
+            within = [*folders, *[c for c in ("event_source_id", "lead_id", "agent_key", "campaign_key") if c in df.columns][:1]]
+            df = df.hint("rebalance", *folders).sortWithinPartitions(*within)
+        df.write.partitionBy(*folders).parquet(f"{self.path(table)}/data/load={name}")
+        return name
+
+    def _commit(self, table: str, base: int, manifest: dict, df: DataFrame, parts: list[tuple]) -> None:
+        """Add rows as a load; of ``parts``, only the rows of this load count from now on."""
+        name = self._put(df, table, base)
+        parts = set(parts) if manifest["loads"] else set()
+        kept = [f for f in manifest["floors"] if tuple(f[:-1]) not in parts]
+        made = {**manifest, "loads": [*manifest["loads"], [name, 0]], "floors": [*kept, *[[*p, name] for p in sorted(parts, key=repr)]]}
+        self._switch(table, base, made)
+        self._merge_tiers(table)
+
+    def _merge_tiers(self, table: str) -> None:
+        """Merge the newest loads while ``FAN`` of a tier are there. A faster writer only puts it off."""
+        try:
+            while True:
+                base, manifest = self._newest(table)
+                tier = min((level for _, level in manifest["loads"]), default=0)
+                if sum(level == tier for _, level in manifest["loads"]) < FAN:
+                    return
+                self._merge(table, base, manifest, tier)
+        except ConcurrentWrite:
+            return
+
+    def _merge(self, table: str, base: int, manifest: dict, tier: int) -> None:
+        merged = [name for name, level in manifest["loads"] if level <= tier]
+        older = [load for load in manifest["loads"] if load[1] > tier]
+        name = self._put(self._live(table, manifest, merged).drop("load"), table, base)
+        # Floors still hide what older loads have of those parts; without older loads there is nothing to hide.
+        floors = [[*f[:-1], name if f[-1] in merged else f[-1]] for f in manifest["floors"]] if older else []
+        self._switch(table, base, {**manifest, "loads": [*older, [name, tier + 1]], "floors": floors})
+
+    def compact(self, table: str) -> None:
+        """Merge all loads of a table into one."""
+        base, manifest = self._newest(table)
+        if len(manifest["loads"]) > 1:
+            self._merge(table, base, manifest, max(level for _, level in manifest["loads"]))
+
+    def rebucket(self, table: str, buckets: int) -> None:
+        """Write a table anew under another number of id buckets."""
+        base, manifest = self._newest(table)
+        loads = [name for name, _ in manifest["loads"]]
+        key = "lead_id" if table == "dim_lead" else "event_source_id"
+        rows = self._live(table, manifest, loads).drop("load").withColumn("bucket", id_bucket(buckets, key))
+        name = self._put(rows, table, base)
+        self._switch(table, base, {"buckets": buckets, "loads": [[name, 0]], "floors": []})
+
+    def expire(self, table: str, keep: int = 10) -> None:
+        """Delete manifests but the newest ``keep`` and loads none of those names. Run it when no writer is at work on the table."""
+        names = list_files(self.spark, self.path(table), "versions/*.json")
+        live: set[str] = set()
+        for name in names[-keep:]:
+            fs, path = _fs(self.spark, name)
+            stream = fs.open(path)
+            live |= {load for load, _ in json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["loads"]}
+            stream.close()
+        fs, data = _fs(self.spark, f"{self.path(table)}/data")
+        for status in fs.listStatus(data) if fs.exists(data) else []:
+            if status.getPath().getName().removeprefix("load=") not in live:
+                fs.delete(status.getPath(), True)
+        for name in names[:-keep]:
+            fs.delete(_fs(self.spark, name)[1], False)
+
     def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Write a whole new version and return it. An unfinished version is never read."""
-        versions = self._versions(table)
-        last = int(versions[-1].rsplit("=", 1)[1]) if versions else 0
-        target = f"{self.path(table)}/v={last + 1:08d}"
-        # A crashed run may have left the folder behind without its success mark.
-        shape(df, table).write.mode("overwrite").parquet(target)
-        return self.spark.read.schema(table_schema(table)).parquet(target)
-
-    def append(self, table: str, df: DataFrame, by: str = "run_id") -> None:
-        self._overwrite_touched(df, table, [by])
-
-    def _overwrite_touched(self, df: DataFrame, table: str, by: list[str]) -> None:
-        """Replace exactly the partitions that occur in ``df``."""
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*by).parquet(self.path(table))
+        """Write a whole new version of a table and return it. Refused if another writer has changed the table since this object read it."""
+        base, manifest = self._newest(table)
+        if self._seen.get(table, base) != base:
+            raise ConcurrentWrite(f"{table}: changed since it was read")
+        rows = shape(df, table)
+        if "bucket" in _parts(table):
+            rows = rows.withColumn("bucket", id_bucket(manifest["buckets"], "lead_id"))
+        self._switch(table, base, {**manifest, "loads": [[self._put(rows, table, base), 0]], "floors": []})
+        return self.read(table)
+
+    @_repeated
+    def append(self, table: str, df: DataFrame, run_ids: list[str]) -> None:
+        """Add the rows of runs to a log, in place of those stored before under the same run ids."""
+        base, manifest = self._newest(table)
+        self._commit(table, base, manifest, df, [(r,) for r in run_ids])
+
+    @_repeated
+    def merge_leads(self, incoming: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """Apply ``merge`` (stored rows → new rows) to the id buckets that ``incoming`` touches; other buckets keep their files."""
+        table = "dim_lead"
+        base, manifest = self._newest(table)
+        bucket = id_bucket(manifest["buckets"], "lead_id")
+        # At most ``buckets`` integers.
+        touched = [r[0] for r in incoming.select(bucket.alias("bucket")).distinct().collect()]
+        if not touched:
+            return
+        stored = self._live(table, manifest, [n for n, _ in manifest["loads"]]).filter(F.col("bucket").isin(touched)).drop("load", "bucket")
+        rows = shape(merge(stored), table).withColumn("bucket", bucket)
+        self._commit(table, base, manifest, rows, [(b,) for b in touched])
 
+    @_repeated
     def upsert_events(self, incoming: DataFrame) -> dict[str, int]:
         """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action.
 
         The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch
         are scanned, for id, status and response time, once: a semi-join with the batch's ids (broadcast by Catalyst
-        when they are few) leaves just the rows the batch repeats. New rows are appended; only the
-        (bucket, month) parts that hold a row with a new status or response time are rewritten. A crash in
-        between leaves rows a repeated batch recognises, so repeating it converges.
+        when they are few) leaves just the rows the batch repeats. New rows and the whole of those (bucket, month) parts that hold a row
+        with a new status or response time become one load and one switch, so a load happens whole or not at all.
         """
         table, key = "fact_outreach_event", "event_source_id"
-        rows = shape(incoming, table).withColumns({"bucket": event_bucket(self.buckets), "month": month_of()})
-        if not self.exists(self.path(table)):
-            self._append_events(rows)
+        base, manifest = self._newest(table)
+        rows = shape(incoming, table).withColumns({"bucket": id_bucket(manifest["buckets"]), "month": month_of()})
+        if not manifest["loads"]:
+            self._commit(table, base, manifest, rows, [])
             return {"insert": rows.count(), "update": 0, "skip": 0}
         # At most ``buckets`` integers.
         touched = [r[0] for r in rows.select("bucket").distinct().collect()]
         columns = facts.EVENT_UPDATES
-        stored = self.read(table).filter(F.col("bucket").isin(touched))
+        stored = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("bucket").isin(touched))
         known = write_stage(
             stored.join(rows.select("bucket", key), ["bucket", key], "left_semi").select(
-                "bucket", key, F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
+                "bucket", key, F.lit(True).alias("_known"), F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
             ),
             "known-events",
         )
         differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns])
-        action = F.when(F.col("_month").isNull(), "insert").when(differs, "update").otherwise("skip")
+        action = F.when(F.col("_known").isNull(), "insert").when(differs, "update").otherwise("skip")
         judged = rows.join(known, ["bucket", key], "left").withColumn("action", action)
         # At most three rows per (bucket, month).
         summary = judged.groupBy("bucket", "_month", "action").count().collect()
-        parts = {(r["bucket"], r["_month"]) for r in summary if r["action"] == "update"}
+        parts = list({(r["bucket"], r["_month"]) for r in summary if r["action"] == "update"})
+        written = judged.filter("action = 'insert'").select(*rows.columns)
         if parts:
-            hit = reduce(lambda a, b: a | b, [
-                (F.col("month") == m) & F.col("bucket").isin([b for b, n in parts if n == m]) for m in {m for _, m in parts}
-            ])
             renewed = judged.filter("action = 'update'").select(
                 "bucket", key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in columns]
             )
-            rewritten = stored.filter(hit).join(renewed, ["bucket", key], "left").withColumns({
+            rewritten = stored.filter(_within(["bucket", "month"], parts)).join(renewed, ["bucket", key], "left").withColumns({
                 c: F.when(F.col("_given"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns
             })
-            self._overwrite_touched(rewritten.select(*rows.columns), table, ["bucket", "month"])
-        if any(r["action"] == "insert" for r in summary):
-            self._append_events(judged.filter("action = 'insert'").select(*rows.columns))
+            written = written.unionByName(rewritten.select(*rows.columns))
         counts = {"insert": 0, "update": 0, "skip": 0}
         for r in summary:
             counts[r["action"]] += r["count"]
+        if counts["insert"] or counts["update"]:
+            self._commit(table, base, manifest, written, parts)
         return counts
 
-    def _append_events(self, rows: DataFrame) -> None:
-        # Ids are unique, so buckets are even and no write task gets more than its share.
-        rows.repartition("bucket", "month").write.mode("append").partitionBy("bucket", "month").parquet(
-            self.path("fact_outreach_event")
-        )
-
+    @_repeated
     def upsert_mart(self, table: str, fresh: DataFrame, by: list[str]) -> None:
         """Merge recomputed groups into a daily mart, rewriting only the months they lie in."""
+        base, manifest = self._newest(table)
         fresh = shape(fresh, table).withColumn("month", month_of())
         # One integer per calendar month.
         months = [r[0] for r in fresh.select("month").distinct().collect()]
-        old = self.read(table).filter(F.col("month").isin(months))
-        keys = [*by, "month"]
+        if not months:
+            return
+        old = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("month").isin(months))
         measures = [c for c in table_schema(table).names if c not in by and c != "anomaly_score"]
-        merged = dims.upsert(old, fresh, keys, measures).drop("_action")
-        if months:
-            self._overwrite_touched(merged.repartition("month", *by), table, ["month"])
+        merged = dims.upsert(old, fresh, [*by, "month"], measures).drop("_action")
+        self._commit(table, base, manifest, merged.select(*old.columns), [(m,) for m in months])
 
+    @_repeated
     def put_scores(self, scored: DataFrame) -> None:
         """Write risk scores onto their activity rows; only the months that hold such rows are rewritten."""
         table, by = "fact_daily_agent_activity", ["agent_key", "date_key"]
+        base, manifest = self._newest(table)
         scores = scored.select(*by, F.col("anomaly_score").alias("_score"), month_of().alias("month"))
         months = [r[0] for r in scores.select("month").distinct().collect()]
-        old = self.read(table).filter(F.col("month").isin(months))
+        if not months:
+            return
+        old = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("month").isin(months))
         updated = old.join(scores, [*by, "month"], "left").withColumn("anomaly_score", F.coalesce("_score", "anomaly_score"))
-        if months:
-            self._overwrite_touched(updated.select(*old.columns), table, ["month"])
+        self._commit(table, base, manifest, updated.select(*old.columns), [(m,) for m in months])
 
     # ── Watermarks ──
 

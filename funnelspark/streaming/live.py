@@ -12,12 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from funnelspark.functions import text
 from funnelspark.operators import clean, dims, facts, marts
-from funnelspark.schemas import RAW_FIELDS, conform, raw_schema
+from funnelspark.schemas import RAW_FIELDS, TABLES, conform, raw_schema
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources.warehouse import Warehouse, month_of
 
 ARRIVED = "_arrived"
-RECEIPTS = "event_id string, event_type string, status string, warning string, persisted_at timestamp, run_id string"
+RECEIPTS = TABLES["live_receipts"]
 # Fixed value: the warning of a receipt.
 DEAD_LETTER_WARNING = "Event format failed validation and was routed to Dead-Letter Queue."
 
@@ -94,8 +94,8 @@ def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, ord
     """
     judged = clean.check_limits(clean.route(events, "events", order, dedup=False), "fact_outreach_event")
     routed = write_stage(judged, "live-routed")
-    warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at))
-    warehouse._overwrite_touched(receipts(routed, run_id, at), "live_receipts", ["run_id"])
+    warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at), [run_id])
+    warehouse.append("live_receipts", receipts(routed, run_id, at), [run_id])
 
     columns = routed.columns[: routed.columns.index("_raw")]
     places = [f"_o_{c}" for c in order]
@@ -151,16 +151,16 @@ def start_ingest(
 
 def start_leads(stream: DataFrame, warehouse: Warehouse, checkpoint: str, order: list[str] = LANDED_ORDER, trigger: dict | None = None,
                 at: Column | None = None) -> StreamingQuery:
-    """Live lead registration: each micro-batch goes through the type-2 merge of the lead dimension."""
+    """Live lead registration: each micro-batch goes through the type-2 merge of the id buckets it touches."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         prepare(batch.sparkSession)
         now = F.current_timestamp() if at is None else at
         judged = clean.check_limits(clean.route(_numbered(batch, order), "leads", order), "dim_lead")
         routed = write_stage(judged, "live-leads")
-        warehouse.append("dead_letter_queue", clean.dead_letters(routed, _run_id(batch, batch_id), now))
-        merged = dims.merge_leads(warehouse.read("dim_lead"), clean.clean_rows(routed), now)
-        warehouse.replace("dim_lead", merged)
+        run_id, rows = _run_id(batch, batch_id), clean.clean_rows(routed)
+        warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, now), [run_id])
+        warehouse.merge_leads(rows, lambda stored: dims.merge_leads(stored, rows, now))
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

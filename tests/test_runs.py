@@ -102,9 +102,9 @@ def test_replay_of_stored_letters(spark, tmp_path):
     assert {(r.source_id, r.source) for r in letters.collect()} == {("x" * 201, "loader"), ("e2", "transformer"), ("e3", "transformer")}
     mended = F.regexp_replace(F.regexp_replace("record_payload", "x{201}", "e1"), "never", "2026-08-16")
     warehouse = Warehouse(spark, root, buckets=4)
-    warehouse.append("dead_letter_queue", letters.withColumn("record_payload", mended))
+    warehouse.append("dead_letter_queue", letters.withColumn("record_payload", mended), ["r1"])
     others = clean.dead_letters(clean.route(spark.createDataFrame([(1, None)], "pos int, id string"), "agents", ["pos"]), "r1b", at)
-    warehouse.append("dead_letter_queue", others)
+    warehouse.append("dead_letter_queue", others, ["r1b"])
 
     def state():
         return {(r.error_type, r.resolved, r.resolved_at is not None) for r in warehouse.read("dead_letter_queue").collect()}
