@@ -11,9 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.functions import ids, numbers, text, times
+from funnelspark.functions import ids, numbers, records, text, times
 from funnelspark.operators.joins import keep_first
-from funnelspark.schemas import POSITION, RAW_FIELDS, conform, raw_schema, shape
+from funnelspark.schemas import CORRUPT, POSITION, RAW_FIELDS, RECORD, carried, conform, shape
 
 
 def _raw(*names: str) -> list[Column]:
@@ -136,16 +136,19 @@ def route(raw: DataFrame, name: str, order: list[str] = POSITION, dedup: bool =
         rows = keep_first(rows, rules.columns[rules.key], list(order))
     fixed = F.struct(
         *[column.alias(alias) for alias, column in rules.columns.items()],
-        F.struct(*_raw(*RAW_FIELDS[name])).alias("_raw"),
+        F.struct(*_raw(*RAW_FIELDS[name], *carried(rows))).alias("_raw"),
         *[F.col(c).alias(f"_o_{c}") for c in order],
     )
     # inline() of one struct fixes the typed values as columns: whatever reads them afterwards, above all a filter
     # on the verdict, would otherwise be merged with or pushed below the cleaning and work it out once more.
     typed = rows.select(F.inline(F.array(fixed)))
+    # Rule and message of a record that is no JSON.
+    no_json = F.struct(F.lit("bad_json").alias("rule"), F.lit("Malformed JSON record").alias("message"))
+    broken = [F.when(F.col(f"_raw.{CORRUPT}").isNotNull(), no_json)] if CORRUPT in carried(rows) else []
     derived = {"date_key": times.date_key(F.col("event_timestamp"))} if name == "events" else {}
     return typed.select(
         *rules.columns, *[c.alias(alias) for alias, c in derived.items()], "_raw", *[f"_o_{c}" for c in order],
-        rules.reject().alias("_reject"),
+        F.coalesce(*broken, rules.reject()).alias("_reject"),
     )
 
 
@@ -159,6 +162,12 @@ def _record_id(payload: list[str]) -> Column:
     return text.first_filled(*[F.col(f"_raw.`{name}`") for name in names])
 
 
+def _payload(fields: list[str]) -> Column:
+    """The record as it came: its own text where that says more than the declared fields, else those as JSON."""
+    whole = [F.col(f"_raw.{c}") for c in (CORRUPT, RECORD) if c in fields]
+    return F.coalesce(*whole, F.to_json(F.struct(*[F.col(f"_raw.`{n}`") for n in fields if n not in (RECORD, CORRUPT)])))
+
+
 def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str | None = None) -> DataFrame:
     """Rejected rows in the shape of the dead-letter table. ``source``: the stage that rejected them, else as ``check_limits`` noted it."""
     payload = routed.schema["_raw"].dataType.fieldNames()
@@ -171,7 +180,7 @@ def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str | No
     return shape(
         routed.filter(F.col("_reject").isNotNull()).select(
             record_id.alias("source_id"),
-            F.to_json("_raw").alias("record_payload"),
+            _payload(payload).alias("record_payload"),
             F.col("_reject.message").alias("error_message"),
             F.col("_reject.rule").alias("error_type"),
             stage.alias("source"),
@@ -254,7 +263,10 @@ def replay(letters: DataFrame, name: str, as_of: Column) -> tuple[DataFrame, Dat
     corrected one of the same key. Of several corrected letters of a key the first is loaded, as in any batch. Exactly those that pass are resolved:
     their key is among the rows to load.
     """
-    rows = letters.select(F.struct("*").alias("_letter"), F.from_json("record_payload", raw_schema(name)).alias("_p")).select("_letter", "_p.*")
+    parsed = records.parsed(F.col("record_payload"), records.json_fields(name)).alias("_p")
+    rows = letters.select(F.struct("*").alias("_letter"), parsed).select(
+        "_letter", *[records.field(n, F.col(f"_p.`{n}`")) for n in RAW_FIELDS[name]], F.col(f"_p.{CORRUPT}").alias(CORRUPT),
+    )
     judged = check_limits(route(rows, name, ["_letter"], dedup=False), LOADED_INTO[name])
     letter = F.col("_o__letter")
     wanted = judged.select("*", letter.getField("error_type").alias("error_type"), letter.getField("error_message").alias("error_message"))

@@ -14,7 +14,7 @@ from funnelspark.operators import alerts, anomaly, clean, dims, facts, marts, me
 from funnelspark.plans import batch, derived, landing
 from funnelspark.plans.inputs import Inputs
 from funnelspark.schemas import raw_schema, shape
-from funnelspark.session import prepare
+from funnelspark.session import prepare, write_stage
 from funnelspark.sources import files, imports
 from funnelspark.sources.warehouse import Warehouse
 from funnelspark.streaming import live
@@ -246,6 +246,19 @@ def event_upsert(i: Inputs) -> DataFrame:
     ))
 
 
+@query
+def event_sink_upsert(i: Inputs) -> DataFrame:
+    """The same two batches through the stored fact: two loads, what the manifest makes of them read back."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        warehouse.upsert_events(facts.as_fact(_copies(i, False), i.loaded))
+        warehouse.upsert_events(write_stage(facts.as_fact(_copies(i, True), i.reloaded), "redelivered"))
+
+    fact = Warehouse(i.spark, i.once("event-sink", run)).read("fact_outreach_event")
+    return rounded(fact.select("event_source_id", "event_type", "event_timestamp", "date_key", "event_status", "response_time_minutes", "loaded_at"))
+
+
 @query
 def micro_batch_merge(i: Inputs) -> DataFrame:
     """All deliveries as one micro-batch: first valid copy for fixed columns, last for updatable ones."""
@@ -709,6 +722,36 @@ def stream_dead_letters(i: Inputs) -> DataFrame:
     return _live_run(i).read("dead_letter_queue").groupBy("error_type", "source", "resolved").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def live_lead_registration(i: Inputs) -> DataFrame:
+    """Two snapshots of leads as two runs of one stream, merged into the stored dimension bucket by bucket."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        for sql, at in ((derived.RAW_LEADS_1, i.loaded), (derived.RAW_LEADS_2, i.reloaded)):
+            i.raw(sql).coalesce(1).sortWithinPartitions("pos").drop("pos").write.mode("append").json(f"{root}/landing")
+            stream = live.read_landing(i.spark, f"{root}/landing", "leads")
+            live.start_leads(stream, warehouse, f"{root}/checkpoint", at=at).awaitTermination()
+
+    return rounded(Warehouse(i.spark, i.once("live-leads", run)).read("dim_lead").drop("lead_key"))
+
+
+@query
+def landed_faults(i: Inputs) -> DataFrame:
+    """Landed lines with a field nobody declared, and lines cut in the middle: each dead letter holds its line to the letter."""
+
+    def run(root: str) -> None:
+        line = F.concat(F.lit('{"lead_id": "d'), F.col("doc_id"), F.lit('", "Score": '), F.col("n_chars"), F.lit("}"))
+        broken = F.col("doc_id") % 7 == 0
+        keyless = F.concat(F.lit('{"Score": '), F.col("n_chars"), F.lit(', "source": "'), F.col("source"), F.lit('"}'))
+        value = F.when(broken, F.substring(line, 1, 15)).when(F.col("doc_id") % 3 == 0, keyless).otherwise(line)
+        i.table("documents").filter("n_chars IS NOT NULL AND source IS NOT NULL").select(value.alias("value")).write.text(f"{root}/leads.json")
+
+    raw = files.read_entity(i.spark, i.once("landed-faults", run), "leads", json_lines=True)
+    letters = clean.dead_letters(clean.route(raw, "leads"), "run_1", i.as_of)
+    return letters.groupBy("error_type", "record_payload").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_same_file_copies(i: Inputs) -> DataFrame:
     """Copies of an id in one landed file, told apart by nothing but their place in it."""

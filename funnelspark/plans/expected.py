@@ -615,6 +615,13 @@ SELECTS |= {
       CASE WHEN rule IS NOT NULL THEN 'Event format failed validation and was routed to Dead-Letter Queue.' END AS warning, count(*) AS n FROM all_judged GROUP BY 1, 2, 3""",
     "stream_dead_letters": "SELECT rule AS error_type, 'transformer' AS source, FALSE AS resolved, count(*) AS n FROM all_judged WHERE rule IS NOT NULL GROUP BY rule",
     "stream_same_file_copies": SELECTS["micro_batch_merge"].replace("SELECT * FROM", "SELECT event_source_id, event_type, event_timestamp, date_key, event_status, response_time_minutes FROM", 1),
+    "event_sink_upsert": f"SELECT * EXCLUDE (action) FROM ({SELECTS['event_upsert']})",
+    "live_lead_registration": "SELECT * EXCLUDE (act) FROM lead_versions",
+    "landed_faults": """SELECT error_type, record_payload, count(*) AS n FROM (
+        SELECT CASE WHEN doc_id % 7 = 0 THEN 'bad_json' ELSE 'missing_lead_id' END AS error_type,
+          CASE WHEN doc_id % 7 = 0 THEN substr(concat('{"lead_id": "d', doc_id), 1, 15)
+            ELSE concat('{"Score": ', n_chars, ', "source": "', source, '"}') END AS record_payload
+        FROM documents WHERE n_chars IS NOT NULL AND source IS NOT NULL AND (doc_id % 7 = 0 OR doc_id % 3 = 0)) GROUP BY ALL""",
     "stream_load_rejects": """SELECT source, error_type, error_message, count(*) AS n FROM (
         SELECT 'loader' AS source, 'too_long' AS error_type, 'event_source_id is longer than 200' AS error_message FROM documents
           WHERE length(text) + length(cast(doc_id AS VARCHAR)) + 5 > 200

@@ -31,6 +31,9 @@ RAW_FIELDS = {
 # Fields whose JSON numbers are epoch seconds while their JSON texts are not.
 TIME_FIELDS = {"timestamp", "event_timestamp", "created_at", "date"}
 
+# Optional columns of raw rows: the record's own text where it has fields that are not declared, and the text of a record that is no JSON.
+RECORD, CORRUPT = "_record", "_corrupt"
+
 # Columns that order raw rows the way they lie in their sources: file kind, file, block, row.
 POSITION = ["_src_rank", "_file", "_block", "_row"]
 
@@ -40,13 +43,18 @@ def raw_schema(entity: str) -> StructType:
 
 
 def conform(df: DataFrame, entity: str, keep: list[str] = ()) -> DataFrame:
-    """Exactly the entity's raw fields as text (missing ones NULL) plus the columns to ``keep``."""
+    """The entity's raw fields as text (missing ones NULL), the record's text if it comes along, and the columns to ``keep``."""
     have = set(df.columns)
     fields = [
         (F.col(f"`{name}`").cast("string") if name in have else F.lit(None).cast("string")).alias(name)
         for name in RAW_FIELDS[entity]
     ]
-    return df.select(*fields, *keep)
+    return df.select(*fields, *carried(df, keep), *keep)
+
+
+def carried(df: DataFrame, besides: list[str] = ()) -> list[str]:
+    """Which of the optional columns a frame of raw rows has."""
+    return [c for c in (RECORD, CORRUPT) if c in df.columns and c not in besides]
 
 
 TABLES = {

@@ -11,10 +11,10 @@ from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from funnelspark.functions import text, times
-from funnelspark.schemas import POSITION, RAW_FIELDS, TIME_FIELDS, conform, raw_schema, shape
+from funnelspark.functions import records, text
+from funnelspark.schemas import CORRUPT, POSITION, RAW_FIELDS, RECORD, conform, raw_schema, shape
 
 CSV_RANK, JSON_RANK = 0, 1
 
@@ -55,9 +55,10 @@ def _position(rank: int) -> list[Column]:
     ]
 
 
-def read_csv(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame | None:
+def read_csv(spark: SparkSession, paths: list[str], multi_line: bool = False, entity: str | None = None) -> DataFrame | None:
     """CSV files by header name. Files are grouped by equal headers, one scan per distinct header.
 
+    Rows of files with columns that ``entity`` does not name bring their whole record along.
     ``multi_line`` allows line breaks inside quotes but makes a file unsplittable, so it is off by default.
     """
     headers = sorted((header_line(spark, p), p) for p in paths)
@@ -69,12 +70,19 @@ def read_csv(spark: SparkSession, paths: list[str], multi_line: bool = False) ->
         schema = StructType([StructField(name, StringType()) for name in names])
         reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
         rows = reader.csv([path for _, path in group]).select(
-            *[F.col(f"`{n}`") for n in names if not n.startswith("_dup")], *_position(CSV_RANK)
+            *[F.col(f"`{n}`") for n in names if not n.startswith("_dup")], *_csv_record(names, entity), *_position(CSV_RANK)
         )
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
 
+def _csv_record(names: list[str], entity: str | None) -> list[Column]:
+    own = [n for n in names if not n.startswith("_dup")]
+    if entity is None or set(own) <= set(RAW_FIELDS[entity]):
+        return []
+    return [F.to_json(F.struct(*[F.col(f"`{n}`") for n in own])).alias(RECORD)]
+
+
 def _distinct(names: list[str]) -> list[str]:
     """Give a repeated or blank header name a placeholder, which is then dropped."""
     seen: set[str] = set()
@@ -86,37 +94,21 @@ def _distinct(names: list[str]) -> list[str]:
     return out
 
 
-def _json_fields(entity: str) -> StructType:
-    return StructType([
-        StructField(name, VariantType() if name in TIME_FIELDS else StringType()) for name in RAW_FIELDS[entity]
-    ])
-
-
-def _field(name: str, value: Column) -> Column:
-    """Text of a JSON field; a number in a time field means epoch seconds."""
-    if name not in TIME_FIELDS:
-        return value.alias(name)
-    number = F.when(F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(value, "$", "double"))
-    as_text = F.try_variant_get(value, "$", "string")
-    return F.when(number.isNotNull(), F.when(number != 0, times.epoch_to_text(number))).otherwise(as_text).alias(name)
-
-
 def read_json(spark: SparkSession, paths: list[str], entity: str, lines: bool = False) -> DataFrame | None:
     """JSON files holding an array of records, a ``data`` envelope or a single record.
 
-    ``lines`` reads one document per line, which is the splittable form for large landings.
+    ``lines`` reads one document per line, which is the splittable form for large landings: a broken line becomes a row of its own, to be
+    dead-lettered. A broken document of the other form fails the read, since it stands for all its records.
     """
     if not paths:
         return None
-    fields = _json_fields(entity)
-    schema = StructType([*fields.fields, StructField("data", ArrayType(fields))])
-    reader = spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST")
-    own = F.struct(*[F.col(f"`{f.name}`") for f in fields])
-    rows = reader.json(paths).select(
-        *_position(JSON_RANK), F.posexplode(F.coalesce("data", F.array(own))).alias("_index", "_record")
-    )
-    return rows.select(
-        *[_field(name, F.col(f"_record.`{name}`")) for name in RAW_FIELDS[entity]],
+    documents = spark.read.option("wholetext", not lines).text(paths).select(*_position(JSON_RANK), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"))
+    rows = documents.filter(F.trim("value") != "").select("*", F.posexplode(records.records_of(F.col("value"))).alias("_index", "_text"))
+    parsed = rows.withColumn("_fields", records.parsed(F.col("_text"), records.json_fields(entity), strict=not lines))
+    return parsed.select(
+        *[records.field(name, F.col(f"_fields.`{name}`")) for name in RAW_FIELDS[entity]],
+        records.undeclared(F.col("_text"), entity),
+        *([F.col("_fields").getField(CORRUPT).alias(CORRUPT)] if lines else []),
         "_src_rank", "_file", "_block",
         # Records of one document keep their order behind the document's own place.
         F.concat(F.lpad(F.col("_row").cast("string"), 20, "0"), F.lit("-"), F.lpad(F.col("_index").cast("string"), 10, "0")).alias("_row"),
@@ -128,7 +120,7 @@ def read_entity(
 ) -> DataFrame:
     """All files of an entity: ``<entity>*.csv`` first, then ``<entity>*.json``, each in name order."""
     parts = [
-        read_csv(spark, list_files(spark, folder, f"{entity}*.csv"), multi_line),
+        read_csv(spark, list_files(spark, folder, f"{entity}*.csv"), multi_line, entity),
         read_json(spark, list_files(spark, folder, f"{entity}*.json"), entity, json_lines),
     ]
     found = [
@@ -137,7 +129,7 @@ def read_entity(
     if not found:
         empty = spark.range(0).select(*[F.lit(None).cast("string").alias(n) for n in RAW_FIELDS[entity]])
         return empty.select("*", F.lit(0).alias("_src_rank"), F.lit("").alias("_file"), F.lit(0).alias("_block"), F.lit("").alias("_row"))
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1], allowMissingColumns=True)
 
 
 # ── Landed pages of a paged source ────────────────────────────────────────────
@@ -182,11 +174,12 @@ def newer_than(df: DataFrame, column: str, watermark) -> DataFrame:
 def raw_landing(raw: DataFrame, entity: str, run_id: str, received_at: Column, source_type: str = "csv") -> DataFrame:
     """Records kept verbatim, in the shape of the raw landing table."""
     names = [c for c in raw.columns if c in RAW_FIELDS[entity]]
+    whole = [F.col(c) for c in (CORRUPT, RECORD) if c in raw.columns]
     return shape(
         raw.select(
             text.first_filled(*[F.col(f"`{n}`") for n in ("id", "event_id") if n in names]).alias("source_id"),
             F.lit(source_type).alias("source_type"),
-            F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])).alias("raw_payload"),
+            F.coalesce(*whole, F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))).alias("raw_payload"),
             received_at.alias("received_at"),
             F.lit(False).alias("processed"),
             F.lit(run_id).alias("run_id"),

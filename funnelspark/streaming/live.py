@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from funnelspark.functions import text
+from funnelspark.functions import records, text
 from funnelspark.operators import clean, dims, facts, marts
-from funnelspark.schemas import RAW_FIELDS, TABLES, conform, raw_schema
+from funnelspark.schemas import CORRUPT, RAW_FIELDS, TABLES, carried, conform, raw_schema
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources.warehouse import Warehouse, month_of
 
@@ -68,7 +69,7 @@ def webhook_payloads(df: DataFrame, keep: list[str] = ()) -> DataFrame:
         F.coalesce(_filled("timestamp", "created_at"), _arrival_text()).alias("timestamp"),
         F.coalesce("status", F.lit("SUCCESS")).alias("status"),
         F.col("response_time_minutes"),
-        ARRIVED, *keep,
+        *carried(rows, keep), ARRIVED, *keep,
     )
 
 
@@ -182,9 +183,12 @@ def windowed_activity(events: DataFrame, delay: str = "2 days") -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path: str, entity: str = "events", max_files: int | None = None) -> DataFrame:
-    """Stream of landed JSON-lines files under the entity's declared schema."""
-    reader = spark.readStream.schema(raw_schema(entity))
+    """Stream of landed JSON-lines files under the entity's declared schema; a line that is no JSON is a row to be dead-lettered."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("_file"),
-                                    F.col("_metadata.file_block_start").alias("_block"))
+    schema = StructType([*raw_schema(entity), StructField(CORRUPT, StringType())])
+    lines = reader.text(path).filter(F.trim("value") != "")
+    return lines.select(records.parsed(F.col("value"), schema).alias("_fields"), records.undeclared(F.col("value"), entity),
+                        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+                        ).select("_fields.*", "_record", "_file", "_block")
