@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, empty texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -8,8 +9,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from funnelspark.llm import bpe, decontaminate, licenses, minhash, quality, sanitize, substrings, toxicity, urls, warc
+from funnelspark.llm import bpe, decontaminate, expected, licenses, minhash, quality, queries, sanitize, substrings, toxicity, urls, warc
 
+TABLES = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_words string"
 VOCABULARY = [a + b for a in ("ka", "lo", "mi", "né", "or") for b in ("ta", "ru", "si", "vo", "xe", "ul")]
 
@@ -157,3 +159,17 @@ def test_toxicity(spark):
     assert sum(right) >= 0.95 * len(right) and all(0 <= r.score <= 1 for r in found)
     nothing = toxicity.fit(training.where("label = 5"), F.col("text"), F.col("label"))
     assert not nothing[0].any()
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables absent")
+@pytest.mark.parametrize("name", list(expected.statements()))
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{TABLES}/{t}.parquet'")
+    found = queries.registered()[name](spark, TABLES)
+    want = con.execute(expected.statements()[name])
+    order = [[c[0] for c in want.description].index(c) for c in found.columns]
+    assert Counter(map(tuple, found.collect())) == Counter(tuple(r[k] for k in order) for r in want.fetchall())
