@@ -53,6 +53,19 @@ REFERENCES = {
 }
 
 
+# dimension → its surrogate key, one per row (type-2 versions have keys of their own).
+SURROGATES = {"dim_agent": "agent_key", "dim_lead": "lead_key", "dim_campaign": "campaign_key", "dim_message_template": "template_key"}
+
+
+def key_collisions(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per dimension: its rows, and the surrogate keys that more than one of them has. Keys are 64-bit hashes, so any collision means wrong joins."""
+    parts = []
+    for name, surrogate in SURROGATES.items():
+        per_key = tables[name].groupBy(surrogate).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") > 1).alias("collisions")).select(F.lit(name).alias("table_name"), "n_rows", "collisions"))
+    return union_all(parts)
+
+
 def _check(dimension: str, table: Column | str, score: Column, details: Column) -> Column:
     table = F.lit(table) if isinstance(table, str) else table
     return F.struct(

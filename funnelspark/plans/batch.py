@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.operators import clean, dims, facts, marts, quality, risk
+from funnelspark.operators import alerts, anomaly, clean, dims, facts, marts, quality, risk
 from funnelspark.schemas import shape
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources import files, imports
@@ -66,6 +66,8 @@ class Run:
 
         Rows in and rows rejected are observed while the stage is written, so counting costs no pass of its own.
         """
+        if raw.isEmpty():  # no metrics are observed on a plan that is known to be empty
+            return None
         seen, verdicts = Observation(), Observation()
         counted = raw.observe(seen, F.count(F.lit(1)).alias("n"))
         bad = F.col("_reject").isNotNull()
@@ -92,10 +94,13 @@ def run_batch(
     run_id: str | None = None,
     buckets: int = BUCKETS,
     entity_frames: dict[str, tuple[DataFrame, list[str]]] | None = None,
+    since: dict[str, str] | None = None,
 ) -> dict:
-    """Full load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
+    """Load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
 
-    ``entity_frames`` (entity → raw rows and their order columns) replaces files by tables of the caller. A failure is
+    ``entity_frames`` (entity → raw rows and their order columns) replaces files by tables of the caller, such as landed pages. ``since``
+    (entity → column of its raw rows) makes the run incremental: only rows after the entity's watermark, the time of its last load, are read.
+    The run's alerts go to the table ``alerts``. A failure is
     recorded as a FAILED run, with the rejects found so far, and raised again; running the same batch once more converges.
     """
     prepare(spark)
@@ -105,13 +110,14 @@ def run_batch(
     try:
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
-            _load(spark, warehouse, run, entity, table, source_dir, entity_frames)
+            _load(spark, warehouse, run, entity, table, source_dir, entity_frames, since or {})
         run.keep_letters(warehouse)
         refresh_marts(warehouse, run.months)
         score = check(warehouse, run_id, at)
         status = "PARTIAL" if run.dead else "SUCCESS"
         warehouse.set_watermarks(run.synced, at)
         record(warehouse, run, as_of, started, status, score)
+        raise_alerts(warehouse, run_id, at)
         return {
             "run_id": run_id, "status": status, "rows_extracted": run.extracted, "rows_loaded": run.loaded,
             "rows_failed": run.failed, "dlq_count": run.dead, "dq_score": score,
@@ -120,11 +126,14 @@ def run_batch(
     except Exception as error:
         record(warehouse, run, as_of, started, "FAILED", None, str(error))
         run.keep_letters(warehouse)
+        raise_alerts(warehouse, run_id, at)
         raise
 
 
-def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames) -> None:
+def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames, since: dict[str, str]) -> None:
     raw, order = (frames or {}).get(entity) or (files.read_entity(spark, source_dir, entity), files.POSITION)
+    if entity in since:
+        raw = files.newer_than(raw, since[entity], warehouse.watermark(entity))
     rows = run.judge(raw, entity, table, order)
     if rows is not None:
         _store(warehouse, run, entity, table, rows)
@@ -188,6 +197,9 @@ CHECKED = ["fact_outreach_event", "fact_daily_agent_activity", "fact_campaign_pe
 def check(warehouse: Warehouse, run_id: str, at: Column) -> float:
     """All quality checks over the stored tables; appends the history and returns the composite."""
     tables = {t: warehouse.read(t) for t in CHECKED} | {"dim_date": dims.calendar(warehouse.spark)}
+    collided = quality.key_collisions(tables).filter("collisions > 0").collect()
+    if collided:
+        raise RuntimeError(f"surrogate keys of several rows: {[r.asDict() for r in collided]}")
     checks = write_stage(quality.run_checks(tables, at), "checks")
     warehouse.append("dq_results", quality.history_rows(checks, run_id, at), [run_id])
     return quality.composite(checks).head()[0]
@@ -208,8 +220,24 @@ def record(warehouse: Warehouse, run: Run, as_of: datetime, started: float, stat
     warehouse.append("fact_pipeline_run", shape(row, "fact_pipeline_run"), [run.run_id])
 
 
-def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFrame:
-    """Score all current agents, write the scores onto their newest activity rows, return the profiles."""
+def raise_alerts(warehouse: Warehouse, run_id: str, at: Column) -> None:
+    """Store what is to be reported of a run: its failure, a low quality score, an unusual duration."""
+    kind = F.lit("batch").alias("pipeline")
+    runs = warehouse.read("fact_pipeline_run").select("*", kind)
+    own, good = runs.filter(F.col("run_id") == run_id), runs.filter(F.col("status") != "FAILED")
+    found = alerts.all_alerts(
+        alerts.failed_runs(own), alerts.quality_breaches(warehouse.read("dq_results").filter(F.col("run_id") == run_id)),
+        alerts.slow_runs(own, anomaly.duration_baseline(good, ["pipeline"]), ["pipeline"]),
+    )
+    _store_alerts(warehouse, found, run_id, at)
+
+
+def _store_alerts(warehouse: Warehouse, found: DataFrame, run_id: str, at: Column) -> None:
+    warehouse.append("alerts", shape(found.select("*", F.lit(run_id).alias("run_id"), at.alias("raised_at")), "alerts"), [run_id])
+
+
+def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS, as_of: datetime | None = None, run_id: str | None = None) -> DataFrame:
+    """Score all current agents, write the scores onto their newest activity rows, store alerts of risky agents, return the profiles."""
     prepare(spark)
     warehouse = Warehouse(spark, root, buckets)
     activity, agents = warehouse.read("fact_daily_agent_activity"), warehouse.read("dim_agent")
@@ -217,6 +245,7 @@ def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFram
     scored = risk.write_back(activity.drop("month"), profiles.filter("days IS NOT NULL"))
     newest = scored.join(activity.groupBy("agent_key").agg(F.max("date_key").alias("date_key")), ["agent_key", "date_key"], "left_semi")
     warehouse.put_scores(write_stage(newest, "scores"))
+    _store_alerts(warehouse, alerts.risky_agents(profiles), run_id or f"risk_{uuid.uuid4().hex}", F.current_timestamp() if as_of is None else moment(as_of))
     return profiles
 
 

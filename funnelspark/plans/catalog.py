@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -584,6 +585,43 @@ def alerts_duration(i: Inputs) -> DataFrame:
                        F.round(F.col("details")["z_score"].cast("double"), 6).alias("z_score"))
 
 
+def _incremental(i: Inputs) -> Warehouse:
+    """Orders as lead records: a run up to a day, and one over all of them that reads what came after the first; then a run that fails."""
+
+    def run(root: str) -> None:
+        updated = F.col("o_orderdate").cast("timestamp")
+        rows = i.table("orders").select(F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"), updated.alias("updated_at"))
+        day = datetime(1996, 1, 1)
+        early = rows.filter(F.col("updated_at") <= F.lit(day))
+        batch.run_batch(i.spark, f"{root}/none", root, day, "run_1", buckets=8, entity_frames={"leads": (early, ["pos"])}, since={"leads": "updated_at"})
+        batch.run_batch(i.spark, f"{root}/none", root, datetime(2024, 1, 30), "run_2", buckets=8, entity_frames={"leads": (rows, ["pos"])}, since={"leads": "updated_at"})
+        try:
+            batch.run_batch(i.spark, f"{root}/none", root, datetime(2024, 1, 31), "run_3", buckets=8, entity_frames={"leads": (rows.drop("pos"), ["pos"])})
+        except AnalysisException:
+            pass  # the rows have no column to order by: this run is meant to fail
+
+    return Warehouse(i.spark, i.once("incremental", run))
+
+
+@query
+def incremental_run(i: Inputs) -> DataFrame:
+    """What each run read and loaded."""
+    runs = _incremental(i).read("fact_pipeline_run")
+    return runs.select("run_id", "status", "rows_extracted", "rows_loaded")
+
+
+@query
+def alert_table(i: Inputs) -> DataFrame:
+    """Alerts that the runs stored, but those on durations, which differ from run to run."""
+    found = _incremental(i).read("alerts").filter(F.col("title") != alerts.DURATION_TITLE)
+    return found.select("run_id", "title", "level")
+
+
+@query
+def dq_key_collisions(i: Inputs) -> DataFrame:
+    return quality.key_collisions({t: i.stored(t) for t in quality.SURROGATES})
+
+
 @query
 def alerts_failed_runs(i: Inputs) -> DataFrame:
     runs = i.runs.withColumns({"error_message": F.lit("source unreachable"), "end_time": i.as_of})

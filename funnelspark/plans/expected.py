@@ -615,6 +615,14 @@ SELECTS |= {
       CASE WHEN rule IS NOT NULL THEN 'Event format failed validation and was routed to Dead-Letter Queue.' END AS warning, count(*) AS n FROM all_judged GROUP BY 1, 2, 3""",
     "stream_dead_letters": "SELECT rule AS error_type, 'transformer' AS source, FALSE AS resolved, count(*) AS n FROM all_judged WHERE rule IS NOT NULL GROUP BY rule",
     "stream_same_file_copies": SELECTS["micro_batch_merge"].replace("SELECT * FROM", "SELECT event_source_id, event_type, event_timestamp, date_key, event_status, response_time_minutes FROM", 1),
+    "incremental_run": """SELECT 'run_1' AS run_id, 'SUCCESS' AS status, count(*) FILTER (WHERE o_orderdate <= DATE '1996-01-01') AS rows_extracted,
+        count(*) FILTER (WHERE o_orderdate <= DATE '1996-01-01') AS rows_loaded FROM orders
+      UNION ALL SELECT 'run_2', 'SUCCESS', count(*) FILTER (WHERE o_orderdate > DATE '1996-01-01'), count(*) FILTER (WHERE o_orderdate > DATE '1996-01-01') FROM orders
+      UNION ALL SELECT 'run_3', 'FAILED', 0, 0""",
+    "alert_table": "SELECT 'run_3' AS run_id, '🚨 Pipeline Failure' AS title, 'CRITICAL' AS level",
+    "dq_key_collisions": """SELECT 'dim_agent' AS table_name, (SELECT count(*) FROM agents_1) AS n_rows, 0::BIGINT AS collisions
+      UNION ALL SELECT 'dim_lead', (SELECT count(*) FROM leads_1), 0 UNION ALL SELECT 'dim_campaign', (SELECT count(*) FROM campaigns_1), 0
+      UNION ALL SELECT 'dim_message_template', (SELECT count(*) FROM templates), 0""",
     "event_sink_upsert": f"SELECT * EXCLUDE (action) FROM ({SELECTS['event_upsert']})",
     "live_lead_registration": "SELECT * EXCLUDE (act) FROM lead_versions",
     "landed_faults": """SELECT error_type, record_payload, count(*) AS n FROM (

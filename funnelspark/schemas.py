@@ -88,6 +88,7 @@ TABLES = {
                          "source string, run_id string, created_at timestamp, resolved boolean, resolved_at timestamp",
     "dq_results": "run_id string, check_dimension string, table_name string, score double, weight double, "
                   "details string, checked_at timestamp, composite_score double, passed boolean",
+    "alerts": "title string, message string, level string, details map<string, string>, run_id string, raised_at timestamp",
     "live_receipts": "event_id string, event_type string, status string, warning string, persisted_at timestamp, run_id string",
     "stg_raw_events": "source_id string, source_type string, raw_payload string, received_at timestamp, "
                       "processed boolean, run_id string",

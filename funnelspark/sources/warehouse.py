@@ -29,7 +29,7 @@ from funnelspark.schemas import TABLES, shape, table_schema
 from funnelspark.session import write_stage
 from funnelspark.sources.files import _fs, list_files
 
-LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run"}
+LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run", "alerts"}
 #: Columns that name the parts of a table, each with its type and the folders written by them. Logs keep the run as a column of their files.
 PARTITIONED = {
     "fact_outreach_event": "bucket int, month int",
