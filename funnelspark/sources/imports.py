@@ -12,9 +12,6 @@ from funnelspark.sources.files import read_csv
 CONNECTION_MARKERS = ["First Name", "First name", "URL"]
 INVITATION_MARKERS = ["From", "To", "Sent At"]
 
-# Up to this many files their header lines are broadcast; beyond, they are joined by file.
-MAX_BROADCAST_FILES = 10_000
-
 
 def read_archive(spark: SparkSession, paths: list[str] | str, markers: list[str]) -> DataFrame:
     """Lines below the header of each file, as arrays: ``_header``, ``_cells`` and ``_pos``.
@@ -35,8 +32,7 @@ def read_archive(spark: SparkSession, paths: list[str] | str, markers: list[str]
         "_file", F.col("h._at").alias("_header_at"), F.regexp_replace("h.value", "^\\x{FEFF}", "").alias("_line")
     )
     headers = firsts.select("_file", "_header_at", text.csv_cells(F.col("_line")).alias("_header"))
-    if isinstance(paths, list) and len(paths) <= MAX_BROADCAST_FILES:
-        headers = F.broadcast(headers)
+    # How the join runs is left to the optimizer, which knows the size of the headers once they are found.
     body = lines.join(headers, "_file").filter((F.col("_at") > F.col("_header_at")) & (F.trim("value") != ""))
     return body.select("_header", text.csv_cells(F.col("value")).alias("_cells"), F.struct("_file", "_at").alias("_pos"))
 
