@@ -1,13 +1,16 @@
 """Personal data: patterns for the protected entities, then terms that disclose them by corpus co-occurrence.
 
-A term discloses an entity as far as it lowers the entity's information content: with N texts, the share is PMI(term; entity) / IC(entity)
-= 1 - log(df(term) / n(term, entity)) / log(N / df(entity)). Terms beside an entity whose share exceeds a threshold, on enough distinct
-contexts, are spans of their own. Native plan throughout.
+A term discloses an entity as far as it lowers the entity's information content: with N texts, the smoothed share is PMI(term; entity) /
+IC(entity) = 1 - log((df(term) + 1) / n(term, entity)) / log(N / df(entity)), where n counts the texts that hold both, anywhere. Terms are
+words and neighbouring pairs of words. A term whose share exceeds a threshold, and that meets the entity more often than chance explains, is a
+span at every place in every text that holds the entity. Addresses are also pooled by person and by domain. Native plan throughout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from funnelspark.llm.common import let
@@ -17,10 +20,15 @@ from funnelspark.session import write_stage
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
 
-#: Code points beside an entity that are its context.
-CONTEXT = 60
-#: Share of an entity's information that a term may disclose, and the distinct contexts that a judgement needs.
-DISCLOSED, SUPPORT = 0.8, 3
+#: Code points beside an entity, and words beside a term, that tell independent texts from copies. They bound no candidate.
+CONTEXT, NEIGHBOURS = 60, 5
+#: Share of an entity's information that a term may disclose, and the number of judgements by chance that all tests together may give.
+DISCLOSED, DOUBT = 0.8, 0.05
+#: Terms whose hashes are broadcast to filter the corpus (about 24 bytes each); with more, the frequencies of all terms are shuffled.
+MAX_BROADCAST_TERMS = 1_000_000
+#: What stands in for an entity, and a word.
+BLANK = "\x01"
+_WORD = r"[\p{L}\p{M}\p{N}]+"
 
 # The patterns, with possessive repetition and anchors that spare attempts within a run: linear time, the same matches.
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -89,60 +97,113 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*found))
 
 
-def _contexts(text: Column, spans: Column) -> Column:
-    """For each entity: its name, a hash of the words beside it, and these with their places; parts of words at the rim are left out."""
-
-    def beside(low: Column, high: Column) -> Column:
-        inner = matches(F.substring(text, low + 1, high - low), r"\p{L}{3,}")
-        return F.transform(inner, lambda m: F.struct(F.lower(m["value"]).alias("term"), (low + m["start"]).alias("start"), (low + m["stop"]).alias("stop")))
+def _entities(text: Column, spans: Column) -> Column:
+    """For each entity, and the person and domain of an address: its name and a hash of the words beside it."""
 
     def of(x: Column) -> Column:
         low = F.greatest(F.lit(0), x["start"] - CONTEXT)
-        high = F.least(F.length(text), x["stop"] + CONTEXT)
-        terms = F.concat(
-            F.filter(beside(low, x["start"]), lambda w: (w["start"] > low) | (low == 0)), F.filter(beside(x["stop"], high), lambda w: (w["stop"] < high) | (high == F.length(text))),
+        beside = F.concat(F.substring(text, low + 1, x["start"] - low), F.lit(BLANK), F.substring(text, x["stop"] + 1, F.lit(CONTEXT)))
+        value = F.when(x["kind"] == 0, F.lower(x["value"])).otherwise(_digits(x["value"]))
+        context = F.xxhash64(F.regexp_extract_all(F.lower(beside), F.lit(_WORD), F.lit(0)))
+        pooled = F.when(x["kind"] == 0, F.array(F.concat(F.lit("person:"), F.substring_index(value, "@", 1)), F.concat(F.lit("domain:"), F.substring_index(value, "@", -1)))).otherwise(F.array().cast("array<string>"))
+        names = F.concat(F.array(F.concat(x["kind"].cast("string"), F.lit(":"), value)), pooled)
+        return let(context, lambda c: F.transform(names, lambda n: F.struct(n.alias("entity"), c.alias("context"))))
+
+    return F.flatten(F.transform(spans, of))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with the entities overwritten; places stay."""
+
+    def step(a: Column, s: Column) -> Column:
+        return F.struct(
+            F.greatest(a["at"], s["stop"]).alias("at"),
+            F.array_append(a["parts"], F.concat(
+                F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"])), F.repeat(F.lit(BLANK), F.greatest(F.lit(0), s["stop"] - F.greatest(a["at"], s["start"]))),
+            )).alias("parts"),
         )
-        free = lambda w: ~F.exists(spans, lambda y: (w["start"] < y["stop"]) & (y["start"] < w["stop"]))
-        return let(F.filter(terms, free), lambda t: F.struct(
-            F.concat(x["kind"].cast("string"), F.lit(":"), F.when(x["kind"] == 0, F.lower(x["value"])).otherwise(_digits(x["value"]))).alias("entity"),
-            F.xxhash64(F.transform(t, lambda w: w["term"])).alias("context"), t.alias("terms"),
-        ))
 
-    return F.transform(spans, of)
+    return F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step,
+        lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))),
+    )
+
+
+def _tokens(text: Column) -> Column:
+    """Words in lower case; an entity that is overwritten is a token of its own."""
+    return F.regexp_extract_all(F.lower(text), F.lit(f"{_WORD}|{BLANK}+"), F.lit(0))
+
+
+def _is_word(token: Column) -> Column:
+    return ~token.startswith(BLANK)
+
+
+def _pair(tokens: Column, i: Column) -> Column:
+    """The token at ``i`` and the one after it; null at the end."""
+    return F.concat(F.get(tokens, i), F.lit(" "), F.get(tokens, i + 1))
 
 
-def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, support: int = SUPPORT, keep: list[str] | None = None) -> DataFrame:
+def _terms(text: Column) -> Column:
+    """Distinct words and neighbouring pairs of words."""
+    return let(_tokens(text), lambda t: F.array_distinct(F.filter(F.concat(t, F.transform(t, lambda _, i: _pair(t, i))), lambda w: w.isNotNull() & ~F.contains(w, F.lit(BLANK)))))
+
+
+def _marks(text: Column, terms: Column) -> Column:
+    """Every place of the terms in a text, as array of (start, kind, stop)."""
+    none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
+    span = lambda start, stop: F.array(F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), stop.alias("stop")))
+
+    def step(a: Column, x: Column) -> Column:
+        # x is a word with the gap before it; ``found`` only grows by what is found.
+        def at(word: Column) -> Column:
+            stop = a["at"] + F.length(x)
+            start = stop - F.length(word)
+            low = F.lower(word)
+            joined = F.array_contains(terms, F.concat(a["word"], F.lit(" "), low)) & _is_word(a["word"]) & ~F.contains(x, F.lit(BLANK))
+            found = F.when(F.array_contains(terms, low), F.concat(a["found"], span(start, stop))).otherwise(a["found"])
+            return F.struct(stop.alias("at"), start.alias("start"), low.alias("word"), F.when(joined, F.concat(found, span(a["start"], stop))).otherwise(found).alias("found"))
+
+        return let(F.regexp_extract(x, f"{_WORD}$", 0), at)
+
+    # The empty remainder after the last word holds none.
+    pieces = F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{M}\p{N}]*+[\p{L}\p{M}\p{N}]++"), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(BLANK).alias("word"), none.alias("found"))
+    return F.array_distinct(F.aggregate(pieces, start, step, lambda a: a["found"]))
+
+
+def _chance(together: Column, df_term: Column, df_entity: Column, total: int) -> Column:
+    """Log of a bound of the probability that a term and an entity meet in so many texts by chance (Poisson tail, Stirling's factorial); 0 if that is expected."""
+    mean = df_term * df_entity / F.lit(float(total))
+    tail = together * (1 + F.log(mean / together)) - mean - F.log(F.lit(2 * math.pi) * together) / 2 - F.log(1 - mean / (together + 1))
+    return F.when(mean < together, tail).otherwise(0.0)
+
+
+def _disclosed(total: int) -> Column:
+    """Share of the entity's information that the term discloses, by the columns df_term, together and df_entity."""
+    return 1 - F.log((F.col("df_term") + 1) / F.col("together")) / F.greatest(F.log(F.lit(float(total)) / F.col("df_entity")), F.lit(1e-9))
+
+
+def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, doubt: float = DOUBT, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (all columns or those to ``keep``) with n_email, n_ip, n_card, n_phone and found, all spans as array of (start, kind, stop).
 
-    Kinds are numbered as in KINDS, ``len(KINDS)`` is a term; starts and stops count code points. A term is judged beside the entity it discloses.
-    Frequencies count documents; the evidence counts distinct contexts, so copies alone are none. Null and empty texts have no spans.
-    Repeated rows each have their spans. An input column of an output's name is replaced.
+    Kinds are numbered as in KINDS, ``len(KINDS)`` is a term; starts and stops count code points. A term is judged with the entities of all texts that
+    hold it, and marked wherever it stands in a text of the entity it discloses. Frequencies count documents; the test against chance counts distinct
+    contexts, the fewer of those of the entity and of the term, so copies alone are none; it needs no more evidence for a word that is a part of the address itself.
+    A pair of words is no span if one of them is, or if they follow each other no more often than by chance. Null and empty texts have no spans. Repeated rows each have their spans. An input column of an output's name is replaced.
     """
     outputs = ["found", *[f"n_{k}" for k in KINDS]]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outputs]
     whole = docs.select((F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = whole.select("row", let(F.col("text"), lambda t: let(base_spans(t), lambda s: F.struct(s.alias("spans"), _contexts(t, s).alias("contexts")))).alias("x"))
-    rows = write_stage(rows.select("row", F.monotonically_increasing_id().alias("number"), "x.spans", "x.contexts"), "personal")
-
-    seen = rows.select("number", F.explode("contexts").alias("c")).select("number", "c.*")
-    entities = seen.groupBy("entity").agg(F.count_distinct("number").alias("df_entity"))
-    beside = seen.select("number", "entity", "context", F.explode("terms").alias("t")).select("number", "entity", "context", "t.*")
-    pairs = beside.groupBy("term", "entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("number").alias("together")).where(F.col("contexts") >= support)
-    pairs = write_stage(pairs, "beside")
-    if pairs.isEmpty():
-        found = rows.select("row", "spans", F.lit(None).cast("array<struct<start:int,kind:int,stop:int>>").alias("more"))
+    rows = whole.select("row", let(F.col("text"), lambda t: let(base_spans(t), lambda s: F.struct(
+        s.alias("spans"), F.when(F.size(s) > 0, _entities(t, s)).alias("entities"), F.when(F.size(s) > 0, _blanked(t, s)).alias("blanked"), F.regexp_count(t, F.lit(_WORD)).alias("n_tokens"),
+    ))).alias("x"))
+    rows = write_stage(rows.select("row", F.monotonically_increasing_id().alias("number"), "x.*"), "personal")
+    judged = _disclosing(whole, rows, share, doubt)
+    if judged is None:
+        found = rows.withColumn("more", F.lit(None).cast("array<struct<start:int,kind:int,stop:int>>"))
     else:
-        words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))
-        frequency = whole.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-        total = rows.count()
-        judged = pairs.join(frequency, "term").join(entities, "entity")
-        # Texts that hold the pair are a part of those that hold the term.
-        disclosed = 1 - F.log(F.greatest(F.col("df_term"), F.col("together")) / F.col("together")) / F.greatest(F.log(F.lit(float(total)) / F.col("df_entity")), F.lit(1e-9))
-        judged = write_stage(judged.where(disclosed >= share).select("term", "entity"), "disclosing")
-        spans = beside.join(judged, ["term", "entity"]).groupBy("number").agg(
-            F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "stop")).alias("more"),
-        )
-        found = rows.join(spans, "number", "left")
+        marked = rows.join(judged.groupBy("number").agg(F.collect_set("term").alias("terms")), "number", "left")
+        found = marked.withColumn("more", F.when(F.col("terms").isNotNull(), let(F.struct("blanked", "terms"), lambda x: _marks(x["blanked"], x["terms"]))))
     plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return found.select(
@@ -151,6 +212,79 @@ def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, suppo
     )
 
 
+def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -> DataFrame | None:
+    """number and term: the terms to mark in each text; None if there are none."""
+    total, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    texts = rows.where(F.size("spans") > 0)
+    seen = texts.select("number", F.explode("entities").alias("e")).groupBy("number", "e.entity").agg(F.min("e.context").alias("context"), F.max("e.context").alias("other"))
+    seen = write_stage(seen, "seen")
+    entities = write_stage(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"), (F.min("context") != F.max("other")).alias("several")), "entities")
+
+    # An entity of one context cannot meet a term more often than chance explains.
+    tested = seen.join(entities.where("several").select("entity"), "entity").groupBy("number").agg(F.collect_list(F.struct("entity", "context")).alias("tested"))
+    beside = texts.join(tested, "number").select("number", F.explode("tested").alias("e"), _terms(F.col("blanked")).alias("terms")).select("number", "e.entity", "e.context", F.explode("terms").alias("term"))
+    tests = Observation()
+    pairs = beside.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together"), F.min("context").alias("low"), F.max("context").alias("high")).observe(tests, F.count(F.lit(1)).alias("n"))
+    met = write_stage(pairs.where("low != high").select("term", "entity", "together"), "beside")
+    limit = math.log(doubt / max(tests.get["n"] or 0, total, 1))
+
+    # Parts of the address's own name need no other evidence.
+    parts = F.transform(
+        F.filter("entities", lambda e: e["entity"].startswith("0:")),
+        lambda e: F.struct(e["entity"].alias("entity"), F.regexp_extract_all(F.substring_index(F.substring(e["entity"], 3, 1 << 20), "@", 1), F.lit(r"\p{L}+"), F.lit(0)).alias("parts")),
+    )
+    spelled = texts.select("number", F.explode(parts).alias("e"), "blanked").select("number", "e.entity", F.explode(F.array_intersect(F.array_distinct(_tokens(F.col("blanked"))), "e.parts")).alias("term")).distinct()
+    spelled = write_stage(spelled, "spelled")
+
+    own = spelled.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together")).withColumn("spelled", F.lit(True))
+    # At best a term stands in no text without entities: what fails then, fails with its true frequency.
+    likely = met.join(entities, "entity").where(_chance(F.col("together"), F.col("together"), F.col("df_entity"), total) <= limit)
+    likely = write_stage(likely.select("term", "entity", "together", "df_entity"), "likely")
+    least = texts.select(F.explode(_terms(F.col("blanked"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    likely = likely.join(least, "term").where(_disclosed(total) >= share).where(_chance(F.col("together"), F.col("df_term"), F.col("df_entity"), total) <= limit)
+    candidates = likely.select("term", "entity", "together", F.lit(False).alias("spelled")).union(own.select("term", "entity", "together", "spelled"))
+    candidates = candidates.groupBy("term", "entity").agg(F.max("together").alias("together"), F.max("spelled").alias("spelled"))
+    candidates = write_stage(candidates, "candidates")
+    if candidates.isEmpty():
+        return None
+    # Pairs come with their words.
+    needed = write_stage(candidates.select(F.explode(F.array_distinct(F.concat(F.array("term"), F.split("term", " ")))).alias("term")).distinct(), "needed")
+    every = whole.select(F.explode(_terms(F.col("text"))).alias("term"))
+    if needed.count() <= MAX_BROADCAST_TERMS:
+        # Their hashes filter the corpus before anything is shuffled; a term of an equal hash is counted in vain.
+        hashes = needed.select(F.xxhash64("term").alias("hash")).distinct()
+        every = every.withColumn("hash", F.xxhash64("term")).join(F.broadcast(hashes), "hash", "left_semi")
+    frequency = every.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    frequency = write_stage(frequency, "frequency")
+    judged = candidates.join(frequency, "term", "left").join(entities, "entity")
+    for k, at in ((1, 1), (2, -1)):
+        judged = judged.withColumn(f"word_{k}", F.substring_index("term", " ", at)).join(frequency.select(F.col("term").alias(f"word_{k}"), F.col("df_term").alias(f"df_{k}")), f"word_{k}", "left")
+    # Texts that hold the pair are a part of those that hold the term.
+    judged = judged.withColumn("df_term", F.greatest("df_term", "together"))
+    by_chance = lambda n: _chance(F.col(n), F.col("df_term"), F.col("df_entity"), total) > limit
+    # The words of a pair must follow each other more often than their frequencies explain: "wrote to" is no name.
+    attracted = ~F.contains(F.col("term"), F.lit(" ")) | (F.col("df_term") * F.lit(float(n_tokens)) > F.col("df_1") * F.col("df_2"))
+    judged = write_stage(judged.where(_disclosed(total) >= share).where(attracted).where(F.col("spelled") | ~by_chance("together")).select("term", "entity", "spelled", "df_term", "df_entity"), "judged")
+    if judged.isEmpty():
+        return None
+
+    # The texts that hold a judged term and its entity, with the words around the term's first place.
+    held = beside.select("number", "entity", "context", "term").join(judged, ["term", "entity"])
+    listed = held.groupBy("number").agg(F.collect_list(F.struct("term", "entity", "context", "spelled", "df_term", "df_entity")).alias("held"))
+    around = lambda tokens, term: F.coalesce(F.xxhash64(let(F.when(F.contains(term, F.lit(" ")), F.array_position(F.transform(tokens, lambda _, i: _pair(tokens, i)), term)).otherwise(F.array_position(tokens, term)), lambda at: F.slice(tokens, F.greatest(F.lit(1), at - NEIGHBOURS).cast("int"), 2 * NEIGHBOURS + 1))), F.lit(0))
+    placed = texts.join(listed, "number").select("number", F.explode(let(F.struct(_tokens(F.col("blanked")).alias("t"), "held"), lambda x: F.transform(
+        x["held"], lambda h: F.struct(h["term"].alias("term"), h["entity"].alias("entity"), h["context"].alias("context"), around(x["t"], h["term"]).alias("around"), h["spelled"].alias("spelled"), h["df_term"].alias("df_term"), h["df_entity"].alias("df_entity")),
+    ))).alias("h")).select("number", "h.*")
+    placed = write_stage(placed, "placed")
+    evidence = placed.groupBy("term", "entity", "spelled", "df_term", "df_entity").agg(F.least(F.count_distinct("context"), F.count_distinct("around")).alias("contexts"))
+    sure = evidence.where(F.col("spelled") | ~by_chance("contexts")).select("term", "entity").union(judged.where("spelled").select("term", "entity")).distinct()
+    sure = write_stage(sure, "disclosing")
+    marks = placed.select("number", "entity", "term").union(spelled.select("number", "entity", "term")).distinct().join(sure, ["term", "entity"])
+    # A pair adds nothing to a word that discloses the entity by itself.
+    listed = marks.groupBy("number").agg(F.collect_set("term").alias("terms"))
+    return listed.select("number", F.explode(F.filter("terms", lambda w: ~F.contains(w, F.lit(" ")) | ~F.arrays_overlap(F.split(w, " "), "terms"))).alias("term"))
+
+
 def written(found: Column, base_only: bool = False) -> Column:
     """Spans as kind:start:stop, comma-joined."""
     names = F.array(*[F.lit(k) for k in [*KINDS, TERM]])

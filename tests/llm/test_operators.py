@@ -130,6 +130,54 @@ def test_personal_data(spark):
     assert found[10].spans == "" and found[11].spans == "" and found[20].spans == ""
 
 
+def personal(spark, texts):
+    docs = spark.createDataFrame([(k, t, "en", "a", "x") for k, t in enumerate(texts)], SCHEMA)
+    found = sanitize.find_personal(docs, F.col("text")).withColumn("clean", sanitize.generalised(F.col("text"), F.col("found")))
+    return {r.doc_id: r.clean for r in found.collect()}
+
+
+def fill(rng, n, tag):
+    """Words of a vocabulary of 900; each passage begins and ends in its own way."""
+    return " ".join([f"{tag}a", *(rng.choice(VOCABULARY) + rng.choice(VOCABULARY) for _ in range(n)), f"{tag}b"])
+
+
+def test_personal_terms_of_whole_texts(spark):
+    rng = random.Random(8)
+    far = [f"{fill(rng, 9, f'u{k}')} Zanzibarski {fill(rng, 60, f'v{k}')} Zanzibarski {fill(rng, 9, f'w{k}')} jo@site.example.org {fill(rng, 9, f'x{k}')}" for k in range(5)]
+    clean = personal(spark, far + [fill(rng, 80, f"y{k}") for k in range(200)])
+    for k in range(5):
+        assert clean[k] == far[k].replace("Zanzibarski", "[TERM]").replace("jo@site.example.org", "[EMAIL]")
+
+
+def test_personal_terms_of_rare_entities(spark):
+    rng = random.Random(9)
+    twice = [f"{fill(rng, 9, f'u{k}')} Zanzibarski {fill(rng, 9, f'v{k}')} 10.20.30.40 {fill(rng, 9, f'x{k}')}" for k in range(2)]
+    domain = [f"{fill(rng, 9, f'p{k}')} Quuxcorp {fill(rng, 9, f'q{k}')} p{k}x@quux.example.org {fill(rng, 9, f'r{k}')}" for k in range(4)]
+    once = [f"Dear Mrs Oberwasser, {fill(rng, 9, 's')} h.oberwasser@mail.example.org {fill(rng, 9, 't')}"]
+    copies = [f"{fill(random.Random(1), 9, 'z')} Plainword 10.20.30.41 {fill(random.Random(1), 9, 'zz')}"] * 3
+    texts = twice + domain + once + copies
+    clean = personal(spark, texts + [fill(rng, 40, f"y{k}") for k in range(1500)])
+    for k in range(2):
+        assert clean[k] == twice[k].replace("Zanzibarski", "[TERM]").replace("10.20.30.40", "[IP]")
+    for k in range(4):
+        assert clean[2 + k] == domain[k].replace("Quuxcorp", "[TERM]").replace(f"p{k}x@quux.example.org", "[EMAIL]")
+    assert clean[6] == once[0].replace("Oberwasser", "[TERM]").replace("h.oberwasser@mail.example.org", "[EMAIL]")
+    for k in range(7, 10):  # copies are no evidence
+        assert clean[k] == texts[k].replace("10.20.30.41", "[IP]")
+
+
+def test_personal_terms_of_any_form(spark):
+    rng = random.Random(10)
+    first, last = VOCABULARY[3] * 2, VOCABULARY[7] * 2
+    for name in ("李明", "k4", "AC77310", f"{first.title()} {last.title()}"):
+        texts = [f"{fill(rng, 9, f'u{k}')} {name} {fill(rng, 9, f'v{k}')} +1 (377) 555-0271 {fill(rng, 9, f'x{k}')}" for k in range(5)]
+        # Each word of the pair is common, and they meet nowhere else.
+        rest = [f"{fill(rng, 40, f'y{k}')} {(first, last)[k % 2]}" for k in range(400)]
+        clean = personal(spark, texts + rest)
+        for k in range(5):
+            assert clean[k] == texts[k].replace(name, "[TERM]").replace("+1 (377) 555-0271", "[PHONE]")
+
+
 def test_urls(spark):
     rows = [(1, "http://A.Example.ORG/es/1?x"), (2, "https://example.org/en/12"), (3, "https://example.org/en/2"), (4, "http://x.com/de/"), (5, None), (6, "no scheme casino"), (7, "http://ads-track.net/p"), (8, "http://badads.net/tracks"), (9, "http://q.net?u=://r.org/")]
     found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), F.col("url")).collect()}
