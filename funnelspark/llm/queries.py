@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.llm import bpe, decontaminate, licenses, minhash, quality, sanitize, substrings, toxicity, urls, warc
+from funnelspark.llm import bpe, decontaminate, langid, licenses, minhash, quality, sanitize, substrings, toxicity, trie, urls, warc, whitening
 from funnelspark.llm.common import ship_package, table
 
 
@@ -79,8 +79,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    field = langid.fit(docs.where(~held_out), F.col("text"), F.col("lang"))
+    return langid.predict(docs, F.col("text"), field, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return trie.prefix_trie(turns, F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, F.col("embedding"), keep=["vec_id"])
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _shipped(f) for f in (op1_url_filter, op2_quality, op3_warc, op4_licenses, op5_decontaminate, op6_substring_dedup, op7_near_duplicates, op8_bpe, op9_personal_data, op10_toxicity)}
+    return {f.__name__: _shipped(f) for f in (op1_url_filter, op2_quality, op3_warc, op4_licenses, op5_decontaminate, op6_substring_dedup, op7_near_duplicates, op8_bpe, op9_personal_data, op10_toxicity, op11_language, op12_prefix_trie, op13_whitening)}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
