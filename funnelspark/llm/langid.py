@@ -28,7 +28,7 @@ SAMPLE, PASSAGE = 500, 60
 #: Training sequences per language, their words, and the rounds, step and penalty of the fit.
 SEQUENCES, LENGTH, ROUNDS, RATE, PENALTY = 400, 40, 40, 0.5, 1e-5
 #: Code points whose features are worked out together, and words of a segment.
-PIECE, SEGMENT = 1 << 19, 256
+PIECE, SEGMENT = 1 << 21, 256
 UNKNOWN = "und"
 #: Scripts without blanks between words (fixed values): each character counts as a word.
 SINGLE = [(0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x0E00, 0x0E7F), (0x20000, 0x323AF)]
@@ -76,6 +76,16 @@ class Words:
         self.place = np.arange(len(at)) - self.first[self.word]
         self.own = own
 
+    def only(self, chosen: np.ndarray) -> Words:
+        """Some of the words, in the order of ``chosen``; places in the text are not kept."""
+        some = object.__new__(Words)
+        some.count, some.lengths = len(chosen), self.lengths[chosen]
+        some.first = np.cumsum(some.lengths) - some.lengths
+        some.word = np.repeat(np.arange(some.count, dtype=np.int64), some.lengths)
+        some.place = np.arange(len(some.word)) - some.first[some.word]
+        some.own = self.own[self.first[chosen][some.word] + some.place]
+        return some
+
     def whole(self) -> np.ndarray:
         """A 64-bit hash per word."""
         if not self.count:
@@ -116,15 +126,22 @@ class Field:
         self.moves, self.opening = np.zeros((k, k)), np.zeros(k)
 
     def emissions(self, words: Words) -> np.ndarray:
-        out = self.lexicon[lexicon_slots(words.whole())].astype(np.float64) * self.trust
-        for word, slot in words.features():
+        """Scores of every language (rows) at every word. Words that come again are worked out once."""
+        whole = words.whole()
+        _, chosen, again = np.unique(whole, return_index=True, return_inverse=True)
+        some, tables = words.only(chosen), [np.ascontiguousarray(w) for w in self.weights.T]
+        out = self.lexicon[lexicon_slots(whole[chosen])].T.astype(np.float64) * self.trust
+        for word, slot in some.features():
             if len(word):
                 cut = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-                out[word[cut]] += np.add.reduceat(self.weights[slot], cut, axis=0)
-        return out
+                at = word[cut]
+                for j, table in enumerate(tables):
+                    scores = table[slot]
+                    out[j, at] += scores if len(cut) == len(scores) else np.add.reduceat(scores, cut)
+        return out[:, again]
 
     def of_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Emissions of all words of some texts, and the number of words of each; long texts are cut between words."""
+        """Scores of all words of some texts, one column a word, and the number of words of each; long texts are cut between words."""
         found, counts, pending, size = [], [], [], 0
 
         def flush() -> None:
@@ -147,7 +164,7 @@ class Field:
                 pending.append((k, piece))
                 size += len(piece)
         flush()
-        return (np.concatenate(found) if found else np.zeros((0, len(self.languages)))), np.array(counts, dtype=np.int64)
+        return (np.concatenate(found, axis=1) if found else np.zeros((len(self.languages), 0))), np.array(counts, dtype=np.int64)
 
 
 def _pieces(points: np.ndarray) -> Iterator[np.ndarray]:
@@ -165,74 +182,71 @@ def _pieces(points: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def marginals(emissions: np.ndarray, counts: np.ndarray, moves: np.ndarray, opening: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
-    """Probability of each language at each word, by forward-backward over each text.
+    """Probability of each language (rows) at each word, by forward-backward over each text.
 
     Texts are cut into segments of at most ``segment`` words that are scanned side by side: first their transfer matrices, which give the messages at the
     borders, then forward and backward within.
     """
-    total, k = emissions.shape
+    k, total = emissions.shape
     if not total:
-        return np.zeros((0, k))
-    own = np.exp(emissions - emissions.max(axis=1, keepdims=True))
-    step = np.exp(moves - moves.max())
-    begin = np.exp(opening - opening.max())
-    # Segments: start, length, text; texts without words have none.
+        return np.zeros((k, 0))
+    step, begin = np.exp(moves - moves.max()), np.exp(opening - opening.max())
+    # Segments: text, place in it, start, length; texts without words have none. Long ones first, so that those still running are always the first ones.
     per = -(-counts // segment)
     text = np.repeat(np.arange(len(counts)), per)
     rank = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-    start = np.repeat(np.cumsum(counts) - counts, per) + rank * segment
     length = np.minimum(segment, np.repeat(counts, per) - rank * segment)
-    # Long segments first, so that those still running are always the first ones.
     order = np.argsort(-length, kind="stable")
-    start, length, text, rank = start[order], length[order], text[order], rank[order]
-    alive = [int(np.searchsorted(-length, -t, side="left")) for t in range(int(length[0]))]
-
-    def scaled(x: np.ndarray) -> np.ndarray:
-        return x / x.sum(axis=tuple(range(1, x.ndim)), keepdims=True)
-
-    n = len(start)
-    inward = np.ones((n, k)) / k  # message into a segment: of the languages of the word before it
-    outward = np.ones((n, k))  # message back from the word after it
-    if int(rank.max()):
-        # Of texts in several segments only; row: language before the segment, column: language of its last word.
-        some = np.flatnonzero(per[text] > 1)
-        transfer = np.broadcast_to(np.eye(k), (len(some), k, k)).copy()
-        lengths = length[some]
-        for t in range(int(lengths[0])):
-            m = int(np.searchsorted(-lengths, -t, side="left"))
-            transfer[:m] = scaled((transfer[:m].reshape(-1, k) @ step).reshape(m, k, k) * own[start[some[:m]] + t][:, None, :])
-        place = np.full(n, -1)
-        place[some] = np.arange(len(some))
-        last = np.zeros((len(counts), k))
-        by_rank = [some[rank[some] == r] for r in range(int(rank.max()) + 1)]
-        for r, segments in enumerate(by_rank):
+    start = (np.repeat(np.cumsum(counts) - counts, per) + rank * segment)[order]
+    text, rank, length = text[order], rank[order], length[order]
+    n, longest = len(start), int(length[0])
+    alive = [int(np.searchsorted(-length, -t, side="left")) for t in range(longest)]
+    # Scores by step; what lies beyond a segment's end is not used.
+    own = np.take(np.exp(emissions - emissions.max(axis=0)), np.minimum(start + np.arange(longest)[:, None], total - 1), axis=1)
+
+    inward, outward = np.repeat(begin[:, None], n, axis=1), np.ones((k, n))
+    many = np.flatnonzero(per[text] > 1)
+    if len(many):
+        # Row i of a transfer: from language i before the segment to each of its last word; the row behind them scans a text's first segment from the opening.
+        transfer = np.repeat(np.vstack([step, begin])[:, :, None], len(many), axis=2) * own[:, 0, many][None]
+        for t in range(1, longest):
+            m = int(np.searchsorted(many, alive[t]))
+            moved = np.matmul(step.T, transfer[:, :, :m]) * own[:, t, many[:m]]
+            # The rows of one segment by one factor; the opening's row by its own.
+            transfer[:k, :, :m] = moved[:k] / moved[:k].sum(axis=(0, 1))
+            transfer[k, :, :m] = _scaled(moved[k])
+        place = np.zeros(n, dtype=np.int64)
+        place[many] = np.arange(len(many))
+        by_rank = [many[rank[many] == r] for r in range(int(rank.max()) + 1)]
+        last, back = np.ones((k, len(counts))), np.ones((k, len(counts)))
+        for r, some in enumerate(by_rank):
             if r:
-                inward[segments] = last[text[segments]]
-                last[text[segments]] = scaled(np.einsum("nk,nkj->nj", inward[segments], transfer[place[segments]]))
+                before = last[:, text[some]]
+                inward[:, some] = step.T @ before
+                last[:, text[some]] = _scaled(np.einsum("in,ijn->jn", before, transfer[:k][:, :, place[some]]))
             else:
-                # The first word follows none: its message is that of the segment scanned from the opening.
-                first = own[start[segments]] * begin
-                for t in range(1, int(length[segments].max(initial=1))):
-                    m = int(np.searchsorted(-length[segments], -t, side="left"))
-                    first[:m] = scaled((first[:m] @ step) * own[start[segments[:m]] + t])
-                last[text[segments]] = scaled(first)
-        back = np.ones((len(counts), k))
-        for segments in reversed(by_rank):
-            outward[segments] = back[text[segments]]
-            back[text[segments]] = scaled(np.einsum("nkj,nj->nk", transfer[place[segments]], outward[segments]))
-    forward = np.zeros((total, k))
-    now = np.where((rank == 0)[:, None], begin[None, :], inward @ step)
+                last[:, text[some]] = _scaled(transfer[k][:, place[some]])
+        for some in reversed(by_rank):
+            outward[:, some] = back[:, text[some]]
+            back[:, text[some]] = _scaled(np.einsum("ijn,jn->in", transfer[:k][:, :, place[some]], outward[:, some]))
+    forward = np.empty((k, longest, n))
+    now = inward
     for t, m in enumerate(alive):
-        now = scaled((now[:m] if t == 0 else now[:m] @ step) * own[start[:m] + t])
-        forward[start[:m] + t] = now
-    # A segment's last word gets the message from outside, the others from the word after them.
-    message = outward.copy()
-    for t in range(len(alive) - 1, -1, -1):
+        now = _scaled((step.T @ now[:, :m] if t else now) * own[:, t, :m])
+        forward[:, t, :m] = now
+    message = outward
+    for t in range(longest - 1, -1, -1):
         m = alive[t]
-        word = start[:m] + t
-        forward[word] *= message[:m]
-        message[:m] = scaled((message[:m] * own[word]) @ step.T)
-    return scaled(forward)
+        forward[:, t, :m] *= message[:, :m]
+        message[:, :m] = _scaled(step @ (message[:, :m] * own[:, t, :m]))
+    out = np.empty((k, total))
+    held = np.arange(longest)[:, None] < length
+    out[:, (start + np.arange(longest)[:, None])[held]] = forward[:, held]
+    return _scaled(out)
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    return x / x.sum(axis=0)
 
 
 # ── Fitting ──
@@ -386,8 +400,8 @@ def label_words(text: str, field: Field) -> list[tuple[int, int, str, float]]:
     points = code_points(text.encode())
     words = Words(points)
     sure = marginals(field.emissions(words), np.array([words.count]), field.moves, field.opening)
-    best = sure.argmax(axis=1) if words.count else []
-    return [(int(a), int(b), field.languages[j], float(p[j])) for a, b, j, p in zip(words.starts, words.stops, best, sure)]
+    best = sure.argmax(axis=0) if words.count else []
+    return [(int(a), int(b), field.languages[j], float(p[j])) for a, b, j, p in zip(words.starts, words.stops, best, sure.T)]
 
 
 def predict(docs: DataFrame, text: Column, field: Field, keep: list[str] | None = None) -> DataFrame:
@@ -401,13 +415,13 @@ def predict(docs: DataFrame, text: Column, field: Field, keep: list[str] | None
             return [[UNKNOWN] * len(values), [0.0] * len(values)]
         emissions, counts = field.of_texts(values)
         sure = marginals(emissions, counts, field.moves, field.opening)
-        ends = np.concatenate([np.zeros((1, sure.shape[1])), np.cumsum(sure, axis=0)])
-        stop = np.cumsum(counts)
-        share = (ends[stop] - ends[stop - counts]) / np.maximum(counts, 1)[:, None]
+        share = np.zeros((len(values), len(field.languages)))
+        if (some := np.flatnonzero(counts)).size:
+            share[some] = (np.add.reduceat(sure, (np.cumsum(counts) - counts)[some], axis=1) / counts[some]).T
         best = share.argmax(axis=1)
         return [
             [field.languages[j] if n else UNKNOWN for j, n in zip(best, counts)],
             [float(min(1.0, max(0.0, s[j]))) if n else 0.0 for s, j, n in zip(share, best, counts)],
         ]
 
-    return map_rows(docs, text, RESULT, run, max_bytes=1 << 21, keep=keep)
+    return map_rows(docs, text, RESULT, run, max_bytes=1 << 22, keep=keep)

@@ -38,12 +38,12 @@ def test_marginals(segment, k):
     counts = np.array([0, 1, 7, 3, 20, 0, 64, 1])
     e, moves, opening = rng.standard_normal((counts.sum(), k)) * 3, rng.standard_normal((k, k)) * 2, rng.standard_normal(k)
     want = np.concatenate([plain_marginals(e[s - c:s], moves, opening) for c, s in zip(counts, np.cumsum(counts)) if c])
-    assert np.allclose(langid.marginals(e, counts, moves, opening, segment), want, atol=1e-12)
+    assert np.allclose(langid.marginals(e.T, counts, moves, opening, segment).T, want, atol=1e-12)
     inner = np.setdiff1d(np.arange(counts.sum()), np.cumsum(counts) - counts)
     some = counts[counts > 0]
     guess, pairs = langid._expected(e, some, moves, opening, inner)
     assert np.allclose(guess, want, atol=1e-12) and np.isclose(pairs.sum(), len(inner))
-    assert langid.marginals(np.zeros((0, k)), np.array([0, 0]), moves, opening).shape == (0, k)
+    assert langid.marginals(np.zeros((k, 0)), np.array([0, 0]), moves, opening).shape == (k, 0)
 
 
 def test_words():

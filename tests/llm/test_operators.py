@@ -215,7 +215,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{TABLES}/{t}.parquet'")
     found = queries.registered()[name](spark, TABLES)
     want = con.execute(expected.statements()[name])

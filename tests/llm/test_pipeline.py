@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from funnelspark.llm import bpe, decontaminate, licenses, minhash, quality, sanitize, substrings, toxicity, urls, warc
+from funnelspark.llm import bpe, decontaminate, langid, licenses, minhash, quality, sanitize, substrings, toxicity, trie, urls, warc, whitening
 from funnelspark.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, spans string"
@@ -111,6 +111,9 @@ def everything(docs):
     yield sanitize.find_personal(docs, t), ["n_email", "found"]
     training = toxicity.packed(docs, i, t).join(docs.select("doc_id", "label"), "doc_id")
     yield toxicity.score_texts(docs, t, toxicity.fit(training, t, F.col("label"))), ["doc_id", "score"]
+    yield langid.predict(docs, t, langid.fit(docs, t, F.col("base"))), ["doc_id", "lang_pred"]
+    yield trie.prefix_trie(docs, i, F.col("label"), F.col("row"), t), ["conv_id", "depth"]
+    yield whitening.whiten(docs, F.array(i.cast("double"), F.col("label").cast("double"))), ["doc_id", "whitened"]
 
 
 def test_empty_tables(spark):
@@ -126,4 +129,4 @@ def test_nulls_ties_and_clashing_columns(spark):
     rows = [(k % 7, t, k % 2, *["c"] * 11) for k, t in enumerate(texts)] + [(None, prose(rng, 60), None, *[None] * 11), (None, None, None, *[None] * 11)]
     docs = spark.createDataFrame(rows, CLASHING)
     counts = [found.count() for found, _ in everything(docs)]
-    assert counts[:7] == [len(rows)] * 7 and counts[8:] == [len(rows)] * 3
+    assert counts[:7] == [len(rows)] * 7 and counts[8:12] == [len(rows)] * 4 and counts[13] == 2 * (len(rows) - 2)
