@@ -1,7 +1,8 @@
 """Toxicity: a linear classifier over character n-grams whose features are scaled by naive Bayes log-count ratios.
 
-A text is the set of its hashed n-grams. The ratio of an n-gram is the log of its smoothed share among texts of label 1 over that among texts of
-label 0, counted over all labelled training texts. Logistic regression on the scaled features is fitted on a bounded sample.
+A text is the set of its hashed n-grams of code points. The ratio of an n-gram is the log of its smoothed share among texts of label 1 over that among texts of
+label 0, counted over all labelled training texts. Logistic regression on the scaled features is fitted on a bounded sample; n-grams outside it share
+the mean weight that its n-grams got.
 """
 
 from __future__ import annotations
@@ -19,25 +20,33 @@ from funnelspark.llm.common import as_bytes, map_rows
 from funnelspark.session import write_stage
 
 LENGTHS, BITS = (3, 4, 5), 18
-#: Bound of the sample the classifier is fitted on: texts of label 1, and as many times that of label 0. Ratios are counted over all training texts.
-SAMPLE, ZEROS_PER_ONE = 1200, 2
-SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 30.0, 100, 0.05
+#: Bound of the sample the classifier is fitted on: different texts of label 1, and as many times that of label 0. Ratios are counted over all training texts.
+SAMPLE, ZEROS_PER_ONE = 2000, 2
+SMOOTHING, PENALTY, ROUNDS, RATE = 1.0, 30.0, 120, 0.05
+#: N-grams of the sample that are added up together.
+CHUNK = 1 << 20
 
 SCORE = T.StructType([T.StructField("score", T.DoubleType())])
 
 
 def features(text: bytes) -> np.ndarray:
-    """Distinct hashed n-grams of a text, A-Z lower-cased, ascending."""
-    raw = np.frombuffer(b" " + text.lower() + b" ", dtype=np.uint8).astype(np.uint64)
-    found = []
-    for n in LENGTHS:
-        if len(raw) >= n:
-            gram = np.zeros(len(raw) - n + 1, dtype=np.uint64)
-            for k in range(n):
-                gram = (gram << np.uint64(8)) | raw[k: len(raw) - n + 1 + k]
-            found.append((((gram + np.uint64(n << 56)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.uint32))
-    every = np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint32)
-    return every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
+    """Distinct hashed n-grams of a text's code points, A-Z lower-cased, ascending."""
+    points = (" " + text.lower().decode("utf-8", "replace") + " ").encode("utf-32-le")
+    raw = np.frombuffer(points, dtype=np.uint32).astype(np.uint64)
+    found, gram = [], raw
+    for n in range(2, max(LENGTHS) + 1):
+        if len(raw) < n:
+            break
+        # 21 bits hold a code point; what runs over is mixed in by the odd factor.
+        gram = gram[:-1] * np.uint64(0x9E3779B97F4A7C15) + raw[n - 1:]
+        if n in LENGTHS:
+            found.append(((gram + np.uint64(n << 56)) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - BITS))
+    every = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+    if len(every) < 4000:
+        return np.unique(every).astype(np.uint32)
+    held = np.zeros(1 << BITS, dtype=bool)
+    held[every] = True
+    return np.flatnonzero(held).astype(np.uint32)
 
 
 def packed(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
@@ -66,10 +75,30 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[1, some]), pa.array(held[0, some])], names=["feature", "ones", "zeros"])
 
 
+def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of sampled texts: their number, and the compressed differences of their ascending ids."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        some = [features(t) for t in _unpacked(batch.column("text"))]
+        made = [compress(np.diff(s, prepend=np.uint32(0)).astype(np.uint32).tobytes()) for s in some]
+        yield pa.RecordBatch.from_arrays([batch.column("hash"), pa.array([len(s) for s in some], pa.int64()), pa.array(made, pa.binary())], names=["hash", "n", "ids"])
+
+
+def _sampled(rows: DataFrame, label: int, most: int) -> list[tuple[int, bytes]]:
+    """Numbers and packed ids of the texts of the smallest hashes, copies once; at most 2^18 ids a text reach the driver."""
+    hashed = rows.where(F.col("label") == label).select(F.xxhash64("text").alias("hash"), "text")
+    last = hashed.select("hash").distinct().orderBy("hash").limit(most).agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    chosen = hashed.where(F.col("hash") <= last).groupBy("hash").agg(F.min("text").alias("text"))
+    found = chosen.mapInArrow(_ids, "hash long, n long, ids binary").toArrow().sort_by("hash")
+    return list(zip(found.column("n").to_pylist(), found.column("ids").to_pylist(), strict=True))
+
+
 def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weights per hashed n-gram (ratios included) and the intercept.
 
-    ``text`` is a text as ``packed`` returns it (null counts as empty there). Rows with a label other than 0 or 1 are not used. Counts come from all rows; they reach the driver as at most 2^18 rows. The fit takes at most ``sample`` texts
+    ``text`` is a text as ``packed`` returns it (null counts as empty there). Rows with a label other than 0 or 1 are not used. Counts come from all rows; they reach the driver as at most 2^18 rows. The fit takes at most ``sample`` different texts
     of label 1 and ZEROS_PER_ONE times as many of label 0 as of label 1, those of the smallest hashes. Without texts of both labels all weights are 0.
     """
     rows = write_stage(training.select(label.cast("int").alias("label"), text.alias("text")).where("label in (0, 1)"), "training")
@@ -80,15 +109,16 @@ def fit(training: DataFrame, text: Column, label: Column, sample: int = SAMPLE)
     zeros[at] += counted.column("zeros").to_numpy()
     ratio = np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
 
-    texts: list[list[np.ndarray]] = []
-    for value, most in ((1, sample), (0, ZEROS_PER_ONE * sample)):
-        chosen = rows.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text").limit(most).select("text").toArrow()
-        texts.append([features(t) for t in _unpacked(chosen.column("text"))])
-    ones_, zeros_ = texts[0], texts[1][: ZEROS_PER_ONE * len(texts[0])]
-    if not ones_ or not zeros_:
+    positive = _sampled(rows, 1, sample)
+    negative = _sampled(rows, 0, ZEROS_PER_ONE * len(positive)) if positive else []
+    if not positive or not negative:
         return np.zeros(1 << BITS), 0.0
-    docs, target = ones_ + zeros_, np.repeat([1.0, 0.0], [len(ones_), len(zeros_)])
-    return _logistic(docs, target, ratio)
+    sizes = np.array([n for n, _ in positive + negative])
+    every, at, unpack = np.empty(sizes.sum(), dtype=np.uint32), 0, zstandard.ZstdDecompressor().decompress
+    for n, ids in positive + negative:
+        every[at:at + n] = np.cumsum(np.frombuffer(unpack(ids), dtype=np.uint32), dtype=np.uint32)
+        at += n
+    return _logistic(every, sizes, np.repeat([1.0, 0.0], [len(positive), len(negative)]), ratio)
 
 
 def _scale(n: np.ndarray) -> np.ndarray:
@@ -96,28 +126,30 @@ def _scale(n: np.ndarray) -> np.ndarray:
     return np.maximum(n, 1) ** -0.25
 
 
-def _logistic(docs: list[np.ndarray], target: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Adam on the mean logistic loss with a squared penalty; features are ratios, scaled by the text's number of n-grams."""
-    sizes = np.array([len(d) for d in docs])
-    every, row = np.concatenate(docs), np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
-    place = np.zeros(len(ratio), dtype=np.int32)
-    place[every] = 1
-    used = np.flatnonzero(place)
-    place[used] = np.arange(len(used))
-    column = place[every]
-    value = (ratio[used][column] * _scale(sizes)[row]).astype(np.float32)
-    weight, bias = np.ones(len(used)), 0.0
-    first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+def _logistic(every: np.ndarray, sizes: np.ndarray, target: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Adam on the mean logistic loss with a squared penalty; features are ratios, scaled by the text's number of n-grams.
+
+    ``every`` lists the n-grams of all texts, one text after the other; texts are added up in runs of about CHUNK n-grams, so nothing else grows with them.
+    """
+    ends, scale = np.cumsum(sizes), _scale(sizes)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], CHUNK), side="left"), len(sizes)))
+    times = np.bincount(every, minlength=len(ratio))
+    weight, bias = np.where(times > 0, 1.0, 0.0), 0.0
+    first, second = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1)
     for step in range(1, ROUNDS + 1):
-        z = np.bincount(row, weights=value * weight[column], minlength=len(docs)) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / len(docs)
-        grad = np.append(np.bincount(column, weights=value * error[row], minlength=len(used)) + PENALTY * weight / len(used), error.sum())
+        grad, scaled = np.append(PENALTY * weight / np.count_nonzero(times), 0.0), weight * ratio
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            ids = every[ends[low] - sizes[low]:ends[high - 1]]
+            text = np.repeat(np.arange(high - low), sizes[low:high])
+            z = np.bincount(text, weights=scaled[ids], minlength=high - low) * scale[low:high] + bias
+            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target[low:high]) / len(sizes)
+            grad[:-1] += ratio * np.bincount(ids, weights=(error * scale[low:high])[text], minlength=len(ratio))
+            grad[-1] += error.sum()
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
         move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
         weight, bias = weight - move[:-1], bias - move[-1]
-    out = np.zeros(len(ratio))
-    out[used] = weight * ratio[used]
-    return out, float(bias)
+    shared = float((weight * times).sum() / max(1, times.sum()))
+    return np.where(times > 0, weight, shared) * ratio, float(bias)
 
 
 def score_texts(docs: DataFrame, text: Column, model: tuple[np.ndarray, float], keep: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, empty texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -209,6 +210,66 @@ def test_toxicity(spark):
     assert not nothing[0].any()
 
 
+def plain_grams(text):
+    low = " " + "".join(c.lower() if "A" <= c <= "Z" else c for c in text) + " "
+    return {low[k:k + n] for n in (3, 4, 5) for k in range(len(low) - n + 1)}
+
+
+def test_toxicity_features():
+    """An n-gram is of code points, whatever their bytes; a text is a set of them."""
+    for text in ("", "a", "ABC é", "漢字漢字漢", "x" * 9000, "Ünï𝄞ab " * 700):
+        grams = sorted(plain_grams(text))
+        found = toxicity.features(text.encode())
+        assert found.tolist() == sorted(set(found.tolist())) and 0.98 * len(grams) - 1 <= len(found) <= len(grams)
+    # The n-grams of a text are those of its parts, so no byte position matters.
+    one = set(toxicity.features("漢字".encode()).tolist())
+    assert len(one) == 3 and one != set(toxicity.features("漢学".encode()).tolist())
+
+
+def test_toxicity_model_by_plain_arithmetic(spark, monkeypatch):
+    """Ratios of all rows, the fit on the sample by plain loops, and scores of texts with n-grams outside the sample."""
+    monkeypatch.setattr(toxicity, "ROUNDS", 7)
+    monkeypatch.setattr(toxicity, "CHUNK", 50)
+    rng = random.Random(6)
+    rows = [(k, prose(rng, 3 + k % 9) + (" scum" if k % 4 == 0 else ""), int(k % 4 == 0)) for k in range(40)]
+    rows += [(100 + k, rows[4][1], 1) for k in range(5)] + [(200, None, 0), (201, "", 1), (202, "other", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    training = toxicity.packed(docs, F.col("doc_id"), F.col("text")).join(docs.select("doc_id", "label"), "doc_id")
+    got, bias = toxicity.fit(training, F.col("text"), F.col("label"), sample=6)
+
+    ids = {r[0]: toxicity.features((r[1] or "").encode()).tolist() for r in rows}
+    held = {v: Counter(g for i, _, label in rows if label == v for g in ids[i]) for v in (0, 1)}
+    share = {v: (1 << 18) + sum(held[v].values()) for v in (0, 1)}
+    ratio = lambda g: math.log((1 + held[1][g]) / share[1]) - math.log((1 + held[0][g]) / share[0])
+    packed = {r.doc_id: r.h for r in training.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    texts = {v: sorted({packed[i]: ids[i] for i, _, label in rows if label == v}.items()) for v in (0, 1)}
+    sample = [(g, 1) for _, g in texts[1][:6]] + [(g, 0) for _, g in texts[0][:12]]
+    times = Counter(g for grams, _ in sample for g in grams)
+    weight, own_bias, first, second = dict.fromkeys(times, 1.0), 0.0, Counter(), Counter()
+    for step in range(1, 8):
+        grad, slope = {g: 30.0 * w / len(weight) for g, w in weight.items()}, 0.0
+        for grams, label in sample:
+            scale = max(1, len(grams)) ** -0.25
+            error = (1 / (1 + math.exp(-(sum(weight[g] * ratio(g) for g in grams) * scale + own_bias))) - label) / len(sample)
+            slope += error
+            for g in grams:
+                grad[g] += error * scale * ratio(g)
+        for g, x in [*grad.items(), ("bias", slope)]:
+            first[g], second[g] = 0.9 * first[g] + 0.1 * x, 0.999 * second[g] + 0.001 * x * x
+            move = 0.05 * (first[g] / (1 - 0.9**step)) / (math.sqrt(second[g] / (1 - 0.999**step)) + 1e-9)
+            if g == "bias":
+                own_bias -= move
+            else:
+                weight[g] -= move
+    shared = sum(weight[g] * n for g, n in times.items()) / sum(times.values())
+    assert abs(bias - own_bias) < 1e-9
+    for text in ["kata scum", "zzz unseen", "", *(r[1] or "" for r in rows[:9])]:
+        grams = toxicity.features(text.encode()).tolist()
+        z = sum(weight.get(g, shared) * ratio(g) for g in grams) * max(1, len(grams)) ** -0.25 + own_bias
+        score = toxicity.score_texts(spark.createDataFrame([(text,)], "text string"), F.col("text"), (got, bias)).first().score
+        assert abs(score - 1 / (1 + math.exp(-z))) < 1e-5
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables absent")
 @pytest.mark.parametrize("name", list(expected.statements()))
 def test_query_equals_its_sql(spark, name):
