@@ -9,6 +9,7 @@ span at every place in every text that holds the entity. Addresses are also pool
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ TERM = "term"
 CONTEXT, NEIGHBOURS = 60, 5
 #: Share of an entity's information that a term may disclose, and the number of judgements by chance that all tests together may give.
 DISCLOSED, DOUBT = 0.8, 0.05
-#: Terms whose hashes are broadcast to filter the corpus (about 24 bytes each); with more, the frequencies of all terms are shuffled.
-MAX_BROADCAST_TERMS = 1_000_000
+#: Words of 64 bits in the filter of candidate terms that is broadcast (2 MB of bits, whatever the number of terms).
+FILTER = 1 << 18
+#: Code points of a piece of text, so that places far into a long text are reached in steps.
+PIECE = 1024
 #: What stands in for an entity, and a word.
 BLANK = "\x01"
 _WORD = r"[\p{L}\p{M}\p{N}]+"
@@ -45,21 +48,61 @@ MAY_HOLD = {
 }
 
 
+def scan(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], out: str) -> Column:
+    """Outputs of a running state over an array: ``step`` gives the next state and an array of outputs, of type ``array<out>``.
+
+    Outputs are gathered in blocks of about the square root of the number of items, so adding to an array never copies a long one.
+    """
+    none = lambda depth: F.array().cast("array<" * depth + out + ">" * depth)
+
+    def block(state: Column, some: Column) -> Column:
+        def one(a: Column, x: Column) -> Column:
+            after, more = step(a["state"], x)
+            return F.struct(after.alias("state"), F.when(F.size(more) > 0, F.concat(a["found"], more)).otherwise(a["found"]).alias("found"))
+
+        return F.aggregate(some, F.struct(state.alias("state"), none(1).alias("found")), one)
+
+    def all_(x: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(x))).cast("int")
+        return F.aggregate(
+            F.sequence(F.lit(0), F.ceil(F.size(x) / size).cast("int") - 1), F.struct(start.alias("state"), none(2).alias("found")),
+            lambda a, k: let(block(a["state"], F.slice(x, k * size + 1, size)), lambda b: F.struct(b["state"].alias("state"), F.when(F.size(b["found"]) > 0, F.array_append(a["found"], b["found"])).otherwise(a["found"]).alias("found"))),
+            lambda a: F.flatten(a["found"]),
+        )
+
+    return let(items, lambda x: F.when(F.size(x) > 0, all_(x)).otherwise(none(1)))
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of PIECE code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def between(parts: Column, start: Column, stop: Column) -> Column:
+    """Code points from ``start`` up to ``stop`` of a text in pieces; only the pieces they lie in are walked."""
+    def of(first: Column, last: Column) -> Column:
+        head = F.substring(F.get(parts, first), start % PIECE + 1, F.when(first == last, stop - start).otherwise(F.lit(PIECE)))
+        rest = F.concat(F.array_join(F.slice(parts, first + 2, F.greatest(F.lit(0), last - first - 1)), ""), F.substring(F.get(parts, last), F.lit(1), (stop - 1) % PIECE + 1))
+        return F.when(first == last, head).otherwise(F.concat(head, rest))
+
+    whole = lambda n: F.floor(n / PIECE).cast("int")
+    return F.when(stop > start, let(F.struct(whole(start).alias("a"), whole(stop - 1).alias("b")), lambda x: of(x["a"], x["b"]))).otherwise(F.lit(""))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as array of (start, stop, value), in code points: the lengths of gaps and values add up."""
 
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["gap"])
+        stop = start + F.length(x["value"])
+        return stop, F.array(F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value")))
+
     def placed(values: Column, gaps: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(values) - 1), F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("found")),
-            lambda a, k: let(a["at"] + F.length(F.get(gaps, k)), lambda start: F.struct(
-                (start + F.length(F.get(values, k))).alias("at"),
-                F.array_append(a["found"], F.struct(start.alias("start"), (start + F.length(F.get(values, k))).alias("stop"), F.get(values, k).alias("value"))).alias("found"),
-            )),
-            lambda a: a["found"],
-        )
+        both = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
+        return scan(both, F.lit(0), step, "struct<start:int,stop:int,value:string>")
 
     none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda v: F.when(F.size(v) > 0, let(F.split(text, pattern, -1), lambda g: placed(v, g))).otherwise(none))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda v: F.when(F.size(v) > 0, placed(v, F.split(text, pattern, -1))).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -97,12 +140,11 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*found))
 
 
-def _entities(text: Column, spans: Column) -> Column:
+def _entities(parts: Column, length: Column, spans: Column) -> Column:
     """For each entity, and the person and domain of an address: its name and a hash of the words beside it."""
 
     def of(x: Column) -> Column:
-        low = F.greatest(F.lit(0), x["start"] - CONTEXT)
-        beside = F.concat(F.substring(text, low + 1, x["start"] - low), F.lit(BLANK), F.substring(text, x["stop"] + 1, F.lit(CONTEXT)))
+        beside = F.concat(between(parts, F.greatest(F.lit(0), x["start"] - CONTEXT), x["start"]), F.lit(BLANK), between(parts, x["stop"], F.least(x["stop"] + CONTEXT, length)))
         value = F.when(x["kind"] == 0, F.lower(x["value"])).otherwise(_digits(x["value"]))
         context = F.xxhash64(F.regexp_extract_all(F.lower(beside), F.lit(_WORD), F.lit(0)))
         pooled = F.when(x["kind"] == 0, F.array(F.concat(F.lit("person:"), F.substring_index(value, "@", 1)), F.concat(F.lit("domain:"), F.substring_index(value, "@", -1)))).otherwise(F.array().cast("array<string>"))
@@ -112,21 +154,19 @@ def _entities(text: Column, spans: Column) -> Column:
     return F.flatten(F.transform(spans, of))
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """The text with the entities overwritten; places stay."""
+def _replaced(parts: Column, length: Column, spans: Column, instead: Callable[[Column, Column], Column]) -> Column:
+    """The text with the spans, sorted by start, replaced by ``instead`` of the span and the place up to which the text is done."""
 
-    def step(a: Column, s: Column) -> Column:
-        return F.struct(
-            F.greatest(a["at"], s["stop"]).alias("at"),
-            F.array_append(a["parts"], F.concat(
-                F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"])), F.repeat(F.lit(BLANK), F.greatest(F.lit(0), s["stop"] - F.greatest(a["at"], s["start"]))),
-            )).alias("parts"),
-        )
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        return F.greatest(at, s["stop"]), F.array(F.concat(between(parts, at, s["start"]), instead(s, at)))
 
-    return F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step,
-        lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))),
-    )
+    end = F.aggregate(spans, F.lit(0), lambda a, s: F.greatest(a, s["stop"]))
+    return F.concat(F.array_join(scan(spans, F.lit(0), step, "string"), ""), between(parts, end, length))
+
+
+def _blanked(parts: Column, length: Column, spans: Column) -> Column:
+    """The text with the entities overwritten; places stay."""
+    return _replaced(parts, length, spans, lambda s, at: F.repeat(F.lit(BLANK), F.greatest(F.lit(0), s["stop"] - F.greatest(at, s["start"]))))
 
 
 def _tokens(text: Column) -> Column:
@@ -143,32 +183,38 @@ def _pair(tokens: Column, i: Column) -> Column:
     return F.concat(F.get(tokens, i), F.lit(" "), F.get(tokens, i + 1))
 
 
-def _terms(text: Column) -> Column:
+def _terms(tokens: Column) -> Column:
     """Distinct words and neighbouring pairs of words."""
-    return let(_tokens(text), lambda t: F.array_distinct(F.filter(F.concat(t, F.transform(t, lambda _, i: _pair(t, i))), lambda w: w.isNotNull() & ~F.contains(w, F.lit(BLANK)))))
+    return F.array_distinct(F.filter(F.concat(tokens, F.transform(tokens, lambda _, i: _pair(tokens, i))), lambda w: w.isNotNull() & ~F.contains(w, F.lit(BLANK))))
+
+
+def _first_places(tokens: Column) -> Column:
+    """Distinct words and neighbouring pairs of words, each with the place (from 0) of its first token."""
+    every = F.concat(F.transform(tokens, lambda w, i: F.struct(w.alias("term"), i.alias("at"))), F.transform(tokens, lambda _, i: F.struct(_pair(tokens, i).alias("term"), i.alias("at"))))
+    some = F.sort_array(F.filter(every, lambda x: x["term"].isNotNull() & ~F.contains(x["term"], F.lit(BLANK))))
+    return let(some, lambda x: F.filter(x, lambda y, k: (k == 0) | (F.get(x, k - 1)["term"] != y["term"])))
 
 
 def _marks(text: Column, terms: Column) -> Column:
     """Every place of the terms in a text, as array of (start, kind, stop)."""
+    span = lambda start, stop: F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), stop.alias("stop"))
     none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
-    span = lambda start, stop: F.array(F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), stop.alias("stop")))
-
-    def step(a: Column, x: Column) -> Column:
-        # x is a word with the gap before it; ``found`` only grows by what is found.
-        def at(word: Column) -> Column:
-            stop = a["at"] + F.length(x)
-            start = stop - F.length(word)
-            low = F.lower(word)
-            joined = F.array_contains(terms, F.concat(a["word"], F.lit(" "), low)) & _is_word(a["word"]) & ~F.contains(x, F.lit(BLANK))
-            found = F.when(F.array_contains(terms, low), F.concat(a["found"], span(start, stop))).otherwise(a["found"])
-            return F.struct(stop.alias("at"), start.alias("start"), low.alias("word"), F.when(joined, F.concat(found, span(a["start"], stop))).otherwise(found).alias("found"))
 
-        return let(F.regexp_extract(x, f"{_WORD}$", 0), at)
+    def step(a: Column, x: Column) -> tuple[Column, Column]:
+        # x is a word with the gap before it; the state has the last word and where it begins and ends.
+        stop = a["at"] + F.length(x["piece"])
+        start = stop - F.length(x["word"])
+        joined = F.array_contains(terms, F.concat(a["word"], F.lit(" "), x["low"])) & _is_word(a["word"]) & ~F.contains(x["piece"], F.lit(BLANK))
+        found = F.when(F.array_contains(terms, x["low"]), F.array(span(start, stop))).otherwise(none)
+        return F.struct(stop.alias("at"), start.alias("start"), x["low"].alias("word")), F.when(joined, F.array_append(found, span(a["start"], stop))).otherwise(found)
 
     # The empty remainder after the last word holds none.
-    pieces = F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{M}\p{N}]*+[\p{L}\p{M}\p{N}]++"), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(BLANK).alias("word"), none.alias("found"))
-    return F.array_distinct(F.aggregate(pieces, start, step, lambda a: a["found"]))
+    words = F.transform(
+        F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{M}\p{N}]*+[\p{L}\p{M}\p{N}]++"), F.lit(0)),
+        lambda p: let(F.regexp_extract(p, f"{_WORD}$", 0), lambda w: F.struct(p.alias("piece"), w.alias("word"), F.lower(w).alias("low"))),
+    )
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(BLANK).alias("word"))
+    return F.array_distinct(scan(words, start, step, "struct<start:int,kind:int,stop:int>"))
 
 
 def _chance(together: Column, df_term: Column, df_entity: Column, total: int) -> Column:
@@ -194,9 +240,12 @@ def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, doubt
     outputs = ["found", *[f"n_{k}" for k in KINDS]]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in outputs]
     whole = docs.select((F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = whole.select("row", let(F.col("text"), lambda t: let(base_spans(t), lambda s: F.struct(
-        s.alias("spans"), F.when(F.size(s) > 0, _entities(t, s)).alias("entities"), F.when(F.size(s) > 0, _blanked(t, s)).alias("blanked"), F.regexp_count(t, F.lit(_WORD)).alias("n_tokens"),
-    ))).alias("x"))
+    held = lambda t, s: let(F.struct(pieces(t).alias("parts"), F.length(t).alias("length")), lambda x: F.struct(
+        _entities(x["parts"], x["length"], s).alias("entities"), _blanked(x["parts"], x["length"], s).alias("blanked"),
+    ))
+    rows = whole.select("row", let(F.col("text"), lambda t: let(base_spans(t), lambda s: let(F.when(F.size(s) > 0, held(t, s)), lambda h: F.struct(
+        s.alias("spans"), h["entities"].alias("entities"), h["blanked"].alias("blanked"), F.regexp_count(t, F.lit(_WORD)).alias("n_tokens"),
+    )))).alias("x"))
     rows = write_stage(rows.select("row", F.monotonically_increasing_id().alias("number"), "x.*"), "personal")
     judged = _disclosing(whole, rows, share, doubt)
     if judged is None:
@@ -212,17 +261,28 @@ def find_personal(docs: DataFrame, text: Column, share: float = DISCLOSED, doubt
     )
 
 
+def _among(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` whose term may be one of ``terms``: by a bit per hash in a broadcast filter of at most FILTER words.
+
+    It drops no term of ``terms``; the more there are, the more others pass, which a later join by term drops.
+    """
+    place = lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER - 1))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    hashed = F.xxhash64("term")
+    bits = write_stage(terms.select(place(hashed).alias("place"), bit(hashed).alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits")), "filter")
+    return rows.withColumn("hash", hashed).withColumn("place", place(F.col("hash"))).join(F.broadcast(bits), "place").where(F.col("bits").bitwiseAND(bit(F.col("hash"))) != 0).drop("hash", "place", "bits")
+
+
 def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -> DataFrame | None:
     """number and term: the terms to mark in each text; None if there are none."""
     total, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    texts = rows.where(F.size("spans") > 0)
-    seen = texts.select("number", F.explode("entities").alias("e")).groupBy("number", "e.entity").agg(F.min("e.context").alias("context"), F.max("e.context").alias("other"))
-    seen = write_stage(seen, "seen")
-    entities = write_stage(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"), (F.min("context") != F.max("other")).alias("several")), "entities")
+    texts = write_stage(rows.where(F.size("spans") > 0).select("number", "entities", _tokens(F.col("blanked")).alias("tokens")), "tokens")
+    seen = write_stage(texts.select("number", F.explode("entities").alias("e")).groupBy("number", "e.entity").agg(F.min("e.context").alias("context")), "seen")
+    entities = write_stage(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"), (F.min("context") != F.max("context")).alias("several")), "entities")
 
-    # An entity of one context cannot meet a term more often than chance explains.
+    # An entity of one text, or of texts that begin it alike, cannot meet a term more often than chance explains: it is not tested.
     tested = seen.join(entities.where("several").select("entity"), "entity").groupBy("number").agg(F.collect_list(F.struct("entity", "context")).alias("tested"))
-    beside = texts.join(tested, "number").select("number", F.explode("tested").alias("e"), _terms(F.col("blanked")).alias("terms")).select("number", "e.entity", "e.context", F.explode("terms").alias("term"))
+    beside = texts.join(tested, "number").select(F.explode("tested").alias("e"), _terms(F.col("tokens")).alias("terms")).select("e.entity", "e.context", F.explode("terms").alias("term"))
     tests = Observation()
     pairs = beside.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together"), F.min("context").alias("low"), F.max("context").alias("high")).observe(tests, F.count(F.lit(1)).alias("n"))
     met = write_stage(pairs.where("low != high").select("term", "entity", "together"), "beside")
@@ -233,14 +293,14 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
         F.filter("entities", lambda e: e["entity"].startswith("0:")),
         lambda e: F.struct(e["entity"].alias("entity"), F.regexp_extract_all(F.substring_index(F.substring(e["entity"], 3, 1 << 20), "@", 1), F.lit(r"\p{L}+"), F.lit(0)).alias("parts")),
     )
-    spelled = texts.select("number", F.explode(parts).alias("e"), "blanked").select("number", "e.entity", F.explode(F.array_intersect(F.array_distinct(_tokens(F.col("blanked"))), "e.parts")).alias("term")).distinct()
-    spelled = write_stage(spelled, "spelled")
+    named = texts.select("number", F.explode(parts).alias("e")).select("number", "e.entity", F.explode("e.parts").alias("term")).distinct()
+    spelled = write_stage(named.join(texts.select("number", F.explode(F.array_distinct("tokens")).alias("term")), ["number", "term"], "left_semi"), "spelled")
 
     own = spelled.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together")).withColumn("spelled", F.lit(True))
     # At best a term stands in no text without entities: what fails then, fails with its true frequency.
     likely = met.join(entities, "entity").where(_chance(F.col("together"), F.col("together"), F.col("df_entity"), total) <= limit)
     likely = write_stage(likely.select("term", "entity", "together", "df_entity"), "likely")
-    least = texts.select(F.explode(_terms(F.col("blanked"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    least = _among(texts.select(F.explode(_terms(F.col("tokens"))).alias("term")), likely).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
     likely = likely.join(least, "term").where(_disclosed(total) >= share).where(_chance(F.col("together"), F.col("df_term"), F.col("df_entity"), total) <= limit)
     candidates = likely.select("term", "entity", "together", F.lit(False).alias("spelled")).union(own.select("term", "entity", "together", "spelled"))
     candidates = candidates.groupBy("term", "entity").agg(F.max("together").alias("together"), F.max("spelled").alias("spelled"))
@@ -248,14 +308,9 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
     if candidates.isEmpty():
         return None
     # Pairs come with their words.
-    needed = write_stage(candidates.select(F.explode(F.array_distinct(F.concat(F.array("term"), F.split("term", " ")))).alias("term")).distinct(), "needed")
-    every = whole.select(F.explode(_terms(F.col("text"))).alias("term"))
-    if needed.count() <= MAX_BROADCAST_TERMS:
-        # Their hashes filter the corpus before anything is shuffled; a term of an equal hash is counted in vain.
-        hashes = needed.select(F.xxhash64("term").alias("hash")).distinct()
-        every = every.withColumn("hash", F.xxhash64("term")).join(F.broadcast(hashes), "hash", "left_semi")
-    frequency = every.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    frequency = write_stage(frequency, "frequency")
+    needed = candidates.select(F.explode(F.array_distinct(F.concat(F.array("term"), F.split("term", " ")))).alias("term"))
+    every = whole.select(F.explode(let(_tokens(F.col("text")), _terms)).alias("term"))
+    frequency = write_stage(_among(every, needed).groupBy("term").agg(F.count(F.lit(1)).alias("df_term")), "frequency")
     judged = candidates.join(frequency, "term", "left").join(entities, "entity")
     for k, at in ((1, 1), (2, -1)):
         judged = judged.withColumn(f"word_{k}", F.substring_index("term", " ", at)).join(frequency.select(F.col("term").alias(f"word_{k}"), F.col("df_term").alias(f"df_{k}")), f"word_{k}", "left")
@@ -268,13 +323,12 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
     if judged.isEmpty():
         return None
 
-    # The texts that hold a judged term and its entity, with the words around the term's first place.
-    held = beside.select("number", "entity", "context", "term").join(judged, ["term", "entity"])
-    listed = held.groupBy("number").agg(F.collect_list(F.struct("term", "entity", "context", "spelled", "df_term", "df_entity")).alias("held"))
-    around = lambda tokens, term: F.coalesce(F.xxhash64(let(F.when(F.contains(term, F.lit(" ")), F.array_position(F.transform(tokens, lambda _, i: _pair(tokens, i)), term)).otherwise(F.array_position(tokens, term)), lambda at: F.slice(tokens, F.greatest(F.lit(1), at - NEIGHBOURS).cast("int"), 2 * NEIGHBOURS + 1))), F.lit(0))
-    placed = texts.join(listed, "number").select("number", F.explode(let(F.struct(_tokens(F.col("blanked")).alias("t"), "held"), lambda x: F.transform(
-        x["held"], lambda h: F.struct(h["term"].alias("term"), h["entity"].alias("entity"), h["context"].alias("context"), around(x["t"], h["term"]).alias("around"), h["spelled"].alias("spelled"), h["df_term"].alias("df_term"), h["df_entity"].alias("df_entity")),
-    ))).alias("h")).select("number", "h.*")
+    # Judged terms in the texts of their entities, each at its first place, and the words around that place.
+    places = _among(texts.select("number", F.explode(_first_places(F.col("tokens"))).alias("p")).select("number", "p.term", "p.at"), judged)
+    held = places.join(judged, "term").join(seen.select("number", "entity", "context"), ["number", "entity"])
+    listed = held.groupBy("number").agg(F.collect_list(F.struct("term", "entity", "context", "spelled", "df_term", "df_entity", "at")).alias("held"))
+    around = F.xxhash64(F.slice("tokens", F.greatest(F.lit(1), F.col("h.at") + 1 - NEIGHBOURS), 2 * NEIGHBOURS + 1))
+    placed = texts.select("number", "tokens").join(listed, "number").select("number", "tokens", F.explode("held").alias("h")).select("number", "h.*", around.alias("around"))
     placed = write_stage(placed, "placed")
     evidence = placed.groupBy("term", "entity", "spelled", "df_term", "df_entity").agg(F.least(F.count_distinct("context"), F.count_distinct("around")).alias("contexts"))
     sure = evidence.where(F.col("spelled") | ~by_chance("contexts")).select("term", "entity").union(judged.where("spelled").select("term", "entity")).distinct()
@@ -295,15 +349,7 @@ def written(found: Column, base_only: bool = False) -> Column:
 def generalised(text: Column, found: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans become one, named after the first."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in [*KINDS, TERM]])
-
-    def step(a: Column, s: Column) -> Column:
-        return F.when(s["stop"] <= a["at"], a).otherwise(F.struct(
-            s["stop"].alias("at"),
-            F.array_append(a["parts"], F.when(s["start"] < a["at"], F.lit("")).otherwise(F.concat(F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"])), F.get(names, s["kind"])))).alias("parts"),
-        ))
-
-    parts = F.aggregate(
-        found, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step,
-        lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(found) > 0, parts).otherwise(text)
+    # A span within what is done adds nothing, one that begins there only carries on.
+    instead = lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(F.get(names, s["kind"]))
+    done = let(F.struct(pieces(text).alias("parts"), F.length(text).alias("length")), lambda x: _replaced(x["parts"], x["length"], found, instead))
+    return F.when(F.size(found) > 0, done).otherwise(text)
