@@ -278,14 +278,15 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
     total, n_tokens = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     texts = write_stage(rows.where(F.size("spans") > 0).select("number", "entities", _tokens(F.col("blanked")).alias("tokens")), "tokens")
     seen = write_stage(texts.select("number", F.explode("entities").alias("e")).groupBy("number", "e.entity").agg(F.min("e.context").alias("context")), "seen")
-    entities = write_stage(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"), (F.min("context") != F.max("context")).alias("several")), "entities")
+    entities = write_stage(seen.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"), (F.min("context") != F.max("context")).alias("several")).withColumn("id", F.monotonically_increasing_id()), "entities")
 
     # An entity of one text, or of texts that begin it alike, cannot meet a term more often than chance explains: it is not tested.
-    tested = seen.join(entities.where("several").select("entity"), "entity").groupBy("number").agg(F.collect_list(F.struct("entity", "context")).alias("tested"))
-    beside = texts.join(tested, "number").select(F.explode("tested").alias("e"), _terms(F.col("tokens")).alias("terms")).select("e.entity", "e.context", F.explode("terms").alias("term"))
+    # The stage keeps the ids, which are shorter than names.
+    tested = seen.join(entities.where("several").select("entity", "id"), "entity").groupBy("number").agg(F.collect_list(F.struct("id", "context")).alias("tested"))
+    beside = texts.join(tested, "number").select(F.explode("tested").alias("e"), _terms(F.col("tokens")).alias("terms")).select("e.id", "e.context", F.explode("terms").alias("term"))
     tests = Observation()
-    pairs = beside.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together"), F.min("context").alias("low"), F.max("context").alias("high")).observe(tests, F.count(F.lit(1)).alias("n"))
-    met = write_stage(pairs.where("low != high").select("term", "entity", "together"), "beside")
+    pairs = beside.groupBy("term", "id").agg(F.count(F.lit(1)).alias("together"), F.min("context").alias("low"), F.max("context").alias("high")).observe(tests, F.count(F.lit(1)).alias("n"))
+    met = write_stage(pairs.where("low != high").select("term", "id", "together"), "beside")
     limit = math.log(doubt / max(tests.get["n"] or 0, total, 1))
 
     # Parts of the address's own name need no other evidence.
@@ -298,7 +299,7 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
 
     own = spelled.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("together")).withColumn("spelled", F.lit(True))
     # At best a term stands in no text without entities: what fails then, fails with its true frequency.
-    likely = met.join(entities, "entity").where(_chance(F.col("together"), F.col("together"), F.col("df_entity"), total) <= limit)
+    likely = met.join(entities, "id").where(_chance(F.col("together"), F.col("together"), F.col("df_entity"), total) <= limit)
     likely = write_stage(likely.select("term", "entity", "together", "df_entity"), "likely")
     least = _among(texts.select(F.explode(_terms(F.col("tokens"))).alias("term")), likely).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
     likely = likely.join(least, "term").where(_disclosed(total) >= share).where(_chance(F.col("together"), F.col("df_term"), F.col("df_entity"), total) <= limit)
@@ -311,7 +312,7 @@ def _disclosing(whole: DataFrame, rows: DataFrame, share: float, doubt: float) -
     needed = candidates.select(F.explode(F.array_distinct(F.concat(F.array("term"), F.split("term", " ")))).alias("term"))
     every = whole.select(F.explode(let(_tokens(F.col("text")), _terms)).alias("term"))
     frequency = write_stage(_among(every, needed).groupBy("term").agg(F.count(F.lit(1)).alias("df_term")), "frequency")
-    judged = candidates.join(frequency, "term", "left").join(entities, "entity")
+    judged = candidates.join(frequency, "term", "left").join(entities.drop("id"), "entity")
     for k, at in ((1, 1), (2, -1)):
         judged = judged.withColumn(f"word_{k}", F.substring_index("term", " ", at)).join(frequency.select(F.col("term").alias(f"word_{k}"), F.col("df_term").alias(f"df_{k}")), f"word_{k}", "left")
     # Texts that hold the pair are a part of those that hold the term.
