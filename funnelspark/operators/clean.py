@@ -162,31 +162,35 @@ def _record_id(payload: list[str]) -> Column:
     return text.first_filled(*[F.col(f"_raw.`{name}`") for name in names])
 
 
-def _payload(fields: list[str]) -> Column:
+def payload(fields: list[str]) -> Column:
     """The record as it came: its own text where that says more than the declared fields, else those as JSON."""
     whole = [F.col(f"_raw.{c}") for c in (CORRUPT, RECORD) if c in fields]
     return F.coalesce(*whole, F.to_json(F.struct(*[F.col(f"_raw.`{n}`") for n in fields if n not in (RECORD, CORRUPT)])))
 
 
-def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str | None = None) -> DataFrame:
-    """Rejected rows in the shape of the dead-letter table. ``source``: the stage that rejected them, else as ``check_limits`` noted it."""
-    payload = routed.schema["_raw"].dataType.fieldNames()
+def dead_letters(routed: DataFrame, run_id: str, as_of: Column, source: str | None = None, name: str | None = None) -> DataFrame:
+    """Rejected rows in the shape of the dead-letter table. ``source``: the stage that rejected them, else as ``check_limits`` noted it.
+
+    ``name`` is the entity the records are of; with it a replay finds each of them, whatever rule it broke.
+    """
+    fields = routed.schema["_raw"].dataType.fieldNames()
     staged = source is None and "_stage" in routed.columns
     stage = F.col("_stage") if staged else F.lit(source or "transformer")
-    record_id = _record_id(payload)
+    record_id = _record_id(fields)
     if staged:
         # The loader knows a record by its clean key, wherever that came from.
         record_id = F.coalesce(record_id, F.when(stage == "loader", F.col(routed.columns[0])))
     return shape(
         routed.filter(F.col("_reject").isNotNull()).select(
             record_id.alias("source_id"),
-            _payload(payload).alias("record_payload"),
+            payload(fields).alias("record_payload"),
             F.col("_reject.message").alias("error_message"),
             F.col("_reject.rule").alias("error_type"),
             stage.alias("source"),
             F.lit(run_id).alias("run_id"),
             as_of.alias("created_at"),
             F.lit(False).alias("resolved"),
+            F.lit(name).cast("string").alias("entity_name"),
         ),
         "dead_letter_queue",
     )
@@ -249,11 +253,11 @@ def reject_counts(routed: DataFrame) -> DataFrame:
 
 
 def letters_of(name: str) -> Column:
-    """Whether a dead letter is a record of the entity: by the rule it broke, or by the column it did not fit."""
+    """Whether a dead letter is a record of the entity: as it says itself, else by the rule it broke or the column it did not fit."""
     table = LOADED_INTO[name]
     columns = sorted({*TABLE_NOT_NULL[table], *TABLE_LIMITS[table]})
     by_rule = F.col("error_type").isin([rule for _, rule, _ in entity(name).required])
-    return by_rule | F.substring_index("error_message", " ", 1).isin(columns)
+    return F.coalesce(F.col("entity_name") == name, by_rule | F.substring_index("error_message", " ", 1).isin(columns))
 
 
 def replay(letters: DataFrame, name: str, as_of: Column) -> tuple[DataFrame, DataFrame]:
@@ -269,9 +273,9 @@ def replay(letters: DataFrame, name: str, as_of: Column) -> tuple[DataFrame, Dat
     )
     judged = check_limits(route(rows, name, ["_letter"], dedup=False), LOADED_INTO[name])
     letter = F.col("_o__letter")
-    wanted = judged.select("*", letter.getField("error_type").alias("error_type"), letter.getField("error_message").alias("error_message"))
+    wanted = judged.select("*", letter.getField("error_type").alias("error_type"), letter.getField("error_message").alias("error_message"), letter.getField("entity_name").alias("entity_name"))
     passes = ~F.coalesce(letter.getField("resolved"), F.lit(False)) & letters_of(name) & F.col("_reject").isNull()
-    judged = wanted.withColumn("_passes", passes).drop("error_type", "error_message")
+    judged = wanted.withColumn("_passes", passes).drop("error_type", "error_message", "entity_name")
 
     order = [letter.getField(c) for c in ("created_at", "run_id", "record_payload")]
     first = keep_first(judged.filter("_passes"), F.col(entity(name).key), order)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.operators import alerts, anomaly, clean, dims, facts, marts, quality, risk
+from funnelspark.plans.increments import OVERLAP, Increment
 from funnelspark.schemas import shape
 from funnelspark.session import prepare, write_stage
 from funnelspark.sources import files, imports
@@ -53,7 +55,7 @@ class Run:
         self.run_id, self.as_of = run_id, as_of
         self.extracted = self.loaded = self.failed = self.dead = 0
         self.letters: list[DataFrame] = []
-        self.synced: list[str] = []
+        self.synced: dict[str, Callable[[], Column]] = {}
         self.months: list[int] = []
 
     def keep_letters(self, warehouse: Warehouse) -> None:
@@ -61,11 +63,19 @@ class Run:
         if self.letters:
             warehouse.append("dead_letter_queue", quality.union_all(self.letters), [self.run_id])
 
-    def judge(self, raw: DataFrame, entity: str, table: str, order: list[str]) -> DataFrame | None:
+    def judge(self, raw: DataFrame, entity: str, table: str, order: list[str], increment: Increment | None = None) -> DataFrame | None:
         """Clean one entity: stage the verdicts once, keep the rejects, return the loadable rows.
 
-        Rows in and rows rejected are observed while the stage is written, so counting costs no pass of its own.
+        Rows in and rows rejected are observed while the stage is written, so counting costs no pass of its own. Of an incremental read, the rows that were not
+        taken before are the rows in.
         """
+        if increment:
+            rows, newest = increment.candidates(raw, order)
+            both = clean.route(rows, entity, newest).unionByName(increment.untimed(raw, order))
+            stage = write_stage(clean.check_limits(both, table), f"{entity}-candidates")
+            stage = write_stage(increment.unseen(stage), f"{entity}-routed")
+            counts = stage.agg(F.count(F.lit(1)), F.count_if(F.col("_reject").isNotNull()), F.count_if(F.col("_reject").isNotNull() & (F.col("_stage") == "loader"))).first()
+            return self._judged(stage, entity, counts[0], *counts, synced=lambda: increment.synced(stage))
         if raw.isEmpty():  # no metrics are observed on a plan that is known to be empty
             return None
         seen, verdicts = Observation(), Observation()
@@ -75,15 +85,17 @@ class Run:
             verdicts, F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.count_if(bad & (F.col("_stage") == "loader")).alias("refused")
         )
         stage = write_stage(routed, f"{entity}-routed")
-        rejected, good = verdicts.get["bad"], verdicts.get["n"] - verdicts.get["bad"]
-        self.extracted += seen.get["n"]
-        if seen.get["n"] and entity != "templates":
-            self.synced.append(entity)
+        return self._judged(stage, entity, seen.get["n"], verdicts.get["n"], verdicts.get["bad"], verdicts.get["refused"], synced=lambda: self.as_of)
+
+    def _judged(self, stage: DataFrame, entity: str, rows_in: int, judged: int, rejected: int, refused: int, synced: Callable[[], Column]) -> DataFrame | None:
+        self.extracted += rows_in
+        if rows_in and entity != "templates":
+            self.synced[entity] = synced
         if rejected:
-            self.letters.append(clean.dead_letters(stage, self.run_id, self.as_of))
+            self.letters.append(clean.dead_letters(stage, self.run_id, self.as_of, name=entity))
         self.dead += rejected
-        self.failed += verdicts.get["refused"]
-        return clean.clean_rows(stage) if good else None
+        self.failed += refused
+        return clean.clean_rows(stage) if judged > rejected else None
 
 
 def run_batch(
@@ -95,11 +107,13 @@ def run_batch(
     buckets: int = BUCKETS,
     entity_frames: dict[str, tuple[DataFrame, list[str]]] | None = None,
     since: dict[str, str] | None = None,
+    overlap: timedelta = OVERLAP,
 ) -> dict:
     """Load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
 
     ``entity_frames`` (entity → raw rows and their order columns) replaces files by tables of the caller, such as landed pages. ``since``
-    (entity → column of its raw rows) makes the run incremental: only rows after the entity's watermark, the time of its last load, are read.
+    (entity → column of its raw rows) makes the run incremental: rows after the entity's watermark, the newest time read so far, are taken, and those that came late or
+    changed within ``overlap`` before it (see ``increments``); a full load sets the watermark to ``as_of``.
     The run's alerts go to the table ``alerts``. A failure is
     recorded as a FAILED run, with the rejects found so far, and raised again; running the same batch once more converges.
     """
@@ -110,12 +124,13 @@ def run_batch(
     try:
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
-            _load(spark, warehouse, run, entity, table, source_dir, entity_frames, since or {})
+            _load(spark, warehouse, run, entity, table, source_dir, entity_frames, since or {}, overlap)
         run.keep_letters(warehouse)
         refresh_marts(warehouse, run.months)
         score = check(warehouse, run_id, at)
         status = "PARTIAL" if run.dead else "SUCCESS"
-        warehouse.set_watermarks(run.synced, at)
+        # Last: whatever fails before is read again.
+        warehouse.set_watermarks({entity: synced() for entity, synced in run.synced.items()}, at)
         record(warehouse, run, as_of, started, status, score)
         raise_alerts(warehouse, run_id, at)
         return {
@@ -130,11 +145,10 @@ def run_batch(
         raise
 
 
-def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames, since: dict[str, str]) -> None:
+def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames, since: dict[str, str], overlap: timedelta) -> None:
     raw, order = (frames or {}).get(entity) or (files.read_entity(spark, source_dir, entity), files.POSITION)
-    if entity in since:
-        raw = files.newer_than(raw, since[entity], warehouse.watermark(entity))
-    rows = run.judge(raw, entity, table, order)
+    increment = Increment(warehouse, entity, table, since[entity], overlap) if entity in since else None
+    rows = run.judge(raw, entity, table, order, increment)
     if rows is not None:
         _store(warehouse, run, entity, table, rows)
 

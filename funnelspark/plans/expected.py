@@ -619,6 +619,18 @@ SELECTS |= {
         count(*) FILTER (WHERE o_orderdate <= DATE '1996-01-01') AS rows_loaded FROM orders
       UNION ALL SELECT 'run_2', 'SUCCESS', count(*) FILTER (WHERE o_orderdate > DATE '1996-01-01'), count(*) FILTER (WHERE o_orderdate > DATE '1996-01-01') FROM orders
       UNION ALL SELECT 'run_3', 'FAILED', 0, 0""",
+    "incremental_late_rows": """WITH w AS (SELECT max(o_orderdate) AS newest FROM orders WHERE o_orderdate <= DATE '1996-01-01' AND o_orderkey % 5 <> 0),
+      o AS (SELECT o_orderstatus AS status, o_orderdate <= DATE '1996-01-01' AND o_orderkey % 5 <> 0 AS early,
+        o_orderdate BETWEEN newest - INTERVAL 7 DAY AND DATE '1996-01-01' AND o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0 AS changed,
+        o_orderkey % 7 = 0 AND (o_orderkey % 5 = 0 OR o_orderdate > DATE '1996-01-01') AS untimed FROM orders, w)
+      SELECT 'extracted' AS what, 'run_1' AS name, count(*) FILTER (WHERE early) AS n FROM o
+      UNION ALL SELECT 'extracted', 'run_2', count(*) FILTER (WHERE NOT early OR changed) FROM o
+      UNION ALL SELECT 'extracted', 'run_3', 0
+      UNION ALL SELECT 'letter', 'run_2:missing_update_time', count(*) FROM o WHERE untimed HAVING count(*) > 0
+      UNION ALL SELECT 'lead', concat(status, ':false'), count(*) FROM o WHERE changed GROUP BY status
+      UNION ALL SELECT 'lead', concat(CASE WHEN changed THEN 'X' ELSE status END, ':true'), count(*) FROM o WHERE NOT untimed GROUP BY 2""",
+    "replayed_bad_json": """SELECT cast(doc_id AS VARCHAR) AS number, 'leads' AS entity_name, 'bad_json' AS error_type, doc_id % 2 = 1 AS resolved,
+        CASE WHEN doc_id % 2 = 1 THEN concat('Doc ', doc_id) END AS full_name FROM documents WHERE doc_id % 7 = 0""",
     "alert_table": "SELECT 'run_3' AS run_id, '🚨 Pipeline Failure' AS title, 'CRITICAL' AS level",
     "dq_key_collisions": """SELECT 'dim_agent' AS table_name, (SELECT count(*) FROM agents_1) AS n_rows, 0::BIGINT AS collisions
       UNION ALL SELECT 'dim_lead', (SELECT count(*) FROM leads_1), 0 UNION ALL SELECT 'dim_campaign', (SELECT count(*) FROM campaigns_1), 0

@@ -84,8 +84,9 @@ TABLES = {
                          "duration_seconds double, rows_extracted bigint, rows_loaded bigint, rows_failed bigint, "
                          "rows_skipped bigint, status string, error_message string, dq_score double, dq_passed boolean",
     "pipeline_watermarks": "entity_name string, last_synced_at timestamp, last_record_id string, updated_at timestamp",
+    "pipeline_synced": "entity_name string, record_key string, synced_at timestamp",
     "dead_letter_queue": "source_id string, record_payload string, error_message string, error_type string, "
-                         "source string, run_id string, created_at timestamp, resolved boolean, resolved_at timestamp",
+                         "source string, run_id string, created_at timestamp, resolved boolean, resolved_at timestamp, entity_name string",
     "dq_results": "run_id string, check_dimension string, table_name string, score double, weight double, "
                   "details string, checked_at timestamp, composite_score double, passed boolean",
     "alerts": "title string, message string, level string, details map<string, string>, run_id string, raised_at timestamp",

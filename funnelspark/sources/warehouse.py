@@ -353,12 +353,11 @@ class Warehouse:
         row = self.read("pipeline_watermarks").filter(F.col("entity_name") == entity).select("last_synced_at").head()
         return row[0] if row else None
 
-    def set_watermarks(self, entities: list[str], at: Column) -> None:
-        if not entities:
+    def set_watermarks(self, times: dict[str, Column], at: Column) -> None:
+        """Watermarks by entity; one row each."""
+        if not times:
             return
-        named = ", ".join(f"('{e}')" for e in entities)
-        rows = self.spark.sql(f"SELECT * FROM VALUES {named} AS t(entity_name)").withColumns(
-            {"last_synced_at": at, "updated_at": at}
-        )
+        named = F.explode(F.array(*[F.struct(F.lit(e).alias("entity_name"), t.cast("timestamp").alias("last_synced_at")) for e, t in times.items()]))
+        rows = self.spark.range(1).select(named.alias("w")).select("w.*", at.alias("updated_at"))
         merged = dims.upsert(self.read("pipeline_watermarks"), rows, "entity_name", ["last_synced_at", "updated_at"])
         self.replace("pipeline_watermarks", merged)

@@ -95,7 +95,7 @@ def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, ord
     """
     judged = clean.check_limits(clean.route(events, "events", order, dedup=False), "fact_outreach_event")
     routed = write_stage(judged, "live-routed")
-    warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at), [run_id])
+    warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at, name="events"), [run_id])
     warehouse.append("live_receipts", receipts(routed, run_id, at), [run_id])
 
     columns = routed.columns[: routed.columns.index("_raw")]
@@ -160,7 +160,7 @@ def start_leads(stream: DataFrame, warehouse: Warehouse, checkpoint: str, order:
         judged = clean.check_limits(clean.route(_numbered(batch, order), "leads", order), "dim_lead")
         routed = write_stage(judged, "live-leads")
         run_id, rows = _run_id(batch, batch_id), clean.clean_rows(routed)
-        warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, now), [run_id])
+        warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, now, name="leads"), [run_id])
         warehouse.merge_leads(rows, lambda stored: dims.merge_leads(stored, rows, now))
 
     return (
