@@ -57,6 +57,7 @@ class Run:
         self.letters: list[DataFrame] = []
         self.synced: dict[str, Callable[[], Column]] = {}
         self.months: list[int] = []
+        self.stages: dict[str, DataFrame] = {}
 
     def keep_letters(self, warehouse: Warehouse) -> None:
         """Store the rejects so far, in the place of those stored before under this run id."""
@@ -89,6 +90,7 @@ class Run:
 
     def _judged(self, stage: DataFrame, entity: str, rows_in: int, judged: int, rejected: int, refused: int, synced: Callable[[], Column]) -> DataFrame | None:
         self.extracted += rows_in
+        self.stages[entity] = stage
         if rows_in and entity != "templates":
             self.synced[entity] = synced
         if rejected:
@@ -108,12 +110,14 @@ def run_batch(
     entity_frames: dict[str, tuple[DataFrame, list[str]]] | None = None,
     since: dict[str, str] | None = None,
     overlap: timedelta = OVERLAP,
+    land: bool = False,
 ) -> dict:
     """Load of a folder of entity files into the warehouse under ``root``; returns the run's summary.
 
     ``entity_frames`` (entity → raw rows and their order columns) replaces files by tables of the caller, such as landed pages. ``since``
     (entity → column of its raw rows) makes the run incremental: rows after the entity's watermark, the newest time read so far, are taken, and those that came late or
     changed within ``overlap`` before it (see ``increments``); a full load sets the watermark to ``as_of``.
+    With ``land`` events are first kept verbatim in ``stg_raw_events``, and the run reads them from there (``reprocess`` does so again, after a crash too).
     The run's alerts go to the table ``alerts``. A failure is
     recorded as a FAILED run, with the rejects found so far, and raised again; running the same batch once more converges.
     """
@@ -124,7 +128,7 @@ def run_batch(
     try:
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
-            _load(spark, warehouse, run, entity, table, source_dir, entity_frames, since or {}, overlap)
+            _load(spark, warehouse, run, entity, table, source_dir, entity_frames, since or {}, overlap, land)
         run.keep_letters(warehouse)
         refresh_marts(warehouse, run.months)
         score = check(warehouse, run_id, at)
@@ -145,8 +149,13 @@ def run_batch(
         raise
 
 
-def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames, since: dict[str, str], overlap: timedelta) -> None:
+def _load(spark, warehouse: Warehouse, run: Run, entity: str, table: str, source_dir: str, frames, since: dict[str, str], overlap: timedelta, land: bool) -> None:
     raw, order = (frames or {}).get(entity) or (files.read_entity(spark, source_dir, entity), files.POSITION)
+    if land and entity == "events":
+        if entity in since:
+            raise ValueError("landed events are read whole: they keep no update time")
+        _load_landed(warehouse, run, land_events(warehouse, raw, run.run_id, run.as_of, order))
+        return
     increment = Increment(warehouse, entity, table, since[entity], overlap) if entity in since else None
     rows = run.judge(raw, entity, table, order, increment)
     if rows is not None:
@@ -169,6 +178,41 @@ def _store(warehouse: Warehouse, run: Run, entity: str, table: str, rows: DataFr
     run.loaded += done or 0
 
 
+def land_events(warehouse: Warehouse, raw: DataFrame, run_id: str, at: Column, order: list[str]) -> str:
+    """Keep raw events verbatim under a run id, in the place of those landed before under it; returns the run id."""
+    warehouse.append("stg_raw_events", write_stage(files.raw_landing(raw, "events", run_id, at, order=order), "landed"), [run_id])
+    return run_id
+
+
+def _load_landed(warehouse: Warehouse, run: Run, landed_run: str) -> None:
+    """Judge and load the landed events of a run, then note what became of each record.
+
+    The state is written last: a crash before leaves the records ``received``, and loading them again changes nothing.
+    """
+    landed = warehouse.read("stg_raw_events").filter(F.col("run_id") == landed_run)
+    rows = run.judge(files.landed_records(landed, "events"), "events", "fact_outreach_event", ["position"])
+    if rows is not None:
+        _store(warehouse, run, "events", "fact_outreach_event", rows)
+    stage = run.stages.get("events")
+    if stage is None:
+        return
+    judged = stage.select(F.col("_o_position").alias("position"), F.when(F.col("_reject").isNull(), "processed").otherwise("dead_lettered").alias("_state"))
+    # What is not among the judged is a later copy of a record that is.
+    state = F.coalesce("_state", F.lit("duplicate"))
+    marked = landed.join(judged, "position", "left").withColumns({"state": state, "processed": state != "dead_lettered"})
+    warehouse.append("stg_raw_events", write_stage(shape(marked, "stg_raw_events"), "landed-states"), [landed_run])
+
+
+def reprocess(spark: SparkSession, root: str, landed_run: str, as_of: datetime, run_id: str | None = None, buckets: int = BUCKETS) -> dict:
+    """Load the landed events of a run again, from the landing table alone: after a crash, or with mended rules. The source is not read."""
+    prepare(spark)
+    warehouse, run = Warehouse(spark, root, buckets), Run(run_id or uuid.uuid4().hex, moment(as_of))
+    _load_landed(warehouse, run, landed_run)
+    run.keep_letters(warehouse)
+    refresh_marts(warehouse, run.months)
+    return {"rows_extracted": run.extracted, "rows_loaded": run.loaded, "dlq_count": run.dead}
+
+
 def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str, run_id: str | None = None, buckets: int = BUCKETS) -> dict:
     """Judge the open dead letters of an entity again, load those that pass now, and mark exactly them resolved.
 

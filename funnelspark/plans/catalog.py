@@ -709,6 +709,31 @@ def raw_landing(i: Inputs) -> DataFrame:
                          F.get_json_object("raw_payload", "$.event_type").alias("payload_type"))
 
 
+def _landed(i: Inputs) -> Warehouse:
+    """Events that a run landed before it crashed, loaded from the landing table alone."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root, buckets=8)
+        batch.land_events(warehouse, i.raw(derived.RAW_EVENTS), "run_1", i.as_of, ["pos"])
+        batch.reprocess(i.spark, root, "run_1", datetime(2024, 1, 30), "run_2", buckets=8)
+
+    return Warehouse(i.spark, i.once("landed-events", run), buckets=8)
+
+
+@query
+def landed_states(i: Inputs) -> DataFrame:
+    """What became of every landed record."""
+    landed = _landed(i).read("stg_raw_events")
+    return landed.groupBy("run_id", "state", "processed", F.get_json_object("raw_payload", "$.event_type").alias("payload_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def reprocessed_events(i: Inputs) -> DataFrame:
+    """The fact as loaded from the landing table: what a load of the source gives."""
+    fact = _landed(i).read("fact_outreach_event")
+    return rounded(fact.select("event_source_id", "event_type", "event_timestamp", "date_key", "event_status", "response_time_minutes"))
+
+
 @query
 def archive_leads(i: Inputs) -> DataFrame:
     people = facts.archive_connections(imports.connections(i.spark, landing.archive_connections(i)), i.as_of)

@@ -631,6 +631,10 @@ SELECTS |= {
       UNION ALL SELECT 'lead', concat(CASE WHEN changed THEN 'X' ELSE status END, ':true'), count(*) FROM o WHERE NOT untimed GROUP BY 2""",
     "replayed_bad_json": """SELECT cast(doc_id AS VARCHAR) AS number, 'leads' AS entity_name, 'bad_json' AS error_type, doc_id % 2 = 1 AS resolved,
         CASE WHEN doc_id % 2 = 1 THEN concat('Doc ', doc_id) END AS full_name FROM documents WHERE doc_id % 7 = 0""",
+    "landed_states": """SELECT 'run_1' AS run_id, state, state <> 'dead_lettered' AS processed, event_type AS payload_type, count(*) AS n FROM (
+        SELECT event_type, CASE WHEN copy > 1 THEN 'duplicate' WHEN nullif(id, '') IS NULL OR event_type IS NULL OR "timestamp" = 'not-a-date' THEN 'dead_lettered' ELSE 'processed' END AS state
+        FROM (SELECT *, CASE WHEN nullif(id, '') IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY id ORDER BY pos) END AS copy FROM raw_events)) GROUP BY ALL""",
+    "reprocessed_events": f"SELECT event_source_id, event_type, event_timestamp, date_key, event_status, response_time_minutes FROM ({SELECTS['clean_events']})",
     "alert_table": "SELECT 'run_3' AS run_id, '🚨 Pipeline Failure' AS title, 'CRITICAL' AS level",
     "dq_key_collisions": """SELECT 'dim_agent' AS table_name, (SELECT count(*) FROM agents_1) AS n_rows, 0::BIGINT AS collisions
       UNION ALL SELECT 'dim_lead', (SELECT count(*) FROM leads_1), 0 UNION ALL SELECT 'dim_campaign', (SELECT count(*) FROM campaigns_1), 0

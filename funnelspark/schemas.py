@@ -92,7 +92,7 @@ TABLES = {
     "alerts": "title string, message string, level string, details map<string, string>, run_id string, raised_at timestamp",
     "live_receipts": "event_id string, event_type string, status string, warning string, persisted_at timestamp, run_id string",
     "stg_raw_events": "source_id string, source_type string, raw_payload string, received_at timestamp, "
-                      "processed boolean, run_id string",
+                      "processed boolean, run_id string, position string, state string",
 }
 
 

@@ -171,18 +171,38 @@ def newer_than(df: DataFrame, column: str, watermark) -> DataFrame:
     return df if watermark is None else df.filter(F.col(column) > F.lit(watermark))
 
 
-def raw_landing(raw: DataFrame, entity: str, run_id: str, received_at: Column, source_type: str = "csv") -> DataFrame:
-    """Records kept verbatim, in the shape of the raw landing table."""
+def place(raw: DataFrame, order: list[str]) -> Column:
+    """The order columns of a row as one text that sorts as they do."""
+    kinds = dict(raw.dtypes)
+    whole = ("tinyint", "smallint", "int", "bigint")
+    return F.concat_ws("\x01", *[F.lpad(F.col(c).cast("string"), 20, "0") if kinds[c] in whole else F.col(c).cast("string") for c in order])
+
+
+def raw_landing(raw: DataFrame, entity: str, run_id: str, received_at: Column, source_type: str = "csv", order: list[str] = ()) -> DataFrame:
+    """Records kept verbatim, in the shape of the raw landing table, with their place among the run's records if ``order`` is given."""
     names = [c for c in raw.columns if c in RAW_FIELDS[entity]]
     whole = [F.col(c) for c in (CORRUPT, RECORD) if c in raw.columns]
     return shape(
         raw.select(
             text.first_filled(*[F.col(f"`{n}`") for n in ("id", "event_id") if n in names]).alias("source_id"),
             F.lit(source_type).alias("source_type"),
-            F.coalesce(*whole, F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))).alias("raw_payload"),
+            F.coalesce(*whole, F.to_json(F.struct(*[F.col(f"`{n}`").cast("string").alias(n) for n in names]))).alias("raw_payload"),
             received_at.alias("received_at"),
             F.lit(False).alias("processed"),
             F.lit(run_id).alias("run_id"),
+            (place(raw, order) if order else F.lit(None).cast("string")).alias("position"),
+            F.lit("received").alias("state"),
         ),
         "stg_raw_events",
     )
+
+
+def landed_records(landed: DataFrame, entity: str) -> DataFrame:
+    """Raw rows of landed records, with ``position``: what a run reads instead of the source."""
+    payload = F.col("raw_payload")
+    fields = records.parsed(payload, records.json_fields(entity))
+    rows = landed.select("position", payload, fields.alias("_p"))
+    return rows.select(
+        *[records.field(n, F.col(f"_p.`{n}`")) for n in RAW_FIELDS[entity]], F.col("_p").getField(CORRUPT).alias(CORRUPT),
+        F.when(F.col("_p").getField(CORRUPT).isNull(), records.undeclared(payload, entity)).alias(RECORD), "position",
+    )

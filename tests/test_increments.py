@@ -61,3 +61,32 @@ def test_a_failed_load_keeps_the_watermark(spark, tmp_path, monkeypatch):
     warehouse = Warehouse(spark, root, buckets=4)
     assert warehouse.watermark("leads") is None
     assert run(spark, root, rows, 2, "r2")["rows_extracted"] == 1 and warehouse.read("dim_lead").count() == 1
+
+
+def test_a_run_reads_what_it_landed(spark, tmp_path, monkeypatch):
+    root, schema = str(tmp_path), "pos int, id string, event_type string, timestamp string, agent_id string"
+    raw = spark.createDataFrame([(2, "e1", "sent", "2026-08-15", "late copy"), (1, "e1", "sent", "2026-08-14", "a"), (3, "e2", None, "2026-08-15", "a"), (4, None, "sent", "2026-08-15", "a"), (10, "e3", "replied", "2026-08-15", "a")], schema)
+
+    def load(run_id):
+        return batch.run_batch(spark, f"{root}/none", root, datetime(2026, 8, 20), run_id, buckets=4, entity_frames={"events": (raw, ["pos"])}, land=True)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(batch, "_store", lambda *_: 1 / 0)
+        try:
+            load("r1")
+        except ZeroDivisionError:
+            pass
+    warehouse = Warehouse(spark, root, buckets=4)
+    landed = lambda: sorted((r.source_id or "", r.position.lstrip("0"), r.state, r.processed) for r in warehouse.read("stg_raw_events").filter("run_id = 'r1'").collect())
+    # A crash after the landing leaves every record there.
+    assert {s for *_, s, _ in landed()} == {"received"} and len(landed()) == 5
+    done = batch.reprocess(spark, root, "r1", datetime(2026, 8, 20), "again", buckets=4)
+    assert done == {"rows_extracted": 5, "rows_loaded": 2, "dlq_count": 2}
+    states = [("", "4", "dead_lettered", False), ("e1", "1", "processed", True), ("e1", "2", "duplicate", True), ("e2", "3", "dead_lettered", False), ("e3", "10", "processed", True)]
+    assert landed() == states
+    fact = lambda: {(r.event_source_id, str(r.event_timestamp)) for r in warehouse.read("fact_outreach_event").collect()}
+    loaded = {("e1", "2026-08-14 00:00:00"), ("e3", "2026-08-15 00:00:00")}
+    assert fact() == loaded
+    assert batch.reprocess(spark, root, "r1", datetime(2026, 8, 21), "again", buckets=4)["rows_loaded"] == 0
+    assert landed() == states and fact() == loaded
+    assert load("r2")["rows_extracted"] == 5 and fact() == loaded and warehouse.read("stg_raw_events").count() == 10
