@@ -1,9 +1,10 @@
 """Quality rules: base rules on each document, then robust multivariate outliers per language and source.
 
 Statistic vectors of the documents that pass the base rules are transformed to be roughly symmetric. Per group, the minimum covariance
-determinant is approached by concentration steps: from medians and quartiles, mean and covariance of the h rows nearest by
-Mahalanobis distance are taken again and again; one reweighting step follows. All of it is aggregation: histograms for medians
-and the h-th distance, sums and products for the moments.
+determinant is approached by concentration steps: mean and covariance of the h rows nearest by Mahalanobis distance are taken again and
+again. Three starts (medians and quartiles, the classical moments, the signs of the scaled rows) take a few steps each; the one of the smallest
+determinant goes on until no determinant falls, and one reweighting step follows. All of it is aggregation: histograms for medians and the
+h-th distance, sums and products for the moments.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ _BLANKS = r"[\x20\x09-\x0D]+"
 _TRIM = " \t\n\x0b\x0c\r"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-#: Statistics and their tolerances: a spread that is always allowed, so that a group without any spread rejects nothing near its centre.
-STATISTICS = {"log_words": 0.5, "log_length": 0.1, "symbols": 0.04, "dup_lines": 0.2, "repeats": 0.15, "capitals": 0.05}
-#: Share of a group that the concentration steps keep, and the steps.
-SHARE, STEPS = 0.75, 4
+#: Statistics and their tolerances: a spread that is always allowed, so that a group without any spread rejects nothing near its centre. Each is small
+#: enough for its statistic to exceed the limit by itself.
+STATISTICS = {"log_words": 0.5, "log_length": 0.1, "symbols": 0.04, "dup_lines": 0.1, "repeats": 0.1, "capitals": 0.05}
+#: Share of a group that the concentration steps keep, steps of every start, most steps in all, and the fall of a log determinant that still counts.
+SHARE, TRIAL, STEPS, FALL = 0.75, 2, 12, 1e-6
 #: A vector is an outlier beyond this quantile of the chi-square distribution.
 CUTOFF = 1 - 1e-6
 #: Grid of the medians, and distance bins per doubling.
@@ -67,7 +69,7 @@ def base_columns(text: Column) -> Column:
     return let(whole, lambda t: let(F.filter(F.split(t, _BLANKS), lambda w: w != ""), lambda words: of(words, t)))
 
 
-def judge(docs: DataFrame, text: Column, groups: list[str], share: float = SHARE, steps: int = STEPS, cutoff: float = CUTOFF, keep: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, text: Column, groups: list[str], share: float = SHARE, cutoff: float = CUTOFF, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (all columns or those to ``keep``) with the base statistics, base_failed, distance and kept.
 
     base_failed: fewer than 50 words, or over half of them in repeated 3-word windows. Of the others, those whose squared
@@ -95,18 +97,21 @@ def judge(docs: DataFrame, text: Column, groups: list[str], share: float = SHARE
     rows = write_stage(rows, "statistics")
     good = rows.where("not base_failed").select("group", *names)
 
-    estimate = _start(good, names)
-    near = None
-    for step in range(steps + 1):
-        placed = _with_distance(good, estimate, names)
-        if step < steps:
-            near = _nearest(placed, share)
-            quantile = share
-        else:
-            near, quantile = placed.where(F.col("distance") <= chi_square_quantile(0.975, p)), 0.975
-        # Consistency: the covariance of the central part of a normal distribution is too small by this factor.
-        factor = quantile / chi_square_below(chi_square_quantile(quantile, p), p + 2)
-        estimate = _moments(near, names, factor)
+    # Starts are groups of their own while they compete.
+    trials = good.withColumn("start", F.explode(F.array(*[F.lit(k) for k in range(3)]))).withColumn("group", F.concat_ws("|", "start", "group")).drop("start")
+    estimate = _starts(good, names)
+    for _ in range(TRIAL):
+        estimate = _concentrated(trials, estimate, names, share)
+    numbered = estimate.select(F.substring("group", 1, 1).alias("start"), F.expr("substring(group, 3)").alias("group"), *[c for c in estimate.columns if c != "group"])
+    best = numbered.groupBy("group").agg(F.min_by(F.struct(*estimate.columns[1:]), F.struct("logdet", "start")).alias("e"))
+    estimate = write_stage(best.select("group", "e.*"), "estimate")
+    for _ in range(STEPS - TRIAL):
+        former, estimate = estimate, _concentrated(good, estimate, names, share)
+        fell = former.select("group", F.col("logdet").alias("former")).join(estimate.select("group", "logdet"), "group").where(F.col("logdet") < F.col("former") - FALL)
+        if fell.isEmpty():
+            break
+    near = _with_distance(good, estimate, names).where(F.col("distance") <= chi_square_quantile(0.975, p))
+    estimate = _moments(near, names, _consistent(0.975, p))
 
     limit = chi_square_quantile(cutoff, p)
     out = _with_distance(rows, estimate, names)
@@ -116,8 +121,31 @@ def judge(docs: DataFrame, text: Column, groups: list[str], share: float = SHARE
     )
 
 
-def _start(good: DataFrame, names: list[str]) -> DataFrame:
-    """Medians and quartile ranges from counts on a grid."""
+def _consistent(quantile: float, p: int) -> float:
+    """Consistency: the covariance of the central part of a normal distribution is too small by this factor."""
+    return quantile / chi_square_below(chi_square_quantile(quantile, p), p + 2)
+
+
+def _concentrated(rows: DataFrame, estimate: DataFrame, names: list[str], share: float) -> DataFrame:
+    """One concentration step: moments of the share of each group that is nearest to its estimate."""
+    return _moments(_nearest(_with_distance(rows, estimate, names), share), names, _consistent(share, len(names)))
+
+
+def _starts(good: DataFrame, names: list[str]) -> DataFrame:
+    """Three estimates per group, named ``start|group``: medians and quartiles (0), mean and covariance of all rows (1), and the covariance of the signs (2)."""
+    marks = _quartiles(good, names)
+    p = range(len(names))
+    centred = good.join(marks, "group").select("group", *[((F.col(n) - F.col(f"m{k}")) / F.greatest(F.col(f"c{k}{k}"), F.lit(STATISTICS[n] ** 2)) ** 0.5).alias(n) for k, n in enumerate(names)])
+    norm = F.greatest(sum((F.col(n) * F.col(n) for n in names[1:]), F.col(names[0]) * F.col(names[0])) ** 0.5, F.lit(1e-9))
+    signs = _sums(centred.select("group", *[(F.col(n) / norm).alias(n) for n in names]), names).select("group", *[F.col(f"c{i}{j}").alias(f"d{i}{j}") for i in p for j in range(i + 1)])
+    wide = lambda i, j: (F.greatest(F.col(f"c{i}{i}"), F.lit(STATISTICS[names[i]] ** 2)) * F.greatest(F.col(f"c{j}{j}"), F.lit(STATISTICS[names[j]] ** 2))) ** 0.5
+    third = marks.join(signs, "group").select("group", *[f"m{i}" for i in p], *[(F.col(f"d{i}{j}") * len(names) * wide(i, j)).alias(f"c{i}{j}") for i in p for j in range(i + 1)])
+    all_ = [df.withColumn("group", F.concat_ws("|", F.lit(k), "group")) for k, df in enumerate((marks, _sums(good, names), third))]
+    return _factored(all_[0].unionByName(all_[1]).unionByName(all_[2]), names)
+
+
+def _quartiles(good: DataFrame, names: list[str]) -> DataFrame:
+    """Medians and quartile ranges from counts on a grid, as means and a diagonal covariance."""
     bins = good.select("group", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.floor(F.col(n) * GRID).alias("bin")) for k, n in enumerate(names)])).alias("x"))
     counted = bins.groupBy("group", "x.k", "x.bin").agg(F.count(F.lit(1)).alias("n"))
     # A group has as many bins as the statistic's range has, whatever its size.
@@ -137,25 +165,29 @@ def _start(good: DataFrame, names: list[str]) -> DataFrame:
     products = [
         (F.col(f"{i}_s") * F.col(f"{i}_s") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(len(names)) for j in range(i + 1)
     ]
-    return _factored(wide.select("group", *means, *products), names)
+    return write_stage(wide.select("group", *means, *products), "quartiles")
 
 
-def _moments(near: DataFrame, names: list[str], factor: float) -> DataFrame:
+def _sums(rows: DataFrame, names: list[str], factor: float = 1.0) -> DataFrame:
     """Mean and covariance of each group, the covariance times ``factor``."""
     p = range(len(names))
-    sums = near.groupBy("group").agg(
+    sums = rows.groupBy("group").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(names[i]).alias(f"s{i}") for i in p],
         *[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}{j}") for i in p for j in range(i + 1)],
     )
     mean = lambda i: F.col(f"s{i}") / F.col("n")
-    return _factored(sums.select(
+    return sums.select(
         "group", *[mean(i).alias(f"m{i}") for i in p],
         *[(factor * (F.col(f"s{i}{j}") / F.col("n") - mean(i) * mean(j))).alias(f"c{i}{j}") for i in p for j in range(i + 1)],
-    ), names)
+    )
+
+
+def _moments(near: DataFrame, names: list[str], factor: float) -> DataFrame:
+    return _factored(_sums(near, names, factor), names)
 
 
 def _factored(moments: DataFrame, names: list[str]) -> DataFrame:
-    """Means and the Cholesky factor of covariance plus squared tolerances, one column an entry; written, as every use needs them."""
+    """Means, the Cholesky factor of covariance plus squared tolerances, one column an entry, and the log of the determinant; written, as every use needs them."""
     out = moments
     for i, name in enumerate(names):
         for j in range(i + 1):
@@ -164,7 +196,8 @@ def _factored(moments: DataFrame, names: list[str]) -> DataFrame:
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             # Rounding can only make a pivot smaller than the tolerance itself.
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(STATISTICS[name] ** 2 / 2))) if i == j else rest / F.col(f"l{j}{j}"))
-    return write_stage(out.select("group", *[f"m{i}" for i in range(len(names))], *[f"l{i}{j}" for i in range(len(names)) for j in range(i + 1)]), "estimate")
+    logdet = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(1, len(names))), 2 * F.log(F.col("l00")))
+    return write_stage(out.select("group", *[f"m{i}" for i in range(len(names))], *[f"l{i}{j}" for i in range(len(names)) for j in range(i + 1)], logdet.alias("logdet")), "estimate")
 
 
 def _with_distance(rows: DataFrame, estimate: DataFrame, names: list[str]) -> DataFrame:
