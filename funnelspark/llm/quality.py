@@ -23,7 +23,7 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 #: Statistics and their tolerances: a spread that is always allowed, so that a group without any spread rejects nothing near its centre. Each is small
 #: enough for its statistic to exceed the limit by itself.
-STATISTICS = {"log_words": 0.5, "log_length": 0.1, "symbols": 0.04, "dup_lines": 0.1, "repeats": 0.1, "capitals": 0.05}
+STATISTICS = {"log_words": 0.5, "log_length": 0.1, "symbols": 0.04, "dup_lines": 0.13, "repeats": 0.11, "capitals": 0.05}
 #: Share of a group that the concentration steps keep, steps of every start, most steps in all, and the fall of a log determinant that still counts.
 SHARE, TRIAL, STEPS, FALL = 0.75, 2, 12, 1e-6
 #: A vector is an outlier beyond this quantile of the chi-square distribution.

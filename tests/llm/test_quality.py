@@ -121,7 +121,7 @@ def test_every_statistic_rejects_by_itself(spark):
         "log_length": " ".join(rng.choice(WORDS) + rng.choice(WORDS) + rng.choice(WORDS) + rng.choice(WORDS) for _ in range(240)),
         "symbols": text_of(rng, 240).replace("a", "#"),
         "dup_lines": unique[:2000] + "\n" + "\n".join(["menu", "home"] * 36),  # 70 of some 90 lines are copies of short ones
-        "repeats": text_of(rng, 125) + "\n" + (block := text_of(rng, 55)) + " " + block.replace("\n", "  \n "),
+        "repeats": text_of(rng, 125) + "\n" + (block := text_of(rng, 62)) + " " + block.replace("\n", "  \n "),
         "capitals": text_of(rng, 240).upper(),
     }
     rows = plain + [(100 + k, t, "en", "a") for k, t in enumerate(odd.values())]
