@@ -124,7 +124,7 @@ def run_batch(
     prepare(spark)
     run_id = run_id or uuid.uuid4().hex
     started, at = time.time(), moment(as_of)
-    warehouse, run = Warehouse(spark, root, buckets), Run(run_id, at)
+    warehouse, run = Warehouse(spark, root, buckets).recover(), Run(run_id, at)
     try:
         seed(warehouse)
         for entity, table in [*ENTITIES.items(), ("events", "fact_outreach_event")]:
@@ -206,7 +206,7 @@ def _load_landed(warehouse: Warehouse, run: Run, landed_run: str) -> None:
 def reprocess(spark: SparkSession, root: str, landed_run: str, as_of: datetime, run_id: str | None = None, buckets: int = BUCKETS) -> dict:
     """Load the landed events of a run again, from the landing table alone: after a crash, or with mended rules. The source is not read."""
     prepare(spark)
-    warehouse, run = Warehouse(spark, root, buckets), Run(run_id or uuid.uuid4().hex, moment(as_of))
+    warehouse, run = Warehouse(spark, root, buckets).recover(), Run(run_id or uuid.uuid4().hex, moment(as_of))
     _load_landed(warehouse, run, landed_run)
     run.keep_letters(warehouse)
     refresh_marts(warehouse, run.months)
@@ -219,7 +219,7 @@ def replay_letters(spark: SparkSession, root: str, as_of: datetime, entity: str,
     Letters are marked after the load, so a crash in between only means that the next replay loads the same rows once more, which changes nothing.
     """
     prepare(spark)
-    warehouse, run = Warehouse(spark, root, buckets), Run(run_id or uuid.uuid4().hex, moment(as_of))
+    warehouse, run = Warehouse(spark, root, buckets).recover(), Run(run_id or uuid.uuid4().hex, moment(as_of))
     letters = warehouse.read("dead_letter_queue")
     fixed, updated = clean.replay(letters.filter(~F.col("resolved") & clean.letters_of(entity)), entity, run.as_of)
     rows = write_stage(fixed, f"{entity}-replayed")
@@ -297,7 +297,7 @@ def _store_alerts(warehouse: Warehouse, found: DataFrame, run_id: str, at: Colum
 def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS, as_of: datetime | None = None, run_id: str | None = None) -> DataFrame:
     """Score all current agents, write the scores onto their newest activity rows, store alerts of risky agents, return the profiles."""
     prepare(spark)
-    warehouse = Warehouse(spark, root, buckets)
+    warehouse = Warehouse(spark, root, buckets).recover()
     activity, agents = warehouse.read("fact_daily_agent_activity"), warehouse.read("dim_agent")
     profiles = write_stage(risk.score_agents(activity, agents, warehouse.read("dim_account_tier")), "profiles")
     scored = risk.write_back(activity.drop("month"), profiles.filter("days IS NOT NULL"))
@@ -310,7 +310,7 @@ def run_risk(spark: SparkSession, root: str, buckets: int = BUCKETS, as_of: date
 def import_crm(spark: SparkSession, paths: list[str], root: str, as_of: datetime, agent: dict, campaign: dict, buckets: int = BUCKETS) -> dict:
     """CRM export files → leads refreshed in place, events added where absent. Returns rows per action."""
     prepare(spark)
-    warehouse, at = Warehouse(spark, root, buckets), moment(as_of)
+    warehouse, at = Warehouse(spark, root, buckets).recover(), moment(as_of)
     seed(warehouse)
     rows = write_stage(imports.crm_export(spark, paths), "crm")
     merged = write_stage(dims.refresh_leads(warehouse.read("dim_lead"), dims.crm_leads(rows), at), "crm-leads")
@@ -326,7 +326,7 @@ def import_archive(
 ) -> dict:
     """Account archive files → connected leads with their ACCEPTED events, and INVITE_SENT events."""
     prepare(spark)
-    warehouse, at = Warehouse(spark, root, buckets), moment(as_of)
+    warehouse, at = Warehouse(spark, root, buckets).recover(), moment(as_of)
     seed(warehouse)
     agent, campaign = facts.ARCHIVE_AGENT, facts.ARCHIVE_CAMPAIGN
     done = {"leads_added": 0, "events_added": 0, "invites_added": 0}

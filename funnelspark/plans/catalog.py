@@ -249,7 +249,7 @@ def event_upsert(i: Inputs) -> DataFrame:
 
 @query
 def event_sink_upsert(i: Inputs) -> DataFrame:
-    """The same two batches through the stored fact: two loads, what the manifest makes of them read back."""
+    """The same two batches through the stored fact: two loads, read back."""
 
     def run(root: str) -> None:
         warehouse = Warehouse(i.spark, root, buckets=8)

@@ -1,23 +1,19 @@
 """Warehouse tables on plain parquet (SRC-7, SRC-13..SRC-16).
 
-A write never touches files that readers may follow. It puts its rows into a new load folder, then switches a small manifest by one atomic
-rename: before the rename nothing has changed, after it everything has. A crash leaves an unnamed folder behind, which ``expire`` removes.
-The manifest lists the live loads and, per part of the table, the load from which on rows of that part count (its floor):
+A table is a folder of versions. Readers take the newest version that carries Spark's own ``_SUCCESS``; a write that crashed has none.
 
-* ``replace``  – dimensions and small tables: the new load is the only one;
-* ``append``   – logs (dead letters, check history, receipts): the part is the run, so a repeated run replaces its rows;
-* ``upsert_*`` – the event fact (parts by id bucket and month), daily marts (by month) and leads (by id bucket): changed parts are written anew.
+* ``replace`` writes a whole new version (dimensions, small tables);
+* ``append`` adds the rows of a run to a log, a folder per run;
+* ``upsert_*``, ``merge_leads``, ``put_scores`` add files for new rows and rewrite, by dynamic partition overwrite, only the partitions whose
+  rows change: event fact by id bucket and month, marts by month, leads by id bucket.
 
-Loads are merged in tiers of ``FAN``, so files and folders stay few however many micro-batches arrive. Where a table format with MERGE is
-at hand, the upserts become one MERGE; the results are the same.
+Changed partitions are staged in the shared scratch folder first and named in ``pending``, so an overwrite that dies between two partitions is done
+again by the next ``recover`` (every run begins with one). A table has one writer at a time; readers of a partition that is being rewritten
+repeat their query. Where a table format with MERGE is at hand, the upserts become one MERGE; the results are the same.
 """
 
 from __future__ import annotations
 
-import functools
-import json
-import uuid
-from collections import defaultdict
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,25 +22,26 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import dims, facts
 from funnelspark.schemas import TABLES, shape, table_schema
-from funnelspark.session import write_stage
+from funnelspark.session import new_scratch, write_stage
 from funnelspark.sources.files import _fs, list_files
 
 LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run", "alerts"}
-#: Columns that name the parts of a table, each with its type and the folders written by them. Logs keep the run as a column of their files.
-PARTITIONED = {
+#: Folders that split a table; those that are no columns of its rows come with their types.
+FOLDERS = {
     "fact_outreach_event": "bucket int, month int",
     "fact_daily_agent_activity": "month int",
     "fact_campaign_performance": "month int",
     "dim_lead": "bucket int",
 }
-#: Loads of one tier that are merged into one of the next.
-FAN = 32
-#: Id buckets of a new warehouse. The number is stored with each table; ``rebucket`` changes it.
+KEYS = {"fact_outreach_event": "event_source_id", "dim_lead": "lead_id"}
+#: Id buckets of a new warehouse. The number is part of a version's name; ``rebucket`` changes it.
 BUCKETS = 2048
+#: Up to this many ids of a batch go to the scan as literals, where row-group statistics and bloom filters skip what cannot hold them.
+LITERALS = 1000
 
 
 class ConcurrentWrite(RuntimeError):
-    """Another writer has switched the manifest since it was read."""
+    """Another writer has made a version since the table was read."""
 
 
 def id_bucket(buckets: int, key: str = "event_source_id") -> Column:
@@ -55,297 +52,222 @@ def month_of(date_key: str = "date_key") -> Column:
     return F.floor(F.col(date_key) / 100).cast("int")
 
 
-def _parts(table: str) -> list[str]:
-    if table in PARTITIONED:
-        return [c.split()[0] for c in PARTITIONED[table].split(", ")]
+def _folders(table: str) -> list[str]:
+    if table in FOLDERS:
+        return [c.split()[0] for c in FOLDERS[table].split(", ")]
     return ["run_id"] if table in LOGS else []
 
 
-def _repeated(method: Callable) -> Callable:
-    """Do a write again from the newest state when another writer was faster."""
-
-    @functools.wraps(method)
-    def run(self, *args, **kwargs):
-        for _ in range(9):
-            try:
-                return method(self, *args, **kwargs)
-            except ConcurrentWrite:
-                continue
-        return method(self, *args, **kwargs)
-
-    return run
-
-
-def _within(columns: list[str], parts: list[tuple]) -> Column:
-    """Rows that lie in one of the parts. One list per value of all columns but the first."""
-    lists = defaultdict(list)
-    for first, *rest in parts:
-        lists[tuple(rest)].append(first)
-    hits = []
-    for rest, firsts in lists.items():
-        hit = F.coalesce(F.col(columns[0]).isin([f for f in firsts if f is not None]), F.lit(False))
-        if None in firsts:
-            hit = hit | F.col(columns[0]).isNull()
-        hits.append(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in zip(columns[1:], rest)], hit))
-    return reduce(lambda a, b: a | b, hits)
-
-
 class Warehouse:
     """Tables under one root folder. ``buckets`` is how tables made from now on are split by id; existing ones keep their own number."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         # Newest version of a table this object has read or written: what a replacement is based on.
-        self._seen: dict[str, int] = {}
+        self._seen: dict[str, str | None] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    # ── Manifest ──
+    def _version(self, table: str) -> str | None:
+        """Folder of the current version, named by number and id buckets (``v00000002-b2048``)."""
+        done = list_files(self.spark, self.path(table), "v*/_SUCCESS")
+        return done[-1].rsplit("/", 1)[0] if done else None
 
-    def _newest(self, table: str) -> tuple[int, dict]:
-        """Number and content of the newest manifest."""
-        names = list_files(self.spark, self.path(table), "versions/*.json")
-        if not names:
-            return 0, {"buckets": self.buckets, "loads": [], "floors": []}
-        fs, path = _fs(self.spark, names[-1])
-        stream = fs.open(path)
-        try:
-            return int(path.getName().removesuffix(".json")), json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+    def _next(self, table: str, buckets: int) -> str:
+        fs, pattern = _fs(self.spark, f"{self.path(table)}/v*")
+        taken = [int(s.getPath().getName()[1:9]) for s in fs.globStatus(pattern) or []]
+        return f"{self.path(table)}/v{max(taken, default=0) + 1:08d}-b{buckets}"
 
     def written(self, table: str) -> bool:
-        return self._newest(table)[0] > 0
+        return self._version(table) is not None
 
     def buckets_of(self, table: str) -> int:
-        return self._newest(table)[1]["buckets"]
-
-    def _switch(self, table: str, base: int, manifest: dict) -> None:
-        """Make ``manifest`` the version after ``base``, unless another writer has made one: a rename that overwrites nothing."""
-        target = f"{self.path(table)}/versions/{base + 1:08d}.json"
-        draft = f"{self.path(table)}/drafts/{uuid.uuid4().hex}.json"
-        fs, path = _fs(self.spark, draft)
-        stream = fs.create(path, True)
-        try:
-            stream.write(bytearray(json.dumps(manifest), "utf-8"))
-        finally:
-            stream.close()
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        _, final = _fs(self.spark, target)
-        fs.mkdirs(final.getParent())
-        context = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(path, final, self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0))
-        except Exception as error:
-            if fs.exists(final):
-                raise ConcurrentWrite(f"{table}: version {base + 1} was written meanwhile") from error
-            raise
-        self._seen[table] = base + 1
+        version = self._version(table)
+        return int(version.rsplit("-b", 1)[1]) if version else self.buckets
 
     # ── Reading ──
 
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Current rows of a table, none before its first write."""
-        version, manifest = self._newest(table)
-        self._seen[table] = version
-        rows = self._live(table, manifest, [name for name, _ in manifest["loads"]], schema)
-        return rows.drop("load", "bucket") if table.startswith("dim_") else rows.drop("load")
-
-    def _live(self, table: str, manifest: dict, loads: list[str], schema: str | None = None) -> DataFrame:
-        """Rows of the given loads that no later load of their part has replaced. On folders this prunes, so no replaced file is opened."""
-        schema = schema or self._stored_schema(table)
-        if not loads:
-            return self.spark.createDataFrame([], f"{schema}, load string").limit(0)
-        base = f"{self.path(table)}/data"
-        rows = self.spark.read.schema(f"{schema}, load string").option("basePath", base).parquet(*[f"{base}/load={n}" for n in loads])
-        floors = defaultdict(list)
-        for *part, name in manifest["floors"]:
-            if name > min(loads):
-                floors[name].append(tuple(part))
-        for name, parts in floors.items():
-            rows = rows.filter(~((F.col("load") < name) & _within(_parts(table), parts)))
-        return rows
-
-    def _stored_schema(self, table: str) -> str:
-        return ", ".join(filter(None, [TABLES[table], PARTITIONED.get(table)]))
+        self._seen[table] = self._version(table)
+        rows = self._rows(table, schema)
+        return rows.drop("bucket") if table.startswith("dim_") else rows
+
+    def _rows(self, table: str, schema: str | None = None) -> DataFrame:
+        version = self._version(table)
+        whole = ", ".join(filter(None, [schema or TABLES[table], FOLDERS.get(table)]))
+        if version is None:
+            return self.spark.createDataFrame([], whole).limit(0)
+        names = self.spark.createDataFrame([], whole).columns
+        return self.spark.read.schema(whole).parquet(version).select(*names)
 
     # ── Writing ──
 
-    def _put(self, df: DataFrame, table: str, base: int) -> str:
-        """Rows as a new load, not yet named by any manifest. Large parts are split over tasks, small ones share a task and a file."""
-        name = f"{base + 1:08d}-{uuid.uuid4().hex[:12]}"
-        folders = _parts(table) if table in PARTITIONED else []
-        if folders:
-            within = [*folders, *[c for c in ("event_source_id", "lead_id", "agent_key", "campaign_key") if c in df.columns][:1]]
+    def _writer(self, df: DataFrame, table: str):
+        """Large parts are split over tasks, small ones share a task and a file; rows lie in order of their key."""
+        folders, key = _folders(table), KEYS.get(table)
+        if table in FOLDERS:
+            within = [*folders, *[c for c in (key, "agent_key", "campaign_key") if c in df.columns][:1]]
             df = df.hint("rebalance", *folders).sortWithinPartitions(*within)
-        df.write.partitionBy(*folders).parquet(f"{self.path(table)}/data/load={name}")
-        return name
-
-    def _commit(self, table: str, base: int, manifest: dict, df: DataFrame, parts: list[tuple]) -> None:
-        """Add rows as a load; of ``parts``, only the rows of this load count from now on."""
-        name = self._put(df, table, base)
-        parts = set(parts) if manifest["loads"] else set()
-        kept = [f for f in manifest["floors"] if tuple(f[:-1]) not in parts]
-        made = {**manifest, "loads": [*manifest["loads"], [name, 0]], "floors": [*kept, *[[*p, name] for p in sorted(parts, key=repr)]]}
-        self._switch(table, base, made)
-        self._merge_tiers(table)
-
-    def _merge_tiers(self, table: str) -> None:
-        """Merge the newest loads while ``FAN`` of a tier are there. A faster writer only puts it off."""
-        try:
-            while True:
-                base, manifest = self._newest(table)
-                tier = min((level for _, level in manifest["loads"]), default=0)
-                if sum(level == tier for _, level in manifest["loads"]) < FAN:
-                    return
-                self._merge(table, base, manifest, tier)
-        except ConcurrentWrite:
-            return
-
-    def _merge(self, table: str, base: int, manifest: dict, tier: int) -> None:
-        merged = [name for name, level in manifest["loads"] if level <= tier]
-        older = [load for load in manifest["loads"] if load[1] > tier]
-        name = self._put(self._live(table, manifest, merged).drop("load"), table, base)
-        # Floors still hide what older loads have of those parts; without older loads there is nothing to hide.
-        floors = [[*f[:-1], name if f[-1] in merged else f[-1]] for f in manifest["floors"]] if older else []
-        self._switch(table, base, {**manifest, "loads": [*older, [name, tier + 1]], "floors": floors})
-
-    def compact(self, table: str) -> None:
-        """Merge all loads of a table into one."""
-        base, manifest = self._newest(table)
-        if len(manifest["loads"]) > 1:
-            self._merge(table, base, manifest, max(level for _, level in manifest["loads"]))
+        writer = df.write.partitionBy(*folders)
+        if key:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        return writer
+
+    def _add(self, df: DataFrame, table: str) -> None:
+        """Rows in new files of the current version, or as the first version."""
+        version = self._version(table)
+        self._writer(df, table).mode("append").parquet(version or self._next(table, self.buckets))
+
+    def _overwrite(self, df: DataFrame, table: str) -> DataFrame:
+        """Rows in place of all that their partitions hold; returns them, staged."""
+        staged = new_scratch(self.spark, f"{table}-parts")
+        df.write.parquet(staged)
+        named = self.spark.range(1).select(F.concat_ws("\n", F.lit(staged), F.lit(self._version(table))).alias("value"))
+        named.coalesce(1).write.mode("overwrite").text(f"{self.path(table)}/pending")
+        self._place(table)
+        return self.spark.read.parquet(staged)
+
+    def _place(self, table: str) -> None:
+        """Put staged partitions in place. Doing so again gives the same."""
+        pending = f"{self.path(table)}/pending"
+        staged, version = self.spark.read.text(pending, wholetext=True).head()[0].splitlines()
+        rows = self.spark.read.parquet(staged)
+        self._writer(rows, table).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(version)
+        fs, path = _fs(self.spark, pending)
+        fs.delete(path, True)
+
+    def recover(self) -> Warehouse:
+        """Finish overwrites that a crash has cut. Every run that writes begins with this."""
+        for done in list_files(self.spark, self.root, "*/pending/_SUCCESS"):
+            self._place(done.rsplit("/", 3)[1])
+        return self
+
+    def replace(self, table: str, df: DataFrame, buckets: int | None = None) -> DataFrame:
+        """Write a whole new version of a table and return it. Refused if the table has a newer version than this object read."""
+        version = self._version(table)
+        if self._seen.get(table, version) != version:
+            raise ConcurrentWrite(f"{table}: changed since it was read")
+        rows, buckets = shape(df, table), buckets or self.buckets_of(table)
+        if table in KEYS:
+            rows = rows.withColumn("bucket", id_bucket(buckets, KEYS[table]))
+        if "month" in _folders(table):
+            rows = rows.withColumn("month", month_of())
+        self._writer(rows, table).parquet(self._next(table, buckets))
+        return self.read(table)
 
     def rebucket(self, table: str, buckets: int) -> None:
         """Write a table anew under another number of id buckets."""
-        base, manifest = self._newest(table)
-        loads = [name for name, _ in manifest["loads"]]
-        key = "lead_id" if table == "dim_lead" else "event_source_id"
-        rows = self._live(table, manifest, loads).drop("load").withColumn("bucket", id_bucket(buckets, key))
-        name = self._put(rows, table, base)
-        self._switch(table, base, {"buckets": buckets, "loads": [[name, 0]], "floors": []})
-
-    def expire(self, table: str, keep: int = 10) -> None:
-        """Delete manifests but the newest ``keep`` and loads none of those names. Run it when no writer is at work on the table."""
-        names = list_files(self.spark, self.path(table), "versions/*.json")
-        live: set[str] = set()
-        for name in names[-keep:]:
-            fs, path = _fs(self.spark, name)
-            stream = fs.open(path)
-            live |= {load for load, _ in json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["loads"]}
-            stream.close()
-        fs, data = _fs(self.spark, f"{self.path(table)}/data")
-        for status in fs.listStatus(data) if fs.exists(data) else []:
-            if status.getPath().getName().removeprefix("load=") not in live:
+        self.replace(table, self.read(table), buckets)
+
+    def compact(self, table: str, files: int = 16) -> None:
+        """Rewrite the partitions that hold more than ``files`` files, after many small loads."""
+        folders = _folders(table)
+        rows = self._rows(table)
+        counted = self.spark.read.schema(rows.schema).parquet(self._version(table)).groupBy(*folders).agg(F.countDistinct("_metadata.file_path").alias("_n"))
+        crowded = write_stage(counted.filter(F.col("_n") > files).select(*folders), "crowded")
+        if not crowded.isEmpty():
+            self._overwrite(_in_parts(rows, crowded, folders), table)
+
+    def expire(self, table: str, keep: int = 2) -> None:
+        """Delete versions but the newest ``keep``, and what crashed writes left of older ones."""
+        newest = [v.rsplit("/", 1)[0] for v in list_files(self.spark, self.path(table), "v*/_SUCCESS")][-keep:]
+        fs, pattern = _fs(self.spark, f"{self.path(table)}/v*")
+        for status in fs.globStatus(pattern) or []:
+            if newest and status.getPath().toString() < newest[0]:
                 fs.delete(status.getPath(), True)
-        for name in names[:-keep]:
-            fs.delete(_fs(self.spark, name)[1], False)
 
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Write a whole new version of a table and return it. Refused if another writer has changed the table since this object read it."""
-        base, manifest = self._newest(table)
-        if self._seen.get(table, base) != base:
-            raise ConcurrentWrite(f"{table}: changed since it was read")
-        rows = shape(df, table)
-        if "bucket" in _parts(table):
-            rows = rows.withColumn("bucket", id_bucket(manifest["buckets"], "lead_id"))
-        self._switch(table, base, {**manifest, "loads": [[self._put(rows, table, base), 0]], "floors": []})
-        return self.read(table)
-
-    @_repeated
     def append(self, table: str, df: DataFrame, run_ids: list[str]) -> None:
         """Add the rows of runs to a log, in place of those stored before under the same run ids."""
-        base, manifest = self._newest(table)
-        self._commit(table, base, manifest, df, [(r,) for r in run_ids])
+        version, escape = self._version(table), self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        places = {run: _fs(self.spark, f"{version}/run_id={escape(run)}") for run in run_ids} if version else {}
+        stored = {run: place for run, place in places.items() if place[0].exists(place[1])}
+        if not stored:
+            return self._add(df, table)
+        # As many as the runs named.
+        fresh = {r[0] for r in self._overwrite(df, table).select("run_id").distinct().collect()}
+        for run in stored.keys() - fresh:
+            stored[run][0].delete(stored[run][1], True)
 
-    @_repeated
     def merge_leads(self, incoming: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
         """Apply ``merge`` (stored rows → new rows) to the id buckets that ``incoming`` touches; other buckets keep their files."""
         table = "dim_lead"
-        base, manifest = self._newest(table)
-        bucket = id_bucket(manifest["buckets"], "lead_id")
+        bucket = id_bucket(self.buckets_of(table), "lead_id")
         # At most ``buckets`` integers.
         touched = [r[0] for r in incoming.select(bucket.alias("bucket")).distinct().collect()]
-        if not touched:
-            return
-        stored = self._live(table, manifest, [n for n, _ in manifest["loads"]]).filter(F.col("bucket").isin(touched)).drop("load", "bucket")
-        rows = shape(merge(stored), table).withColumn("bucket", bucket)
-        self._commit(table, base, manifest, rows, [(b,) for b in touched])
+        if touched:
+            self._merge(table, shape(merge(self._rows(table).filter(F.col("bucket").isin(touched)).drop("bucket")), table).withColumn("bucket", bucket))
+
+    def _merge(self, table: str, rows: DataFrame) -> None:
+        self._overwrite(rows, table) if self.written(table) else self._add(rows, table)
 
-    @_repeated
     def upsert_events(self, incoming: DataFrame) -> dict[str, int]:
         """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action.
 
-        The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch
-        are scanned, for id, status and response time, once: a semi-join with the batch's ids (broadcast by Catalyst
-        when they are few) leaves just the rows the batch repeats. New rows and the whole of those (bucket, month) parts that hold a row
-        with a new status or response time become one load and one switch, so a load happens whole or not at all.
+        The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch are scanned, for id, status and
+        response time, once; the ids of a small batch reach the scan and skip row groups. Partitions that hold a row with a new status or response
+        time are rewritten with the batch's new rows of theirs; all other new rows are added. A load that crashed in between is completed by repeating it.
         """
-        table, key = "fact_outreach_event", "event_source_id"
-        base, manifest = self._newest(table)
-        rows = shape(incoming, table).withColumns({"bucket": id_bucket(manifest["buckets"]), "month": month_of()})
-        if not manifest["loads"]:
-            self._commit(table, base, manifest, rows, [])
-            return {"insert": rows.count(), "update": 0, "skip": 0}
-        # At most ``buckets`` integers.
-        touched = [r[0] for r in rows.select("bucket").distinct().collect()]
-        columns = facts.EVENT_UPDATES
-        stored = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("bucket").isin(touched))
-        known = write_stage(
-            stored.join(rows.select("bucket", key), ["bucket", key], "left_semi").select(
-                "bucket", key, F.lit(True).alias("_known"), F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
-            ),
-            "known-events",
-        )
+        table, key, columns = "fact_outreach_event", "event_source_id", facts.EVENT_UPDATES
+        shaped = shape(incoming, table).withColumns({"bucket": id_bucket(self.buckets_of(table)), "month": month_of()})
+        if not self.written(table):
+            self._add(shaped, table)
+            return {"insert": self._rows(table).count(), "update": 0, "skip": 0}
+        rows = write_stage(shaped, "incoming-events")
+        known = write_stage(self._stored_of(rows).select(
+            "bucket", key, F.lit(True).alias("_known"), F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
+        ), "known-events")
         differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns])
         action = F.when(F.col("_known").isNull(), "insert").when(differs, "update").otherwise("skip")
-        judged = rows.join(known, ["bucket", key], "left").withColumn("action", action)
-        # At most three rows per (bucket, month).
-        summary = judged.groupBy("bucket", "_month", "action").count().collect()
-        parts = list({(r["bucket"], r["_month"]) for r in summary if r["action"] == "update"})
-        written = judged.filter("action = 'insert'").select(*rows.columns)
-        if parts:
-            renewed = judged.filter("action = 'update'").select(
-                "bucket", key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in columns]
-            )
-            rewritten = stored.filter(_within(["bucket", "month"], parts)).join(renewed, ["bucket", key], "left").withColumns({
-                c: F.when(F.col("_given"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns
-            })
-            written = written.unionByName(rewritten.select(*rows.columns))
-        counts = {"insert": 0, "update": 0, "skip": 0}
-        for r in summary:
-            counts[r["action"]] += r["count"]
-        if counts["insert"] or counts["update"]:
-            self._commit(table, base, manifest, written, parts)
+        judged = write_stage(rows.join(known, ["bucket", key], "left").withColumn("action", action), "judged-events")
+        counts = {"insert": 0, "update": 0, "skip": 0} | {r["action"]: r["count"] for r in judged.groupBy("action").count().collect()}
+        new = judged.filter("action = 'insert'").select(*rows.columns)
+        if counts["update"]:
+            renewed = judged.filter("action = 'update'")
+            parts = renewed.select("bucket", F.col("_month").alias("month")).distinct()
+            given = renewed.select("bucket", key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+            values = {c: F.when(F.col("_given"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
+            # At most ``buckets`` integers, and one per calendar month: they prune the folders, the join is exact.
+            buckets, months = (list({r[0] for r in parts.select(c).distinct().collect()}) for c in ("bucket", "month"))
+            near = self._rows(table).filter(F.col("bucket").isin(buckets) & (F.col("month").isin([m for m in months if m is not None]) | F.col("month").isNull()))
+            changed = _in_parts(near, parts, ["bucket", "month"]).join(given, ["bucket", key], "left").withColumns(values)
+            self._overwrite(changed.select(*rows.columns).unionByName(_in_parts(new, parts, ["bucket", "month"])), table)
+            new = _in_parts(new, parts, ["bucket", "month"], "left_anti")
+        if counts["insert"]:
+            self._add(new, table)
         return counts
 
-    @_repeated
+    def _stored_of(self, rows: DataFrame) -> DataFrame:
+        """Stored events with an id of ``rows``."""
+        key = "event_source_id"
+        # At most ``buckets`` integers.
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]
+        stored = self._rows("fact_outreach_event").filter(F.col("bucket").isin(touched))
+        few = [r[0] for r in rows.select(key).limit(LITERALS + 1).collect()]
+        if len(few) <= LITERALS:
+            stored = stored.filter(F.col(key).isin(few))
+        return stored.join(rows.select("bucket", key), ["bucket", key], "left_semi")
+
     def upsert_mart(self, table: str, fresh: DataFrame, by: list[str]) -> None:
         """Merge recomputed groups into a daily mart, rewriting only the months they lie in."""
-        base, manifest = self._newest(table)
         fresh = shape(fresh, table).withColumn("month", month_of())
         # One integer per calendar month.
         months = [r[0] for r in fresh.select("month").distinct().collect()]
-        if not months:
-            return
-        old = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("month").isin(months))
-        measures = [c for c in table_schema(table).names if c not in by and c != "anomaly_score"]
-        merged = dims.upsert(old, fresh, [*by, "month"], measures).drop("_action")
-        self._commit(table, base, manifest, merged.select(*old.columns), [(m,) for m in months])
+        if months:
+            old = self._rows(table).filter(F.col("month").isin(months))
+            measures = [c for c in table_schema(table).names if c not in by and c != "anomaly_score"]
+            self._merge(table, dims.upsert(old, fresh, [*by, "month"], measures).select(*old.columns))
 
-    @_repeated
     def put_scores(self, scored: DataFrame) -> None:
         """Write risk scores onto their activity rows; only the months that hold such rows are rewritten."""
         table, by = "fact_daily_agent_activity", ["agent_key", "date_key"]
-        base, manifest = self._newest(table)
         scores = scored.select(*by, F.col("anomaly_score").alias("_score"), month_of().alias("month"))
         months = [r[0] for r in scores.select("month").distinct().collect()]
-        if not months:
-            return
-        old = self._live(table, manifest, [n for n, _ in manifest["loads"]]).drop("load").filter(F.col("month").isin(months))
-        updated = old.join(scores, [*by, "month"], "left").withColumn("anomaly_score", F.coalesce("_score", "anomaly_score"))
-        self._commit(table, base, manifest, updated.select(*old.columns), [(m,) for m in months])
+        if months:
+            old = self._rows(table).filter(F.col("month").isin(months))
+            updated = old.join(scores, [*by, "month"], "left").withColumn("anomaly_score", F.coalesce("_score", "anomaly_score"))
+            self._merge(table, updated.select(*old.columns))
 
     # ── Watermarks ──
 
@@ -361,3 +283,10 @@ class Warehouse:
         rows = self.spark.range(1).select(named.alias("w")).select("w.*", at.alias("updated_at"))
         merged = dims.upsert(self.read("pipeline_watermarks"), rows, "entity_name", ["last_synced_at", "updated_at"])
         self.replace("pipeline_watermarks", merged)
+
+
+def _in_parts(rows: DataFrame, parts: DataFrame, folders: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows that lie in one of the given partitions (``left_anti``: in none). Folder columns may be null."""
+    named = parts.select(*[F.col(c).alias(f"_part_{c}") for c in folders])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in folders])
+    return rows.join(named, same, how)

@@ -93,6 +93,7 @@ def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, ord
     Every write is keyed by event id, group or ``run_id``, so the same batch may run again. ``run_id`` must be this micro-batch's alone: its
     letters and receipts replace those stored under it. A record the table cannot hold is a dead letter like a malformed one.
     """
+    warehouse.recover()
     judged = clean.check_limits(clean.route(events, "events", order, dedup=False), "fact_outreach_event")
     routed = write_stage(judged, "live-routed")
     warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at, name="events"), [run_id])
@@ -157,6 +158,7 @@ def start_leads(stream: DataFrame, warehouse: Warehouse, checkpoint: str, order:
     def apply(batch: DataFrame, batch_id: int) -> None:
         prepare(batch.sparkSession)
         now = F.current_timestamp() if at is None else at
+        warehouse.recover()
         judged = clean.check_limits(clean.route(_numbered(batch, order), "leads", order), "dim_lead")
         routed = write_stage(judged, "live-leads")
         run_id, rows = _run_id(batch, batch_id), clean.clean_rows(routed)

