@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.functions import ids, text, times
@@ -37,18 +37,37 @@ def resolve_keys(events: DataFrame, tables: dict[str, DataFrame], large: set[str
     return out
 
 
-def resolve_keys_at(events: DataFrame, dim: DataFrame, table: str, at: str = "event_timestamp") -> DataFrame:
+def resolve_keys_at(events: DataFrame, dim: DataFrame, table: str, at: str = "event_timestamp", block: int = 3600) -> DataFrame:
     """Point-in-time resolution: the key of the version that was valid when the event happened.
 
-    An equi-join on the natural id with the validity as a residual test. Versions of one id do not overlap, so an
-    event meets at most one; a heavy id is split by the adaptive skew join (events are on the outer side).
+    Events and versions are sorted together by id and time, and the last version before an event is its own, unless that has ended: the work is
+    linear in both, however many versions an id has. A hot id is split into blocks of ``block`` seconds. The version that a block begins with comes
+    from a small sort per id, of its versions and, one row each, the blocks that hold events. Events without id or time, or outside of all versions,
+    have no key. Versions of one id do not overlap; one that ends when it begins is valid for no event.
     """
     natural, surrogate, _, _ = DIMENSIONS[table]
-    versions = dim.select(
-        F.col(natural).alias("_id"), F.col(surrogate), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
+    known = F.col(natural).isNotNull() & F.col(at).isNotNull()
+    # Events that cannot have a version are spread, whatever their share.
+    spread = -1 - F.pmod(F.xxhash64(*events.columns), F.lit(4096))
+    moved = events.select("*", F.col(natural).alias("_id"), F.when(known, F.floor(F.unix_seconds(at) / block)).otherwise(spread).alias("_block"),
+                          F.col(at).alias("_at"), known.alias("_known"), F.lit(True).alias("_event"))
+    version = F.struct(F.col("valid_from").alias("from"), F.col("valid_to").alias("to"), F.col(surrogate).alias("key")).alias("_version")
+    living = F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+    versions = dim.filter(living & F.col(natural).isNotNull()).select(
+        F.col(natural).alias("_id"), F.floor(F.unix_seconds("valid_from") / block).alias("_block"), F.col("valid_from").alias("_at"), version
     )
-    valid = (F.col("_from") <= F.col(at)) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    return events.join(versions, (F.col(natural) == F.col("_id")) & valid, "left").drop("_id", "_from", "_to")
+    # Blocks begin before their first version: what an earlier version left is handed on to the block's events.
+    blocks = moved.filter("_known").select("_id", "_block").distinct().withColumn("_at", F.timestamp_seconds(F.col("_block") * block))
+    per_id = Window.partitionBy("_id").orderBy("_at", F.col("_version").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    begun = versions.unionByName(blocks, allowMissingColumns=True).select(
+        "_id", "_block", "_at", F.last("_version", ignorenulls=True).over(per_id).alias("_begun"), F.col("_version").isNull().alias("_start")
+    ).filter("_start AND _begun IS NOT NULL").select("_id", "_block", "_at", F.col("_begun").alias("_version"))
+    rows = moved.unionByName(versions.unionByName(begun).withColumn("_event", F.lit(False)), allowMissingColumns=True)
+    # At one time: what the block begins with, then a version that begins there, then events.
+    order = Window.partitionBy("_id", "_block").orderBy("_at", "_event", "_version.from").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_last", F.last("_version", ignorenulls=True).over(order)).filter("_event")
+    valid = F.col("_known") & (F.col("_last.to").isNull() | (F.col(at) < F.col("_last.to")))
+    return found.select(*events.columns, F.when(valid, F.col("_last.key")).alias(surrogate))
 
 
 def backfill_keys(fact: DataFrame, ids_of: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -216,6 +216,15 @@ def asof_key_resolution(i: Inputs) -> DataFrame:
     return resolved.join(status, "agent_key", "left").groupBy("agent_id", "status").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def asof_many_versions(i: Inputs) -> DataFrame:
+    """Two hot ids with a version per order date of their status: which one each line was shipped under."""
+    per_day = i.table("orders").groupBy(F.col("o_orderstatus").alias("lead_id"), F.col("o_orderdate").cast("timestamp").alias("valid_from")).agg(F.min("o_orderkey").alias("lead_key"))
+    versions = per_day.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy("lead_id").orderBy("valid_from")))
+    shipped = i.table("lineitem").select(F.col("l_linestatus").alias("lead_id"), F.col("l_shipdate").cast("timestamp").alias("event_timestamp"))
+    return facts.resolve_keys_at(shipped, versions, "dim_lead").groupBy("lead_id", "lead_key").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query
 def backfilled_keys(i: Inputs) -> DataFrame:
     """Events loaded before their leads existed, then filled in once the leads are there."""

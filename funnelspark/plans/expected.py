@@ -411,6 +411,10 @@ SELECTS: dict[str, str] = {
     "asof_key_resolution": f"""SELECT e.agent_id, v.status, count(*) AS events FROM valid_events e LEFT JOIN agent_versions v ON e.agent_id = v.agent_id
       AND cast(v.valid_from AS TIMESTAMP) <= e.event_timestamp AND (v.valid_to IS NULL OR e.event_timestamp < cast(v.valid_to AS TIMESTAMP))
       GROUP BY 1, 2""",
+    "asof_many_versions": """WITH versions AS (SELECT o_orderstatus AS id, o_orderdate AS valid_from, min(o_orderkey) AS lead_key,
+      lead(o_orderdate) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate) AS valid_to FROM orders GROUP BY 1, 2)
+      SELECT l_linestatus AS lead_id, lead_key, count(*) AS events FROM lineitem LEFT JOIN versions ON l_linestatus = id AND valid_from <= l_shipdate
+      AND (valid_to IS NULL OR l_shipdate < valid_to) GROUP BY 1, 2""",
     "backfilled_keys": "SELECT event_type, count(*) AS events, count(lead) AS with_lead FROM fact GROUP BY event_type",
     "event_upsert": f"""SELECT event_source_id, coalesce(o.event_type, n.event_type) AS event_type,
       {stamp('coalesce(o.event_timestamp, n.event_timestamp)')} AS event_timestamp, coalesce(o.date_key, n.date_key) AS date_key,

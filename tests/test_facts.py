@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -43,6 +44,34 @@ def test_point_in_time_keys(spark):
     assert [r.lead_status for r in got.collect()] == [None, "A", "B", None]
 
 
+def test_keys_at_a_time_equal_brute_force(spark):
+    """An id with thousands of versions, gaps, empty versions, events on every edge, without id or time, and repeated rows."""
+    rng = random.Random(5)
+    start = datetime(2026, 1, 1)
+    versions, t = [], start
+    for n in range(3000):
+        end = t + timedelta(seconds=rng.choice([0, 1, 60, 3600, 5000]))
+        versions.append(("hot", n, t, end))
+        t = end + timedelta(seconds=rng.choice([0, 0, 0, 1800]))
+    versions += [("open", 5000, start, None), ("late", 5001, datetime(2027, 1, 1), None), ("none", 5002, None, None), (None, 5003, start, None)]
+    edges = [v[k] for v in rng.sample(versions[:3000], 300) for k in (2, 3)]
+    times = edges + [start + timedelta(seconds=rng.uniform(-5000, (t - start).total_seconds() + 5000)) for _ in range(600)]
+    rows = [(n, i, at) for n, at in enumerate([*times, None]) for i in ("hot", "open", "late", "none", None)] + [(0, "hot", times[0])]
+    dim = spark.createDataFrame(versions, "lead_id string, lead_key bigint, valid_from timestamp, valid_to timestamp")
+    got = facts.resolve_keys_at(spark.createDataFrame(rows, "n int, lead_id string, event_timestamp timestamp"), dim, "dim_lead")
+    assert got.columns == ["n", "lead_id", "event_timestamp", "lead_key"]
+
+    def key(i, at):
+        if i is None or at is None:
+            return None
+        hits = [k for j, k, begin, end in versions if j == i and begin is not None and begin <= at and (end is None or at < end)]
+        return hits[0] if hits else None
+
+    want = [(n, i, at, key(i, at)) for n, i, at in rows]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and sum(w[3] is not None for w in want) > 1000
+    assert facts.resolve_keys_at(spark.createDataFrame([], "n int, lead_id string, event_timestamp timestamp"), dim, "dim_lead").count() == 0
+
+
 def test_stored_fact_upsert_is_idempotent_and_touches_little(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path), buckets=4)
     rows = [(f"e{n}", "ACCEPTED", datetime(2026, 1 + n % 3, 1), "SUCCESS", n) for n in range(60)]
