@@ -74,23 +74,24 @@ def _check(dimension: str, table: Column | str, score: Column, details: Column)
     )
 
 
-def table_profile(
-    df: DataFrame, table: str, required: list[str], as_of: Column | None = None, types: bool = False
-) -> DataFrame:
-    """Completeness and, for an event table, type validity and timeliness, all from one pass."""
-    aggregates = [F.count(F.lit(1)).alias("n")]
-    aggregates += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
+def _profile_flags(required: list[str], as_of: Column | None, types: bool) -> dict[str, Column]:
+    """What of a row counts against completeness, type validity and timeliness."""
+    flags = {f"null_{c}": F.col(c).isNull() for c in required}
     if types:
-        aggregates.append(F.count_if(text.is_unknown_type(F.col("event_type"))).alias("bad_type"))
+        flags["bad_type"] = text.is_unknown_type(F.col("event_type"))
     if as_of is not None:
-        aggregates.append(F.count_if(F.col("loaded_at") < as_of - F.expr(f"interval {SLA_HOURS} hours")).alias("stale"))
-    n = F.col("n")
+        flags["stale"] = F.col("loaded_at") < as_of - F.expr(f"interval {SLA_HOURS} hours")
+    return flags
+
+
+def _profile_checks(table: str, required: list[str], as_of: Column | None, types: bool, n: Column) -> list[Column]:
+    """Checks out of the number of rows and the counts of ``_profile_flags``."""
     nulls = sum((F.col(f"null_{c}") for c in required), F.lit(0))
     cells = n * len(required)
     checks = [_check(
         "completeness", table, numbers.share_score(cells - nulls, cells),
         F.struct(F.struct(*[F.col(f"null_{c}").alias(c) for c in required]).alias("null_counts"), n.alias("total_rows")),
-    )]
+    )] if required else []
     if types:
         checks.append(_check(
             "validity", f"{table}.event_type", numbers.share_score(n - F.col("bad_type"), n),
@@ -102,7 +103,28 @@ def table_profile(
             "timeliness", table, numbers.share_score(fresh, n),
             F.struct(n.alias("total"), fresh.alias("fresh"), F.col("stale"), F.lit(SLA_HOURS).alias("sla_hours")),
         ))
-    return df.agg(*aggregates).select(F.inline(F.array(*checks)))
+    return checks
+
+
+def table_profile(
+    df: DataFrame, table: str, required: list[str], as_of: Column | None = None, types: bool = False
+) -> DataFrame:
+    """Completeness and, for an event table, type validity and timeliness, all from one pass."""
+    counts = [F.count_if(flag).alias(name) for name, flag in _profile_flags(required, as_of, types).items()]
+    checks = _profile_checks(table, required, as_of, types, F.col("n"))
+    return df.agg(F.count(F.lit(1)).alias("n"), *counts).select(F.inline(F.array(*checks)))
+
+
+def _unique_check(table: str, distinct: Column, total: Column, current_only: bool) -> Column:
+    details = F.struct(distinct.alias("distinct"), total.alias("total_current" if current_only else "total"))
+    return _check("uniqueness", table, numbers.share_score(distinct, total), details)
+
+
+def _reference_check(table: str, total: Column, orphans: Column) -> Column:
+    return _check(
+        "referential_integrity", F.concat(F.lit(f"{table}."), F.col("fk")), numbers.share_score(total - orphans, total),
+        F.struct(total.alias("total_fks"), orphans.alias("orphans")),
+    )
 
 
 def uniqueness(df: DataFrame, table: str, key: str | list[str], current_only: bool = False) -> DataFrame:
@@ -119,10 +141,7 @@ def uniqueness(df: DataFrame, table: str, key: str | list[str], current_only: bo
     counted = per_key.agg(
         F.count_if(whole).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
     )
-    label = "total_current" if current_only else "total"
-    details = F.struct(F.col("distinct"), F.col("total").alias(label))
-    score = numbers.share_score(F.col("distinct"), F.col("total"))
-    return counted.select(F.inline(F.array(_check("uniqueness", table, score, details))))
+    return counted.select(F.inline(F.array(_unique_check(table, F.col("distinct"), F.col("total"), current_only))))
 
 
 def tier_validity(activity: DataFrame, agents: DataFrame, tiers: DataFrame) -> DataFrame:
@@ -159,25 +178,64 @@ def references(fact: DataFrame, table: str, foreign: list[tuple[str, DataFrame,
     per_key = per_value.groupBy("fk").agg(
         F.sum("n").alias("total"), F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("orphans")
     )
-    total, orphans = F.col("total"), F.col("orphans")
-    check = _check(
-        "referential_integrity", F.concat(F.lit(f"{table}."), F.col("fk")), numbers.share_score(total - orphans, total),
-        F.struct(total.alias("total_fks"), orphans.alias("orphans")),
+    return per_key.select(F.inline(F.array(_reference_check(table, F.col("total"), F.col("orphans")))))
+
+
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def table_checks(
+    df: DataFrame, table: str, required: list[str] = (), unique: str | None = None, current_only: bool = False,
+    foreign: list[tuple[str, DataFrame, str]] = (), as_of: Column | None = None, types: bool = False,
+) -> DataFrame:
+    """Profile, uniqueness and references of one table from one scan and one shuffle.
+
+    Each row becomes one entry for itself (its key, its flags) and one per foreign key. All are grouped by (kind, value) with the dimensions' keys,
+    combined map-side first; a second, tiny grouping makes one row per kind. An empty table scores 100 in every check.
+    """
+    flags = _profile_flags(list(required), as_of, types)
+    wide = dict(df.dtypes)
+    # Whole numbers stay numbers where both sides are; anything else meets as text.
+    whole = {c: wide[c] in WHOLE and dict(dim.dtypes)[pk] in WHOLE for c, dim, pk in foreign}
+
+    def entry(kind: str, value: Column, n: Column, number: bool, known: bool = False, own: bool = False) -> Column:
+        none = F.lit(None)
+        return F.struct(
+            F.lit(kind).alias("fk"), (value if number else none).cast("bigint").alias("number"), (none if number else value).cast("string").alias("text"),
+            n.cast("bigint").alias("n"), F.lit(known).alias("known"), F.lit(int(own)).cast("bigint").alias("rows"),
+            *[(F.coalesce(flag, F.lit(False)).cast("bigint") if own else F.lit(0).cast("bigint")).alias(name) for name, flag in flags.items()],
+        )
+
+    counted = F.col("is_current") if current_only else F.lit(True)
+    own = entry("", F.col(unique) if unique else F.lit(None), F.coalesce(counted, F.lit(False)), False, own=True)
+    used = df.select(F.inline(F.array(own, *[entry(c, F.col(c), F.col(c).isNotNull(), whole[c]) for c, _, _ in foreign])))
+    nothing = [entry(kind, F.lit(None), F.lit(0), whole.get(kind, False)) for kind in ("", *whole)]
+    used = used.unionAll(df.sparkSession.range(1).select(F.inline(F.array(*nothing))))
+    for c, dim, pk in foreign:
+        used = used.unionAll(dim.select(F.inline(F.array(entry(c, F.col(pk), F.lit(0), whole[c], known=True)))))
+    sums = [F.sum(name).alias(name) for name in ("n", "rows", *flags)]
+    per_value = used.groupBy("fk", "number", "text").agg(F.max("known").alias("known"), *sums)
+    per_kind = per_value.groupBy("fk").agg(
+        F.count_if(F.col("text").isNotNull() & (F.col("n") > 0)).alias("distinct"),
+        F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("orphans"), *sums,
     )
-    return per_key.select(F.inline(F.array(check)))
+    checks = _profile_checks(table, list(required), as_of, types, F.col("rows"))
+    if unique:
+        checks.append(_unique_check(table, F.col("distinct"), F.col("n"), current_only))
+    references_of = F.array(_reference_check(table, F.col("n"), F.col("orphans")))
+    return per_kind.select(F.inline(F.when(F.col("fk") != "", references_of).otherwise(F.array(*checks) if checks else F.slice(references_of, 1, 0))))
 
 
 def run_checks(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
-    """All checks over a warehouse (a name → DataFrame mapping)."""
+    """All checks over a warehouse (a name → DataFrame mapping); each table is scanned once, the activity mart once more for its tier limits."""
     parts = []
-    for table, required in REQUIRED.items():
+    for table in dict.fromkeys([*REQUIRED, *UNIQUE, *REFERENCES]):
         event = table == "fact_outreach_event"
-        parts.append(table_profile(tables[table], table, required, as_of if event else None, types=event))
-    for table, key in UNIQUE.items():
-        parts.append(uniqueness(tables[table], table, key, current_only=table in ("dim_agent", "dim_lead")))
+        foreign = [(c, tables[d], k) for c, d, k in REFERENCES.get(table, [])]
+        parts.append(table_checks(
+            tables[table], table, REQUIRED.get(table, []), UNIQUE.get(table), table in ("dim_agent", "dim_lead"), foreign, as_of if event else None, event
+        ))
     parts.append(tier_validity(tables["fact_daily_agent_activity"], tables["dim_agent"], tables["dim_account_tier"]))
-    for table, foreign in REFERENCES.items():
-        parts.append(references(tables[table], table, [(c, tables[d], k) for c, d, k in foreign]))
     return union_all(parts)
 
 

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -56,6 +57,24 @@ def test_references_of_nothing(spark):
     assert row.score == 100.0 and json.loads(row.details) == {"total_fks": 0, "orphans": 0}
 
 
+def test_one_pass_equals_the_single_checks(spark, tmp_path):
+    rng = random.Random(3)
+    pick = lambda *values: rng.choice([*values, None])
+    rows = [(pick("a", "b", f"e{n}"), pick("ACCEPTED", "ODD"), pick(datetime(2026, 1, 2), datetime(2025, 12, 1)), pick(1, 2, 9), pick("x", "y"), pick(True, False)) for n in range(200)]
+    schema = "id string, event_type string, loaded_at timestamp, a int, b string, is_current boolean"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "fact"))
+    dim = spark.createDataFrame([(1, "x"), (1, "z"), (2, None)], "k bigint, t string")
+    foreign, at = [("a", dim, "k"), ("b", dim, "t")], F.lit("2026-01-02 12:00:00").cast("timestamp")
+    for fact in (spark.read.parquet(str(tmp_path / "fact")), spark.createDataFrame([], schema)):
+        for current in (False, True):
+            got = quality.table_checks(fact, "f", ["id", "a"], "id", current, foreign, at, True)
+            parts = [quality.table_profile(fact, "f", ["id", "a"], at, True), quality.uniqueness(fact, "f", "id", current), quality.references(fact, "f", foreign)]
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality.union_all(parts).collect()))
+    assert quality.table_checks(spark.createDataFrame([], schema), "f").count() == 0
+    plan = quality.table_checks(spark.read.parquet(str(tmp_path / "fact")), "f", ["id"], "id", False, foreign, at, True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
 def test_idle_agents_are_reported(spark):
     agents = spark.createDataFrame([(1, "a", 1, True), (2, "b", 1, True), (3, "c", 1, False)], "agent_key bigint, agent_id string, tier_key int, is_current boolean")
     days = spark.createDataFrame([(1, 20260801, 5, 0.2), (1, 20260802, 5, 0.4), (2, 20260801, 5, 1.9)],
