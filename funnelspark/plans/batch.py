@@ -38,14 +38,19 @@ def seed(warehouse: Warehouse) -> None:
 
 
 def _merge(warehouse: Warehouse, table: str, rows: DataFrame, as_of: Column) -> DataFrame:
+    """Rows merged into a stored dimension, with their actions. Of leads, which grow with the data, only touched id buckets are read and written."""
+    if table == "dim_lead":
+        return warehouse.merge_leads(rows, lambda stored: dims.merge_leads(stored, rows, as_of))
     existing = warehouse.read(table)
     if table == "dim_agent":
-        return dims.merge_agents(existing, rows, warehouse.read("dim_account_tier"), as_of)
-    if table == "dim_lead":
-        return dims.merge_leads(existing, rows, as_of)
-    if table == "dim_campaign":
-        return dims.merge_campaigns(existing, rows)
-    return dims.merge_templates(existing, rows)
+        merged = dims.merge_agents(existing, rows, warehouse.read("dim_account_tier"), as_of)
+    elif table == "dim_campaign":
+        merged = dims.merge_campaigns(existing, rows)
+    else:
+        merged = dims.merge_templates(existing, rows)
+    merged = write_stage(merged, f"{table}-merged")
+    warehouse.replace(table, merged)
+    return merged
 
 
 class Run:
@@ -172,8 +177,7 @@ def _store(warehouse: Warehouse, run: Run, entity: str, table: str, rows: DataFr
         # One integer per month; months of the whole batch, so that a run repeated after a crash refreshes them too.
         run.months = [r[0] for r in fact.select(month_of()).distinct().collect()]
         return
-    merged = write_stage(_merge(warehouse, table, rows, run.as_of), f"{table}-merged")
-    warehouse.replace(table, merged)
+    merged = _merge(warehouse, table, rows, run.as_of)
     done = dims.version_counts(merged).filter("action IN ('insert', 'update')").agg(F.sum("n")).head()[0]
     run.loaded += done or 0
 
@@ -313,8 +317,8 @@ def import_crm(spark: SparkSession, paths: list[str], root: str, as_of: datetime
     warehouse, at = Warehouse(spark, root, buckets).recover(), moment(as_of)
     seed(warehouse)
     rows = write_stage(imports.crm_export(spark, paths), "crm")
-    merged = write_stage(dims.refresh_leads(warehouse.read("dim_lead"), dims.crm_leads(rows), at), "crm-leads")
-    warehouse.replace("dim_lead", merged)
+    leads = write_stage(dims.crm_leads(rows), "crm-leads")
+    merged = warehouse.merge_leads(leads, lambda stored: dims.refresh_leads(stored, leads, at))
     events = facts.crm_events(rows, agent["agent_id"], campaign["campaign_id"], at)
     added = _book(warehouse, events, agent, campaign, at)
     leads = {r["action"]: r["n"] for r in dims.load_counts(merged).collect()}
@@ -332,10 +336,9 @@ def import_archive(
     done = {"leads_added": 0, "events_added": 0, "invites_added": 0}
     if connections:
         people = write_stage(facts.archive_connections(imports.connections(spark, list(connections)), at), "archive")
-        leads = warehouse.read("dim_lead")
-        new = people.drop("connected_at").join(dims.current(leads).select("lead_id"), "lead_id", "left_anti")
-        merged = write_stage(dims.merge_leads(leads, new, at), "archive-leads")
-        warehouse.replace("dim_lead", merged)
+        new = people.drop("connected_at").join(dims.current(warehouse.read("dim_lead")).select("lead_id"), "lead_id", "left_anti")
+        new = write_stage(new, "archive-leads")
+        merged = warehouse.merge_leads(new, lambda stored: dims.merge_leads(stored, new, at))
         done["leads_added"] = merged.filter("_action = 'insert'").count()
         done["events_added"] = _book(
             warehouse, facts.connection_events(people, agent["agent_id"], campaign["campaign_id"]), agent, campaign, at

@@ -190,14 +190,17 @@ class Warehouse:
         for run in stored.keys() - fresh:
             stored[run][0].delete(stored[run][1], True)
 
-    def merge_leads(self, incoming: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Apply ``merge`` (stored rows → new rows) to the id buckets that ``incoming`` touches; other buckets keep their files."""
+    def merge_leads(self, incoming: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Apply ``merge`` (stored rows → new rows) to the id buckets that ``incoming`` touches and return its rows; other buckets keep their files."""
         table = "dim_lead"
         bucket = id_bucket(self.buckets_of(table), "lead_id")
         # At most ``buckets`` integers.
         touched = [r[0] for r in incoming.select(bucket.alias("bucket")).distinct().collect()]
+        merged = merge(self._rows(table).filter(F.col("bucket").isin(touched)).drop("bucket"))
         if touched:
-            self._merge(table, shape(merge(self._rows(table).filter(F.col("bucket").isin(touched)).drop("bucket")), table).withColumn("bucket", bucket))
+            merged = write_stage(merged, "leads-merged")
+            self._merge(table, shape(merged, table).withColumn("bucket", bucket))
+        return merged
 
     def _merge(self, table: str, rows: DataFrame) -> None:
         self._overwrite(rows, table) if self.written(table) else self._add(rows, table)

@@ -220,3 +220,20 @@ def test_imports(spark, tmp_path):
     assert done == {"leads_added": 1, "events_added": 1, "invites_added": 0}
     fact = Warehouse(spark, root, buckets=4).read("fact_outreach_event")
     assert fact.count() == 3 and fact.filter("agent_key is null or lead_key is null").count() == 0
+
+
+def test_nightly_load_keeps_untouched_lead_files(spark, tmp_path):
+    root = str(tmp_path / "wh")
+
+    def load(rows, day):
+        leads = spark.createDataFrame(rows, "id string, name string, status string, pos int")
+        return batch.run_batch(spark, f"{root}/none", root, datetime(2026, 1, day), f"r{day}", buckets=16, entity_frames={"leads": (leads, ["pos"])})
+
+    first = load([(f"l{n}", "Ann", "new", n) for n in range(64)], 1)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "wh" / "dim_lead").rglob("*.parquet")}
+    second = load([("l1", "Ann", "won", 1), ("l2", "Ann", "new", 2)], 2)
+    assert (first["rows_loaded"], second["rows_loaded"]) == (64, 1)
+    now = {p: p.stat().st_mtime_ns for p in (tmp_path / "wh" / "dim_lead").rglob("*.parquet")}
+    assert 1 <= len({p.parent for p in before if now.get(p) != before[p]}) <= 2 and len({p.parent for p in before}) > 8
+    rows = Warehouse(spark, root).read("dim_lead").collect()
+    assert len(rows) == 65 and sum(r.is_current for r in rows) == 64 and {r.lead_id for r in rows if not r.is_current} == {"l1"}
