@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from funnelspark.functions import text
+from funnelspark.functions import numbers, text
 from funnelspark.operators import alerts, anomaly, clean, dims, facts, marts, measures, quality, risk
 from funnelspark.plans import batch, derived, landing
 from funnelspark.plans.inputs import Inputs
@@ -158,6 +158,33 @@ def scd2_agents(i: Inputs) -> DataFrame:
     return rounded(i.agents_reloaded.join(tiers, "tier_key", "left").drop("agent_key", "tier_key", "_action"))
 
 
+@query
+def import_defaults(i: Inputs) -> DataFrame:
+    """The importer's own agent and campaign beside the stored ones: made once, and not at all where the id is there."""
+    agents, campaigns = i.warehouse["dim_agent"], i.warehouse["dim_campaign"]
+    for _ in range(2):
+        agents = dims.ensure_row(agents, "agent_id", facts.ARCHIVE_AGENT, "agent_key", i.as_of)
+        campaigns = dims.ensure_row(campaigns, "campaign_id", facts.ARCHIVE_CAMPAIGN, "campaign_key", i.as_of)
+    # As an import that books on the oldest stored campaign.
+    oldest = F.col("campaign_id").isin([campaigns.agg(F.min("campaign_id")).head()[0]])
+    stored = campaigns.filter(oldest).select("campaign_id").head()
+    campaigns = dims.ensure_row(campaigns, "campaign_id", {**facts.ARCHIVE_CAMPAIGN, "campaign_id": stored[0] if stored else "none"}, "campaign_key", i.as_of)
+    return agents.select(F.lit("agent").alias("kind"), F.col("agent_id").alias("id"), F.col("status").alias("value")).unionAll(
+        campaigns.select(F.lit("campaign"), "campaign_id", "campaign_type"))
+
+
+@query
+def number_texts(i: Inputs) -> DataFrame:
+    """Numbers as people write them, and texts that are none."""
+    form = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(8))
+    part, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
+    written = F.element_at(F.array(
+        F.concat(F.lit(" "), F.col("l_extendedprice").cast("string"), F.lit("\t")), F.concat(part, F.lit("_000")), F.concat(F.lit("+"), supp, F.lit("e2")),
+        F.concat(F.lit("-."), F.col("l_linenumber").cast("string")), F.lit("inf"), F.concat(supp, F.lit("%")), F.lit(""), F.concat(supp, F.lit(".")),
+    ), form.cast("int") + 1)
+    return i.table("lineitem").select("l_orderkey", "l_linenumber", numbers.to_double(written).alias("number"), numbers.to_int(written).alias("whole"))
+
+
 @query
 def scd2_leads(i: Inputs) -> DataFrame:
     return rounded(i.leads_reloaded.drop("lead_key", "_action"))
@@ -465,6 +492,19 @@ def dq_history(i: Inputs) -> DataFrame:
     return rounded(rows.drop("details"))
 
 
+@query
+def stored_dq_history(i: Inputs) -> DataFrame:
+    """Check rows of two runs, the first one stored twice, read back from the history table."""
+
+    def run(root: str) -> None:
+        warehouse = Warehouse(i.spark, root)
+        checks = write_stage(quality.run_checks(i.warehouse, i.as_of), "checks")
+        for run_id in ("run_1", "run_2", "run_1"):
+            warehouse.append("dq_results", quality.history_rows(checks, run_id, i.as_of), [run_id])
+
+    return rounded(Warehouse(i.spark, i.once("dq-results", run)).read("dq_results").drop("details"))
+
+
 def _dq_runs(i: Inputs) -> DataFrame:
     """Two runs of the event checks, a day apart: the later one finds more stale rows."""
     parts = []

@@ -390,6 +390,11 @@ SELECTS: dict[str, str] = {
     "calendar_event_volume": f"""SELECT year, quarter, month, month_name, week_of_year, day_of_week, day_name, is_weekend, count(*) AS events,
       {SENT} AS invites_sent, {ACC} AS accepted FROM fact JOIN calendar USING (date_key) GROUP BY ALL""",
     "scd2_agents": "SELECT * EXCLUDE (act) FROM agent_versions",
+    "import_defaults": """SELECT 'agent' AS kind, agent_id AS id, status AS value FROM agents_1 UNION ALL SELECT 'agent', 'my_live_account', 'active'
+      UNION ALL SELECT 'campaign', campaign_id, campaign_type FROM campaigns_1 UNION ALL SELECT 'campaign', 'camp_personal_network', 'ORGANIC_NETWORK'""",
+    "number_texts": """SELECT l_orderkey, l_linenumber, number, cast(trunc(number) AS INTEGER) AS whole FROM (SELECT l_orderkey, l_linenumber,
+      CASE (l_orderkey + l_linenumber) % 8 WHEN 0 THEN l_extendedprice WHEN 1 THEN l_partkey * 1000.0 WHEN 2 THEN l_suppkey * 100.0
+        WHEN 3 THEN cast(concat('-0.', l_linenumber) AS DOUBLE) WHEN 7 THEN cast(l_suppkey AS DOUBLE) END AS number FROM lineitem)""",
     "scd2_leads": "SELECT * EXCLUDE (act) FROM lead_versions",
     "scd2_load_counts": """SELECT act AS action, count(*) AS n, 'agents' AS entity FROM agent_versions WHERE act NOT IN ('keep', 'close') GROUP BY act
       UNION ALL SELECT act, count(*), 'leads' FROM lead_versions WHERE act NOT IN ('keep', 'close') GROUP BY act""",
@@ -500,6 +505,9 @@ SELECTS: dict[str, str] = {
     "dq_history": f"""SELECT 'run_1' AS run_id, check_dimension, table_name, round(score, 6) AS score, cast(weight AS DOUBLE) AS weight, '{AS_OF}' AS checked_at,
       (SELECT composite_score FROM dq_total) AS composite_score, (SELECT composite_score >= 85 FROM dq_total) AS passed
       FROM dq_checks JOIN weights USING (check_dimension)""",
+    "stored_dq_history": f"""SELECT run_id, check_dimension, table_name, round(score, 6) AS score, cast(weight AS DOUBLE) AS weight, '{AS_OF}' AS checked_at,
+      (SELECT composite_score FROM dq_total) AS composite_score, (SELECT composite_score >= 85 FROM dq_total) AS passed
+      FROM dq_checks JOIN weights USING (check_dimension), (VALUES ('run_1'), ('run_2')) AS r(run_id)""",
     "dq_trend": "SELECT checked_at, composite_score FROM dq_runs",
     "dq_latest": """SELECT checked_at, composite_score, CASE WHEN composite_score >= 97 THEN 'Pass' ELSE 'Fail' END AS label FROM dq_runs
       WHERE checked_at = (SELECT max(checked_at) FROM dq_runs)""",
