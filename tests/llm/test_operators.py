@@ -119,6 +119,31 @@ def test_licenses(spark, docs):
     assert (found[301].n_base, found[4].n_words, found[4].labels) == (0, 0, "")
 
 
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_long_license_templates(spark, docs, rows, most, monkeypatch):
+    monkeypatch.setattr(licenses, "BROADCAST_PAIRS", most)
+    rng = random.Random(9)
+    long, phrase = [f"q{rng.randint(0, 150)}" for _ in range(1000)], [f"r{k}" for k in range(150)]
+    templates = spark.createDataFrame([(" ".join(long), "long"), (" ".join(long), "long"), ("Kata, kata KATA", "three"), (None, "none"), ("", "none"), ("a b", None)], "text string, label string")
+    phrases = spark.createDataFrame([(" ".join(phrase), "exact")], "text string, label string")
+    put_in = long[:400] + ["x", "y"] + long[400:]
+    texts = {
+        400: prose(rng, 20) + " " + " ".join(long).upper(), 401: " ".join(put_in), 402: " ".join(long[:700]), 403: " ".join(long[:800]), 404: " ".join(phrase + phrase), 405: " ".join(phrase[:149]),
+        406: " ".join(phrase[:70] + ["x"] + phrase[70:]),
+    }
+    extra = spark.createDataFrame([(k, t, "en", "a", "x") for k, t in texts.items()], SCHEMA)
+    found = {r.doc_id: r for r in licenses.scan(docs.union(extra), F.col("doc_id"), F.col("text"), phrases, templates).collect()}
+    label = {k: [x.label for x in found[k].spans or []] for k in texts}
+    assert label == {400: ["long"], 401: ["long"], 402: [], 403: ["long"], 404: ["exact", "exact"], 405: [], 406: []}
+    assert (found[400].score, found[400].spans[0].first, found[400].spans[0].last) == (1.0, 20, 1019) and abs(found[401].score - 998 / 999) < 1e-9
+    assert (found[404].n_base, found[404].first_word, found[404].last_word) == (2, 0, 150) and found[4].labels == ""
+    # Templates of two pairs: every document that holds the three words, by a plain search.
+    three = {r[0] for r in rows if r[1] and re.search(r"\bkata kata kata\b", r[1])}
+    assert {k for k, r in found.items() if "three" in r.labels} >= three
+    with pytest.raises(Exception, match="two words or more"):
+        licenses.scan(docs, F.col("doc_id"), F.col("text"), {"one": "x"}).count()
+
+
 def test_personal_data(spark):
     beside = ["alpha", "bravo", "delta", "gamma", "omega"]
     rows = [(k, f"{beside[k]} Zanzibarski wrote to jo@site.example.org today {beside[k]}", "en", "a", "x") for k in range(5)]
