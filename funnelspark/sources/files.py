@@ -7,6 +7,7 @@ row), so "the first copy wins" means the same on any number of executors.
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,8 @@ from funnelspark.functions import records, text
 from funnelspark.schemas import CORRUPT, POSITION, RAW_FIELDS, RECORD, conform, raw_schema, shape
 
 CSV_RANK, JSON_RANK = 0, 1
+#: CSV files whose header line the driver reads at once; the wait is for the store, not for the driver.
+OPENS = 32
 
 
 def _fs(spark: SparkSession, path: str):
@@ -61,7 +64,8 @@ def read_csv(spark: SparkSession, paths: list[str], multi_line: bool = False, en
     Rows of files with columns that ``entity`` does not name bring their whole record along.
     ``multi_line`` allows line breaks inside quotes but makes a file unsplittable, so it is off by default.
     """
-    headers = sorted((header_line(spark, p), p) for p in paths)
+    with ThreadPoolExecutor(OPENS) as pool:
+        headers = sorted(zip(pool.map(lambda p: header_line(spark, p), paths), paths, strict=True))
     out = None
     for header, group in groupby(headers, key=lambda pair: pair[0]):
         if not header:
@@ -102,7 +106,7 @@ def read_json(spark: SparkSession, paths: list[str], entity: str, lines: bool =
     """
     if not paths:
         return None
-    documents = spark.read.option("wholetext", not lines).text(paths).select(*_position(JSON_RANK), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"))
+    documents = spark.read.text(paths, wholetext=not lines).select(*_position(JSON_RANK), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"))
     rows = documents.filter(F.trim("value") != "").select("*", F.posexplode(records.records_of(F.col("value"))).alias("_index", "_text"))
     parsed = rows.withColumn("_fields", records.parsed(F.col("_text"), records.json_fields(entity), strict=not lines))
     return parsed.select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,25 +16,45 @@ CONNECTION_MARKERS = ["First Name", "First name", "URL"]
 INVITATION_MARKERS = ["From", "To", "Sent At"]
 
 
+#: Bytes of a file up to which it is read as one text. An account's archive is far below.
+WHOLE_BYTES = 32 << 20
+
+
 def read_archive(spark: SparkSession, paths: list[str] | str, markers: list[str]) -> DataFrame:
     """Lines below the header of each file, as arrays: ``_header``, ``_cells`` and ``_pos``.
 
-    The header is the first line with a marker word, else the first line. Finding it is one min() per file; each line then
-    meets its own file's header, so files may order their columns differently. Quoted line breaks are not supported.
+    The header is the first line with a marker word, else the first line; each line meets its own file's header, so files may order
+    their columns differently. A file of at most ``WHOLE_BYTES`` is one row: it is scanned once, its header is found within it, and nothing
+    is shuffled or joined. Larger files stay splittable: their headers are found by one min() per file and joined. The sizes prune
+    the files of each scan. Quoted line breaks are not supported.
     """
-    lines = spark.read.text(paths).select(
+    marked = lambda line: reduce(lambda a, b: a | b, [line.contains(marker) for marker in markers], F.lit(False))
+    return _small_archives(spark, paths, marked).union(_large_archives(spark, paths, marked))
+
+
+def _header_cells(line: Column) -> Column:
+    return text.csv_cells(F.regexp_replace(line, "^\\x{FEFF}", ""))
+
+
+def _small_archives(spark: SparkSession, paths: list[str] | str, marked: Callable[[Column], Column]) -> DataFrame:
+    size, file = F.col("_metadata.file_size"), F.col("_metadata.file_path").alias("_file")
+    files = spark.read.text(paths, wholetext=True).filter(size <= WHOLE_BYTES).select(file, F.split("value", r"\r\n|\r|\n").alias("lines"))
+    # Number of the header line, from 1.
+    headed = files.withColumn("at", F.greatest(F.lit(1), F.array_position(F.transform("lines", marked), True))).withColumn("_header", _header_cells(F.get("lines", F.col("at").cast("int") - 1)))
+    body = headed.select("_file", "at", "_header", F.posexplode("lines").alias("k", "value")).filter((F.col("k") >= F.col("at")) & (F.trim("value") != ""))
+    at = F.struct(F.lit(0).cast("long").alias("block"), F.col("k").cast("long").alias("row"))
+    return body.select("_header", text.csv_cells(F.col("value")).alias("_cells"), F.struct("_file", at.alias("_at")).alias("_pos"))
+
+
+def _large_archives(spark: SparkSession, paths: list[str] | str, marked: Callable[[Column], Column]) -> DataFrame:
+    lines = spark.read.text(paths).filter(F.col("_metadata.file_size") > WHOLE_BYTES).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("_at"),
     )
-    marked = F.lit(False)
-    for marker in markers:
-        marked = marked | F.col("value").contains(marker)
     place = F.struct("_at", "value")
-    firsts = lines.groupBy("_file").agg(F.coalesce(F.min(F.when(marked, place)), F.min(place)).alias("h")).select(
-        "_file", F.col("h._at").alias("_header_at"), F.regexp_replace("h.value", "^\\x{FEFF}", "").alias("_line")
-    )
-    headers = firsts.select("_file", "_header_at", text.csv_cells(F.col("_line")).alias("_header"))
+    firsts = lines.groupBy("_file").agg(F.coalesce(F.min(F.when(marked(F.col("value")), place)), F.min(place)).alias("h"))
+    headers = firsts.select("_file", F.col("h._at").alias("_header_at"), _header_cells(F.col("h.value")).alias("_header"))
     # How the join runs is left to the optimizer, which knows the size of the headers once they are found.
     body = lines.join(headers, "_file").filter((F.col("_at") > F.col("_header_at")) & (F.trim("value") != ""))
     return body.select("_header", text.csv_cells(F.col("value")).alias("_cells"), F.struct("_file", "_at").alias("_pos"))

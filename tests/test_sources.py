@@ -33,6 +33,13 @@ def test_json_numbers_are_epochs_and_texts_are_not(spark, tmp_path):
     assert got["a"][0] == datetime(2023, 11, 14, 22, 13, 20, 500000) and got["b"][1].rule == "bad_timestamp" and got["c"][0] == datetime(2026, 1, 1)
 
 
+def test_json_documents_of_many_lines(spark, tmp_path):
+    (tmp_path / "agents_1.json").write_text(json.dumps({"data": [{"id": "a", "name": "Ann"}, {"id": "b", "name": "two\nlines"}]}, indent=2))
+    (tmp_path / "agents_2.json").write_text("\ufeff" + json.dumps([{"id": "c", "name": "Cy"}], indent="\t"), encoding="utf-8")
+    rows = files.read_entity(spark, str(tmp_path), "agents").select("id", "name").collect()
+    assert sorted(tuple(r) for r in rows) == [("a", "Ann"), ("b", "two\nlines"), ("c", "Cy")]
+
+
 def test_pages(spark, tmp_path):
     pages = [{"cursor": None, "data": [{"id": "a"}, {"id": "b"}], "next_cursor": "c1"}, {"cursor": "c1", "data": [{"id": "c"}], "next_cursor": "c2"},
              {"cursor": "c3", "data": [{"id": "d"}], "next_cursor": "c4"}, {"cursor": "c4", "data": [], "next_cursor": "c5"}]
@@ -62,6 +69,45 @@ def test_archive(spark, tmp_path):
         "https://linkedin.com/in/bob-ray", "Self-Employed", "Professional")
 
 
+def test_archives_whole_or_split(spark, tmp_path, monkeypatch):
+    names = {
+        "a": "Notes:\r\nsee below\r\n\r\nFirst Name,Last Name,URL\r\nAda,L,u1\r\n\r\nBo,M,u2", "b": "\ufeffURL,First name\nu3,Cy\nFirst Name,no header\n", "c": "", "d": "\n", "e": "plain,cells\rx,y\r",
+        "f": "First Name\n" + "".join(f"n{k}\n" for k in range(2000)),
+    }
+    for name, content in names.items():
+        (tmp_path / f"{name}.csv").write_text(content, encoding="utf-8", newline="")
+    paths = [str(tmp_path / f"{n}.csv") for n in names]
+
+    def read():
+        rows = imports.read_archive(spark, paths, imports.CONNECTION_MARKERS).orderBy("_pos").collect()
+        return [(r._pos._file.rsplit("/", 1)[1], r._header, r._cells) for r in rows]
+
+    every = {}
+    for size in (1 << 20, 64, -1):
+        monkeypatch.setattr(imports, "WHOLE_BYTES", size)
+        every[size] = read()
+    assert every[1 << 20] == every[64] == every[-1]
+    small = [r for r in every[-1] if r[0] != "f.csv"]
+    people = ["First Name", "Last Name", "URL"]
+    assert small == [
+        ("a.csv", people, ["Ada", "L", "u1"]), ("a.csv", people, ["Bo", "M", "u2"]), ("b.csv", ["URL", "First name"], ["u3", "Cy"]),
+        ("b.csv", ["URL", "First name"], ["First Name", "no header"]), ("e.csv", ["plain", "cells"], ["x", "y"]),
+    ]
+    assert [r[2][0] for r in every[-1] if r[0] == "f.csv"] == [f"n{k}" for k in range(2000)]
+    # The other size's files are not opened: a scan without files has no partitions.
+    sized = spark.read.text(paths).filter(F.col("_metadata.file_size") > 1 << 20)
+    assert sized.rdd.getNumPartitions() == 0
+
+
+def test_many_csv_headers(spark, tmp_path):
+    for k in range(300):
+        columns = ["id", "name", "status"][:: 1 if k % 2 else -1]
+        values = {"id": f"i{k}", "name": f"n{k}", "status": "active"}
+        (tmp_path / f"agents_{k:03d}.csv").write_text(",".join(columns) + "\n" + ",".join(values[c] for c in columns) + "\n")
+    rows = files.read_entity(spark, str(tmp_path), "agents").select("id", "name", "status").collect()
+    assert sorted(tuple(r) for r in rows) == sorted((f"i{k}", f"n{k}", "active") for k in range(300))
+
+
 def test_invitations(spark, tmp_path):
     path = tmp_path / "Invitations.csv"
     path.write_text("Export\nFrom,To,Sent At,Message,Direction\nMe,Ann,\"8/15/24\",hi,OUTGOING\nBob,Me,2024-08-15,,INCOMING\nMe,Cid,2024-08-16,,\n")
