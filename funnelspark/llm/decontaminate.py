@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,10 @@ from funnelspark.llm.fmindex import FMIndex
 from funnelspark.session import new_scratch
 
 WINDOW = 10
-#: Bytes of text in a shard, and benchmark items searched at once.
-SHARD_BYTES, BLOCK_ITEMS = 6 << 20, 4000
+#: Bytes of text in a shard.
+SHARD_BYTES = 6 << 20
+#: Words of benchmark items searched at once, words of items that a worker keeps (some 20 bytes each), and items read at once.
+BLOCK_WORDS, KEPT_WORDS, READ_ITEMS = 1 << 20, 1 << 22, 1024
 
 SPAN = T.StructType([T.StructField(n, T.LongType()) for n in ("first_word", "last_word", "start", "stop")])
 FOUND = T.StructType([
@@ -25,44 +28,77 @@ FOUND = T.StructType([
     T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(SPAN)),
 ])
 
-_BLOCKS: dict[str, list] = {}
 
 
-def _windows(items: list[tuple[str, bytes]], length: int) -> tuple[list[tuple[bytes, ...]], list[list[str]]]:
-    """Distinct windows of the items and whose they are."""
-    owners: dict[tuple[bytes, ...], list[str]] = {}
-    for item, text in items:
-        words = text.translate(FOLDED).split()
-        for k in range(max(1, len(words) - length + 1) if words else 0):
-            own = owners.setdefault(tuple(words[k:k + length]), [])
-            if item not in own[-1:]:
-                own.append(item)
-    return list(owners), list(owners.values())
+class Block(NamedTuple):
+    """Distinct windows of some items, as places in the items' numbered words, and whose they are."""
 
+    items: list[str]
+    vocabulary: dict[bytes, int]
+    words: np.ndarray
+    first: np.ndarray  # of every window
+    size: np.ndarray
+    owner: np.ndarray  # items of window k: owner[bounds[k]:bounds[k + 1]]
+    bounds: np.ndarray
 
-def _blocks(folder: str, length: int) -> Iterator[tuple[list, list]]:
-    """Windows of the staged items, block by block; a benchmark of one block is kept by the worker."""
-    if folder in _BLOCKS:
-        yield from _BLOCKS[folder]
+
+#: Folder of the staged items, and their blocks if the worker keeps them.
+_KEPT: dict[str, list[Block]] = {}
+
+
+def _block(items: list[str], docs: list[list[bytes]], length: int) -> Block:
+    words, starts, vocabulary = number_words(docs, first=1)
+    counts = np.diff(starts)
+    times = np.where(counts > 0, np.maximum(1, counts - length + 1), 0)
+    owner = np.repeat(np.arange(len(docs)), times)
+    first = starts[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
+    size = np.minimum(counts, length)[owner]
+    windows = _rows(words, first, size, length).astype(np.int32)
+    _, one, which = np.unique(windows, axis=0, return_index=True, return_inverse=True)
+    which = which.reshape(-1)
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(one)))])
+    small = lambda x: x.astype(np.int32)
+    return Block(items, vocabulary, small(words), small(first[one]), small(size[one]), small(owner[np.argsort(which, kind="stable")]), bounds)
+
+
+def _rows(words: np.ndarray, first: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """The words of each window, filled up with 0."""
+    out = np.zeros((len(first), length), dtype=np.int64)
+    for k in range(length):
+        held = size > k
+        out[held, k] = words[first[held] + k]
+    return out
+
+
+def _blocks(folder: str, length: int) -> Iterator[Block]:
+    """The staged items, block by block. A worker numbers and cuts items of up to ``KEPT_WORDS`` words once and keeps them; more are read again for every shard."""
+    if folder in _KEPT:
+        yield from _KEPT[folder]
         return
     import pyarrow.dataset as ds
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(folder)
     files = [x.path for x in store.get_file_info(fs.FileSelector(path)) if x.path.endswith(".parquet")]
-    seen: list = []
-    held: list[tuple[str, bytes]] = []
-    for batch in ds.dataset(sorted(files), filesystem=store, format="parquet").to_batches(batch_size=BLOCK_ITEMS):
-        held += zip(batch.column("item").to_pylist(), (t.encode() for t in batch.column("text").to_pylist()), strict=True)
-        while len(held) >= BLOCK_ITEMS:
-            seen.append(None)
-            yield _windows(held[:BLOCK_ITEMS], length)
-            held = held[BLOCK_ITEMS:]
-    last = _windows(held, length)
-    if not seen:
-        _BLOCKS.clear()
-        _BLOCKS[folder] = [last]
-    yield last
+    kept: list[Block] | None = []
+    items: list[str] = []
+    docs: list[list[bytes]] = []
+    n = total = 0
+    for batch in ds.dataset(sorted(files), filesystem=store, format="parquet").to_batches(batch_size=READ_ITEMS):
+        for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            words = text.encode().translate(FOLDED).split()
+            items.append(item)
+            docs.append(words)
+            n, total = n + len(words), total + len(words)
+            if n >= BLOCK_WORDS:
+                made, items, docs, n = _block(items, docs, length), [], [], 0
+                kept = kept + [made] if kept is not None and total <= KEPT_WORDS else None
+                yield made
+    made = _block(items, docs, length)
+    _KEPT.clear()
+    if kept is not None and total <= KEPT_WORDS:
+        _KEPT[folder] = [*kept, made]
+    yield made
 
 
 def _search(values: list[bytes], folder: str, length: int) -> list[list]:
@@ -79,15 +115,16 @@ def _search(values: list[bytes], folder: str, length: int) -> list[list]:
     index = FMIndex(symbols, len(vocabulary) + 1) if n else None
     covered = np.zeros(len(symbols) + 1, dtype=np.int32)
     items: list[set[str]] = [set() for _ in docs]
-    for windows, owners in _blocks(folder, length) if n else ():
-        known = [k for k, w in enumerate(windows) if all(x in vocabulary for x in w)]
-        if not known:
+    for block in _blocks(folder, length) if n else ():
+        lookup = np.zeros(len(block.vocabulary) + 1, dtype=np.int64)
+        lookup[1:] = np.fromiter((vocabulary.get(w, 0) for w in block.vocabulary), dtype=np.int64, count=len(block.vocabulary))
+        words = lookup[block.words]
+        lacks = np.concatenate([[0], np.cumsum(words == 0)])
+        known = np.flatnonzero(lacks[block.first + block.size] == lacks[block.first])
+        if not len(known):
             continue
-        lengths = np.array([len(windows[k]) for k in known])
-        phrases = np.zeros((len(known), length), dtype=np.int64)
-        for row, k in enumerate(known):
-            phrases[row, : lengths[row]] = [vocabulary[x] for x in windows[k]]
-        low, high = index.search(phrases, lengths)
+        lengths = block.size[known].astype(np.int64)
+        low, high = index.search(_rows(words, block.first[known], lengths, length), lengths)
         times = high - low
         which = np.repeat(np.arange(len(known)), times)
         rows = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
@@ -96,7 +133,8 @@ def _search(values: list[bytes], folder: str, length: int) -> list[list]:
         np.add.at(covered, at + lengths[which], -1)
         doc = np.searchsorted(begin, at, side="right") - 1
         for pair in np.unique(doc * len(known) + which):
-            items[pair // len(known)].update(owners[known[pair % len(known)]])
+            window = known[pair % len(known)]
+            items[pair // len(known)].update(block.items[k] for k in block.owner[block.bounds[window]:block.bounds[window + 1]])
     hit = np.cumsum(covered[:-1]) > 0
     out: list[list] = [[] for _ in FOUND]
     for k in range(n_docs):
@@ -127,7 +165,7 @@ def find_benchmark(docs: DataFrame, text: Column, benchmark: DataFrame, item_id:
 
     A window is ``window`` consecutive words of an item (a shorter item with words is one window). Documents are read as they lie, in
     shards of whole documents; nothing is shuffled. Items are staged in the shared folder and searched in
-    blocks, so neither side has to fit anywhere whole. Null texts, empty texts and texts without words have no hits; null items and items without
+    blocks, so neither side has to fit anywhere whole; each worker cuts them into windows once, up to ``KEPT_WORDS``. Null texts, empty texts and texts without words have no hits; null items and items without
     words have no windows; a null item id reads as "null". Repeated rows are judged one by one; repeated item ids count once. An
     input column of an output's name is replaced.
     """

@@ -77,8 +77,36 @@ def test_substrings(spark, docs, rows):
     assert substrings.remove_repeats(empty(spark), F.col("doc_id"), F.col("text")).count() == 0
 
 
-@pytest.mark.parametrize("block", [4000, 1])
-def test_decontamination(spark, docs, rows, block, monkeypatch):
+@pytest.mark.parametrize(("block", "kept"), [(1 << 20, 1 << 22), (300, 1 << 22), (300, 600)])
+def test_decontamination_blocks(spark, rows, block, kept, monkeypatch, tmp_path):
+    """The search itself, in this process, where the sizes of blocks can be set; against a plain search."""
+    rng = random.Random(3)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    monkeypatch.setattr(decontaminate, "KEPT_WORDS", kept)
+    texts = [r[1] or "" for r in rows]
+    items = [(f"i{k}", " ".join(rng.choice(texts).split()[k: k + rng.randint(1, 40)])) for k in range(60)] + [("i3", "Kata, kata"), ("none", " . "), ("far", prose(rng, 200)), ("copy", texts[0])]
+    spark.createDataFrame(items, "item string, text string").coalesce(2).write.parquet(f"file://{tmp_path}/items")
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    windows = {}
+    for item, text in items:
+        words = cut(text)
+        for k in range(max(1, len(words) - 9) if words else 0):
+            windows.setdefault(tuple(words[k:k + 10]), set()).add(item)
+    for again in range(2):
+        found = list(zip(*decontaminate._search([t.encode() for t in texts], f"file://{tmp_path}/items", 10), strict=True))
+        for text, row in zip(texts, found, strict=True):
+            words, hit, names = cut(text), set(), set()
+            for size in {len(w) for w in windows}:
+                for k in range(len(words) - size + 1):
+                    own = windows.get(tuple(words[k:k + size]))
+                    if own:
+                        hit |= set(range(k, k + size))
+                        names |= own
+            assert (row[0], row[1], row[5]) == (len(words), len(hit), sorted(names))
+        assert bool(decontaminate._KEPT) == (kept > 600)
+
+
+def test_decontamination(spark, docs, rows):
     items = [(1, " ".join(rows[0][1].split()[20:50])), (2, "ONE two"), (3, None), (4, ""), (None, prose(random.Random(1), 12))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find_benchmark(docs, F.col("text"), benchmark).collect()
