@@ -241,6 +241,26 @@ def test_urls(spark):
     }
 
 
+def test_url_vocabulary_of_a_table(spark):
+    """60,000 terms from a table, many of them parts of others, against a search of every run of letters and digits."""
+    rng = random.Random(4)
+    names = [f"t{k:x}" for k in range(60000)]
+    terms = [(t.upper() if k % 3 == 0 else f" {t} ", None if k % 4 == 0 else 0.5 + k % 3) for k, t in enumerate(names)] + [("t1", 0.1), ("t0", 9.0), (None, 1.0), (" ", None), ("größe", None)]
+    words = urls.read_vocabulary(spark.createDataFrame(terms, "term string, weight double"))
+    strict, soft = {t for k, t in enumerate(names) if k % 4 == 0}, {t: 0.5 + k % 3 for k, t in enumerate(names) if k % 4}
+    assert words.strict == strict | {"größe"} and words.soft == soft
+    pages = [(k, "http://h/" + "".join(rng.choice([f"T{rng.randint(0, 70000):x}", "x", "-", "/", "é"]) for _ in range(rng.randint(0, 8)))) for k in range(3000)] + [(5000, "http://h/Größe"), (5001, None)]
+    found = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), F.col("url"), {}, words).collect()}
+    for k, url in pages[:3000]:
+        runs = set(re.findall("[a-z0-9]+", url.lower()))
+        hard, weak = sorted(runs & strict), sorted(runs & soft.keys())
+        weight = sum(soft[t] for t in weak)
+        assert (found[k].strict_terms, found[k].soft_terms, found[k].soft_weight) == (hard, weak, weight)
+        assert found[k].verdict == ("block" if hard or (len(weak) >= 2 and weight >= 2) else "allow")
+    assert found[5000].strict_terms == ["größe"] and found[5001].verdict == "allow"
+    assert {r.verdict for r in found.values()} == {"block", "allow"}
+
+
 def test_warc(spark):
     rows = [(1, "http://a/é b", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "http://c", None), (4, "http://d", ""), (5, "http://e", "é" * 300000)]
     index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), F.col("page_id"), F.col("url"), F.col("html"), file_bytes=100)
