@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -43,11 +44,15 @@ def _ranges(test) -> str:
     return "".join(found)
 
 
-def piece_pattern() -> re.Pattern:
-    """Contractions, words, numbers and other runs with an optional space before them, and white space."""
+def piece_pattern(stop: int = 0x110000) -> re.Pattern:
+    """Contractions, words, numbers and other runs with an optional space before them, and white space.
+
+    For texts with code points below ``stop`` only. Below 65,536 a class is one table; each range beyond is tried in turn at every character
+    that ends a run.
+    """
     import regex
 
-    every = "".join(map(chr, [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]))
+    every = "".join(map(chr, [c for c in range(stop) if not 0xD800 <= c < 0xE000]))
     letters, numbers, spaces = ({ord(c) for c in regex.findall(p, every)} for p in (r"\p{L}", r"\p{N}", r"\p{White_Space}"))
     el, nu, sp = (_ranges(s.__contains__) for s in (letters, numbers, spaces))
     return re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{el}]+| ?[{nu}]+| ?[^{sp}{el}{nu}]+|[{sp}]+(?![^{sp}])|[{sp}]+")
@@ -79,7 +84,7 @@ class PrefixEncoder:
                 self.automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
         self.automaton.make_automaton()
         self.splitter = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.find = piece_pattern().findall
+        self.find_any, self.find_near, self.far = piece_pattern().findall, piece_pattern(0x10000).findall, re.compile("[\U00010000-\U0010ffff]").search
         self.pieces: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -130,6 +135,10 @@ class PrefixEncoder:
             at -= size[at]
         return out[::-1]
 
+    def find(self, text: str) -> list[str]:
+        """Pieces of a text."""
+        return self.find_near(text) if text.isascii() or not self.far(text) else self.find_any(text)
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         parts = self.splitter.split(text) if self.splitter else [text]
@@ -142,8 +151,8 @@ class PrefixEncoder:
             try:
                 out.append(b"".join(map(self.pieces.__getitem__, found)))
             except KeyError:
-                for piece in set(found):
-                    if piece not in self.pieces and len(piece) <= 64:
+                for piece in set(found).difference(self.pieces):
+                    if len(piece) <= 64:
                         if len(self.pieces) >= KEPT_PIECES:
                             self.pieces.clear()
                         self.pieces[piece] = self._packed(piece)
@@ -151,7 +160,8 @@ class PrefixEncoder:
         return b"".join(out)
 
     def _packed(self, piece: str) -> bytes:
-        return np.array(self.encode_bytes(piece.encode()), dtype="<u4").tobytes()
+        ids = self.encode_bytes(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")

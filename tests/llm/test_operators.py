@@ -355,3 +355,11 @@ def test_query_equals_its_sql(spark, name):
     want = con.execute(expected.statements()[name])
     order = [[c[0] for c in want.description].index(c) for c in found.columns]
     assert Counter(map(tuple, found.collect())) == Counter(tuple(r[k] for k in order) for r in want.fetchall())
+
+
+def test_pieces_of_near_and_far_texts():
+    """Texts without far code points are cut by a smaller pattern, into the same pieces."""
+    anywhere, near = bpe.piece_pattern().findall, bpe.piece_pattern(0x10000).findall
+    for text in ("it's 12 o'clock,\tnow!\n\n  end ", "Größe \u3000\u4e2d\u6587 \u0661\u0662 \u2028x \uffff\ue000", "", " \u00a0a"):
+        assert near(text) == anywhere(text)
+    assert anywhere("a \U00020000\U0001d7ce x") == ["a", " \U00020000", "\U0001d7ce", " x"]
