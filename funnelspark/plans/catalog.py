@@ -916,9 +916,10 @@ def _two_sources(i: Inputs) -> Warehouse:
             F.concat(F.lit("evt_"), F.col("text"), F.lit("_"), F.col("doc_id")).alias("id"), F.col("source").alias("agent_id"),
             F.lit("sent").alias("event_type"), F.lit("2024-01-15T08:30:00Z").alias("timestamp"),
         )
-        texts.write.json(f"{root}/events")
+        # At the quickest level: whole texts hardly shrink more at a higher one.
+        texts.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", landing.RECORDS_PER_FILE).json(f"{root}/events")
         turns = _turns(i).drop("pos").withColumn("created_at", F.when(F.col("action").isNull(), "never").otherwise(F.col("created_at")))
-        turns.write.json(f"{root}/webhooks")
+        turns.write.option("compression", "gzip").json(f"{root}/webhooks")
         events = live.read_landing(i.spark, f"{root}/events")
         hooks = live.read_landing(i.spark, f"{root}/webhooks", "webhooks")
         calls = live.webhook_payloads(live.with_arrival(hooks, i.as_of), ["_file", "_block"])

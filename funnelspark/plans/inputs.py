@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import clean, dims, facts, marts
 from funnelspark.plans import derived
-from funnelspark.session import new_scratch
+from funnelspark.session import COMPRESSION, new_scratch
 
 # (session, inputs, label) → what was loaded: a job's root folder, or a table's path and schema.
 _STORED: dict[tuple, str | tuple] = {}
@@ -141,7 +141,7 @@ class Inputs:
         if key not in _STORED:
             path = new_scratch(self.spark, name)
             built = self._build(name)
-            built.write.parquet(path)
+            built.write.option("compression", COMPRESSION).parquet(path)
             _STORED[key] = (path, built.schema)
         path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)

@@ -14,6 +14,8 @@ from funnelspark.plans.inputs import Inputs
 from funnelspark.session import new_scratch
 
 RECORDS_PER_PAGE = 50
+#: Files of a landing that a stream reads in two micro-batches, and the most records of a compressed file, which one task reads.
+LIVE_FILES, RECORDS_PER_FILE = 32, 20_000
 
 
 def _in_order(df: DataFrame, by: str = "pos") -> DataFrame:

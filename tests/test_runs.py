@@ -237,3 +237,15 @@ def test_nightly_load_keeps_untouched_lead_files(spark, tmp_path):
     assert 1 <= len({p.parent for p in before if now.get(p) != before[p]}) <= 2 and len({p.parent for p in before}) > 8
     rows = Warehouse(spark, root).read("dim_lead").collect()
     assert len(rows) == 65 and sum(r.is_current for r in rows) == 64 and {r.lead_id for r in rows if not r.is_current} == {"l1"}
+
+
+def test_long_ids_are_staged_once(spark, monkeypatch):
+    """An id that is clean as it came, maybe a whole text, lies in the stage of a micro-batch with the raw record only."""
+    rows = [("x" * 5000, 1), (" padded ", 2), (None, 3), ("null", 4), ("plain", 5)]
+    raw = spark.createDataFrame([(i, "sent", "2024-01-15T08:30:00Z", n) for i, n in rows], "id string, event_type string, timestamp string, pos long")
+    judged = clean.check_limits(clean.route(raw, "events", ["pos"], dedup=False), "fact_outreach_event")
+    stages, stage = [], live.write_stage
+    monkeypatch.setattr(live, "write_stage", lambda df, label: stages.append(df) or stage(df, label))
+    routed = live._staged(judged)
+    assert routed.columns == judged.columns and sorted(map(str, routed.collect())) == sorted(map(str, judged.collect()))
+    assert {r.event_source_id for r in stages[0].collect()} == {None, "padded"}
