@@ -834,7 +834,9 @@ def _live_run(i: Inputs) -> Warehouse:
             warehouse.replace(name, i.stored(name))
         warehouse.replace("dim_account_tier", i.tiers)
         schema = StructType([*raw_schema("events").fields, StructField("pos", LongType())])
-        stream = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(landing.live_events(i))
+        landed = landing.live_events(i)
+        half = -(-len(files.list_files(i.spark, landed, "part-*")) // 2)
+        stream = i.spark.readStream.schema(schema).option("maxFilesPerTrigger", max(half, 1)).json(landed)
         live.start_ingest(stream, warehouse, f"{root}/checkpoint", ["pos"], at=i.as_of).awaitTermination()
 
     return Warehouse(i.spark, i.once("live-warehouse", run), buckets=8)
@@ -899,7 +901,7 @@ def stream_same_file_copies(i: Inputs) -> DataFrame:
 
     def run(root: str) -> None:
         warehouse = Warehouse(i.spark, root, buckets=8)
-        i.raw(derived.RAW_EVENTS).repartition("id").sortWithinPartitions("pos").drop("pos").write.json(f"{root}/landing")
+        i.raw(derived.RAW_EVENTS).repartition("id").sortWithinPartitions("pos").drop("pos").write.option("compression", "gzip").json(f"{root}/landing")
         stream = live.read_landing(i.spark, f"{root}/landing")
         live.start_ingest(stream, warehouse, f"{root}/checkpoint", at=i.as_of).awaitTermination()
 

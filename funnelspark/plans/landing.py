@@ -147,7 +147,7 @@ def crm_exports(i: Inputs) -> str:
 
 
 def live_events(i: Inputs) -> str:
-    """Raw events as JSON lines in two files; the copies of an id lie in one file, their order in ``pos``."""
+    """Raw events as compressed JSON lines; the copies of an id lie in one file, their order in ``pos``."""
     path = new_scratch(i.spark, "live-events")
-    i.raw(derived.RAW_EVENTS).repartition(2, "id").write.json(path)
+    i.raw(derived.RAW_EVENTS).repartition(LIVE_FILES, "id").write.option("compression", "gzip").json(path)
     return path

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import dims, facts
 from funnelspark.schemas import TABLES, shape, table_schema
-from funnelspark.session import new_scratch, write_stage
+from funnelspark.session import COMPRESSION, new_scratch, write_stage
 from funnelspark.sources.files import _fs, list_files
 
 LOGS = {"dead_letter_queue", "dq_results", "stg_raw_events", "live_receipts", "fact_pipeline_run", "alerts"}
@@ -110,7 +110,7 @@ class Warehouse:
         if table in FOLDERS:
             within = [*folders, *[c for c in (key, "agent_key", "campaign_key") if c in df.columns][:1]]
             df = df.hint("rebalance", *folders).sortWithinPartitions(*within)
-        writer = df.write.partitionBy(*folders)
+        writer = df.write.partitionBy(*folders).option("compression", COMPRESSION)
         if key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         return writer
@@ -123,7 +123,7 @@ class Warehouse:
     def _overwrite(self, df: DataFrame, table: str) -> DataFrame:
         """Rows in place of all that their partitions hold; returns them, staged."""
         staged = new_scratch(self.spark, f"{table}-parts")
-        df.write.parquet(staged)
+        df.write.option("compression", COMPRESSION).parquet(staged)
         named = self.spark.range(1).select(F.concat_ws("\n", F.lit(staged), F.lit(self._version(table))).alias("value"))
         named.coalesce(1).write.mode("overwrite").text(f"{self.path(table)}/pending")
         self._place(table)
@@ -206,24 +206,23 @@ class Warehouse:
         self._overwrite(rows, table) if self.written(table) else self._add(rows, table)
 
     def upsert_events(self, incoming: DataFrame) -> dict[str, int]:
-        """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action.
+        """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action. ``incoming`` is read several times: hand over a stored stage.
 
         The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch are scanned, for id, status and
         response time, once; the ids of a small batch reach the scan and skip row groups. Partitions that hold a row with a new status or response
         time are rewritten with the batch's new rows of theirs; all other new rows are added. A load that crashed in between is completed by repeating it.
         """
         table, key, columns = "fact_outreach_event", "event_source_id", facts.EVENT_UPDATES
-        shaped = shape(incoming, table).withColumns({"bucket": id_bucket(self.buckets_of(table)), "month": month_of()})
+        rows = shape(incoming, table).withColumns({"bucket": id_bucket(self.buckets_of(table)), "month": month_of()})
         if not self.written(table):
-            self._add(shaped, table)
+            self._add(rows, table)
             return {"insert": self._rows(table).count(), "update": 0, "skip": 0}
-        rows = write_stage(shaped, "incoming-events")
         known = write_stage(self._stored_of(rows).select(
             "bucket", key, F.lit(True).alias("_known"), F.col("month").alias("_month"), *[F.col(c).alias(f"_old_{c}") for c in columns]
         ), "known-events")
         differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns])
         action = F.when(F.col("_known").isNull(), "insert").when(differs, "update").otherwise("skip")
-        judged = write_stage(rows.join(known, ["bucket", key], "left").withColumn("action", action), "judged-events")
+        judged = write_stage(rows.join(known, ["bucket", key], "left").select(*rows.columns, "_month", action.alias("action")), "judged-events")
         counts = {"insert": 0, "update": 0, "skip": 0} | {r["action"]: r["count"] for r in judged.groupBy("action").count().collect()}
         new = judged.filter("action = 'insert'").select(*rows.columns)
         if counts["update"]:

@@ -4,6 +4,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from funnelspark.operators import clean, facts
+from funnelspark.plans import landing
+from funnelspark.plans.inputs import Inputs
 from funnelspark.sources import files, imports
 
 
@@ -129,3 +131,16 @@ def test_crm_dialects(spark, tmp_path):
     assert set(got) == {"evt_sent_lead_ann", "evt_acc_lead_ann", "evt_sent_lead_bob_ray", "evt_sent_lead_dee", "evt_acc_lead_dee"}
     assert got["evt_acc_lead_ann"].response_time_minutes == 150
     assert got["evt_sent_lead_bob_ray"].date_key == 20240105 and got["evt_sent_lead_dee"].date_key == 20260101
+
+
+def test_live_landing_is_compressed_and_keeps_copies_together(spark, tmp_path):
+    """A landing of many compressed files, so that no two tasks write and read it all; the copies of an id lie in one."""
+    types = F.element_at(F.array(*[F.lit(t) for t in ("view", "click", "signup", "purchase", "error")]), (F.col("id") % 5 + 1).cast("int"))
+    spark.range(400).select(
+        F.col("id").alias("event_id"), types.alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"),
+        (F.col("id") * 7 % 300).alias("user_id"), F.lit("2024-01-15 08:30:00").cast("timestamp").alias("ts"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    landed = spark.read.json(landing.live_events(Inputs(spark, str(tmp_path)))).select("*", F.col("_metadata.file_name").alias("file"))
+    rows = landed.collect()
+    assert len(rows) == 480 and all(r.file.endswith(".json.gz") for r in rows) and len({r.file for r in rows}) > 2
+    assert all(len({r.file for r in rows if r.id == i}) == 1 for i in {r.id for r in rows if r.agent_id == "agent_late"})
