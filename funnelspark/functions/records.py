@@ -23,6 +23,12 @@ def parsed(record: Column, schema: StructType, strict: bool = False) -> Column:
     return F.from_json(record, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def whole(document: Column) -> Column:
+    """The text of a document that holds one JSON value; the job fails on one that is broken or goes on behind its value, which a parser would not read."""
+    values = F.from_json(F.concat(F.lit("["), document, F.lit("]")), "array<string>")
+    return F.when(F.size(values) == 1, document).otherwise(F.raise_error(F.lit("a JSON document that is broken or holds several values")))
+
+
 def records_of(document: Column) -> Column:
     """Texts of the records in a JSON document: an array of records, a ``data`` envelope, or a single record."""
     inside = F.when(F.ltrim(document).startswith("["), F.from_json(document, "array<string>")).otherwise(

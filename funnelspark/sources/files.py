@@ -107,7 +107,10 @@ def read_json(spark: SparkSession, paths: list[str], entity: str, lines: bool =
     if not paths:
         return None
     documents = spark.read.text(paths, wholetext=not lines).select(*_position(JSON_RANK), F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"))
-    rows = documents.filter(F.trim("value") != "").select("*", F.posexplode(records.records_of(F.col("value"))).alias("_index", "_text"))
+    documents = documents.filter(F.trim("value") != "")
+    if not lines:
+        documents = documents.withColumn("value", records.whole(F.col("value")))
+    rows = documents.select("*", F.posexplode(records.records_of(F.col("value"))).alias("_index", "_text"))
     parsed = rows.withColumn("_fields", records.parsed(F.col("_text"), records.json_fields(entity), strict=not lines))
     return parsed.select(
         *[records.field(name, F.col(f"_fields.`{name}`")) for name in RAW_FIELDS[entity]],
