@@ -156,6 +156,11 @@ def clean_rows(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("_reject").isNull()).select(*routed.columns[: routed.columns.index("_raw")])
 
 
+def slim(routed: DataFrame) -> DataFrame:
+    """Routed rows to be staged: only rejects keep their raw record, which nobody reads of a clean row."""
+    return routed.withColumn("_raw", F.when(F.col("_reject").isNotNull(), F.col("_raw")))
+
+
 def _record_id(payload: list[str]) -> Column:
     """Source id of a raw record; a record rejected at load time leads with its natural key."""
     names = [name for name in ("id", "event_id") if name in payload] or payload[:1]

@@ -211,7 +211,8 @@ def table_checks(
     used = df.select(F.inline(F.array(own, *[entry(c, F.col(c), F.col(c).isNotNull(), whole[c]) for c, _, _ in foreign])))
     nothing = [entry(kind, F.lit(None), F.lit(0), whole.get(kind, False)) for kind in ("", *whole)]
     used = used.unionAll(df.sparkSession.range(1).select(F.inline(F.array(*nothing))))
-    for c, dim, pk in foreign:
+    # Without rows there is no reference to look up: the dimensions are not read.
+    for c, dim, pk in foreign if foreign and not df.isEmpty() else []:
         used = used.unionAll(dim.select(F.inline(F.array(entry(c, F.col(pk), F.lit(0), whole[c], known=True)))))
     sums = [F.sum(name).alias(name) for name in ("n", "rows", *flags)]
     per_value = used.groupBy("fk", "number", "text").agg(F.max("known").alias("known"), *sums)

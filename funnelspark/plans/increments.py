@@ -63,9 +63,11 @@ class Increment:
     def _unknown(self, late: DataFrame) -> DataFrame:
         """Keys of late rows that the target table does not have; only the key's own fields are read. Rows without a key are among them."""
         key = clean.entity(self.name).key
-        found = conform(late, self.name).select(self._key().alias("_unknown")).distinct()
-        known = self.warehouse.read(self.table).select(F.col(key).alias("_unknown")).distinct()
-        return write_stage(found.join(known, "_unknown", "left_anti"), f"{self.name}-late")
+        found = conform(late, self.name).select(self._key().alias("_unknown"), F.lit(False).alias("_known"))
+        known = self.warehouse.read(self.table).select(F.col(key).alias("_unknown"), F.lit(True).alias("_known")).filter("_unknown IS NOT NULL")
+        # One grouping instead of a join: keys are combined by the map tasks and nothing is sorted.
+        either = found.unionByName(known).groupBy("_unknown").agg(F.max("_known").alias("_known"))
+        return write_stage(either.filter("NOT _known").select("_unknown"), f"{self.name}-late")
 
     def untimed(self, raw: DataFrame, order: list[str]) -> DataFrame:
         """Rows without a time, routed as rejects each by itself."""
@@ -76,7 +78,10 @@ class Increment:
         return routed.withColumn("_reject", F.coalesce("_reject", F.struct(rule.alias("rule"), message.alias("message"))))
 
     def unseen(self, routed: DataFrame) -> DataFrame:
-        """Routed rows without those of the overlap that the ledger has, and without rejects that already are dead letters."""
+        """Routed rows without those of the overlap that the ledger has, and without rejects that already are dead letters.
+
+        ``routed`` is a stored stage. Rows that need no lookup, nearly all of a run that reads much, are left where they lie; only the others are staged anew.
+        """
         when, key, bad = F.col(f"_o_{WHEN}"), F.col(clean.entity(self.name).key), F.col("_reject").isNotNull()
         old = F.lit(False) if self.watermark is None else F.coalesce(when <= F.lit(self.watermark), F.lit(False))
         ledger = self.ledger().select(F.col("record_key").alias("_seen"), F.col("synced_at").alias("_at"))
@@ -84,7 +89,7 @@ class Increment:
         payload = clean.payload(routed.schema["_raw"].dataType.fieldNames())
         letters = self.warehouse.read("dead_letter_queue").select(F.col("record_payload").alias("_payload")).distinct()
         refused = routed.filter(bad & (old | when.isNull())).withColumn("_p", payload).join(letters, F.col("_p") == F.col("_payload"), "left_anti").drop("_p")
-        return routed.filter(~old & (~bad | when.isNotNull())).unionByName(again).unionByName(refused)
+        return routed.filter(~old & (~bad | when.isNotNull())).unionByName(write_stage(again.unionByName(refused), f"{self.name}-looked-up"))
 
     def ledger(self) -> DataFrame:
         return self.warehouse.read("pipeline_synced").filter(F.col("entity_name") == self.name)

@@ -130,10 +130,10 @@ class Warehouse:
         return self.spark.read.parquet(staged)
 
     def _place(self, table: str) -> None:
-        """Put staged partitions in place. Doing so again gives the same."""
+        """Put staged partitions in place, without the actions a merge noted. Doing so again gives the same."""
         pending = f"{self.path(table)}/pending"
         staged, version = self.spark.read.text(pending, wholetext=True).head()[0].splitlines()
-        rows = self.spark.read.parquet(staged)
+        rows = self.spark.read.parquet(staged).drop("_action")
         self._writer(rows, table).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(version)
         fs, path = _fs(self.spark, pending)
         fs.delete(path, True)
@@ -197,16 +197,21 @@ class Warehouse:
         # At most ``buckets`` integers.
         touched = [r[0] for r in incoming.select(bucket.alias("bucket")).distinct().collect()]
         merged = merge(self._rows(table).filter(F.col("bucket").isin(touched)).drop("bucket"))
-        if touched:
-            merged = write_stage(merged, "leads-merged")
-            self._merge(table, shape(merged, table).withColumn("bucket", bucket))
-        return merged
+        if not touched:
+            return merged
+        # The merged rows are staged once: what is put in place is also what their actions are counted from.
+        placed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(table).fields], bucket.alias("bucket"), "_action")
+        if self.written(table):
+            return self._overwrite(placed, table).drop("bucket")
+        staged = write_stage(placed, "leads-merged")
+        self._add(staged.drop("_action"), table)
+        return staged.drop("bucket")
 
     def _merge(self, table: str, rows: DataFrame) -> None:
         self._overwrite(rows, table) if self.written(table) else self._add(rows, table)
 
     def upsert_events(self, incoming: DataFrame) -> dict[str, int]:
-        """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action. ``incoming`` is read several times: hand over a stored stage.
+        """Idempotent load of resolved events (fact shape, one row per id). Returns rows per action. ``incoming`` is read once by the first load, several times by later ones: hand those a stored stage.
 
         The fact lies by id bucket and by the month of the *first* load's date. Only buckets that occur in the batch are scanned, for id, status and
         response time, once; the ids of a small batch reach the scan and skip row groups. Partitions that hold a row with a new status or response

@@ -1,10 +1,12 @@
 """Incremental runs take every row once: late ones, ones without a time, changes within the overlap."""
 
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from funnelspark.plans import batch
+from funnelspark.plans import batch, increments
+from funnelspark.sources import warehouse as warehouses
 from funnelspark.sources.warehouse import Warehouse
 
 COLUMNS = "pos int, id string, status string, updated_at string"
@@ -90,3 +92,27 @@ def test_a_run_reads_what_it_landed(spark, tmp_path, monkeypatch):
     assert batch.reprocess(spark, root, "r1", datetime(2026, 8, 21), "again", buckets=4)["rows_loaded"] == 0
     assert landed() == states and fact() == loaded
     assert load("r2")["rows_extracted"] == 5 and fact() == loaded and warehouse.read("stg_raw_events").count() == 10
+
+
+def test_a_run_stages_only_what_is_read_again(spark, tmp_path, monkeypatch):
+    """Clean rows are staged once and without their raw record; of a run that reads much, only rows that need a lookup are staged anew, and merged leads are written once beside their table."""
+    root, staged = str(tmp_path), {}
+    for module in (batch, increments, warehouses):
+        stage = module.write_stage
+        monkeypatch.setattr(module, "write_stage", lambda df, label, stage=stage: staged.setdefault(label, stage(df, label)))
+    first = [(1, "a", "NEW", "2026-01-10 00:00:00"), (2, "old", "NEW", "2025-01-01 00:00:00")]
+    run(spark, root, first, 1, "r1")
+    staged.clear()
+    second = [*first, (3, "c", "NEW", "2026-01-11 00:00:00"), (4, "late", "NEW", "2025-03-01 00:00:00"), (5, "no-time", "NEW", None), (6, None, "NEW", "2026-01-12 00:00:00")]
+    done = run(spark, root, second, 2, "r2")
+    assert (done["rows_extracted"], done["rows_loaded"], done["dlq_count"]) == (4, 2, 2)
+    assert set(staged) >= {"leads-late", "leads-candidates", "leads-looked-up"} and not {"leads-routed", "leads-merged"} & set(staged)
+    assert {r[0] for r in staged["leads-late"].collect()} == {"late"}
+    assert {r["_o_pos"]: r["_raw"] is None for r in staged["leads-candidates"].collect()} == {1: True, 3: True, 4: True, 5: False, 6: False}
+    # "a" is in the ledger; "c" and the new reject are looked up nowhere.
+    assert {r["_o_pos"] for r in staged["leads-looked-up"].collect()} == {4, 5}
+    warehouse = Warehouse(spark, root, buckets=4)
+    assert {(r.lead_id, r.is_current) for r in warehouse.read("dim_lead").collect()} == {("a", True), ("old", True), ("c", True), ("late", True)}
+    assert "_action" not in spark.read.parquet(f"{root}/dim_lead/v*").columns
+    letters = {(r.source_id, json.loads(r.record_payload)["status"]) for r in warehouse.read("dead_letter_queue").collect()}
+    assert letters == {("no-time", "NEW"), (None, "NEW")}

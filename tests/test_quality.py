@@ -141,3 +141,13 @@ def test_alert_rows(spark):
     assert [r.level for r in rows] == ["CRITICAL", "CRITICAL", "WARNING"]
     assert rows[0].message == "Pipeline run `r1` failed after 12.3s.\n\nError: boom" and rows[1].details["risk_score"] == "75.0"
     assert alerts.risky_agents(risky).count() == 1
+
+
+def test_a_table_without_rows_reads_no_dimension(spark, tmp_path):
+    spark.range(5).withColumnRenamed("id", "agent_key").write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    none = spark.createDataFrame([], "agent_key long")
+    checks = quality.table_checks(none, "fact_daily_agent_activity", foreign=[("agent_key", dim, "agent_key")])
+    assert not checks.inputFiles() and [(r.table_name, r.score) for r in checks.collect()] == [("fact_daily_agent_activity.agent_key", 100.0)]
+    some = spark.createDataFrame([(1,), (9,)], "agent_key long")
+    assert [r.score for r in quality.table_checks(some, "t", foreign=[("agent_key", dim, "agent_key")]).collect()] == [50.0]
