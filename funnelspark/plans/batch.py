@@ -171,8 +171,12 @@ def _store(warehouse: Warehouse, run: Run, entity: str, table: str, rows: DataFr
     """Clean rows of one entity into their table."""
     if entity == "events":
         known = {t: warehouse.read(t) for t in facts.DIMENSIONS}
-        fact = write_stage(facts.as_fact(facts.resolve_keys(rows, known), run.as_of), "events-resolved")
+        fact = facts.as_fact(facts.resolve_keys(rows, known), run.as_of)
+        # A first load is read once, and is then the whole table; later ones are compared with the table first.
+        first = not warehouse.written(table)
+        fact = fact if first else write_stage(fact, "events-resolved")
         counts = warehouse.upsert_events(fact)
+        fact = warehouse.read(table) if first else fact
         run.loaded += counts["insert"] + counts["update"]
         # One integer per month; months of the whole batch, so that a run repeated after a crash refreshes them too.
         run.months = [r[0] for r in fact.select(month_of()).distinct().collect()]
