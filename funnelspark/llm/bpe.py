@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from funnelspark.llm.common import map_rows
 
-#: Pieces that a worker keeps encoded, and neighbour tests it keeps; both start anew when full.
-KEPT_PIECES, KEPT_PAIRS = 400_000, 1_000_000
+#: Pieces that a worker keeps encoded, and neighbour tests it keeps (some 200 bytes each). An idle worker keeps them too, beside what the executor does next.
+KEPT_PIECES, KEPT_PAIRS = 160_000, 400_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -85,8 +85,11 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.splitter = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find_any, self.find_near, self.far = piece_pattern().findall, piece_pattern(0x10000).findall, re.compile("[\U00010000-\U0010ffff]").search
+        # Each in two generations of half the number: when the new one is full the old one goes, but what is used meanwhile moves to the new one.
         self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.old_pairs: dict[tuple[int, int], bool] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens that stand at one side of ``token`` while it is built, each with the rank at which it is merged away."""
@@ -105,20 +108,22 @@ class PrefixEncoder:
         """
         known = self.pairs.get((left, right))
         if known is None:
-            known = True
-            for a, a_gone in self._edge(left, 1):
-                for b, b_gone in self._edge(right, 0):
-                    rank = self.merge_rank.get((a, b))
-                    if rank is not None and rank < a_gone and rank <= b_gone:
-                        known = False
-                        break
-                if not known:
-                    break
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
+            known = self.old_pairs.get((left, right))
+            if known is None:
+                known = self._uncrossed(left, right)
+            if len(self.pairs) >= KEPT_PAIRS // 2:
+                self.old_pairs, self.pairs = self.pairs, {}
             self.pairs[left, right] = known
         return known
 
+    def _uncrossed(self, left: int, right: int) -> bool:
+        for a, a_gone in self._edge(left, 1):
+            for b, b_gone in self._edge(right, 0):
+                rank = self.merge_rank.get((a, b))
+                if rank is not None and rank < a_gone and rank <= b_gone:
+                    return False
+        return True
+
     def encode_bytes(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
         last = [-1] * (len(piece) + 1)
@@ -153,10 +158,10 @@ class PrefixEncoder:
             except KeyError:
                 for piece in set(found).difference(self.pieces):
                     if len(piece) <= 64:
-                        if len(self.pieces) >= KEPT_PIECES:
-                            self.pieces.clear()
-                        self.pieces[piece] = self._packed(piece)
-                out.append(b"".join(self.pieces.get(p) or self._packed(p) for p in found))
+                        if len(self.pieces) >= KEPT_PIECES // 2:
+                            self.old_pieces, self.pieces = self.pieces, {}
+                        self.pieces[piece] = self.old_pieces.get(piece) or self._packed(piece)
+                out.append(b"".join(self.pieces.get(p) or self.old_pieces.get(p) or self._packed(p) for p in found))
         return b"".join(out)
 
     def _packed(self, piece: str) -> bytes:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,11 +72,15 @@ def map_rows(
                 from pyspark.sql.pandas.types import to_arrow_schema
 
                 arrow = to_arrow_schema(outputs)
-            values = as_bytes(batch.column(1))
-            for low, high in runs([len(v) + each for v in values], max_bytes):
-                columns = fn(values[low:high])
+            # Only the values of one run become Python objects at a time.
+            values = batch.column(1).cast(pa.binary())
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+            for low, high in runs([n + each for n in sizes], max_bytes):
+                columns = fn(as_bytes(values.slice(low, high - low)))
                 arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *arrays], names=["row", *arrow.names])
+        # An idle worker holds no buffers of the partition that is done.
+        pa.default_memory_pool().release_unused()
 
     made = packed.mapInArrow(run, schema)
     return made.select(*[F.col("row").getField(c).alias(c) for c in kept], *[F.col(f"`{f.name}`") for f in outputs])

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, empty texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import json
 import math
 import os
 import random
@@ -363,3 +364,21 @@ def test_pieces_of_near_and_far_texts():
     for text in ("it's 12 o'clock,\tnow!\n\n  end ", "Größe \u3000\u4e2d\u6587 \u0661\u0662 \u2028x \uffff\ue000", "", " \u00a0a"):
         assert near(text) == anywhere(text)
     assert anywhere("a \U00020000\U0001d7ce x") == ["a", " \U00020000", "\U0001d7ce", " x"]
+
+
+def test_bpe_keeps_few_pieces_and_those_in_use(monkeypatch):
+    # An idle worker keeps them beside what its executor does next: some 200 bytes a piece, 170 a neighbour test.
+    assert bpe.KEPT_PIECES * 200 + bpe.KEPT_PAIRS * 170 <= 100 << 20
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        definition = json.load(file)
+    texts = [f"often w{k} x{k * k} often" for k in range(200)]
+    whole = bpe.PrefixEncoder(definition)
+    expected_ids = [whole.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 16)
+    monkeypatch.setattr(bpe, "KEPT_PAIRS", 16)
+    small, made = bpe.PrefixEncoder(definition), []
+    packed = small._packed
+    small._packed = lambda piece: made.append(piece) or packed(piece)
+    assert [small.encode(t) for t in texts] == expected_ids
+    assert made.count("often") == made.count(" often") == 1
+    assert max(map(len, (small.pieces, small.old_pieces, small.pairs, small.old_pairs))) <= 8
